@@ -4,19 +4,20 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import datetime
+from functools import partial
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedward.operators import clean, kpi, measures
+from feedward.operators import measures
 from feedward.plans.audit import CHECK_NAMES, audit_log, audit_summary, run_checks
-from feedward.plans.layers import clean_layer, kpi_layer
+from feedward.plans.layers import Layers
 from feedward.session import tune
 from feedward.sources.catalog import table_rows, total_rows
-from feedward.sources.star_mapping import TRANSACTION_ORDER, mapped_raw
+from feedward.sources.star_mapping import MAPPINGS, TRANSACTION_ORDER, mapped_raw
 from oracle_sql import ORACLES
 
 # The clock is a parameter. These times cut the test data somewhere in the middle.
@@ -35,30 +36,28 @@ CLEAN_TABLES = (
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _layers(spark: SparkSession, sf_dir: str, dedup: str = "first") -> dict[str, DataFrame]:
-    """Raw, clean and KPI tables as lazy plans; a query runs only what it uses."""
-    raw = mapped_raw(tune(spark), sf_dir)
-    tables = raw | clean_layer(raw, AS_OF.date(), TRANSACTION_ORDER, dedup)
-    return tables | kpi_layer(tables)
+def _layers(spark: SparkSession, sf_dir: str, dedup: str = "first") -> Layers:
+    raw = {name: partial(mapped_raw, tune(spark), sf_dir, name) for name in MAPPINGS}
+    return Layers(raw, AS_OF.date(), TRANSACTION_ORDER, dedup)
 
 
-def _on(build: Callable[[dict[str, DataFrame]], DataFrame], **options) -> Query:
+def _on(build: Callable[[Layers], DataFrame], **options) -> Query:
     return lambda spark, sf_dir: build(_layers(spark, sf_dir, **options))
 
 
-def _raw_only(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: df for name, df in tables.items() if name.startswith("raw_")}
+def _raw_only(tables: Layers) -> dict[str, DataFrame]:
+    return {name: tables[name] for name in MAPPINGS}
 
 
 def _check(*names: str) -> Query:
     return _on(lambda t: run_checks(t, AS_OF, names, FEEDS_AS_OF))
 
 
-def _audit(tables: dict[str, DataFrame]) -> DataFrame:
+def _audit(tables: Layers) -> DataFrame:
     return audit_log(tables, AS_OF, RUN_AT, FEEDS_AS_OF)
 
 
-def _best_worst(tables: dict[str, DataFrame]) -> DataFrame:
+def _best_worst(tables: Layers) -> DataFrame:
     health = tables["agg_feed_health"]
     reliability = measures.extremes(
         measures.holder_reliability(health), "data_holder", "success_rate_unweighted"

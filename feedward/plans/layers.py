@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from datetime import date, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,36 +15,52 @@ from feedward.sources.readers import POSITION_COLUMNS, load_raw_dir
 from feedward.sources.schemas import RAW_SCHEMAS, RAW_TABLES
 from feedward.sources.writers import export_csv, rebuild, write_audit
 
-Tables = Mapping[str, DataFrame]
 
+class Layers(Mapping[str, DataFrame]):
+    """Raw, clean and KPI tables by name, as lazy plans built on first use."""
 
-def clean_layer(
-    raw: Tables, as_of: date, order_by: Sequence[str] | None = None, dedup: str = "first"
-) -> dict[str, DataFrame]:
-    """The five clean tables as one lazy plan each."""
-    customers = clean.clean_customers(raw["raw_customers"])
-    accounts = clean.clean_accounts(raw["raw_accounts"], customers, as_of)
-    return {
-        "clean_customers": customers,
-        "clean_accounts": accounts,
-        "clean_consents": clean.clean_consents(raw["raw_consents"], customers),
-        "clean_transactions": clean.clean_transactions(
-            raw["raw_transactions"], accounts, order_by, dedup=dedup
-        ),
-        "clean_feed_logs": clean.clean_feed_logs(raw["raw_feed_logs"]),
-    }
+    def __init__(
+        self,
+        raw: Mapping[str, Callable[[], DataFrame]],
+        as_of: date,
+        order_by: Sequence[str] | None = None,
+        dedup: str = "first",
+    ) -> None:
+        self._tables: dict[str, DataFrame] = {}
+        self._builders: dict[str, Callable[[], DataFrame]] = dict(raw) | {
+            "clean_customers": lambda: clean.clean_customers(self["raw_customers"]),
+            "clean_accounts": lambda: clean.clean_accounts(
+                self["raw_accounts"], self["clean_customers"], as_of
+            ),
+            "clean_consents": lambda: clean.clean_consents(
+                self["raw_consents"], self["clean_customers"]
+            ),
+            "clean_transactions": lambda: clean.clean_transactions(
+                self["raw_transactions"], self["clean_accounts"], order_by, dedup=dedup
+            ),
+            "clean_feed_logs": lambda: clean.clean_feed_logs(self["raw_feed_logs"]),
+            "agg_feed_health": lambda: kpi.feed_health(self["clean_feed_logs"]),
+            "agg_consent_summary": lambda: kpi.consent_summary(self["clean_consents"]),
+            "agg_reconciliation": lambda: kpi.reconciliation(self["clean_feed_logs"]),
+            "agg_transaction_volumes": lambda: kpi.transaction_volumes(
+                self["clean_transactions"], self["clean_accounts"]
+            ),
+        }
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = self._builders[name]()
+        return self._tables[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
 
+    def __len__(self) -> int:
+        return len(self._builders)
 
-def kpi_layer(tables: Tables) -> dict[str, DataFrame]:
-    """The four KPI tables."""
-    return {
-        "agg_feed_health": kpi.feed_health(tables["clean_feed_logs"]),
-        "agg_consent_summary": kpi.consent_summary(tables["clean_consents"]),
-        "agg_reconciliation": kpi.reconciliation(tables["clean_feed_logs"]),
-        "agg_transaction_volumes": kpi.transaction_volumes(
-            tables["clean_transactions"], tables["clean_accounts"]
-        ),
-    }
+    def replace(self, name: str, table: DataFrame) -> None:
+        """Let later tables read this one, typically the written copy."""
+        self._tables[name] = table
 
 
 def run_job(
@@ -62,28 +79,15 @@ def run_job(
     """
     loaded = load_raw_dir(spark, raw_dir, RAW_SCHEMAS, positions=True)
     assert_tables(loaded, RAW_TABLES)
-    tables: dict[str, DataFrame] = {}
-
-    def keep(layer: str, name: str, df: DataFrame) -> DataFrame:
-        tables[name] = rebuild(spark, df, f"{out_dir}/{layer}/{name}")
-        return tables[name]
-
-    for name in RAW_TABLES:
-        df = loaded[name]
-        keep("raw", name, df if name == "raw_transactions" else df.drop(*POSITION_COLUMNS))
-    customers = keep("clean", "clean_customers", clean.clean_customers(tables["raw_customers"]))
-    accounts = clean.clean_accounts(tables["raw_accounts"], customers, as_of.date())
-    accounts = keep("clean", "clean_accounts", accounts)
-    consents = clean.clean_consents(tables["raw_consents"], customers)
-    keep("clean", "clean_consents", consents)
-    transactions = clean.clean_transactions(
-        tables["raw_transactions"], accounts, POSITION_COLUMNS, dedup=dedup
-    )
-    keep("clean", "clean_transactions", transactions)
-    keep("clean", "clean_feed_logs", clean.clean_feed_logs(tables["raw_feed_logs"]))
-    for name, df in kpi_layer(tables).items():
-        export_csv(keep("agg", name, df), f"{out_dir}/export/{name}.csv")
+    for name in loaded.keys() - {"raw_transactions"}:
+        loaded[name] = loaded[name].drop(*POSITION_COLUMNS)
+    raw = {name: partial(loaded.get, name) for name in loaded}
+    tables = Layers(raw, as_of.date(), POSITION_COLUMNS, dedup)
+    for name in tables:
+        layer = name.split("_", 1)[0]
+        tables.replace(name, rebuild(spark, tables[name], f"{out_dir}/{layer}/{name}"))
+        if layer == "agg":
+            export_csv(tables[name], f"{out_dir}/export/{name}.csv")
     audit = rebuild(spark, audit_log(tables, as_of, run_at), f"{out_dir}/audit/audit_log")
     write_audit(audit, f"{out_dir}/export/audit_log.csv", f"{out_dir}/audit/history")
-    tables["audit_log"] = audit
-    return tables
+    return dict(tables) | {"audit_log": audit}

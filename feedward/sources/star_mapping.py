@@ -145,15 +145,13 @@ MAPPINGS: dict[str, tuple[str, list[list[str]]]] = {
 TRANSACTION_ORDER = ("transaction_date", "seq_1", "seq_2")
 
 
-def mapped_raw(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
-    """The five raw tables over ``<directory>/<source>.parquet``."""
-    tables = {}
-    for name, (source, projections) in MAPPINGS.items():
-        df = spark.read.parquet(f"{directory}/{source}.parquet")
-        for projection in projections:
-            df = df.selectExpr(*projection)
-        tables[name] = df
-    return tables
+def mapped_raw(spark: SparkSession, directory: str, name: str) -> DataFrame:
+    """One raw table over ``<directory>/<source>.parquet``."""
+    source, projections = MAPPINGS[name]
+    df = spark.read.parquet(f"{directory}/{source}.parquet")
+    for projection in projections:
+        df = df.selectExpr(*projection)
+    return df
 
 
 def mapping_sql(name: str) -> str:

@@ -194,7 +194,8 @@ _COUNTED: dict[str, tuple[str, str, str, str]] = {
         "FAIL",
         "feeds where records received fell >5%% below expected",
         """SELECT count(*) AS n FROM clean_feed_logs
-           WHERE records_expected <> 0 AND 1 - records_received / records_expected > 0.05""",
+           WHERE records_expected <> 0
+             AND (records_expected - records_received) * 20 > records_expected""",
     ),
     "stale_feed": (
         "clean_feed_logs",
