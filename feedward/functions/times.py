@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,11 +17,17 @@ def second_of(value: Column) -> Column:
     """Zoneless timestamp with the sub-second part cut off.
 
     ``date_trunc`` goes through a zoned timestamp and moves wall-clock times
-    that fall into a daylight-saving gap, so the fraction is subtracted instead.
+    that fall into a daylight-saving gap of the session zone. Whole seconds
+    since 1970 need no zone and are as fast; they round up before 1970, where
+    the fraction is subtracted instead.
     """
     stamp = value.try_cast("timestamp_ntz")
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    since_epoch = F.unix_timestamp(stamp) * F.lit(timedelta(seconds=1))
     fraction = F.extract(F.lit("SECOND"), stamp) % 1
-    return stamp - F.make_dt_interval(secs=fraction)
+    return F.when(stamp >= epoch, epoch + since_epoch).otherwise(
+        stamp - F.make_dt_interval(secs=fraction)
+    )
 
 
 def stamp_literal(value: datetime) -> Column:

@@ -1,0 +1,173 @@
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+
+from feedward.operators import clean
+from feedward.operators.joins import having_parent, keep_first
+from helpers import raw, stamp, values
+
+AS_OF = date(2026, 4, 20)
+
+
+def customers(spark, *ids):
+    rows = [{"customer_id": name, "state": "NSW"} for name in ids]
+    return clean.clean_customers(raw(spark, "customers", *rows))
+
+
+def accounts(spark, *ids):
+    rows = [{"account_id": name} for name in ids]
+    df = raw(spark, "accounts", *rows, customer_id="C1", open_date=date(2020, 1, 1))
+    return clean.clean_accounts(df, customers(spark, "C1"), AS_OF)
+
+
+def test_customers_drop_only_empty_rows(spark):
+    df = clean.clean_customers(
+        raw(
+            spark,
+            "customers",
+            {"customer_id": "C1", "created_at": stamp("2024-10-24T20:53:38.310741")},
+            {"email": "x@example.com"},
+            {},
+        )
+    )
+    assert values(df, "customer_id", "email", "created_at") == [
+        (None, "x@example.com", None),
+        ("C1", None, date(2024, 10, 24)),
+    ]
+
+
+def test_accounts_keep_dates_up_to_as_of(spark):
+    df = raw(
+        spark,
+        "accounts",
+        {"account_id": "past", "open_date": date(2020, 1, 1)},
+        {"account_id": "today", "open_date": AS_OF},
+        {"account_id": "future", "open_date": date(2026, 4, 21)},
+        {"account_id": "undated"},
+        {"open_date": date(2020, 1, 1)},
+        {"account_id": "orphan", "open_date": date(2020, 1, 1), "customer_id": "C9"},
+        customer_id="C1",
+    )
+    kept = clean.clean_accounts(df, customers(spark, "C1"), AS_OF)
+    assert values(kept, "account_id") == [("past",), ("today",)]
+
+
+def test_accounts_default_and_flag_missing_balance(spark):
+    df = raw(
+        spark,
+        "accounts",
+        {"account_id": "A1"},
+        {"account_id": "A2", "balance_aud": 0.0},
+        {"account_id": "A3", "balance_aud": 12.5},
+        customer_id="C1",
+        open_date=date(2020, 1, 1),
+        last_updated=stamp("2026-04-13T09:51:58.999"),
+    )
+    kept = clean.clean_accounts(df, customers(spark, "C1"), AS_OF)
+    seen = datetime(2026, 4, 13, 9, 51, 58)
+    assert values(kept, "account_id", "balance_aud", "flag_null_balance", "last_updated") == [
+        ("A1", 0.0, 1, seen),
+        ("A2", 0.0, 0, seen),
+        ("A3", 12.5, 0, seen),
+    ]
+
+
+def test_repeated_parent_repeats_children(spark):
+    df = raw(spark, "accounts", {"account_id": "A1", "customer_id": "C1"})
+    parents = customers(spark, "C1", "C1", "C2")
+    assert having_parent(df, parents, "customer_id").count() == 2
+    assert having_parent(df, parents, "customer_id", unique_parent=True).count() == 1
+
+
+def test_missing_keys_never_match(spark):
+    df = raw(spark, "accounts", {"account_id": "A1"}, {"account_id": "A2", "customer_id": "C1"})
+    parents = raw(spark, "customers", {"email": "x"}, {"customer_id": "C1"})
+    parents = clean.clean_customers(parents)
+    assert parents.count() == 2
+    assert values(having_parent(df, parents, "customer_id"), "account_id") == [("A2",)]
+
+
+def test_consents_need_a_known_status_and_customer(spark):
+    df = raw(
+        spark,
+        "consents",
+        {"consent_id": "K1", "status": "active", "created_at": stamp("2026-01-01T01:02:03.9")},
+        {"consent_id": "K2", "status": "Active"},
+        {"consent_id": "K3"},
+        {"status": "active"},
+        {"consent_id": "K5", "status": "revoked", "customer_id": None},
+        {"consent_id": "K6", "status": "expired", "sharing_duration_days": 90},
+        customer_id="C1",
+        scopes="a|b",
+    )
+    kept = clean.clean_consents(df, customers(spark, "C1"))
+    assert values(kept, "consent_id", "created_at", "scopes", "sharing_duration_days") == [
+        ("K1", datetime(2026, 1, 1, 1, 2, 3), "a|b", None),
+        ("K6", None, "a|b", 90),
+    ]
+
+
+@pytest.fixture
+def repeated(spark):
+    return raw(
+        spark,
+        "transactions",
+        {"transaction_id": "T1", "amount_aud": 5, "transaction_date": stamp("2026-01-02")},
+        {"transaction_id": "T1", "amount_aud": 7, "transaction_date": stamp("2026-01-01")},
+        {"transaction_id": "T1", "amount_aud": 9, "transaction_date": stamp("2026-01-03")},
+        {"transaction_id": "T2", "amount_aud": 0, "transaction_date": stamp("2026-01-01")},
+        {"transaction_id": "T2", "amount_aud": 3, "transaction_date": stamp("2026-01-02")},
+        {"transaction_id": "T3"},
+        {"amount_aud": 1},
+        {"amount_aud": 1},
+        {"transaction_id": "T5", "amount_aud": 1, "account_id": "A9"},
+        account_id="A1",
+    )
+
+
+def test_first_row_of_an_id_decides(spark, repeated):
+    df = clean.clean_transactions(repeated, accounts(spark, "A1"), ["transaction_date"])
+    # The first T2 row is invalid, so the id is gone although a later row is valid.
+    assert values(df, "transaction_id", "amount_aud") == [("T1", Decimal("7.00"))]
+
+
+def test_keep_all_only_needs_an_id(spark, repeated):
+    df = clean.clean_transactions(repeated, accounts(spark, "A1"), dedup="keep_all")
+    assert [row[0] for row in values(df, "transaction_id", "amount_aud")] == ["T1"] * 3 + ["T2"]
+    with pytest.raises(ValueError):
+        clean.clean_transactions(repeated, accounts(spark, "A1"), dedup="last")
+
+
+def test_default_order_does_not_depend_on_row_order(spark, repeated):
+    reversed_rows = spark.createDataFrame(repeated.collect()[::-1], repeated.schema)
+    picks = [values(keep_first(df, "transaction_id")) for df in (repeated, reversed_rows)]
+    assert picks[0] == picks[1]
+    assert len(picks[0]) == 4
+
+
+def test_feed_logs(spark):
+    df = raw(
+        spark,
+        "feed_logs",
+        {"feed_log_id": "ok", "status": "success", "records_expected": 3, "records_received": 2},
+        {"feed_log_id": "empty", "status": "failed", "records_expected": 0, "records_received": 0},
+        {"feed_log_id": "unsized", "status": "failed", "records_received": 1},
+        {
+            "feed_log_id": "over",
+            "status": "partial",
+            "records_expected": 8,
+            "records_received": 9,
+            "latency_ms": 0,
+        },
+        {"feed_log_id": "odd", "status": "late"},
+        {"feed_log_id": "none"},
+        {"status": "success"},
+    )
+    kept = clean.clean_feed_logs(df)
+    assert values(kept, "feed_log_id", "latency_ms", "variance_pct") == [
+        ("empty", -1, None),
+        ("ok", -1, 33.33),
+        ("over", 0, -12.5),
+        ("unsized", -1, None),
+    ]
