@@ -29,13 +29,8 @@ def rebuild(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
 
 def export_csv(df: DataFrame, path: str) -> None:
     """Replace the CSV export at ``path``, one part per task."""
-    df.write.mode("overwrite").csv(
-        path,
-        header=True,
-        escape='"',
-        dateFormat="yyyy-MM-dd",
-        timestampNTZFormat="yyyy-MM-dd HH:mm:ss",
-    )
+    formats = {"dateFormat": "yyyy-MM-dd", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
+    df.write.mode("overwrite").options(**formats).csv(path, header=True, escape='"')
 
 
 def write_audit(audit: DataFrame, path: str, history: str | None = None) -> None:

@@ -1,0 +1,198 @@
+from datetime import date, datetime, timedelta
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from feedward.operators import checks
+from feedward.plans.audit import CHECK_NAMES, audit_log, audit_summary, run_checks
+from feedward.plans.layers import Layers
+from helpers import only, raw, stamp, values
+
+KEYS = st.lists(st.sampled_from([None, "a", "b", "c", "d"]), max_size=8)
+
+
+def column(spark, name, items):
+    return spark.createDataFrame([(item,) for item in items], f"{name} string")
+
+
+def not_in(child, parent):
+    """SQL ``NOT IN`` spelled out."""
+    if not parent:
+        return len(child)
+    if None in parent:
+        return 0
+    return sum(key is not None and key not in parent for key in child)
+
+
+@pytest.mark.parametrize(
+    ("child", "parent", "expected"),
+    [
+        (["a", "a", "x", None], ["a", "b"], 1),
+        (["x", "x", "y"], ["a"], 3),
+        (["x"], ["a", None], 0),
+        (["x", None], [], 2),
+        ([], ["a"], 0),
+        ([], [], 0),
+    ],
+)
+def test_referential_check(spark, child, parent, expected):
+    assert not_in(child, parent) == expected
+    df = checks.referential_check(
+        column(spark, "k", child), column(spark, "id", parent), "k", parent_key="id"
+    )
+    assert only(df) == expected
+
+
+@settings(
+    max_examples=12,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+@given(child=KEYS, parent=KEYS)
+def test_referential_check_matches_not_in(spark, child, parent):
+    df = checks.referential_check(column(spark, "k", child), column(spark, "k", parent), "k")
+    assert only(df) == not_in(child, parent)
+
+
+def test_unique_check_counts_ids_not_rows(spark):
+    df = column(spark, "k", ["a", "a", "a", "b", "c", "c", None, None])
+    assert only(checks.unique_check(df, ["k"])) == 3
+
+
+def test_row_local_checks(spark):
+    df = column(spark, "k", ["a", "x", None, None])
+    assert only(checks.null_check(df, "k")) == 2
+    assert only(checks.domain_check(df, "k", ["a", "b"])) == 1
+    assert only(checks.predicate_check(df, F.col("k") != "a")) == 1
+    both = checks.count_each(df, {"empty": F.col("k").isNull(), "first": F.col("k") == "a"})
+    assert values(both) == [(2, 1)]
+
+
+def test_reconciliation_check_is_one_sided_and_strict(spark):
+    df = spark.createDataFrame(
+        [(100, 95), (100, 94), (0, 0), (100, 200), (None, 5), (20, None)], "e long, r long"
+    )
+    assert only(checks.reconciliation_check(df, "e", "r", 0.05)) == 1
+
+
+def test_freshness_check(spark):
+    df = raw(
+        spark,
+        "feed_logs",
+        {"data_holder": "day-old", "run_at": stamp("2026-04-19T16:48:29")},
+        {"data_holder": "stale", "run_at": stamp("2026-04-19T16:48:28")},
+        {"data_holder": "stale", "run_at": stamp("2026-01-01T00:00:00")},
+        {"data_holder": "followed", "run_at": stamp("2026-01-01T00:00:00")},
+        {"data_holder": "followed", "run_at": stamp("2026-04-20T00:00:00")},
+        {"data_holder": "never"},
+    )
+    as_of = datetime(2026, 4, 20, 16, 48, 29)
+    for zone in ("UTC", "Australia/Sydney"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        stale = checks.freshness_check(df, "data_holder", "run_at", as_of, timedelta(days=1))
+        assert only(stale) == 1
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize(
+    ("raw_rows", "clean_rows", "pct", "status"),
+    [
+        (0, 0, 0.0, "PASS"),
+        (0, 3, 0.0, "PASS"),
+        (1000, 900, 10.0, "WARN"),
+        (10_000, 9_004, 10.0, "WARN"),
+        (10_000, 9_006, 9.9, "PASS"),
+        (10, 12, -20.0, "PASS"),
+        (320, 318, 0.6, "PASS"),
+    ],
+)
+def test_row_count_check(spark, raw_rows, clean_rows, pct, status):
+    df = checks.row_count_check(spark.range(raw_rows), spark.range(clean_rows))
+    assert values(df) == [(raw_rows, clean_rows, raw_rows - clean_rows, pct, status)]
+
+
+AS_OF = datetime(2026, 4, 20, 16, 48, 29)
+
+
+@pytest.fixture
+def layers(spark):
+    rows = {
+        "customers": [{"customer_id": "C1"}, {"customer_id": "C2"}],
+        "accounts": [
+            {"account_id": "A1", "customer_id": "C1", "open_date": date(2020, 1, 1)},
+            {"account_id": "A2", "customer_id": "C9", "open_date": date(2027, 1, 1)},
+        ],
+        "consents": [
+            {"consent_id": "K1", "customer_id": "C1", "status": "active"},
+            {"consent_id": "K2", "status": "odd"},
+            {"consent_id": "K3", "customer_id": "C1"},
+        ],
+        "transactions": [
+            {"transaction_id": "T1", "account_id": "A1", "amount_aud": 1},
+            {"transaction_id": "T1", "account_id": "A2", "amount_aud": -1},
+        ],
+        "feed_logs": [
+            {
+                "feed_log_id": "F1",
+                "status": "success",
+                "run_at": stamp("2026-04-20T01:00:00"),
+                "records_expected": 10,
+                "records_received": 10,
+            },
+        ],
+    }
+    builders = {
+        f"raw_{name}": lambda name=name: raw(spark, name, *rows[name]) for name in rows
+    }
+    return Layers(builders, AS_OF.date())
+
+
+def test_audit_log(spark, layers):
+    audit = audit_log(layers, AS_OF, AS_OF)
+    assert audit.columns == [
+        "check_no", "run_at", "check_name", "table", "status", "rows_affected", "note",
+    ]
+    log = audit.orderBy("check_no").collect()
+    assert [row.check_name for row in log] == list(CHECK_NAMES)
+    assert [row.check_no for row in log] == list(range(1, 16))
+    assert {row.run_at for row in log} == {"2026-04-20 16:48:29"}
+    assert [(row.rows_affected, row.status) for row in log] == [
+        (2, "FAIL"),  # null_balance
+        (1, "FAIL"),  # future_open_date
+        (1, "FAIL"),  # orphaned_accounts
+        (1, "FAIL"),  # null_customer_id
+        (1, "FAIL"),  # invalid_consent_status: the NULL status is not counted
+        (1, "FAIL"),  # duplicate_transaction_ids
+        (1, "FAIL"),  # invalid_amount
+        (1, "FAIL"),  # orphaned_transactions
+        (0, "PASS"),  # reconciliation_breach
+        (0, "PASS"),  # stale_feed
+        (1, "WARN"),  # missing_latency
+        (1, "WARN"),  # row_count_clean_accounts
+        # The first T1 row by column order is the one on A1, which is valid.
+        (1, "WARN"),  # row_count_clean_transactions
+        (2, "WARN"),  # row_count_clean_consents
+        (0, "PASS"),  # row_count_clean_feed_logs
+    ]
+    assert log[0].note == "2 accounts had null balance — replaced with 0.00 in clean layer"
+    assert log[8].note == "0 feeds where records received fell >5% below expected"
+    assert log[11].table == "raw_accounts→clean_accounts"
+    assert log[11].note == "2 raw → 1 clean (1 dropped, 50.0%)"
+    assert values(audit_summary(audit)) == [(15, 3, 8, 4)]
+
+
+def test_single_checks_agree_with_the_log(spark, layers):
+    names = ["null_customer_id", "orphaned_accounts", "row_count_clean_consents"]
+    log = run_checks(layers, AS_OF).filter(F.col("check_name").isin(names))
+    assert values(run_checks(layers, AS_OF, names)) == values(log)
+    with pytest.raises(ValueError):
+        run_checks(layers, AS_OF, ["no_such_check"])
+
+
+def test_empty_raw_tables_pass(spark, layers):
+    empty = {name: table.limit(0) for name, table in layers.items()}
+    log = audit_log(empty, AS_OF, AS_OF).orderBy("check_no").collect()
+    assert {(row.rows_affected, row.status) for row in log} == {(0, "PASS")}
+    assert log[11].note == "0 raw → 0 clean (0 dropped, 0%)"
