@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from feedward.operators import measures
 from feedward.plans.audit import CHECK_NAMES, audit_log, audit_summary, run_checks
-from feedward.plans.layers import Layers
+from feedward.plans.tables import Layers
 from feedward.session import tune
 from feedward.sources.catalog import table_rows, total_rows
 from feedward.sources.star_mapping import MAPPINGS, TRANSACTION_ORDER, mapped_raw
@@ -98,7 +98,9 @@ def queries() -> dict[str, Query]:
             lambda t: measures.worst_reconciliation(t["agg_reconciliation"], 3)
         ),
         "kpi_rows_removed": _on(
-            lambda t: measures.rows_removed(t["raw_transactions"], t["clean_transactions"])
+            lambda t: measures.rows_removed(
+                t.row_count("raw_transactions"), t.row_count("clean_transactions")
+            )
         ),
         "kpi_holder_latency": _on(
             lambda t: measures.holder_latency(t["agg_feed_health"], t["clean_feed_logs"])

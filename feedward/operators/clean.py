@@ -1,4 +1,8 @@
-"""Clean layer: typing, null defaults, whitelists, referential filters, dedup."""
+"""Clean layer: typing, null defaults, whitelists, referential filters, dedup.
+
+The ``valid_*`` functions do what concerns a table alone; the ``clean_*``
+functions add the referential filter.
+"""
 
 from __future__ import annotations
 
@@ -26,14 +30,12 @@ def clean_customers(raw: DataFrame) -> DataFrame:
     return kept.select(*CUSTOMER_COLUMNS[:-1], day_of(F.col("created_at")).alias("created_at"))
 
 
-def clean_accounts(
-    raw: DataFrame, customers: DataFrame, as_of: date, *, unique_parent: bool = False
-) -> DataFrame:
-    """Accounts of known customers opened no later than ``as_of``."""
+def valid_accounts(raw: DataFrame, as_of: date) -> DataFrame:
+    """Accounts opened no later than ``as_of``, missing balances set to 0 and flagged."""
     opened = day_of(F.col("open_date"))
     balance = F.col("balance_aud")
     valid = raw.filter(F.col("account_id").isNotNull() & (opened <= F.lit(as_of)))
-    shaped = valid.select(
+    return valid.select(
         "account_id",
         "customer_id",
         "data_holder",
@@ -45,20 +47,25 @@ def clean_accounts(
         second_of(F.col("last_updated")).alias("last_updated"),
         balance.isNull().cast("int").alias("flag_null_balance"),
     )
-    return having_parent(shaped, customers, "customer_id", unique_parent=unique_parent)
 
 
-def clean_consents(
-    raw: DataFrame, customers: DataFrame, *, unique_parent: bool = False
+def clean_accounts(
+    raw: DataFrame, customers: DataFrame, as_of: date, *, unique_parent: bool = False
 ) -> DataFrame:
-    """Consents of known customers with a known status."""
+    """Valid accounts of known customers."""
+    valid = valid_accounts(raw, as_of)
+    return having_parent(valid, customers, "customer_id", unique_parent=unique_parent)
+
+
+def valid_consents(raw: DataFrame) -> DataFrame:
+    """Consents with a known status."""
     valid = raw.filter(
         F.col("consent_id").isNotNull() & F.col("status").isin(*CONSENT_STATUSES)
     )
     stamps = [
         second_of(F.col(name)).alias(name) for name in ("created_at", "expires_at", "revoked_at")
     ]
-    shaped = valid.select(
+    return valid.select(
         "consent_id",
         "customer_id",
         "data_holder",
@@ -67,18 +74,24 @@ def clean_consents(
         *stamps,
         F.col("sharing_duration_days").cast("int").alias("sharing_duration_days"),
     )
-    return having_parent(shaped, customers, "customer_id", unique_parent=unique_parent)
 
 
-def clean_transactions(
+def clean_consents(
+    raw: DataFrame, customers: DataFrame, *, unique_parent: bool = False
+) -> DataFrame:
+    """Valid consents of known customers."""
+    return having_parent(
+        valid_consents(raw), customers, "customer_id", unique_parent=unique_parent
+    )
+
+
+def valid_transactions(
     raw: DataFrame,
-    accounts: DataFrame,
     order_by: Sequence[str] | None = None,
     *,
     dedup: Literal["first", "keep_all"] = "first",
-    unique_parent: bool = False,
 ) -> DataFrame:
-    """Positive transactions on clean accounts.
+    """Positive transactions with an id.
 
     ``dedup="first"`` keeps the first raw row of each id and only then filters,
     so an id whose first row is invalid disappears. ``"keep_all"`` keeps every
@@ -91,7 +104,7 @@ def clean_transactions(
     else:
         raise ValueError(f"unknown dedup mode: {dedup!r}")
     amount = as_money(F.col("amount_aud"))
-    shaped = rows.filter(amount > 0).select(
+    return rows.filter(amount > 0).select(
         "transaction_id",
         "account_id",
         "transaction_type",
@@ -103,7 +116,19 @@ def clean_transactions(
         "description",
         "status",
     )
-    return having_parent(shaped, accounts, "account_id", unique_parent=unique_parent)
+
+
+def clean_transactions(
+    raw: DataFrame,
+    accounts: DataFrame,
+    order_by: Sequence[str] | None = None,
+    *,
+    dedup: Literal["first", "keep_all"] = "first",
+    unique_parent: bool = False,
+) -> DataFrame:
+    """Valid transactions on clean accounts."""
+    valid = valid_transactions(raw, order_by, dedup=dedup)
+    return having_parent(valid, accounts, "account_id", unique_parent=unique_parent)
 
 
 def clean_feed_logs(raw: DataFrame) -> DataFrame:

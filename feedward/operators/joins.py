@@ -27,6 +27,26 @@ def having_parent(
     return matched.select(child.columns)
 
 
+def matched_rows(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+    """How many rows :func:`having_parent` would give, as one row, without joining.
+
+    A join that only feeds a count shuffles nothing but keys. A hot key then
+    compresses so well that adaptive execution, which goes by bytes, does not
+    see it. Counting per key on both sides first leaves one row per key and task.
+    """
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    sides = child.select(key, one.alias("children"), none.alias("parents")).unionByName(
+        parent.select(key, none.alias("children"), one.alias("parents"))
+    )
+    per_key = (
+        sides.filter(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.sum("children").alias("children"), F.sum("parents").alias("parents"))
+    )
+    matched = F.sum(F.col("children") * F.col("parents"))
+    return per_key.agg(F.coalesce(matched, none).alias("row_count"))
+
+
 def keep_first(df: DataFrame, key: str, order_by: Sequence[str] | None = None) -> DataFrame:
     """The first row of each key; rows without a key are dropped.
 

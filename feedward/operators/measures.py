@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedward.functions import count_where, percent, round_half_up
-from feedward.operators.checks import row_count_check
+from feedward.operators.checks import compare_counts
 from feedward.operators.kpi import timed_latency
 
 
@@ -69,9 +69,9 @@ def worst_reconciliation(recon: DataFrame, n: int = 1, by: str = "avg_gap_pct")
     return breach_rollup(recon).orderBy(F.desc(by), "data_holder", "feed_type").limit(n)
 
 
-def rows_removed(raw: DataFrame, clean: DataFrame) -> DataFrame:
-    """How many rows cleaning took out of a table."""
-    return row_count_check(raw, clean).drop("status")
+def rows_removed(raw_count: DataFrame, clean_count: DataFrame) -> DataFrame:
+    """How many rows cleaning took out of a table, from its two row counts."""
+    return compare_counts(raw_count, clean_count).drop("status")
 
 
 def holder_latency(health: DataFrame, logs: DataFrame) -> DataFrame:

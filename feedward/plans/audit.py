@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 from functools import reduce
@@ -14,12 +14,11 @@ from feedward.functions import as_money, count_where, day_of
 from feedward.operators import checks
 from feedward.operators.clean import CONSENT_STATUSES
 from feedward.operators.kpi import BREACH_THRESHOLD
+from feedward.plans.tables import Layers
 
 MAX_FEED_AGE = timedelta(days=1)
 MAX_DROPPED_PCT = 10
 
-Tables = Mapping[str, DataFrame]
-
 
 @dataclass(frozen=True)
 class Check:
@@ -130,7 +129,7 @@ def row_conditions(as_of: datetime) -> dict[str, dict[str, Column]]:
     }
 
 
-def key_checks(as_of: datetime) -> dict[str, Callable[[Tables], DataFrame]]:
+def key_checks(as_of: datetime) -> dict[str, Callable[[Layers], DataFrame]]:
     """Checks that compare rows with each other or with another table."""
     return {
         "orphaned_accounts": lambda t: checks.referential_check(
@@ -149,7 +148,7 @@ def key_checks(as_of: datetime) -> dict[str, Callable[[Tables], DataFrame]]:
 
 
 def run_checks(
-    tables: Tables,
+    tables: Layers,
     as_of: datetime,
     names: Iterable[str] = CHECK_NAMES,
     feeds_as_of: datetime | None = None,
@@ -179,7 +178,7 @@ def run_checks(
 
 
 def audit_log(
-    tables: Tables, as_of: datetime, run_at: datetime, feeds_as_of: datetime | None = None
+    tables: Layers, as_of: datetime, run_at: datetime, feeds_as_of: datetime | None = None
 ) -> DataFrame:
     """All checks with one run timestamp; ``check_no`` gives the log's order."""
     stamp = F.lit(run_at.strftime("%Y-%m-%d %H:%M:%S")).alias("run_at")
@@ -216,9 +215,11 @@ def _verdict(name: str, count: Column) -> Column:
     return _row(name, checks.status_of(count, check.level), count, note)
 
 
-def _row_count_verdict(tables: Tables, name: str) -> DataFrame:
+def _row_count_verdict(tables: Layers, name: str) -> DataFrame:
     raw, clean = _BY_NAME[name][1].table.split("→")
-    counted = checks.row_count_check(tables[raw], tables[clean], MAX_DROPPED_PCT)
+    counted = checks.compare_counts(
+        tables.row_count(raw), tables.row_count(clean), MAX_DROPPED_PCT
+    )
     # An empty raw table has no percentage to format; the log then says plain 0.
     pct = F.when(F.col("raw_rows") == 0, F.lit("0")).otherwise(
         F.format_string("%.1f", F.col("dropped_pct"))

@@ -1,68 +1,20 @@
-"""Raw -> clean -> KPI -> audit, lazily or as a job that writes every layer."""
+"""Raw -> clean -> KPI -> audit as a job that writes every layer."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
-from datetime import date, datetime
+from datetime import datetime
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedward.operators import clean, kpi
 from feedward.plans.audit import audit_log
+from feedward.plans.tables import Layers
 from feedward.sources.catalog import assert_tables
 from feedward.sources.readers import POSITION_COLUMNS, load_raw_dir
 from feedward.sources.schemas import RAW_SCHEMAS, RAW_TABLES
 from feedward.sources.writers import export_csv, rebuild, write_audit
 
 
-class Layers(Mapping[str, DataFrame]):
-    """Raw, clean and KPI tables by name, as lazy plans built on first use."""
-
-    def __init__(
-        self,
-        raw: Mapping[str, Callable[[], DataFrame]],
-        as_of: date,
-        order_by: Sequence[str] | None = None,
-        dedup: str = "first",
-    ) -> None:
-        self._tables: dict[str, DataFrame] = {}
-        self._builders: dict[str, Callable[[], DataFrame]] = dict(raw) | {
-            "clean_customers": lambda: clean.clean_customers(self["raw_customers"]),
-            "clean_accounts": lambda: clean.clean_accounts(
-                self["raw_accounts"], self["clean_customers"], as_of
-            ),
-            "clean_consents": lambda: clean.clean_consents(
-                self["raw_consents"], self["clean_customers"]
-            ),
-            "clean_transactions": lambda: clean.clean_transactions(
-                self["raw_transactions"], self["clean_accounts"], order_by, dedup=dedup
-            ),
-            "clean_feed_logs": lambda: clean.clean_feed_logs(self["raw_feed_logs"]),
-            "agg_feed_health": lambda: kpi.feed_health(self["clean_feed_logs"]),
-            "agg_consent_summary": lambda: kpi.consent_summary(self["clean_consents"]),
-            "agg_reconciliation": lambda: kpi.reconciliation(self["clean_feed_logs"]),
-            "agg_transaction_volumes": lambda: kpi.transaction_volumes(
-                self["clean_transactions"], self["clean_accounts"]
-            ),
-        }
-
-    def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._tables:
-            self._tables[name] = self._builders[name]()
-        return self._tables[name]
-
-    def __iter__(self) -> Iterator[str]:
-        return iter(self._builders)
-
-    def __len__(self) -> int:
-        return len(self._builders)
-
-    def replace(self, name: str, table: DataFrame) -> None:
-        """Let later tables read this one, typically the written copy."""
-        self._tables[name] = table
-
-
 def run_job(
     spark: SparkSession,
     raw_dir: str,

@@ -30,8 +30,8 @@ MAPPINGS: dict[str, tuple[str, list[list[str]]]] = {
             [
                 "CASE WHEN c_custkey % 50 = 7 THEN -c_custkey ELSE c_custkey END AS customer_id",
                 "c_name AS full_name",
-                "concat('u', CAST(c_custkey AS STRING), '@example.com') AS email",
-                "concat('04', CAST(10000000 + c_custkey AS STRING)) AS phone",
+                "'u' || CAST(c_custkey AS STRING) || '@example.com' AS email",
+                "'04' || CAST(10000000 + c_custkey AS STRING) AS phone",
                 "c_mktsegment AS state",
                 "DATE '1995-01-01' AS created_at",
             ]
@@ -97,7 +97,7 @@ MAPPINGS: dict[str, tuple[str, list[list[str]]]] = {
                 "l_returnflag AS merchant_name",
                 "l_shipdate AS transaction_date",
                 "l_shipdate AS posted_date",
-                "concat('part ', CAST(l_partkey AS STRING)) AS description",
+                "'part ' || CAST(l_partkey AS STRING) AS description",
                 "CASE l_returnflag WHEN 'A' THEN 'pending' WHEN 'R' THEN 'failed'"
                 " ELSE 'settled' END AS status",
                 "l_partkey AS seq_1",
@@ -110,7 +110,7 @@ MAPPINGS: dict[str, tuple[str, list[list[str]]]] = {
         [
             [
                 "event_id AS feed_log_id",
-                "concat('H', CAST(user_id % 7 AS STRING)) AS data_holder",
+                "'H' || CAST(user_id % 7 AS STRING) AS data_holder",
                 "CASE CAST(event_id % 3 AS INT) WHEN 0 THEN 'accounts' WHEN 1 THEN 'transactions'"
                 " ELSE 'consents' END AS feed_type",
                 "ts AS run_at",
@@ -135,7 +135,7 @@ MAPPINGS: dict[str, tuple[str, list[list[str]]]] = {
                 " THEN NULL ELSE CAST(120 + (feed_log_id * 53) % 7881 AS BIGINT) END"
                 " AS latency_ms",
                 "CASE WHEN status = 'failed' THEN 'TIMEOUT' ELSE NULL END AS error_code",
-                "concat('v1.', CAST(feed_log_id % 10 AS STRING), '.0') AS ingestion_version",
+                "'v1.' || CAST(feed_log_id % 10 AS STRING) || '.0' AS ingestion_version",
             ],
         ],
     ),

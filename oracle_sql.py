@@ -173,8 +173,8 @@ _COUNTED: dict[str, tuple[str, str, str, str]] = {
         "raw_transactions",
         "FAIL",
         "duplicate transaction_ids — deduplicated in clean layer",
-        """SELECT count(DISTINCT transaction_id) AS n
-           FROM (FROM raw_transactions
+        """SELECT count(*) AS n
+           FROM (SELECT DISTINCT transaction_id FROM raw_transactions
                  QUALIFY count(*) OVER (PARTITION BY transaction_id) > 1)""",
     ),
     "invalid_amount": (
@@ -201,8 +201,8 @@ _COUNTED: dict[str, tuple[str, str, str, str]] = {
         "clean_feed_logs",
         "WARN",
         "data holders have not sent a feed in the last 24 hours",
-        """SELECT count(DISTINCT data_holder) AS n
-           FROM (FROM clean_feed_logs
+        """SELECT count(*) AS n
+           FROM (SELECT DISTINCT data_holder FROM clean_feed_logs
                  QUALIFY max(run_at) OVER (PARTITION BY data_holder)
                          < TIMESTAMP '2024-01-30 23:30:00')""",
     ),

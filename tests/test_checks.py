@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from feedward.operators import checks
 from feedward.plans.audit import CHECK_NAMES, audit_log, audit_summary, run_checks
-from feedward.plans.layers import Layers
+from feedward.plans.tables import Layers
 from helpers import only, raw, stamp, values
 
 KEYS = st.lists(st.sampled_from([None, "a", "b", "c", "d"]), max_size=8)
@@ -192,7 +192,9 @@ def test_single_checks_agree_with_the_log(spark, layers):
 
 
 def test_empty_raw_tables_pass(spark, layers):
-    empty = {name: table.limit(0) for name, table in layers.items()}
+    raw_names = [name for name in layers if name.startswith("raw_")]
+    empty = {name: lambda name=name: layers[name].limit(0) for name in raw_names}
+    empty = Layers(empty, AS_OF.date())
     log = audit_log(empty, AS_OF, AS_OF).orderBy("check_no").collect()
     assert {(row.rows_affected, row.status) for row in log} == {(0, "PASS")}
     assert log[11].note == "0 raw → 0 clean (0 dropped, 0%)"

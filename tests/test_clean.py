@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 
 from feedward.operators import clean
-from feedward.operators.joins import having_parent, keep_first
+from feedward.operators.joins import having_parent, keep_first, matched_rows
 from helpers import raw, stamp, values
 
 AS_OF = date(2026, 4, 20)
@@ -80,6 +80,15 @@ def test_repeated_parent_repeats_children(spark):
     assert having_parent(df, parents, "customer_id", unique_parent=True).count() == 1
 
 
+def test_matched_rows_counts_what_the_join_gives(spark):
+    keys = ["C1", "C1", "C2", "C9", None, None]
+    df = raw(spark, "accounts", *[{"customer_id": key} for key in keys])
+    parents = raw(spark, "customers", *[{"customer_id": k} for k in ("C1", "C1", "C2", None)])
+    assert having_parent(df, parents, "customer_id").count() == 5
+    assert values(matched_rows(df, parents, "customer_id")) == [(5,)]
+    assert values(matched_rows(df.limit(0), parents, "customer_id")) == [(0,)]
+
+
 def test_missing_keys_never_match(spark):
     df = raw(spark, "accounts", {"account_id": "A1"}, {"account_id": "A2", "customer_id": "C1"})
     parents = raw(spark, "customers", {"email": "x"}, {"customer_id": "C1"})

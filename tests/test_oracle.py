@@ -12,18 +12,42 @@ import pytest
 import __spark_entry__ as driver
 
 DATA = Path(os.environ.get("TEST_DATA", "/root/testdata"))
-SCALES = os.environ.get("TEST_SCALES", "sf0.001,sf0.01").split(",")
-TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages "
-    "benchmark labels conversations"
-).split()
+SCALES = os.environ.get("TEST_SCALES", "sf0.01,skewed").split(",")
+TABLES = ("customer", "orders", "lineitem", "events")
 
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test data")
 
 
+# A third of all rows on one key, another part without a key, for every source.
+SKEW = {
+    "customer": "SELECT * REPLACE (nullif(c_custkey, 20) AS c_custkey)",
+    "orders": """SELECT * REPLACE (
+        CASE o_orderkey % 6 WHEN 0 THEN 3 WHEN 1 THEN 3 WHEN 2 THEN NULL ELSE o_custkey END
+        AS o_custkey)""",
+    # Suppliers are numbered through, which keeps the order within an id total.
+    "lineitem": """SELECT * REPLACE (
+        CASE row_number() OVER () % 6 WHEN 0 THEN 11 WHEN 1 THEN 11 WHEN 2 THEN NULL
+             ELSE l_orderkey END AS l_orderkey,
+        row_number() OVER () AS l_suppkey)""",
+    "events": """SELECT * REPLACE (
+        CASE event_id % 3 WHEN 0 THEN 5 ELSE user_id END AS user_id,
+        CASE event_id % 50 WHEN 0 THEN NULL ELSE ts END AS ts)""",
+}
+
+
+def skewed_copy(target):
+    for table, query in SKEW.items():
+        source, copy = DATA / "sf0.001" / f"{table}.parquet", target / f"{table}.parquet"
+        duckdb.execute(f"COPY ({query} FROM '{source}') TO '{copy}' (FORMAT parquet)")
+    return target
+
+
 @pytest.fixture(scope="module", params=SCALES)
-def scale(request):
-    directory = DATA / request.param
+def scale(request, tmp_path_factory):
+    if request.param == "skewed":
+        directory = skewed_copy(tmp_path_factory.mktemp("skewed"))
+    else:
+        directory = DATA / request.param
     con = duckdb.connect()
     for table in TABLES:
         con.execute(f"CREATE VIEW {table} AS FROM '{directory}/{table}.parquet'")
