@@ -7,17 +7,23 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import partial
 from pathlib import Path
+from uuid import uuid4
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark.sql import DataFrame, SparkSession
 
 from feedward.operators import measures
+from feedward.operators.clean import clean_feed_logs
+from feedward.operators.kpi import feed_health
 from feedward.plans.audit import CHECK_NAMES, audit_log, audit_summary, run_checks
 from feedward.plans.tables import Layers
-from feedward.session import tune
+from feedward.session import input_bytes, shared_dir, size_shuffles, tune
 from feedward.sources.catalog import table_rows, total_rows
+from feedward.sources.readers import load_raw_dir
+from feedward.sources.schemas import RAW_SCHEMAS
 from feedward.sources.star_mapping import MAPPINGS, TRANSACTION_ORDER, mapped_raw
+from feedward.sources.writers import export_csv
 from oracle_sql import ORACLES
 
 # The clock is a parameter. These times cut the test data somewhere in the middle.
@@ -35,10 +41,17 @@ CLEAN_TABLES = (
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Size of each data directory, so that it is listed once and not for every query.
+_SIZES: dict[str, int] = {}
 
-def _layers(spark: SparkSession, sf_dir: str, dedup: str = "first") -> Layers:
-    raw = {name: partial(mapped_raw, tune(spark), sf_dir, name) for name in MAPPINGS}
-    return Layers(raw, AS_OF.date(), TRANSACTION_ORDER, dedup)
+
+def _layers(spark: SparkSession, sf_dir: str, **options) -> Layers:
+    if sf_dir not in _SIZES:
+        sources = {source for source, _ in MAPPINGS.values()}
+        _SIZES[sf_dir] = input_bytes(spark, [f"{sf_dir}/{name}.parquet" for name in sources])
+    size_shuffles(tune(spark), _SIZES[sf_dir])
+    raw = {name: partial(mapped_raw, spark, sf_dir, name) for name in MAPPINGS}
+    return Layers(raw, AS_OF.date(), TRANSACTION_ORDER, **options)
 
 
 def _on(build: Callable[[Layers], DataFrame], **options) -> Query:
@@ -57,6 +70,14 @@ def _audit(tables: Layers) -> DataFrame:
     return audit_log(tables, AS_OF, RUN_AT, FEEDS_AS_OF)
 
 
+def _feed_health_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export the raw feed logs as CSV, load that directory, aggregate what came back."""
+    folder = f"{shared_dir(spark)}/feedward-{uuid4().hex}"
+    export_csv(_layers(spark, sf_dir)["raw_feed_logs"], f"{folder}/feed_logs.csv")
+    loaded = load_raw_dir(spark, folder, RAW_SCHEMAS)
+    return feed_health(clean_feed_logs(loaded["raw_feed_logs"]))
+
+
 def _best_worst(tables: Layers) -> DataFrame:
     health = tables["agg_feed_health"]
     reliability = measures.extremes(
@@ -79,7 +100,9 @@ def queries() -> dict[str, Query]:
         "load_table_rows": _on(lambda t: table_rows(_raw_only(t))),
         **{name: _on(lambda t, name=name: t[name]) for name in CLEAN_TABLES},
         "clean_transactions_keep_all": _on(lambda t: t["clean_transactions"], dedup="keep_all"),
+        "clean_accounts_semi_join": _on(lambda t: t["clean_accounts"], unique_parents=True),
         "feed_health": _on(lambda t: t["agg_feed_health"]),
+        "feed_health_from_csv": _feed_health_from_csv,
         "consent_summary": _on(lambda t: t["agg_consent_summary"]),
         "reconciliation": _on(lambda t: t["agg_reconciliation"]),
         "transaction_volumes": _on(lambda t: t["agg_transaction_volumes"]),

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from feedward.plans.audit import audit_log
 from feedward.plans.tables import Layers
+from feedward.session import input_bytes, size_shuffles
 from feedward.sources.catalog import assert_tables
 from feedward.sources.readers import POSITION_COLUMNS, load_raw_dir
 from feedward.sources.schemas import RAW_SCHEMAS, RAW_TABLES
@@ -29,6 +30,7 @@ def run_job(
     twice and no plan grows long. ``out_dir`` must be storage that all
     executors see. "First" transaction means first in the raw file.
     """
+    size_shuffles(spark, input_bytes(spark, [f"{raw_dir}/*.csv"]))
     loaded = load_raw_dir(spark, raw_dir, RAW_SCHEMAS, positions=True)
     assert_tables(loaded, RAW_TABLES)
     for name in loaded.keys() - {"raw_transactions"}:

@@ -13,7 +13,11 @@ from feedward.operators.joins import having_parent, matched_rows
 
 
 class Layers(Mapping[str, DataFrame]):
-    """Raw, clean and KPI tables by name, as lazy plans built on first use."""
+    """Raw, clean and KPI tables by name, as lazy plans built on first use.
+
+    ``unique_parents`` promises that no parent key repeats, which a
+    ``unique_check`` can show; referential filters are then semi joins.
+    """
 
     def __init__(
         self,
@@ -21,9 +25,11 @@ class Layers(Mapping[str, DataFrame]):
         as_of: date,
         order_by: Sequence[str] | None = None,
         dedup: str = "first",
+        unique_parents: bool = False,
     ) -> None:
         self._tables: dict[str, DataFrame] = {}
         self._replaced: set[str] = set()
+        self._unique_parents = unique_parents
         # What a table is before its referential join, the parent, and the key.
         self._unmatched: dict[str, tuple[Callable[[], DataFrame], str, str]] = {
             "clean_accounts": (
@@ -63,7 +69,7 @@ class Layers(Mapping[str, DataFrame]):
 
     def _matched(self, name: str) -> DataFrame:
         valid, parent, key = self._unmatched[name]
-        return having_parent(valid(), self[parent], key)
+        return having_parent(valid(), self[parent], key, unique_parent=self._unique_parents)
 
     def __iter__(self) -> Iterator[str]:
         return iter(self._builders)
@@ -82,7 +88,7 @@ class Layers(Mapping[str, DataFrame]):
         A table that is still a plan ending in a referential join is counted
         per key instead of being joined row by row.
         """
-        if name in self._replaced or name not in self._unmatched:
+        if name in self._replaced or name not in self._unmatched or self._unique_parents:
             return checks.count_rows(self[name])
         valid, parent, key = self._unmatched[name]
         return matched_rows(valid(), self[parent], key)

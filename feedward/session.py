@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import math
+import tempfile
+from collections.abc import Sequence
+
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Adaptive execution sizes shuffle partitions, turns joins with a side that
 # proved small into broadcasts, and splits hot keys. "force" lets it split a
@@ -14,6 +19,11 @@ ADAPTIVE = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+BYTES_PER_SHUFFLE_PARTITION = 256 * 1024**2
+# Every map task writes one block per partition; past this, more of them cost
+# more than the spilling of larger partitions.
+MAX_SHUFFLE_PARTITIONS = 20_000
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the settings to a session that is already running."""
@@ -22,6 +32,36 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def input_bytes(spark: SparkSession, paths: Sequence[str]) -> int:
+    """Total size of the files under the paths; lists them without opening any."""
+    files = spark.read.format("binaryFile").load(list(paths)).select("length")
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
+def size_shuffles(spark: SparkSession, total_bytes: int) -> None:
+    """Raise the number of shuffle partitions to suit the input; never lower it.
+
+    Adaptive execution merges small partitions at run time but cannot divide
+    all of them, so the starting number has to grow with the data.
+    """
+    needed = min(MAX_SHUFFLE_PARTITIONS, math.ceil(total_bytes / BYTES_PER_SHUFFLE_PARTITION))
+    if needed > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(needed))
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors see, as the cluster names it.
+
+    Only a local session, whose executors are this process, may do without.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="feedward-")
+
+
 def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings; keyword names use ``__`` for the dots."""
     builder = SparkSession.builder.appName(app_name)

@@ -16,6 +16,12 @@ def list_tables(spark: SparkSession, database: str | None = None) -> list[str]:
     return sorted(table.name for table in spark.catalog.listTables(database))
 
 
+def register_views(tables: Mapping[str, DataFrame]) -> None:
+    """Make the tables available to ``spark.sql`` under their names."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+
+
 def assert_tables(found: Iterable[str], expected: Iterable[str]) -> None:
     """Fail unless exactly the expected tables are there."""
     found, expected = set(found), set(expected)

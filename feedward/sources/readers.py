@@ -91,9 +91,7 @@ def _typed(text: Column, kind: DataType) -> Column:
     match kind:
         case StringType():
             return value
-        case DoubleType():
-            return number_prefix(value)
-        case IntegerType() | LongType() | DecimalType():
+        case DoubleType() | IntegerType() | LongType() | DecimalType():
             return F.coalesce(value.try_cast(kind), number_prefix(value).try_cast(kind))
         case _:
             return value.try_cast(kind)

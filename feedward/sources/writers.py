@@ -24,7 +24,7 @@ def rebuild(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     re-read of the written files.
     """
     write_layer(df, path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -91,6 +91,16 @@ VIEWS["feed_health"] = f"""
            {_big("sum(records_received)")} AS total_records_received
     FROM clean_feed_logs GROUP BY ALL"""
 
+VIEWS["feed_health_from_csv"] = "FROM feed_health"
+VIEWS["clean_accounts_semi_join"] = """
+    FROM (SELECT * REPLACE (CAST(open_date AS DATE) AS open_date,
+                            date_trunc('second', last_updated) AS last_updated,
+                            ifnull(balance_aud, 0.0) AS balance_aud),
+                 CAST(balance_aud IS NULL AS INTEGER) AS flag_null_balance
+          FROM raw_accounts) a
+    WHERE EXISTS (FROM clean_customers c WHERE c.customer_id = a.customer_id)
+      AND account_id IS NOT NULL AND open_date < DATE '2001-01-02'"""
+
 VIEWS["consent_summary"] = f"""
     SELECT data_holder, CAST(created_at AS DATE) AS consent_date, count(*) AS total_consents,
            count(*) FILTER (status = 'active') AS active_count,
