@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -120,30 +121,39 @@ def count_rows(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("row_count"))
 
 
-def compare_counts(raw: DataFrame, clean: DataFrame, max_pct: float = 10) -> DataFrame:
-    """Rows lost between two layers, from one ``row_count`` row for each.
+def compare_counts(
+    pairs: Mapping[str, tuple[DataFrame, DataFrame]], max_pct: float = 10
+) -> DataFrame:
+    """Rows lost between layers: one row per named pair of raw and clean counts.
 
-    The status compares the rounded percentage with ``max_pct``.
+    The counts come as one-row tables, see :func:`count_rows`. The status
+    compares the rounded percentage with ``max_pct``.
     """
-    none = F.lit(0).cast("bigint")
-    rows, raw_rows, clean_rows = F.col("row_count"), F.col("raw_rows"), F.col("clean_rows")
-    counts = raw.select(rows.alias("raw_rows"), none.alias("clean_rows")).unionByName(
-        clean.select(none.alias("raw_rows"), rows.alias("clean_rows"))
-    )
+    none, rows = F.lit(0).cast("bigint"), F.col("row_count")
+    raw_rows, clean_rows = F.col("raw_rows"), F.col("clean_rows")
+    sides = []
+    for name, (raw, clean) in pairs.items():
+        label = F.lit(name).alias("check_name")
+        sides.append(raw.select(label, rows.alias("raw_rows"), none.alias("clean_rows")))
+        sides.append(clean.select(label, none.alias("raw_rows"), rows.alias("clean_rows")))
+    counts = reduce(DataFrame.unionByName, sides).groupBy("check_name")
     lost = counts.agg(F.sum(raw_rows).alias("raw_rows"), F.sum(clean_rows).alias("clean_rows"))
-    lost = lost.withColumn(COUNT, raw_rows - clean_rows)
-    lost = lost.withColumn(
-        "dropped_pct", F.coalesce(percent(F.col(COUNT), raw_rows, 1), F.lit(0.0))
+    dropped = raw_rows - clean_rows
+    pct = F.coalesce(percent(dropped, raw_rows, 1), F.lit(0.0))
+    return lost.select(
+        "*",
+        dropped.alias(COUNT),
+        pct.alias("dropped_pct"),
+        F.when(pct < max_pct, F.lit("PASS")).otherwise(F.lit("WARN")).alias("status"),
     )
-    within = F.col("dropped_pct") < max_pct
-    return lost.withColumn("status", F.when(within, F.lit("PASS")).otherwise(F.lit("WARN")))
 
 
 def row_count_check(raw: DataFrame, clean: DataFrame, max_pct: float = 10) -> DataFrame:
     """Rows lost between two tables, and whether the loss stays under ``max_pct``."""
-    return compare_counts(count_rows(raw), count_rows(clean), max_pct)
+    pair = {"row_count": (count_rows(raw), count_rows(clean))}
+    return compare_counts(pair, max_pct).drop("check_name")
 
 
-def status_of(count: Column, level: str) -> Column:
+def status_of(count: Column, level: Column) -> Column:
     """``PASS`` when nothing is affected, otherwise the check's own level."""
-    return F.when(count > 0, F.lit(level)).otherwise(F.lit("PASS"))
+    return F.when(count > 0, level).otherwise(F.lit("PASS"))

@@ -71,7 +71,8 @@ def worst_reconciliation(recon: DataFrame, n: int = 1, by: str = "avg_gap_pct")
 
 def rows_removed(raw_count: DataFrame, clean_count: DataFrame) -> DataFrame:
     """How many rows cleaning took out of a table, from its two row counts."""
-    return compare_counts(raw_count, clean_count).drop("status")
+    counts = compare_counts({"rows_removed": (raw_count, clean_count)})
+    return counts.drop("check_name", "status")
 
 
 def holder_latency(health: DataFrame, logs: DataFrame) -> DataFrame:

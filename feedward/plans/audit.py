@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timedelta
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,62 +36,62 @@ CHECKS = (
         "null_balance",
         "raw_accounts",
         "FAIL",
-        "%d accounts had null balance — replaced with 0.00 in clean layer",
+        "{n} accounts had null balance — replaced with 0.00 in clean layer",
     ),
     Check(
         "future_open_date",
         "raw_accounts",
         "FAIL",
-        "%d accounts had future open_date — excluded from clean layer",
+        "{n} accounts had future open_date — excluded from clean layer",
     ),
-    Check("orphaned_accounts", "raw_accounts", "FAIL", "%d accounts with no matching customer_id"),
+    Check("orphaned_accounts", "raw_accounts", "FAIL", "{n} accounts with no matching customer_id"),
     Check(
         "null_customer_id",
         "raw_consents",
         "FAIL",
-        "%d consents with no customer_id — compliance risk, excluded from clean layer",
+        "{n} consents with no customer_id — compliance risk, excluded from clean layer",
     ),
     Check(
         "invalid_consent_status",
         "raw_consents",
         "FAIL",
-        "%d consents with unrecognised status value",
+        "{n} consents with unrecognised status value",
     ),
     Check(
         "duplicate_transaction_ids",
         "raw_transactions",
         "FAIL",
-        "%d duplicate transaction_ids — deduplicated in clean layer",
+        "{n} duplicate transaction_ids — deduplicated in clean layer",
     ),
     Check(
         "invalid_amount",
         "raw_transactions",
         "FAIL",
-        "%d transactions with zero or negative amount — excluded",
+        "{n} transactions with zero or negative amount — excluded",
     ),
     Check(
         "orphaned_transactions",
         "raw_transactions",
         "FAIL",
-        "%d transactions with no matching account_id — excluded",
+        "{n} transactions with no matching account_id — excluded",
     ),
     Check(
         "reconciliation_breach",
         "clean_feed_logs",
         "FAIL",
-        "%d feeds where records received fell >5%% below expected",
+        "{n} feeds where records received fell >5% below expected",
     ),
     Check(
         "stale_feed",
         "clean_feed_logs",
         "WARN",
-        "%d data holders have not sent a feed in the last 24 hours",
+        "{n} data holders have not sent a feed in the last 24 hours",
     ),
     Check(
         "missing_latency",
         "raw_feed_logs",
         "WARN",
-        "%d non-failed feeds missing latency_ms — set to -1 sentinel in clean layer",
+        "{n} non-failed feeds missing latency_ms — set to -1 sentinel in clean layer",
     ),
     Check("row_count_clean_accounts", "raw_accounts→clean_accounts", "WARN", ""),
     Check("row_count_clean_transactions", "raw_transactions→clean_transactions", "WARN", ""),
@@ -101,7 +101,6 @@ CHECKS = (
 ROW_COUNT_NOTE = "%d raw → %d clean (%d dropped, %s%%)"
 
 CHECK_NAMES = tuple(check.name for check in CHECKS)
-_BY_NAME = {check.name: (number, check) for number, check in enumerate(CHECKS, start=1)}
 
 
 def row_conditions(as_of: datetime) -> dict[str, dict[str, Column]]:
@@ -160,21 +159,12 @@ def run_checks(
     wanted = set(names)
     if unknown := wanted - set(CHECK_NAMES):
         raise ValueError(f"unknown checks: {sorted(unknown)}")
-    parts = []
-    for table, conditions in row_conditions(as_of).items():
-        chosen = {name: cond for name, cond in conditions.items() if name in wanted}
-        if chosen:
-            counted = checks.count_each(tables[table], chosen)
-            verdicts = [_verdict(name, F.col(name)) for name in chosen]
-            parts.append(counted.select(F.inline(F.array(*verdicts))))
-    for name, build in key_checks(feeds_as_of or as_of).items():
-        if name in wanted:
-            verdict = _verdict(name, F.col(checks.COUNT))
-            parts.append(build(tables).select(F.inline(F.array(verdict))))
-    for name in CHECK_NAMES:
-        if name in wanted and name.startswith("row_count_"):
-            parts.append(_row_count_verdict(tables, name))
-    return reduce(DataFrame.unionByName, parts)
+    measured = [
+        *_row_results(tables, row_conditions(as_of), wanted),
+        *_key_results(tables, key_checks(feeds_as_of or as_of), wanted),
+        *_layer_results(tables, wanted),
+    ]
+    return _verdicts(reduce(partial(DataFrame.unionByName, allowMissingColumns=True), measured))
 
 
 def audit_log(
@@ -197,33 +187,65 @@ def audit_summary(audit: DataFrame) -> DataFrame:
     )
 
 
-def _row(name: str, status: Column, count: Column, note: Column) -> Column:
-    number, check = _BY_NAME[name]
-    return F.struct(
-        F.lit(number).alias("check_no"),
-        F.lit(name).alias("check_name"),
-        F.lit(check.table).alias("table"),
-        status.alias("status"),
-        count.alias("rows_affected"),
-        note.alias("note"),
-    )
+def _row_results(
+    tables: Layers, conditions: Mapping[str, Mapping[str, Column]], wanted: set[str]
+) -> list[DataFrame]:
+    results = []
+    for table, by_name in conditions.items():
+        chosen = {name: condition for name, condition in by_name.items() if name in wanted}
+        if chosen:
+            counted = checks.count_each(tables[table], chosen)
+            results.append(counted.unpivot([], list(chosen), "check_name", checks.COUNT))
+    return results
 
 
-def _verdict(name: str, count: Column) -> Column:
-    check = _BY_NAME[name][1]
-    note = F.format_string(check.note, count)
-    return _row(name, checks.status_of(count, check.level), count, note)
+def _key_results(
+    tables: Layers, builders: Mapping[str, Callable[[Layers], DataFrame]], wanted: set[str]
+) -> list[DataFrame]:
+    return [
+        build(tables).select(F.lit(name).alias("check_name"), checks.COUNT)
+        for name, build in builders.items()
+        if name in wanted
+    ]
 
 
-def _row_count_verdict(tables: Layers, name: str) -> DataFrame:
-    raw, clean = _BY_NAME[name][1].table.split("→")
-    counted = checks.compare_counts(
-        tables.row_count(raw), tables.row_count(clean), MAX_DROPPED_PCT
+def _layer_results(tables: Layers, wanted: set[str]) -> list[DataFrame]:
+    pairs = {
+        check.name: tuple(tables.row_count(table) for table in check.table.split("→"))
+        for check in CHECKS
+        if check.name.startswith("row_count_") and check.name in wanted
+    }
+    return [checks.compare_counts(pairs, MAX_DROPPED_PCT)] if pairs else []
+
+
+def _verdicts(measured: DataFrame) -> DataFrame:
+    """Put number, table, status and note to the measured counts."""
+    rules = measured.sparkSession.createDataFrame(
+        [
+            (number, check.name, check.table, check.level, check.note)
+            for number, check in enumerate(CHECKS, start=1)
+        ],
+        "check_no int, check_name string, table string, level string, template string",
     )
+    # The rules are the rows of CHECKS and nothing else, hence safe to broadcast.
+    judged = measured.join(F.broadcast(rules), "check_name")
+    for name in ("raw_rows", "clean_rows", "dropped_pct", "status"):
+        if name not in measured.columns:
+            judged = judged.withColumn(name, F.lit(None))
+    count, raw_rows = F.col(checks.COUNT), F.col("raw_rows")
     # An empty raw table has no percentage to format; the log then says plain 0.
-    pct = F.when(F.col("raw_rows") == 0, F.lit("0")).otherwise(
-        F.format_string("%.1f", F.col("dropped_pct"))
+    pct = F.when(raw_rows == 0, F.lit("0")).otherwise(
+        F.format_string("%.1f", F.col("dropped_pct").cast("double"))
+    )
+    counted_note = F.replace("template", F.lit("{n}"), count.cast("string"))
+    layer_note = F.format_string(
+        ROW_COUNT_NOTE, raw_rows.cast("bigint"), F.col("clean_rows").cast("bigint"), count, pct
+    )
+    return judged.select(
+        "check_no",
+        "check_name",
+        "table",
+        F.coalesce("status", checks.status_of(count, F.col("level"))).alias("status"),
+        count.alias("rows_affected"),
+        F.when(raw_rows.isNull(), counted_note).otherwise(layer_note).alias("note"),
     )
-    count = F.col(checks.COUNT)
-    note = F.format_string(ROW_COUNT_NOTE, F.col("raw_rows"), F.col("clean_rows"), count, pct)
-    return counted.select(F.inline(F.array(_row(name, F.col("status"), count, note))))

@@ -28,6 +28,7 @@ class Layers(Mapping[str, DataFrame]):
         unique_parents: bool = False,
     ) -> None:
         self._tables: dict[str, DataFrame] = {}
+        self._valid: dict[str, DataFrame] = {}
         self._replaced: set[str] = set()
         self._unique_parents = unique_parents
         # What a table is before its referential join, the parent, and the key.
@@ -67,9 +68,14 @@ class Layers(Mapping[str, DataFrame]):
             self._tables[name] = self._builders[name]()
         return self._tables[name]
 
-    def _matched(self, name: str) -> DataFrame:
+    def _sides(self, name: str) -> tuple[DataFrame, DataFrame, str]:
         valid, parent, key = self._unmatched[name]
-        return having_parent(valid(), self[parent], key, unique_parent=self._unique_parents)
+        if name not in self._valid:
+            self._valid[name] = valid()
+        return self._valid[name], self[parent], key
+
+    def _matched(self, name: str) -> DataFrame:
+        return having_parent(*self._sides(name), unique_parent=self._unique_parents)
 
     def __iter__(self) -> Iterator[str]:
         return iter(self._builders)
@@ -90,5 +96,4 @@ class Layers(Mapping[str, DataFrame]):
         """
         if name in self._replaced or name not in self._unmatched or self._unique_parents:
             return checks.count_rows(self[name])
-        valid, parent, key = self._unmatched[name]
-        return matched_rows(valid(), self[parent], key)
+        return matched_rows(*self._sides(name))
