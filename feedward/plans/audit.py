@@ -220,15 +220,12 @@ def _layer_results(tables: Layers, wanted: set[str]) -> list[DataFrame]:
 
 def _verdicts(measured: DataFrame) -> DataFrame:
     """Put number, table, status and note to the measured counts."""
-    rules = measured.sparkSession.createDataFrame(
-        [
-            (number, check.name, check.table, check.level, check.note)
-            for number, check in enumerate(CHECKS, start=1)
-        ],
-        "check_no int, check_name string, table string, level string, template string",
-    )
-    # The rules are the rows of CHECKS and nothing else, hence safe to broadcast.
-    judged = measured.join(F.broadcast(rules), "check_name")
+    number = F.array_position(F.lit(list(CHECK_NAMES)), F.col("check_name")).cast("int")
+
+    def attribute(field: str) -> Column:
+        return F.element_at(F.lit([getattr(check, field) for check in CHECKS]), number)
+
+    judged = measured
     for name in ("raw_rows", "clean_rows", "dropped_pct", "status"):
         if name not in measured.columns:
             judged = judged.withColumn(name, F.lit(None))
@@ -237,15 +234,15 @@ def _verdicts(measured: DataFrame) -> DataFrame:
     pct = F.when(raw_rows == 0, F.lit("0")).otherwise(
         F.format_string("%.1f", F.col("dropped_pct").cast("double"))
     )
-    counted_note = F.replace("template", F.lit("{n}"), count.cast("string"))
+    counted_note = F.replace(attribute("note"), F.lit("{n}"), count.cast("string"))
     layer_note = F.format_string(
         ROW_COUNT_NOTE, raw_rows.cast("bigint"), F.col("clean_rows").cast("bigint"), count, pct
     )
     return judged.select(
-        "check_no",
+        number.alias("check_no"),
         "check_name",
-        "table",
-        F.coalesce("status", checks.status_of(count, F.col("level"))).alias("status"),
+        attribute("table").alias("table"),
+        F.coalesce("status", checks.status_of(count, attribute("level"))).alias("status"),
         count.alias("rows_affected"),
         F.when(raw_rows.isNull(), counted_note).otherwise(layer_note).alias("note"),
     )
