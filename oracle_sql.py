@@ -142,7 +142,8 @@ def _orphans(child: str, parent: str, key: str) -> str:
     return f"""
         SELECT count(*) AS n FROM {child} c
         WHERE c.{key} IS NOT NULL
-          AND NOT EXISTS (FROM {parent} p WHERE p.{key} = c.{key} OR p.{key} IS NULL)"""
+          AND NOT EXISTS (FROM {parent} p WHERE p.{key} = c.{key})
+          AND NOT EXISTS (FROM {parent} p WHERE p.{key} IS NULL)"""
 
 
 # check -> (table, level, note, query giving n)
