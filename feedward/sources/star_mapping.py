@@ -13,6 +13,7 @@ over-delivered feeds.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _DAY_30, _DAY_90, _DAY_180, _DAY_365 = (f"INTERVAL '{days}' DAY" for days in (30, 90, 180, 365))
 
@@ -144,11 +145,17 @@ MAPPINGS: dict[str, tuple[str, list[list[str]]]] = {
 # A total order within each transaction id: what "first" means for this source.
 TRANSACTION_ORDER = ("transaction_date", "seq_1", "seq_2")
 
+# Schemas read so far; finding one out takes a job that opens a file.
+_SCHEMAS: dict[str, StructType] = {}
+
 
 def mapped_raw(spark: SparkSession, directory: str, name: str) -> DataFrame:
     """One raw table over ``<directory>/<source>.parquet``."""
     source, projections = MAPPINGS[name]
-    df = spark.read.parquet(f"{directory}/{source}.parquet")
+    path = f"{directory}/{source}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    df = spark.read.schema(_SCHEMAS[path]).parquet(path)
     for projection in projections:
         df = df.selectExpr(*projection)
     return df
