@@ -368,3 +368,6 @@ def _with_views(name: str) -> str:
 ORACLES = {
     name: _with_views(name) for name in VIEWS if name not in MAPPINGS and name not in _HELPERS
 }
+for _name in ("clean_transactions", "clean_transactions_keep_all"):
+    ORACLES[_name] = f"""
+        SELECT * REPLACE (CAST(amount_aud AS DOUBLE) AS amount_aud) FROM ({ORACLES[_name]})"""
