@@ -91,8 +91,8 @@ def _best_worst(tables: Layers) -> DataFrame:
     return reliability.unionByName(latency)
 
 
-def queries() -> dict[str, Query]:
-    """Every operator as a query over the whole tables in a directory."""
+def feed_queries() -> dict[str, Query]:
+    """Every operator of the feed monitoring as a query over the whole tables in a directory."""
     row_counts = [name for name in CHECK_NAMES if name.startswith("row_count_")]
     single = [name for name in CHECK_NAMES if name not in row_counts]
     return {
@@ -149,6 +149,25 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["audit_log"](spark, "/root/testdata/sf0.001")
 
 
+def queries() -> dict[str, Query]:
+    """The feed queries, and those of the corpus operators if that subpackage is there."""
+    return feed_queries() | _corpus()[0]
+
+
 def oracle_sql() -> dict[str, str]:
-    """For each query, independent SQL over the same tables."""
-    return dict(ORACLES)
+    """Independent SQL over the same tables, for each query that SQL can express."""
+    return ORACLES | _corpus()[1]
+
+
+def _corpus() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the optional subpackage ``llm`` and of the pipeline built on it."""
+    try:
+        from feedward.llm.queries import QUERIES, SQL
+    except ImportError:
+        return {}, {}
+    try:
+        import corpus_pipeline
+    except ImportError:
+        return QUERIES, SQL
+    sql = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
+    return QUERIES | {"pipeline": corpus_pipeline.run}, SQL | sql
