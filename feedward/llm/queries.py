@@ -4,8 +4,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table
+from .decontaminate import find_contamination
+from .licenses import scan_licenses
 from .pii import find_pii
-from .secrets import scan_secrets
+from .secret_scan import scan_secrets
+from .toxicity import score_toxicity, train_toxicity
 from .urlfilter import judge_urls, rules_table
 
 # The rules are part of the contract.
@@ -22,6 +25,20 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(read_table(spark, sf_dir, "documents")).drop("found")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.drop("hits", "items")
+
+
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read_table(spark, sf_dir, "documents")).drop("found")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return score_toxicity(docs, train_toxicity(docs, read_table(spark, sf_dir, "labels"))).drop("found")
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(read_table(spark, sf_dir, "pages"), rules_table(spark, URL_RULES))
 
@@ -32,11 +49,46 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secrets": op1_secrets,
+    "op2_decontamination": op2_decontamination,
+    "op3_licenses": op3_licenses,
+    "op8_toxicity": op8_toxicity,
     "op9_url_filter": op9_url_filter,
     "op10_pii": op10_pii,
 }
 
 SQL = {
+    # Windows of ten words (or the whole item) as lists, joined on equality.
+    "op2_decontamination": r"""
+WITH item_words AS (
+    SELECT item_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+windows AS (
+    SELECT DISTINCT item_id, least(10, len(w)) AS size,
+           array_to_string(list_slice(w, s, s + least(10, len(w)) - 1), ' ') AS key
+    FROM item_words, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS u(s) WHERE len(w) > 0),
+doc_words AS (
+    SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (
+    SELECT row_no, s, size, array_to_string(list_slice(w, s, s + size - 1), ' ') AS key
+    FROM doc_words, sizes, unnest(range(1, len(w) - size + 2)) AS u(s)),
+hits AS (SELECT row_no, s, p.size, item_id FROM places p JOIN windows v ON p.size = v.size AND p.key = v.key),
+covered AS (
+    SELECT row_no, count(DISTINCT word_no) AS n_hit
+    FROM hits, unnest(range(s, s + size)) AS u(word_no) GROUP BY row_no),
+items AS (
+    SELECT row_no, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+    FROM (SELECT DISTINCT row_no, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY row_no)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN covered USING (row_no) LEFT JOIN items USING (row_no)
+""",
     # Every rule that fits, the longest first.
     "op9_url_filter": """
 WITH rules(rhost, rpath, verdict) AS (VALUES

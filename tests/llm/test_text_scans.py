@@ -10,7 +10,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from feedward.llm import pii, secrets
+from feedward.llm import pii
+from feedward.llm import secret_scan as secrets
 
 ASSIGN = re.compile(
     r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
