@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 from .common import read_table
 from .decontaminate import find_contamination
 from .licenses import scan_licenses
+from .lines import dedup_lines
 from .pii import find_pii
 from .secret_scan import scan_secrets
+from .simhash import near_duplicates
 from .toxicity import score_toxicity, train_toxicity
 from .urlfilter import judge_urls, rules_table
 
@@ -34,6 +36,20 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read_table(spark, sf_dir, "documents")).drop("found")
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedup_lines(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long").alias("n_lines"),
+        F.col("deduped.deleted").cast("long").alias("n_deleted"),
+        F.sha2(F.coalesce("deduped.text", F.lit("")), 256).alias("text_sha256"),
+    )
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return score_toxicity(docs, train_toxicity(docs, read_table(spark, sf_dir, "labels"))).drop("found")
@@ -51,6 +67,8 @@ QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_decontamination": op2_decontamination,
     "op3_licenses": op3_licenses,
+    "op5_simhash": op5_simhash,
+    "op7_line_dedup": op7_line_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_url_filter": op9_url_filter,
     "op10_pii": op10_pii,

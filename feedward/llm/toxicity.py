@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from .common import free_name
 from .words import words
 
-WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+#: Words in a text whose capitals are still there.
+WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 CHAIN = 64  # words of a chain; longer texts are scored in several chains, none is cut off
 
 
@@ -181,42 +182,53 @@ def find_markers(
     ``variety`` is the least number of different ones for each document with the marker.
     """
     need = max(least, share * len(toxic))
-    bad = Counter()
-    for text in toxic:
-        bad.update({f for w in set(text) for f in token_features(w)})
-    common = {f for f, n in bad.items() if n >= need}
+    # Most features are rare: hashed counts, which can only be too large, spare counting those by name.
+    slots = 1 << 20
+    at_most = [0] * slots
+    for word, n in Counter(w for text in toxic for w in set(text)).items():
+        for f in token_features(word):
+            at_most[hash(f) % slots] += n
     known: dict[bytes, list[bytes]] = {}
 
     def common_features(word: bytes) -> list[bytes]:
         if word not in known:
-            known[word] = [f for f in token_features(word) if f in common]
+            known[word] = [f for f in token_features(word) if at_most[hash(f) % slots] >= need]
         return known[word]
 
-    around = defaultdict(set)
+    bad = Counter()
     for text in toxic:
-        for left, word, right in zip([b"", *text], text, [*text[1:], b""], strict=False):
-            for f in common_features(word):
-                around[f].add((left, right))
+        bad.update({f for w in set(text) for f in common_features(w)})
+    common = {f for f, n in bad.items() if n >= need}
     good = Counter()
     for text in clean:
-        good.update({f for w in set(text) for f in common_features(w)})
-    return {
+        good.update({f for w in set(text) for f in common_features(w)} & common)
+    precise = {
         f
         for f in common
-        if len(around[f]) >= max(least, variety * bad[f])
-        and bad[f] / len(toxic) >= precision * (bad[f] / len(toxic) + (good[f] + 0.1) / max(1, len(clean)))
+        if bad[f] / len(toxic) >= precision * (bad[f] / len(toxic) + (good[f] + 0.1) / max(1, len(clean)))
     }
+    known = {word: kept for word, fs in known.items() if (kept := [f for f in fs if f in precise])}
+    around = defaultdict(set)
+    for text in toxic:
+        for left, word, right in zip([b"", *text], text, [*text[1:], b""], strict=False):
+            for f in known.get(word, ()):
+                around[f].add((left, right))
+    return {f for f in precise if len(around[f]) >= max(least, variety * bad[f])}
 
 
 def _fit_field(texts: list[list[bytes]], labels: list[np.ndarray], rounds: int, ridge: float) -> ToxicityModel:
     """Full-batch gradient ascent (Adam) on the conditional likelihood of the token labels."""
     vocabulary = {w: i for i, w in enumerate(dict.fromkeys(w for t in texts for w in t))}
+    # What only one word of the sample has says no more than the word itself.
+    shared = Counter(f for word in vocabulary for f in token_features(word)[1:])
     names: dict[bytes, int] = {}
     owner, feature = [], []
     for word, i in vocabulary.items():
         for f in token_features(word):
-            owner.append(i)
-            feature.append(names.setdefault(f, len(names)))
+            if f[:1] == b"w" or shared[f] > 1:
+                owner.append(i)
+                feature.append(names.setdefault(f, len(names)))
+    del shared
     owner, feature = np.array(owner), np.array(feature)
     sizes = np.array([len(t) for t in texts])
     cells, inside = chains(sizes, CHAIN)
@@ -331,7 +343,7 @@ def train_toxicity(
     text_col: str = "text",
     label_col: str = "toxic",
     max_docs: int = 1_500,
-    max_clean_docs: int = 5_000,
+    max_clean_docs: int = 4_000,
     max_chars: int = 20_000,
 ) -> ToxicityModel:
     """Fit on at most ``max_docs`` toxic and ``max_clean_docs`` clean ones, chosen by a hash of their id.
@@ -345,14 +357,14 @@ def train_toxicity(
     usable = usable.filter(~is_held_out(F.col("id"))).groupBy("id").agg(F.max("toxic").alias("toxic"))
     counts = {row.toxic > 0: row["count"] for row in usable.groupBy((F.col("toxic") > 0).cast("int").alias("toxic")).count().collect()}
     prior = counts.get(True, 0) / max(1, sum(counts.values()))
-    texts = {}
+    texts, same = {}, {}  # equal words share one object
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     slim = slim.filter(F.length("text").between(1, max_chars))
     for toxic in (True, False):
         chosen = usable.filter((F.col("toxic") > 0) == F.lit(toxic)).orderBy(F.xxhash64("id"), "id").limit(max_docs if toxic else max_clean_docs).select("id")
         found = slim.join(chosen, "id").groupBy("id").agg(F.min("text").alias("text")).collect()
         distinct = sorted({row.text for row in found})
-        texts[toxic] = [w for w in map(words, distinct) if w]
+        texts[toxic] = [[same.setdefault(w, w) for w in found] for found in map(words, distinct) if found]
     return fit(texts[True], texts[False], prior)
 
 

@@ -51,7 +51,7 @@ def corpus(n, seed):
         if toxic:
             for _ in range(rng.randint(1, 3)):
                 text.insert(rng.randrange(len(text)), rng.choice(bad))
-        rows.append((i, " ".join(text), int(toxic)))
+        rows.append((i, " ".join(text).capitalize() + "\nÉNOUGH Said.", int(toxic)))
     return rows
 
 
@@ -75,7 +75,7 @@ def test_held_out_documents_are_judged_well(trained):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in found)
     texts = {r[0]: r[1] for r in rows}
     words = {texts[r.doc_id][s.start : s.end] for r in held for s in r.found}
-    assert {"scumbag"} <= words
+    assert "scumbag" in {w.lower() for w in words}
 
 
 def test_held_out_labels_are_not_used(spark, trained):
