@@ -7,6 +7,8 @@ from .common import read_table
 from .decontaminate import find_contamination
 from .licenses import scan_licenses
 from .lines import dedup_lines
+from .mixing import mix_sources
+from .neighbours import nearest_neighbours
 from .pii import find_pii
 from .secret_scan import scan_secrets
 from .simhash import near_duplicates
@@ -36,10 +38,19 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read_table(spark, sf_dir, "documents")).drop("found")
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(read_table(spark, sf_dir, "embeddings"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(read_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "mix_epoch", "mix_block", "mix_order")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dedup_lines(read_table(spark, sf_dir, "documents"))
     return found.select(
@@ -67,7 +78,9 @@ QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_decontamination": op2_decontamination,
     "op3_licenses": op3_licenses,
+    "op4_neighbours": op4_neighbours,
     "op5_simhash": op5_simhash,
+    "op6_mixing": op6_mixing,
     "op7_line_dedup": op7_line_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_url_filter": op9_url_filter,
