@@ -89,11 +89,14 @@ def repeated_runs(
     found = checkpointed(found.select("id", "text_hash", F.inline("w")))
     place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "text_hash", "at")
     # A fingerprint that stands in one place only cannot belong to a repeated window.
-    often = found.groupBy("fp").agg(F.min(place).alias("a"), F.max(place).alias("z")).filter("a != z").select("fp")
+    # It is written so that the join below has a shuffle on both sides and hot fingerprints can be split.
+    often = checkpointed(
+        found.groupBy("fp").agg(F.min(place).alias("a"), F.max(place).alias("z")).filter("a != z").select("fp")
+    )
     shared = checkpointed(found.join(often, "fp", "left_semi").drop("fp", "at"))
     order = F.struct(F.col("id").isNull().alias("unnamed"), "id", "text_hash", "start", "end")
     firsts = shared.groupBy("high", "low").agg(F.min(order).alias("first"), F.max(order).alias("last"))
-    firsts = firsts.filter("first != last").drop("last")
+    firsts = checkpointed(firsts.filter("first != last").drop("last"))
     later = shared.join(firsts, ["high", "low"]).withColumn("order", order).filter("order > first")
     same = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.text_hash"))
     begin = F.when(same, F.greatest("start", F.col("first.end") + 1)).otherwise(F.col("start"))

@@ -163,7 +163,7 @@ def close_groups(points: np.ndarray, reach: int, block: int = 64) -> Iterator[np
 
 
 def link_fingerprints(
-    fingerprints: DataFrame, reach: int, sample_size: int = 20_000, shard_size: int = 16_384
+    fingerprints: DataFrame, reach: int, sample_size: int = 20_000, shard_size: int = 4_096
 ) -> DataFrame:
     """(fp, root) of all distinct ``fp`` (signed longs) that have a link within ``reach`` bits."""
     distinct = fingerprints.select("fp")
