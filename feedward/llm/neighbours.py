@@ -119,7 +119,7 @@ def nearest_neighbours(
     tables: int = 8,
     width: float = 2.2,
     bucket_rows: int = 1024,
-    shard_rows: int = 4096,
+    shard_rows: int = 32_768,
     shard_queries: int = 4096,
     calibration: int = 96,
     recall: float = 0.96,
@@ -130,8 +130,9 @@ def nearest_neighbours(
     Every row is indexed. The number of buckets to visit is the least that finds ``recall`` of
     the true neighbours of ``calibration`` query vectors, which an exact search over all rows
     gives; that bounded sample is all that is fitted. Equal vectors are searched as one that
-    stands for its k + 1 smallest ids, which can change no result. Buckets with many rows or
-    visitors are cut into shards of bounded size, all of which are visited.
+    stands for its k + 1 smallest ids, which can change no result. The buckets of a table are
+    dealt into shards of about ``shard_rows`` rows; one that has many more, or many visitors,
+    is cut into parts, all of which are visited.
 
     Vectors that are null, zero, of another length than most or hold a null or non-finite
     component take no part, nor do null ids; rows that repeat id and vector count once, and an
@@ -154,7 +155,7 @@ def nearest_neighbours(
     hashes = Hashes.draw(tables, functions, size.dimension or 1, width, math.sqrt(size.square or 1.0), seed)
     _calibrate(hashes, distinct, asked, k, calibration, recall)
 
-    found = _candidates(hashes, distinct, asked, k + 1, shard_rows, shard_queries)
+    found = _candidates(hashes, distinct, size.n, asked, k + 1, shard_rows, shard_queries)
     best = Window.partitionBy("query").orderBy(F.desc("score"), "least")
     found = found.groupBy("query", "vid", "least").agg(F.max("score").alias("score"))
     found = found.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1).drop("n", "least")
@@ -206,9 +207,12 @@ def _calibrate(hashes: Hashes, distinct: DataFrame, asked: DataFrame, k: int, qu
 
 
 def _candidates(
-    hashes: Hashes, distinct: DataFrame, asked: DataFrame, k: int, shard_rows: int, shard_queries: int
+    hashes: Hashes, distinct: DataFrame, rows: int, asked: DataFrame, k: int, shard_rows: int, shard_queries: int
 ) -> DataFrame:
-    """(query, vid, least, score): the k best of each shard that a query visits."""
+    """(query, vid, least, score): the k best of each shard that a query visits.
+
+    A shard holds several buckets of one table; a query visits it once for all that it wants there.
+    """
     shared = distinct.sparkSession.sparkContext.broadcast(hashes)
 
     @F.pandas_udf("array<long>")
@@ -229,53 +233,86 @@ def _candidates(
                 out += [list(map(list, per_query)) for per_query in bucket_keys(cells)]
             yield pd.Series(out, dtype=object)
 
-    keys = ["number", "bucket"]
-    stored = distinct.select("vid", "least", "vec", F.posexplode(buckets("vec")).alias(*keys))
+    keys = ["number", "shard"]
+    parts = max(1, -(-rows // shard_rows))
+    shard_of = F.pmod(F.xxhash64("bucket"), F.lit(parts)).cast("int")
+    stored = distinct.select("vid", "least", "vec", F.posexplode(buckets("vec")).alias("number", "bucket"))
+    stored = stored.withColumn("shard", shard_of)
     visits = asked.select("vid", F.posexplode(probes("vec")).alias("number", "all"))
-    visits = checkpointed(visits.select(F.col("vid").alias("query"), "number", F.explode("all").alias("bucket")))
+    visits = visits.select(F.col("vid").alias("query"), "number", F.explode("all").alias("bucket"))
+    visits = checkpointed(
+        visits.withColumn("shard", shard_of).groupBy("query", *keys).agg(F.collect_list("bucket").alias("wanted"))
+    )
     sizes = stored.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     visitors = visits.groupBy(*keys).agg(F.count(F.lit(1)).alias("m"))
     cuts = checkpointed(
         sizes.join(visitors, keys).select(
             *keys,
-            F.ceil(F.col("n") / shard_rows).cast("int").alias("row_parts"),
+            F.ceil(F.col("n") / (2 * shard_rows)).cast("int").alias("row_parts"),
             F.ceil(F.col("m") / shard_queries).cast("int").alias("query_parts"),
         )
     )
-    shard = [*keys, "row_part", "query_part"]
+    group = [*keys, "row_part", "query_part"]
     left = stored.join(cuts, keys).select(
         *keys,
         F.pmod(F.col("vid.y"), F.col("row_parts")).cast("int").alias("row_part"),
         F.explode(F.sequence(F.lit(0), F.col("query_parts") - 1)).alias("query_part"),
-        "vid.x", "vid.y", "least", "vec",
+        "vid.x", "vid.y", "least", "bucket", "vec",
     )
     right = visits.join(cuts, keys).select(
         *keys,
         F.explode(F.sequence(F.lit(0), F.col("row_parts") - 1)).alias("row_part"),
         F.pmod(F.col("query.y"), F.col("query_parts")).cast("int").alias("query_part"),
         "query",
+        "wanted",
+    )
+    right = right.join(asked.withColumnRenamed("vid", "query"), "query").select(
+        *group, F.col("query.x").alias("qx"), F.col("query.y").alias("qy"), "wanted", "vec"
     )
-    right = right.join(asked.withColumnRenamed("vid", "query"), "query").select(*shard, F.col("query.x").alias("qx"), F.col("query.y").alias("qy"), "vec")
 
     def rank(stored_rows: pd.DataFrame, visiting: pd.DataFrame) -> pd.DataFrame:
-        columns = {name: [] for name in ("qx", "qy", "x", "y", "least", "score")}
-        if len(stored_rows) and len(visiting):
-            vectors, least = _matrix(stored_rows["vec"]), stored_rows["least"].to_numpy()
-            x, y = stored_rows["x"].to_numpy(), stored_rows["y"].to_numpy()
-            qx, qy = visiting["qx"].to_numpy(), visiting["qy"].to_numpy()
-            for at in range(0, len(visiting), 256):
-                scores = _matrix(visiting["vec"].iloc[at : at + 256]) @ vectors.T
-                for q, best in enumerate(_best(scores, least, k), at):
-                    columns["qx"].append(np.full(len(best), qx[q]))
-                    columns["qy"].append(np.full(len(best), qy[q]))
-                    columns["x"].append(x[best])
-                    columns["y"].append(y[best])
-                    columns["least"].append(least[best])
-                    columns["score"].append(scores[q - at, best])
-        return pd.DataFrame({name: np.concatenate(parts) if parts else [] for name, parts in columns.items()})
+        found = best_of_buckets(stored_rows, visiting, k) if len(stored_rows) and len(visiting) else []
+        out = [np.concatenate(part) for part in zip(*found, strict=True)] if found else [[]] * 3
+        q, row, score = out[0], out[1], out[2]
+        q, row = np.asarray(q, np.int64), np.asarray(row, np.int64)
+        return pd.DataFrame(
+            {
+                "qx": visiting["qx"].to_numpy()[q],
+                "qy": visiting["qy"].to_numpy()[q],
+                **{name: stored_rows[name].to_numpy()[row] for name in ("x", "y", "least")},
+                "score": np.asarray(score, float),
+            }
+        )
 
     schema = "qx long, qy long, x long, y long, least long, score double"
-    ranked = left.groupBy(*shard).cogroup(right.groupBy(*shard)).applyInPandas(rank, schema)
+    ranked = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(rank, schema)
     return ranked.select(
         F.struct(F.col("qx").alias("x"), F.col("qy").alias("y")).alias("query"), F.struct("x", "y").alias("vid"), "least", "score"
     )
+
+
+def best_of_buckets(stored: pd.DataFrame, visiting: pd.DataFrame, k: int) -> list[tuple[np.ndarray, ...]]:
+    """For each visitor of a shard (its number repeated, rows, scores) of the k best in its wanted buckets."""
+    vectors, least, bucket = _matrix(stored["vec"]), stored["least"].to_numpy(), stored["bucket"].to_numpy()
+    queries = _matrix(visiting["vec"])
+    wanted_by: dict[int, list[int]] = {}
+    for q, wanted in enumerate(visiting["wanted"]):
+        for b in wanted:
+            wanted_by.setdefault(int(b), []).append(q)
+    order = np.argsort(bucket, kind="stable")
+    edges = np.flatnonzero(np.diff(bucket[order], prepend=bucket[order[0]] - 1))
+    near: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(len(queries))]
+    for rows in np.split(order, edges[1:]):
+        asking = wanted_by.get(int(bucket[rows[0]]), [])
+        for at in range(0, len(asking), 256):
+            some = asking[at : at + 256]
+            scores = queries[some] @ vectors[rows].T
+            for q, score, best in zip(some, scores, _best(scores, least[rows], k), strict=True):
+                near[q].append((rows[best], score[best]))
+    out = []
+    for q, parts in enumerate(near):
+        if parts:
+            rows, scores = (np.concatenate(x) for x in zip(*parts, strict=True))
+            best = np.lexsort((least[rows], -scores))[:k]
+            out.append((np.full(len(best), q), rows[best], scores[best]))
+    return out
