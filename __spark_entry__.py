@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 from datetime import datetime
-from functools import partial
+from functools import partial, reduce
 from pathlib import Path
 from uuid import uuid4
 
@@ -19,12 +19,18 @@ from feedward.operators.clean import clean_feed_logs
 from feedward.operators.kpi import feed_health
 from feedward.plans.audit import CHECK_NAMES, audit_log, audit_summary, run_checks
 from feedward.plans.tables import Layers
-from feedward.session import input_bytes, shared_dir, size_shuffles, tune
-from feedward.sources.catalog import table_rows, total_rows
+from feedward.session import shared_dir
+from feedward.sources.catalog import (
+    assert_tables,
+    list_tables,
+    register_views,
+    table_rows,
+    total_rows,
+)
 from feedward.sources.readers import load_raw_dir
-from feedward.sources.schemas import RAW_SCHEMAS
+from feedward.sources.schemas import RAW_SCHEMAS, RAW_TABLES
 from feedward.sources.star_mapping import MAPPINGS, TRANSACTION_ORDER, mapped_raw
-from feedward.sources.writers import export_csv
+from feedward.sources.writers import export_csv, rebuild, write_audit
 from oracle_sql import ORACLES
 
 # The clock is a parameter. These times cut the test data somewhere in the middle.
@@ -36,15 +42,8 @@ CLEAN_TABLES = ("clean_customers", "clean_accounts", "clean_consents", "clean_fe
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Size of each data directory, so that it is listed once and not for every query.
-_SIZES: dict[str, int] = {}
-
 
 def _layers(spark: SparkSession, sf_dir: str, **options) -> Layers:
-    if sf_dir not in _SIZES:
-        sources = {source for source, _ in MAPPINGS.values()}
-        _SIZES[sf_dir] = input_bytes(spark, [f"{sf_dir}/{name}.parquet" for name in sources])
-    size_shuffles(tune(spark), _SIZES[sf_dir])
     raw = {name: partial(mapped_raw, spark, sf_dir, name) for name in MAPPINGS}
     return Layers(raw, AS_OF.date(), TRANSACTION_ORDER, **options)
 
@@ -65,19 +64,74 @@ def _audit(tables: Layers) -> DataFrame:
     return audit_log(tables, AS_OF, RUN_AT, FEEDS_AS_OF)
 
 
+def _new_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/feedward-{uuid4().hex}"
+
+
 def _feed_health_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export the raw feed logs as CSV, load that directory, aggregate what came back."""
-    folder = f"{shared_dir(spark)}/feedward-{uuid4().hex}"
+    folder = _new_folder(spark)
     export_csv(_layers(spark, sf_dir)["raw_feed_logs"], f"{folder}/feed_logs.csv")
     loaded = load_raw_dir(spark, folder, RAW_SCHEMAS)
     return feed_health(clean_feed_logs(loaded["raw_feed_logs"]))
 
 
+def _audit_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export all raw tables as CSV, load that directory, audit what came back."""
+    folder = _new_folder(spark)
+    for name, table in _raw_only(_layers(spark, sf_dir)).items():
+        export_csv(table, f"{folder}/{name.removeprefix('raw_')}.csv")
+    loaded = load_raw_dir(spark, folder, RAW_SCHEMAS, multi_line=["transactions"])
+    assert_tables(loaded, RAW_TABLES)
+    raw = {name: partial(loaded.get, name) for name in loaded}
+    return _audit(Layers(raw, AS_OF.date(), dedup="keep_all"))
+
+
+def _rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write a layer table twice, the second time over the first, and read it back."""
+    table, path = _layers(spark, sf_dir)["agg_reconciliation"], f"{_new_folder(spark)}/table"
+    rebuild(spark, table.limit(1), path)
+    return rebuild(spark, table, path)
+
+
+def _audit_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export the audit log as CSV and to a history by run; read both back and compare them."""
+    folder = _new_folder(spark)
+    for _ in range(2):  # a repeated run replaces its own rows
+        write_audit(_audit(_layers(spark, sf_dir)), f"{folder}/log.csv", f"{folder}/history")
+    exported = spark.read.csv(f"{folder}/log.csv", header=True, escape='"')
+    history = spark.read.parquet(f"{folder}/history")
+    kept = history.select("check_no", "check_name", "status", F.col("rows_affected").alias("rows_kept"))
+    exported = exported.select("check_name", F.col("rows_affected").cast("bigint").alias("rows_exported"))
+    return kept.join(exported, "check_name", "full_outer")
+
+
+def _layer_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Register all layer tables, list them, and count the rows of each raw one by its name."""
+    tables = _layers(spark, sf_dir)
+    register_views(tables)
+    assert_tables(set(list_tables(spark)) & set(tables), tables)
+    found = [
+        spark.table(name).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
+        for name in list_tables(spark)
+        if name in MAPPINGS
+    ]
+    for name in tables:
+        spark.catalog.dropTempView(name)
+    return reduce(DataFrame.unionByName, found)
+
+
 def _transactions(tables: Layers) -> DataFrame:
     """Amounts stay fixed-point inside the layers and are given out as doubles."""
     return tables["clean_transactions"].withColumn("amount_aud", F.col("amount_aud").cast("double"))
 
 
+def _rows_removed(tables: Layers) -> DataFrame:
+    return measures.rows_removed(
+        tables.row_count("raw_transactions"), tables.row_count("clean_transactions")
+    )
+
+
 def _best_worst(tables: Layers) -> DataFrame:
     health = tables["agg_feed_health"]
     reliability = measures.extremes(
@@ -101,6 +155,14 @@ def feed_queries() -> dict[str, Query]:
         **{name: _on(lambda t, name=name: t[name]) for name in CLEAN_TABLES},
         "clean_transactions": _on(_transactions),
         "clean_transactions_keep_all": _on(_transactions, dedup="keep_all"),
+        "transaction_volumes_keep_all": _on(
+            lambda t: t["agg_transaction_volumes"], dedup="keep_all"
+        ),
+        "audit_log_keep_all": _on(_audit, dedup="keep_all"),
+        "kpi_rows_removed_keep_all": _on(_rows_removed, dedup="keep_all"),
+        "kpi_volume_trend_keep_all": _on(
+            lambda t: measures.volume_trend(t["agg_transaction_volumes"]), dedup="keep_all"
+        ),
         "clean_accounts_semi_join": _on(lambda t: t["clean_accounts"], unique_parents=True),
         "feed_health": _on(lambda t: t["agg_feed_health"]),
         "feed_health_from_csv": _feed_health_from_csv,
@@ -110,6 +172,10 @@ def feed_queries() -> dict[str, Query]:
         **{f"check_{name}": _check(name) for name in single},
         "check_row_counts": _check(*row_counts),
         "audit_log": _on(_audit),
+        "audit_log_from_csv": _audit_from_csv,
+        "audit_export": _audit_export,
+        "layer_tables": _layer_tables,
+        "rebuilt_reconciliation": _rebuilt,
         "audit_summary": _on(lambda t: audit_summary(_audit(t))),
         "kpi_holder_reliability": _on(
             lambda t: measures.holder_reliability(t["agg_feed_health"])
@@ -121,11 +187,7 @@ def feed_queries() -> dict[str, Query]:
         "kpi_worst_reconciliation": _on(
             lambda t: measures.worst_reconciliation(t["agg_reconciliation"], 3)
         ),
-        "kpi_rows_removed": _on(
-            lambda t: measures.rows_removed(
-                t.row_count("raw_transactions"), t.row_count("clean_transactions")
-            )
-        ),
+        "kpi_rows_removed": _on(_rows_removed),
         "kpi_holder_latency": _on(
             lambda t: measures.holder_latency(t["agg_feed_health"], t["clean_feed_logs"])
         ),

@@ -9,7 +9,7 @@ from pyspark.sql.types import DecimalType, DoubleType
 # Wide enough for any bigint ratio times 100; ten places absorb binary noise
 # such as 0.285 * 100 = 28.499999999999996 before the tie is decided.
 _EXACT = DecimalType(38, 10)
-_MONEY = DecimalType(18, 2)
+_MONEY = DecimalType(28, 10)
 
 # The longest leading part of a text that reads as a number.
 _NUMBER_PREFIX = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?"
@@ -37,8 +37,11 @@ def shortfall_ratio(expected: Column, received: Column) -> Column:
 
 
 def as_money(value: Column) -> Column:
-    """Fixed-point money, so that sums do not depend on task order."""
-    return value.cast(_MONEY)
+    """Fixed-point money at full precision, so that sums do not depend on task order.
+
+    NULL for a value of 10**18 or more, which no amount has; it counts as invalid.
+    """
+    return value.try_cast(_MONEY)
 
 
 def number_prefix(text: Column) -> Column:

@@ -1,7 +1,7 @@
 """Clean layer: typing, null defaults, whitelists, referential filters, dedup.
 
 The ``valid_*`` functions do what concerns a table alone; the ``clean_*``
-functions add the referential filter.
+functions add the referential filter. Output column names are fixed values of the contract.
 """
 
 from __future__ import annotations

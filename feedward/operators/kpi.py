@@ -1,13 +1,14 @@
 """KPI layer: daily health, consent, reconciliation and volume tables.
 
 Each is one hash aggregation with map-side partials, so hot holders or days
-cost no more than cold ones.
+cost no more than cold ones. Output column names are fixed values of the contract.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from feedward.functions import (
     breach_label,
@@ -22,6 +23,10 @@ from feedward.functions import (
 BREACH_THRESHOLD = 0.05
 INCOMPLETE_STATUSES = ("partial", "failed")
 
+# A total of amounts, and how often it counts: their product has six places and 38 digits.
+_TOTAL = DecimalType(30, 6)
+_TIMES = DecimalType(7, 0)
+
 
 def timed_latency() -> Column:
     """Latency of runs that have one; zero and the -1 marker count as missing."""
@@ -82,21 +87,35 @@ def reconciliation(logs: DataFrame, threshold: float = BREACH_THRESHOLD) -> Data
     )
 
 
-def transaction_volumes(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Per account type, holder, day and transaction type: count and amounts."""
-    amount = F.sum("amount_aud")
+def transaction_volumes(
+    transactions: DataFrame, accounts: DataFrame, *, matched: bool = True
+) -> DataFrame:
+    """Per account type, holder, day and transaction type: count and amounts.
+
+    Transactions are totalled by account, day and type before they meet their
+    accounts, so a hot account is a few rows. ``matched=False`` takes valid
+    transactions that have not been through the referential join yet and does
+    that as well: an account id that occurs k times repeats its transactions
+    once more k times.
+    """
+    totals = transactions.groupBy(
+        "account_id", "transaction_type", day_of(F.col("transaction_date")).alias("txn_date")
+    ).agg(F.count("*").alias("rows"), F.sum("amount_aud").cast(_TOTAL).alias("amount"))
+    kinds = accounts.groupBy("account_id", "account_type", "data_holder").agg(
+        F.count("*").alias("copies")
+    )
+    times = F.col("copies")
+    if not matched:
+        times = times * F.sum("copies").over(Window.partitionBy("account_id"))
+    kinds = kinds.withColumn("times", times.cast("int")).drop("copies")
+    count = F.sum(F.col("rows") * F.col("times"))
+    amount = F.sum(F.col("amount") * F.col("times").cast(_TIMES))
     return (
-        transactions.select(
-            "account_id",
-            "transaction_type",
-            "amount_aud",
-            day_of(F.col("transaction_date")).alias("txn_date"),
-        )
-        .join(accounts.select("account_id", "account_type", "data_holder"), "account_id")
+        totals.join(kinds, "account_id")
         .groupBy("account_type", "data_holder", "txn_date", "transaction_type")
         .agg(
-            F.count("*").alias("txn_count"),
+            count.alias("txn_count"),
             round_half_up(amount, 2).alias("total_amount_aud"),
-            round_half_up(amount.cast("double") / F.count("*"), 2).alias("avg_amount_aud"),
+            round_half_up(amount.cast("double") / count, 2).alias("avg_amount_aud"),
         )
     )

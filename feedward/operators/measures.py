@@ -137,7 +137,9 @@ def kpi_cards(
         "success_rate_pct": health.agg(
             percent(F.sum("success_count"), F.sum("total_runs"), 1).alias("value")
         ),
-        "active_consents": consents.agg(F.sum("active_count").cast("double").alias("value")),
+        "active_consents": consents.agg(
+            F.coalesce(F.sum("active_count"), F.lit(0)).cast("double").alias("value")
+        ),
         "breach_groups": recon.agg(count_where(_is_breach()).cast("double").alias("value")),
         "avg_latency_ms": logs.agg(round_half_up(F.avg(timed_latency()), 0).alias("value")),
     }

@@ -115,7 +115,8 @@ def row_conditions(as_of: datetime) -> dict[str, dict[str, Column]]:
             "invalid_consent_status": checks.outside_domain("status", CONSENT_STATUSES),
         },
         "raw_transactions": {
-            "invalid_amount": as_money(F.col("amount_aud")) <= 0,
+            "invalid_amount": F.col("amount_aud").isNotNull()
+            & ~F.coalesce(as_money(F.col("amount_aud")) > 0, F.lit(False)),
         },
         "clean_feed_logs": {
             "reconciliation_breach": checks.short_of(

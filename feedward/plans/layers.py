@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from datetime import datetime
 from functools import partial
 
@@ -9,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from feedward.plans.audit import audit_log
 from feedward.plans.tables import Layers
-from feedward.session import input_bytes, size_shuffles
-from feedward.sources.catalog import assert_tables
+from feedward.session import planned_bytes, sized_shuffles
+from feedward.sources.catalog import assert_tables, assert_total_rows
 from feedward.sources.readers import POSITION_COLUMNS, load_raw_dir
 from feedward.sources.schemas import RAW_SCHEMAS, RAW_TABLES
 from feedward.sources.writers import export_csv, rebuild, write_audit
@@ -23,16 +24,34 @@ def run_job(
     as_of: datetime,
     run_at: datetime,
     dedup: str = "first",
+    *,
+    expected_rows: int | None = None,
+    multi_line: Collection[str] = (),
 ) -> dict[str, DataFrame]:
     """Load the raw CSV directory and rebuild every layer under ``out_dir``.
 
     Each table is written before the next one reads it, so nothing is computed
     twice and no plan grows long. ``out_dir`` must be storage that all
-    executors see. "First" transaction means first in the raw file.
+    executors see. "First" transaction means first in the raw file. The job
+    stops if the raw tables don't have ``expected_rows`` in total; tables named
+    in ``multi_line`` may have line breaks inside quotes.
     """
-    size_shuffles(spark, input_bytes(spark, [f"{raw_dir}/*.csv"]))
-    loaded = load_raw_dir(spark, raw_dir, RAW_SCHEMAS, positions=True)
+    loaded = load_raw_dir(spark, raw_dir, RAW_SCHEMAS, positions=True, multi_line=multi_line)
     assert_tables(loaded, RAW_TABLES)
+    if expected_rows is not None:
+        assert_total_rows(loaded, expected_rows)
+    with sized_shuffles(spark, sum(planned_bytes(table) for table in loaded.values())):
+        return _build(spark, loaded, out_dir, as_of, run_at, dedup)
+
+
+def _build(
+    spark: SparkSession,
+    loaded: dict[str, DataFrame],
+    out_dir: str,
+    as_of: datetime,
+    run_at: datetime,
+    dedup: str,
+) -> dict[str, DataFrame]:
     for name in loaded.keys() - {"raw_transactions"}:
         loaded[name] = loaded[name].drop(*POSITION_COLUMNS)
     raw = {name: partial(loaded.get, name) for name in loaded}

@@ -58,9 +58,7 @@ class Layers(Mapping[str, DataFrame]):
             "agg_feed_health": lambda: kpi.feed_health(self["clean_feed_logs"]),
             "agg_consent_summary": lambda: kpi.consent_summary(self["clean_consents"]),
             "agg_reconciliation": lambda: kpi.reconciliation(self["clean_feed_logs"]),
-            "agg_transaction_volumes": lambda: kpi.transaction_volumes(
-                self["clean_transactions"], self["clean_accounts"]
-            ),
+            "agg_transaction_volumes": self._volumes,
         }
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -77,6 +75,14 @@ class Layers(Mapping[str, DataFrame]):
     def _matched(self, name: str) -> DataFrame:
         return having_parent(*self._sides(name), unique_parent=self._unique_parents)
 
+    def _volumes(self) -> DataFrame:
+        """From the written transactions if there are any, else with a single join."""
+        name = "clean_transactions"
+        if name in self._replaced or self._unique_parents:
+            return kpi.transaction_volumes(self[name], self["clean_accounts"])
+        transactions, accounts, _ = self._sides(name)
+        return kpi.transaction_volumes(transactions, accounts, matched=False)
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._builders)
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import math
 import tempfile
-from collections.abc import Sequence
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution sizes shuffle partitions, turns joins with a side that
 # proved small into broadcasts, and splits hot keys. "force" lets it split a
@@ -20,9 +20,6 @@ ADAPTIVE = {
 }
 
 BYTES_PER_SHUFFLE_PARTITION = 256 * 1024**2
-# Every map task writes one block per partition; past this, more of them cost
-# more than the spilling of larger partitions.
-MAX_SHUFFLE_PARTITIONS = 20_000
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -32,21 +29,33 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def input_bytes(spark: SparkSession, paths: Sequence[str]) -> int:
-    """Total size of the files under the paths; lists them without opening any."""
-    files = spark.read.format("binaryFile").load(list(paths)).select("length")
-    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+def planned_bytes(df: DataFrame) -> int:
+    """What the plan's sources hold, by Spark's own statistics; starts no job."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
-def size_shuffles(spark: SparkSession, total_bytes: int) -> None:
-    """Raise the number of shuffle partitions to suit the input; never lower it.
+def partitions_for(total_bytes: int) -> int:
+    """Shuffle partitions of about BYTES_PER_SHUFFLE_PARTITION, however many that takes."""
+    return max(1, math.ceil(total_bytes / BYTES_PER_SHUFFLE_PARTITION))
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, total_bytes: int) -> Iterator[int]:
+    """Within the block, at least as many shuffle partitions as the input needs.
 
     Adaptive execution merges small partitions at run time but cannot divide
-    all of them, so the starting number has to grow with the data.
+    all of them, so the starting number has to grow with the data. The session
+    has its own setting again afterwards.
     """
-    needed = min(MAX_SHUFFLE_PARTITIONS, math.ceil(total_bytes / BYTES_PER_SHUFFLE_PARTITION))
-    if needed > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.shuffle.partitions", str(needed))
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    needed = max(int(before), partitions_for(total_bytes))
+    spark.conf.set(key, str(needed))
+    try:
+        yield needed
+    finally:
+        spark.conf.set(key, before)
 
 
 def shared_dir(spark: SparkSession) -> str:

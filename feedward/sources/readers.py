@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,7 +47,7 @@ def read_raw(
     breaks inside quotes, at the price of one task per file.
     """
     lines = spark.read.csv(
-        path, header=True, enforceSchema=False, quote='"', escape='"', multiLine=multi_line
+        path, header=True, enforceSchema=False, quote='"', escape='"', multiLine=multi_line, mode="FAILFAST"
     )
     if schema is None:
         schema = StructType.fromDDL(", ".join(f"`{name}` STRING" for name in lines.columns))
@@ -67,9 +67,14 @@ def load_raw_dir(
     schemas: Mapping[str, StructType],
     *,
     positions: bool = False,
+    multi_line: Collection[str] = (),
 ) -> dict[str, DataFrame]:
     """Load every ``<stem>.csv`` (a file or a directory of parts) as ``raw_<stem>``.
 
+    ``multi_line`` names the stems whose fields may have line breaks inside quotes;
+    such files are read by one task each. In all others a record with too few or
+    too many fields, as a line break makes it, stops the load.
+
     Only the distinct table paths reach the driver, however many parts there are.
     """
     found = (
@@ -82,7 +87,9 @@ def load_raw_dir(
     tables = {}
     for path in sorted(row.path for row in found):
         stem = path.rsplit("/", 1)[1].removesuffix(".csv")
-        tables[f"raw_{stem}"] = read_raw(spark, path, schemas.get(stem), positions=positions)
+        tables[f"raw_{stem}"] = read_raw(
+            spark, path, schemas.get(stem), positions=positions, multi_line=stem in multi_line
+        )
     return tables
 
 

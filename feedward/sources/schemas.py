@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     DateType,
-    DecimalType,
     DoubleType,
     IntegerType,
     LongType,
@@ -14,7 +13,6 @@ from pyspark.sql.types import (
 )
 
 _TEXT, _STAMP, _COUNT = StringType(), TimestampNTZType(), LongType()
-_MONEY = DecimalType(18, 2)
 
 
 def _schema(**columns) -> StructType:
@@ -60,7 +58,7 @@ RAW_SCHEMAS: dict[str, StructType] = {
         transaction_id=_TEXT,
         account_id=_TEXT,
         transaction_type=_TEXT,
-        amount_aud=_MONEY,
+        amount_aud=DoubleType(),
         currency=_TEXT,
         merchant_name=_TEXT,
         transaction_date=_STAMP,

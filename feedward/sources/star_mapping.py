@@ -6,14 +6,13 @@ engines read alike, so a test can run the same mapping elsewhere.
 
 Faults are seeded by key so that each check has something to find: customers
 filed under another id, missing balances and customer ids, unknown statuses,
-non-positive amounts, repeated transaction ids, missing latencies, empty and
+non-positive and sub-cent amounts, repeated transaction ids, missing latencies, empty and
 over-delivered feeds.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 _DAY_30, _DAY_90, _DAY_180, _DAY_365 = (f"INTERVAL '{days}' DAY" for days in (30, 90, 180, 365))
 
@@ -93,12 +92,14 @@ MAPPINGS: dict[str, tuple[str, list[list[str]]]] = {
                 "l_orderkey AS account_id",
                 "CASE WHEN l_linestatus = 'F' THEN 'debit' ELSE 'credit' END AS transaction_type",
                 "CAST(CASE WHEN (l_partkey + l_suppkey) % 40 = 0 THEN -l_extendedprice"
-                " ELSE l_extendedprice END AS DECIMAL(18,2)) AS amount_aud",
+                " WHEN l_partkey % 41 = 0 THEN 0.004 WHEN l_partkey % 43 = 0 THEN 1.005"
+                " ELSE l_extendedprice END AS DOUBLE) AS amount_aud",
                 "'AUD' AS currency",
                 "l_returnflag AS merchant_name",
                 "l_shipdate AS transaction_date",
                 "l_shipdate AS posted_date",
-                "'part ' || CAST(l_partkey AS STRING) AS description",
+                "'part ' || CAST(l_partkey AS STRING) || CASE WHEN l_partkey % 17 = 0"
+                " THEN ', \"second' || chr(10) || 'line\"' ELSE '' END AS description",
                 "CASE l_returnflag WHEN 'A' THEN 'pending' WHEN 'R' THEN 'failed'"
                 " ELSE 'settled' END AS status",
                 "l_partkey AS seq_1",
@@ -145,17 +146,11 @@ MAPPINGS: dict[str, tuple[str, list[list[str]]]] = {
 # A total order within each transaction id: what "first" means for this source.
 TRANSACTION_ORDER = ("transaction_date", "seq_1", "seq_2")
 
-# Schemas read so far; finding one out takes a job that opens a file.
-_SCHEMAS: dict[str, StructType] = {}
-
 
 def mapped_raw(spark: SparkSession, directory: str, name: str) -> DataFrame:
     """One raw table over ``<directory>/<source>.parquet``."""
     source, projections = MAPPINGS[name]
-    path = f"{directory}/{source}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    df = spark.read.schema(_SCHEMAS[path]).parquet(path)
+    df = spark.read.parquet(f"{directory}/{source}.parquet")
     for projection in projections:
         df = df.selectExpr(*projection)
     return df

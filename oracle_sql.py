@@ -23,6 +23,8 @@ def _big(value: str) -> str:
     return f"CAST({value} AS BIGINT)"
 
 
+_MONEY = "CAST(t.amount_aud AS DECIMAL(28,10))"
+
 VIEWS: dict[str, str] = {name: mapping_sql(name) for name in MAPPINGS}
 
 VIEWS["clean_customers"] = """
@@ -126,8 +128,8 @@ VIEWS["reconciliation"] = f"""
 VIEWS["transaction_volumes"] = f"""
     SELECT a.account_type, a.data_holder, CAST(t.transaction_date AS DATE) AS txn_date,
            t.transaction_type, count(*) AS txn_count,
-           {_rounded("sum(t.amount_aud)", 2)} AS total_amount_aud,
-           {_rounded("CAST(sum(t.amount_aud) AS DOUBLE) / count(*)", 2)} AS avg_amount_aud
+           {_rounded(f"sum({_MONEY})", 2)} AS total_amount_aud,
+           {_rounded(f"CAST(sum({_MONEY}) AS DOUBLE) / count(*)", 2)} AS avg_amount_aud
     FROM clean_accounts a, clean_transactions t WHERE a.account_id = t.account_id
     GROUP BY ALL"""
 
@@ -146,6 +148,7 @@ def _orphans(child: str, parent: str, key: str) -> str:
           AND NOT EXISTS (FROM {parent} p WHERE p.{key} IS NULL)"""
 
 
+# Tables, levels and note texts of the audit log.
 # check -> (table, level, note, query giving n)
 _COUNTED: dict[str, tuple[str, str, str, str]] = {
     "null_balance": (
@@ -313,9 +316,9 @@ VIEWS["kpi_status_mix"] = f"""
            {_pct("count(*) FILTER (status = 'partial')", "count(*)", 1)} AS partial_share_pct
     FROM clean_feed_logs GROUP BY data_holder"""
 VIEWS["kpi_volume_trend"] = f"""
-    SELECT a.account_type, CAST(t.transaction_date AS DATE) AS txn_date, count(*) AS txn_count,
-           CAST(sum(t.amount_aud) AS DOUBLE) AS total_amount_aud
-    FROM clean_transactions t JOIN clean_accounts a USING (account_id) GROUP BY ALL"""
+    SELECT account_type, txn_date, {_big("sum(txn_count)")} AS txn_count,
+           CAST(sum(CAST(total_amount_aud AS DECIMAL(38,2))) AS DOUBLE) AS total_amount_aud
+    FROM transaction_volumes GROUP BY ALL"""
 VIEWS["kpi_cards"] = f"""
     SELECT 'success_rate_pct' AS card,
            {_pct("count(*) FILTER (status = 'success')", "count(*)", 1)} AS value
@@ -368,6 +371,17 @@ def _with_views(name: str) -> str:
 ORACLES = {
     name: _with_views(name) for name in VIEWS if name not in MAPPINGS and name not in _HELPERS
 }
+# The same queries where every transaction with an id is kept.
+for _name in ("transaction_volumes", "audit_log", "kpi_rows_removed", "kpi_volume_trend"):
+    ORACLES[f"{_name}_keep_all"] = ORACLES[_name].replace(
+        VIEWS["clean_transactions"], VIEWS["clean_transactions_keep_all"]
+    )
+ORACLES["audit_log_from_csv"] = ORACLES["audit_log_keep_all"]
+ORACLES["audit_export"] = f"""
+    SELECT check_no, check_name, status, rows_affected AS rows_kept, rows_affected AS rows_exported
+    FROM ({ORACLES["audit_log"]})"""
+ORACLES["layer_tables"] = ORACLES["load_table_rows"]
+ORACLES["rebuilt_reconciliation"] = ORACLES["reconciliation"]
 for _name in ("clean_transactions", "clean_transactions_keep_all"):
     ORACLES[_name] = f"""
         SELECT * REPLACE (CAST(amount_aud AS DOUBLE) AS amount_aud) FROM ({ORACLES[_name]})"""

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from datetime import datetime
-from decimal import Decimal
 
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DoubleType
 
 from feedward.sources.schemas import RAW_SCHEMAS
 
@@ -21,7 +20,7 @@ def raw(spark, table, *rows, **defaults):
         values = [row.get(field.name) for field in schema]
         filled.append(
             [
-                Decimal(str(v)) if v is not None and isinstance(f.dataType, DecimalType) else v
+                float(v) if v is not None and isinstance(f.dataType, DoubleType) else v
                 for v, f in zip(values, schema, strict=True)
             ]
         )

@@ -1,7 +1,7 @@
 """Known results of one published run, recomputed from its files.
 
 Point ``FEEDWARD_GOLDENS`` at a directory with the raw and KPI tables (``raw/``,
-``agg/``) and the audit log of that run; without it these tests are skipped.
+``agg/``) and the audit log of that run; without such files these tests are skipped.
 """
 
 import os
@@ -19,7 +19,9 @@ from feedward.sources.readers import load_raw_dir
 from feedward.sources.schemas import RAW_SCHEMAS
 from helpers import only, values
 
-GOLDENS = Path(os.environ.get("FEEDWARD_GOLDENS", "/nonexistent"))
+# By default the folder beside the repository, where the files of the run may lie.
+GOLDENS = Path(os.environ.get("FEEDWARD_GOLDENS", Path(__file__).resolve().parents[2] / "reference" / "data"))
+# This time and the numbers below are results of the published run.
 AS_OF = datetime(2026, 4, 20, 16, 48, 29)
 
 pytestmark = pytest.mark.skipif(not GOLDENS.exists(), reason="FEEDWARD_GOLDENS is not set")

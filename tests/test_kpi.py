@@ -237,3 +237,42 @@ def test_kpi_cards(spark, health):
         ("breach_groups", 0.0),
         ("success_rate_pct", 60.0),
     ]
+
+
+def test_amounts_are_judged_and_summed_unrounded(spark):
+    from feedward.operators.clean import valid_transactions
+    from feedward.plans.audit import row_conditions
+    from feedward.operators.checks import count_each
+    from feedward.operators.kpi import transaction_volumes
+    from helpers import only, raw, stamp, values
+
+    day = stamp("2024-01-05 10:00:00")
+    rows = [
+        {"transaction_id": str(i), "account_id": "A", "amount_aud": amount, "transaction_date": day}
+        for i, amount in enumerate([0.004, 1.005, 1.005, 1e17, 1e19, -1, 0, None])
+    ]
+    table = raw(spark, "transactions", *rows)
+    valid = valid_transactions(table, ["transaction_date"])
+    kept = values(valid.selectExpr("transaction_id", "CAST(amount_aud AS DOUBLE)"))
+    assert kept == [("0", 0.004), ("1", 1.005), ("2", 1.005), ("3", 1e17)]
+    condition = row_conditions(day)["raw_transactions"]
+    assert only(count_each(table, condition)) == 3
+    accounts = raw(spark, "accounts", {"account_id": "A"}, {"account_id": "A"})
+    small = valid.filter("transaction_id IN ('1', '2')")
+    volumes = ("txn_count", "total_amount_aud")
+    assert values(transaction_volumes(small, accounts), *volumes) == [(4, 4.02)]
+    assert values(transaction_volumes(small, accounts, matched=False), *volumes) == [(8, 8.04)]
+
+
+def test_cards_of_empty_tables_are_zero(spark):
+    from feedward.operators import measures
+    from feedward.operators.clean import clean_feed_logs, valid_consents
+    from feedward.operators.kpi import consent_summary, feed_health, reconciliation
+    from helpers import raw, values
+
+    logs = clean_feed_logs(raw(spark, "feed_logs"))
+    cards = measures.kpi_cards(
+        feed_health(logs), consent_summary(valid_consents(raw(spark, "consents"))), reconciliation(logs), logs
+    )
+    found = dict(values(cards))
+    assert found["active_consents"] == 0.0 and found["breach_groups"] == 0.0

