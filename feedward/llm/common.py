@@ -2,6 +2,7 @@
 
 import tempfile
 from collections.abc import Callable, Iterator
+from uuid import uuid4
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +44,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Like ``checkpointed``, but as Parquet: far smaller for many rows of repeated values."""
+    ensure_checkpoint_dir(df.sparkSession)
+    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:

@@ -8,8 +8,12 @@ of the whole window, and every window but the first of its kind is deleted. Wind
 taken forwards from each line and backwards from each line, which extends a match both ways
 to the ends of the repeated run: a line lies in such a window exactly if it lies in some
 run of at least ``min_words`` words that stands earlier in the corpus as well.
+
+Repeated passages of 50 words and more that begin or end within a line are found by the same
+method with words for lines (``passages.py``) and cut out of their lines.
 """
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -18,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import checkpointed, free_name
+from .passages import GRAM, MIN_PASSAGE, gone_words, repeated_passages, split_words
 from .simhash import text_hash
 
 MIN_WORDS = 8
@@ -105,47 +110,84 @@ def repeated_runs(
     return ranges.distinct().groupBy("id", "text_hash").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
 
 
-def without_runs(text: str, runs) -> tuple[str, int, bool]:
-    """The text without the lines of the runs, the number of lines gone, and whether any word is left.
+_WORD = re.compile("[^\x20\x09-\x0d]+")
+
+
+def without_repeats(text: str, runs, passages, gram: int = GRAM) -> tuple[str, int, bool]:
+    """The text without the lines of the runs and the words of the passages, the number of lines gone,
+    and whether any word is left.
 
-    Blank lines go where the nearest other lines on both sides do.
+    Blank lines go where the nearest other lines on both sides do; so does a line all of whose words go.
     """
     lines = text.split("\n")
     gone = [False] * len(lines)
-    for run in runs:
+    for run in runs if runs is not None else ():
         gone[run["start"] : run["end"] + 1] = [True] * (run["end"] + 1 - run["start"])
-    worded = [number for number, line in enumerate(lines) if line.split()]
+    if passages is not None:
+        covered, at = gone_words(split_words(text), passages, gram), 0
+        for number, line in enumerate(lines):
+            spans = [m.span() for m in _WORD.finditer(line)]
+            cut = covered[at : at + len(spans)]
+            at += len(spans)
+            if any(cut) and not gone[number]:
+                lines[number] = _without_words(line, spans, cut)
+                gone[number] = not lines[number]
+    worded = [number for number, line in enumerate(lines) if gone[number] or line.split()]
     for before, after in zip(worded, worded[1:], strict=False):
         gone[before + 1 : after] = [gone[before] and gone[after]] * (after - before - 1)
     kept = [line for line, is_gone in zip(lines, gone, strict=True) if not is_gone]
     return "\n".join(kept), sum(gone), not all(gone[number] for number in worded)
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _without_words(line: str, spans: list[tuple[int, int]], cut: list[bool]) -> str:
+    """What lies between the cut words, with one space for each cut."""
+    pieces, start = [], None
+    for (begin, end), is_cut in zip(spans, cut, strict=True):
+        if is_cut:
+            start = None
+        elif start is None:
+            start = begin
+            pieces.append(line[begin:end])
+        else:
+            pieces[-1] = line[start:end]
+    return " ".join(pieces)
+
+
+def dedup_lines(
+    docs: DataFrame,
+    min_words: int = MIN_WORDS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    passage_words: int = MIN_PASSAGE,
+    gram: int = GRAM,
+) -> DataFrame:
     """All documents and columns, with ``deduped`` (text, deleted lines, whether words are left) added.
 
     The struct's column is called ``deduped`` unless the table has such a column already;
     then underscores precede it, and it is always the last column. Null and empty texts stay
     as they are, lines that only differ in outer blanks are equal, blank lines go where the lines
-    on both sides go. An empty table gives an empty table.
+    on both sides go, words of a passage leave one space between what stays of their line. An empty table gives an empty table.
     """
     hashed, out = free_name(docs, "_hash"), free_name(docs, "deduped")
-    runs = repeated_runs(docs, min_words, id_col, text_col).select(
-        F.col("id").alias("_run_id"), F.col("text_hash").alias("_run_hash"), F.col("runs").alias("_runs")
-    )
+    runs = repeated_runs(docs, min_words, id_col, text_col).withColumn("passages", F.lit(None))
+    passages = repeated_passages(docs, passage_words, gram, id_col, text_col).withColumn("runs", F.lit(None))
+    # Together in one table, so that texts are joined once.
+    repeats = runs.unionByName(passages).groupBy(F.col("id").alias("_run_id"), F.col("text_hash").alias("_run_hash"))
+    repeats = repeats.agg(F.first("runs", True).alias("_runs"), F.first("passages", True).alias("_passages"))
     marked = docs.withColumn(hashed, text_hash(F.col(text_col)))
     joined = marked.join(
-        runs, F.col(id_col).eqNullSafe(F.col("_run_id")) & (F.col(hashed) == F.col("_run_hash")), "left"
+        repeats, F.col(id_col).eqNullSafe(F.col("_run_id")) & (F.col(hashed) == F.col("_run_hash")), "left"
     )
 
     @F.pandas_udf("text string, deleted int, left boolean")
-    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, ranges in batches:
-            rows = [(None, 0, True) if r is None else without_runs(t, r) for t, r in zip(texts, ranges, strict=True)]
+    def cut(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(None, 0, True) if row[0] is None else without_repeats(*row, gram) for row in zip(*batch, strict=True)]
             yield pd.DataFrame(rows, columns=["text", "deleted", "left"])
 
     # Only texts that change travel to Python.
-    changed = cut(F.when(F.col("_runs").isNotNull(), F.col(text_col)), F.col("_runs"))
+    repeated = F.col("_runs").isNotNull() | F.col("_passages").isNotNull()
+    changed = cut(F.when(repeated, F.col(text_col)), F.col("_runs"), F.col("_passages"))
     cut_out = joined.withColumn("_cut", changed)
     result = F.struct(
         F.coalesce("_cut.text", F.col(text_col)).alias("text"), F.col("_cut.deleted").alias("deleted"), F.col("_cut.left").alias("left")
@@ -161,7 +203,7 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFram
     found = dedup_lines(docs, min_words)
     result = found.columns[-1]
     text = F.col(f"{result}.text")
-    columns = {"text": text, "n_chars": F.when(F.col(f"{result}.deleted") > 0, F.length(text)).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None}
+    columns = {"text": text, "n_chars": F.when(text != F.col("text"), F.length(text)).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None}
     return found.filter(F.col(f"{result}.left")).select(
         *(columns[c].alias(c) if columns.get(c) is not None else F.col(f"`{c}`") for c in docs.columns)
     )

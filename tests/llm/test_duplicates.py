@@ -211,6 +211,52 @@ def test_line_dedup(spark, docs, seed):
     assert lines.dedup_lines(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_passages(docs, seed):
+    """Against all runs of words: none of 12 is left twice, only runs of 7 that stand earlier go, first ones stay."""
+    rng = random.Random(seed)
+    prose = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    pool = [prose(rng.choice([7, 12, 13, 20, 60])) for _ in range(8)]
+    rows = []
+    for i in range(50):
+        found = []
+        for _ in range(rng.randint(0, 4)):
+            passage = rng.choice(pool)
+            start = rng.choice([0, 0, rng.randrange(len(passage))])
+            found += prose(rng.randint(0, 9)) + passage[start : start + rng.choice([5, 12, 30, 90])]
+        rows.append((None if i % 9 == 8 else i, "".join(w + rng.choice([" ", " ", " ", "  ", "\n"]) for w in found)))
+    rows += [(60, None), (61, ""), (62, "a b c " * 40), (63, rows[5][1]), (5, rows[5][1])]
+    table = docs(*rows).withColumn("fp", F.lit(1)).withColumn("doc", F.lit(2))
+    found = lines.dedup_lines(table, 10**6, passage_words=12, gram=7)
+    assert found.count() == len(rows)
+    hashes = {r.text: r.h for r in table.select("text", simhash.text_hash(F.col("text")).alias("h")).collect()}
+    order = sorted({(r.doc_id is None, r.doc_id or 0, hashes[r.text], r.text or "", r.deduped.text or "") for r in found.collect()})
+    runs = lambda words, n: [tuple(words[i : i + n]) for i in range(len(words) - n + 1)]
+    seen, left, clean = set(), set(), 0
+    for *_, before, after in order:
+        before, after = before.split(), after.split()
+        if not seen & set(runs(before, 7)) and len(set(runs(before, 7))) == len(runs(before, 7)):
+            assert after == before
+            clean += 1
+        repeated, at, mine = [False] * len(before), 0, set()
+        for i, run in enumerate(runs(before, 7)):
+            if run in seen or run in mine:
+                repeated[i : i + 7] = [True] * 7
+            mine.add(run)
+        for word, may_go in zip(before, repeated, strict=True):
+            if at < len(after) and after[at] == word:
+                at += 1
+            else:
+                assert may_go
+        assert at == len(after)
+        fresh = runs(after, 12)
+        assert not left & set(fresh) and len(set(fresh)) == len(fresh)
+        left.update(fresh)
+        seen.update(runs(before, 7))
+    assert clean > 5
+    assert {w for *_, text, _ in order for w in text.split()} == {w for *_, text in order for w in text.split()}
+
+
 def test_long_text_in_linear_time(docs):
     texts = ["a b c d e f g h i\n" * 50_000, "x\n" * 200_000, "y " * 300_000]
     found = {r.doc_id: r.deduped for r in lines.dedup_lines(docs(*enumerate(texts))).collect()}
