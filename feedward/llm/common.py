@@ -45,7 +45,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """Like ``checkpointed``, but as Parquet: far smaller for many rows of repeated values."""
+    """Like ``checkpointed``, but as Parquet: smaller for rows of repeated values, and Spark knows its size."""
     ensure_checkpoint_dir(df.sparkSession)
     path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid4().hex}"
     df.write.parquet(path)

@@ -16,12 +16,14 @@ method with words for lines (``passages.py``) and cut out of their lines.
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, free_name
+from .common import free_name, written
 from .passages import GRAM, MIN_PASSAGE, gone_words, repeated_passages, split_words
 from .simhash import text_hash
 
@@ -72,9 +74,6 @@ def windows(text: str, min_words: int) -> list[tuple[int, int, int, int, int, in
     return out
 
 
-_WINDOW = "fp long, at int, high long, low long, start int, end int"
-
-
 def repeated_runs(
     docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -85,24 +84,33 @@ def repeated_runs(
     kind in the same document only the lines beyond that are deleted.
     """
 
-    @F.pandas_udf(f"array<struct<{_WINDOW.replace(' long', ':long').replace(' int', ':int')}>>")
-    def of_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    slim = docs.select(F.col(id_col).alias("id"), text_hash(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
+    names = ["fp", "at", "high", "low", "start", "end"]
+
+    def of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pd.Series([windows(t or "", min_words) for t in batch], dtype=object)
-
-    found = docs.select(F.col(id_col).alias("id"), text_hash(F.col(text_col)).alias("text_hash"), of_text(text_col).alias("w"))
-    found = checkpointed(found.select("id", "text_hash", F.inline("w")))
-    place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "text_hash", "at")
-    # A fingerprint that stands in one place only cannot belong to a repeated window.
-    # It is written so that the join below has a shuffle on both sides and hot fingerprints can be split.
-    often = checkpointed(
+            found = [windows(t or "", min_words) for t in batch.column("text").to_pylist()]
+            owner = pa.array(np.repeat(np.arange(len(found)), [len(w) for w in found]))
+            table = np.array([row for w in found for row in w], np.int64).reshape(-1, len(names))
+            columns = [batch.column("id").take(owner), batch.column("text_hash").take(owner)]
+            columns += [pa.array(table[:, i].astype(np.int64 if name in ("fp", "high", "low") else np.int32)) for i, name in enumerate(names)]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "text_hash", *names])
+
+    key_type = slim.schema["id"].dataType.simpleString()
+    schema = f"id {key_type}, text_hash long, fp long, at int, high long, low long, start int, end int"
+    found = written(slim.mapInArrow(of_texts, schema))
+    # A fingerprint that stands in one place only cannot belong to a repeated window. Windows of
+    # one place share it, so places are what is counted: the same line of the same text.
+    # Joins are merge joins at every size, with a shuffle on both sides, so that hot keys can be split.
+    place = F.xxhash64("text_hash", F.col("id").isNull(), "id", "at")
+    often = written(
         found.groupBy("fp").agg(F.min(place).alias("a"), F.max(place).alias("z")).filter("a != z").select("fp")
     )
-    shared = checkpointed(found.join(often, "fp", "left_semi").drop("fp", "at"))
+    shared = written(found.join(often.hint("merge"), "fp", "left_semi").drop("fp", "at"))
     order = F.struct(F.col("id").isNull().alias("unnamed"), "id", "text_hash", "start", "end")
     firsts = shared.groupBy("high", "low").agg(F.min(order).alias("first"), F.max(order).alias("last"))
-    firsts = checkpointed(firsts.filter("first != last").drop("last"))
-    later = shared.join(firsts, ["high", "low"]).withColumn("order", order).filter("order > first")
+    firsts = written(firsts.filter("first != last").drop("last"))
+    later = shared.join(firsts.hint("merge"), ["high", "low"]).withColumn("order", order).filter("order > first")
     same = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.text_hash"))
     begin = F.when(same, F.greatest("start", F.col("first.end") + 1)).otherwise(F.col("start"))
     ranges = later.select("id", "text_hash", begin.alias("start"), "end").filter("start <= end")
@@ -126,12 +134,13 @@ def without_repeats(text: str, runs, passages, gram: int = GRAM) -> tuple[str, i
     if passages is not None:
         covered, at = gone_words(split_words(text), passages, gram), 0
         for number, line in enumerate(lines):
-            spans = [m.span() for m in _WORD.finditer(line)]
-            cut = covered[at : at + len(spans)]
-            at += len(spans)
-            if any(cut) and not gone[number]:
-                lines[number] = _without_words(line, spans, cut)
-                gone[number] = not lines[number]
+            size = len(split_words(line))
+            cut = covered[at : at + size]
+            at += size
+            if size and all(cut):
+                gone[number] = True
+            elif any(cut) and not gone[number]:
+                lines[number] = _without_words(line, cut)
     worded = [number for number, line in enumerate(lines) if gone[number] or line.split()]
     for before, after in zip(worded, worded[1:], strict=False):
         gone[before + 1 : after] = [gone[before] and gone[after]] * (after - before - 1)
@@ -139,10 +148,11 @@ def without_repeats(text: str, runs, passages, gram: int = GRAM) -> tuple[str, i
     return "\n".join(kept), sum(gone), not all(gone[number] for number in worded)
 
 
-def _without_words(line: str, spans: list[tuple[int, int]], cut: list[bool]) -> str:
+def _without_words(line: str, cut: list[bool]) -> str:
     """What lies between the cut words, with one space for each cut."""
     pieces, start = [], None
-    for (begin, end), is_cut in zip(spans, cut, strict=True):
+    for match, is_cut in zip(_WORD.finditer(line), cut, strict=True):
+        begin, end = match.span()
         if is_cut:
             start = None
         elif start is None:
@@ -176,7 +186,7 @@ def dedup_lines(
     repeats = repeats.agg(F.first("runs", True).alias("_runs"), F.first("passages", True).alias("_passages"))
     marked = docs.withColumn(hashed, text_hash(F.col(text_col)))
     joined = marked.join(
-        repeats, F.col(id_col).eqNullSafe(F.col("_run_id")) & (F.col(hashed) == F.col("_run_hash")), "left"
+        repeats.hint("merge"), F.col(id_col).eqNullSafe(F.col("_run_id")) & (F.col(hashed) == F.col("_run_hash")), "left"
     )
 
     @F.pandas_udf("text string, deleted int, left boolean")

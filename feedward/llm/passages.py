@@ -9,23 +9,24 @@ far as those words agree. What is cut thus has at least ``gram`` words that stan
 """
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, written
+from .common import written
 from .simhash import text_hash
 
 #: Repeats of so many words are always found, wherever they begin.
 MIN_PASSAGE = 50
 #: Words under one hash; no repeat of fewer is touched.
-GRAM = 30
+GRAM = 25
 _BASE = 0x9E3779B97F4A7C15
+_IS_WORD = np.array([not (c == 32 or 9 <= c <= 13) for c in range(256)], np.int8)
+_BYTE_VALUES = np.random.default_rng(7).integers(0, 1 << 64, 256, np.uint64)
 
 
 def split_words(text: str) -> list[bytes]:
@@ -33,43 +34,73 @@ def split_words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split()
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base modulo 2**64 and of its inverse."""
-    forth = np.full(n, _BASE, np.uint64)
-    back = np.full(n, pow(_BASE, -1, 1 << 64), np.uint64)
-    forth[:1] = back[:1] = 1
-    return np.multiply.accumulate(forth), np.multiply.accumulate(back)
-
-
-def fingerprints(found: list[bytes], min_words: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, first word) of each run of ``gram`` words that is the least of some window."""
-    if len(found) < min_words:
-        return np.zeros(0, np.int64), np.zeros(0, np.int32)
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, found), np.uint64, len(found))
-    forth, back = _powers(len(found))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * forth, dtype=np.uint64)])
-    runs = (sums[gram:] - sums[:-gram]) * back[: len(found) - gram + 1]
-    runs = (runs ^ (runs >> np.uint64(31))) * np.uint64(_BASE)
-    runs ^= runs >> np.uint64(29)
+@cache
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``2**bits`` powers of the base modulo 2**64, and of its inverse."""
+    bases = np.full((2, 1 << bits), _BASE, np.uint64)
+    bases[1] = pow(_BASE, -1, 1 << 64)
+    bases[:, 0] = 1
+    forth, back = np.multiply.accumulate(bases, axis=1)
+    return forth, back
+
+
+def _hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Polynomial hashes modulo 2**64 of ranges of values, alike wherever equal ranges stand."""
+    forth, back = _powers(max(1, int(len(values)).bit_length()))
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * forth[: len(values)], out=sums[1:])
+    mixed = (sums[ends] - sums[starts]) * back[starts]
+    mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(_BASE)
+    return mixed ^ (mixed >> np.uint64(29))
+
+
+def _windowed(pick: np.ufunc, values: np.ndarray, width: int) -> np.ndarray:
+    """Least or largest value of every window, by doubling."""
+    done = 1
+    while done < width:
+        step = min(done, width - done)
+        values = pick(values[:-step], values[step:])
+        done += step
+    return values
+
+
+def fingerprints(texts: list[bytes], min_words: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, hash, first word) of each run of ``gram`` words whose hash is the least of some window."""
+    data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
+    edges = np.diff(_IS_WORD[data], prepend=np.int8(0), append=np.int8(0))
+    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    n = len(starts)
+    if n < min_words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+    word_hashes = _hashes(_BYTE_VALUES[data], starts, ends)
+    offsets = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    owner = np.searchsorted(offsets, starts, "right") - 1
+    first = np.arange(n - gram + 1)
+    runs = _hashes(word_hashes, first, first + gram)
     width = min_words - gram + 1
-    least = np.unique(sliding_window_view(runs, width).argmin(axis=1) + np.arange(len(runs) - width + 1))
-    return runs[least].view(np.int64), least.astype(np.int32)
+    least = _windowed(np.minimum, runs, width)
+    least[owner[: n - min_words + 1] != owner[min_words - 1 :]] = 0  # windows over two texts
+    around = np.zeros(width - 1, np.uint64)
+    reached = _windowed(np.maximum, np.concatenate([around, least, around]), width)
+    chosen = np.flatnonzero((runs == reached) & (reached > 0))
+    texts_of = owner[chosen]
+    return texts_of, runs[chosen].view(np.int64), (chosen - np.searchsorted(owner, texts_of)).astype(np.int32)
 
 
-def regions(places: list, gram: int) -> list[tuple]:
+def regions(at: np.ndarray, doc: np.ndarray, first: np.ndarray, floor: np.ndarray, gram: int) -> list[tuple]:
     """(document, place, own place) of the first run of each covered region, then of its last, and its floor.
 
     Places are those of one document; each covers ``gram`` words, but none below its floor.
     """
-    out: list[list] = []
-    end = -1
-    for begin, at, doc, first, floor in sorted((max(p["at"], p["floor"]), p["at"], p["doc"], p["first_at"], p["floor"]) for p in places):
-        if not out or begin > end:
-            out.append([doc, first, at, doc, first, at, floor])
-        elif at + gram > end:
-            out[-1][3:6] = doc, first, at
-        end = max(end, at + gram)
-    return [tuple(region) for region in out]
+    begin = np.maximum(at, floor)
+    order = np.lexsort((doc, first, at, begin))
+    at, doc, first, floor, begin = (x[order] for x in (at, doc, first, floor, begin))
+    end = np.maximum.accumulate(at + gram)
+    starts = np.flatnonzero(np.concatenate([[True], begin[1:] > end[:-1]]))
+    # The last run of a region is the first one that reaches its end.
+    lasts = np.searchsorted(end, end[np.append(starts[1:], len(at)) - 1])
+    columns = (doc[starts], first[starts], at[starts], doc[lasts], first[lasts], at[lasts], floor[starts])
+    return list(zip(*(c.tolist() for c in columns), strict=True))
 
 
 def repeated_passages(
@@ -85,44 +116,39 @@ def repeated_passages(
 
     def winnow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = [fingerprints(split_words(t or ""), min_words, gram) for t in batch.column("text").to_pylist()]
-            owner = pa.array(np.repeat(np.arange(len(marks)), [len(at) for _, at in marks]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id").take(owner),
-                    batch.column("text_hash").take(owner),
-                    pa.array(np.concatenate([fp for fp, _ in marks] or [np.zeros(0, np.int64)])),
-                    pa.array(np.concatenate([at for _, at in marks] or [np.zeros(0, np.int32)])),
-                ],
-                ["id", "text_hash", "fp", "at"],
-            )
+            for start, texts in portions(batch.column("text")):
+                number, fp, at = fingerprints(texts, min_words, gram)
+                owner = pa.array(number + start)
+                columns = [batch.column("id").take(owner), batch.column("text_hash").take(owner), pa.array(fp), pa.array(at)]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "text_hash", "fp", "at"])
 
     found = written(slim.mapInArrow(winnow, f"id {key_type}, text_hash long, fp long, at int"))
-    often = checkpointed(found.groupBy("fp").count().filter("count > 1").select("fp"))
-    shared = checkpointed(found.join(often, "fp", "left_semi"))
+    often = written(found.groupBy("fp").count().filter("count > 1").select("fp"))
+    shared = written(found.join(often.hint("merge"), "fp", "left_semi"))
     doc = F.struct(F.col("id").isNull().alias("unnamed"), "id", "text_hash")
     place = F.struct(doc.alias("doc"), "at")
     firsts = shared.groupBy("fp").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    firsts = checkpointed(firsts.filter("first != last").drop("last"))
-    later = shared.join(firsts, "fp").filter(place > F.col("first"))
+    firsts = written(firsts.filter("first != last").drop("last"))
+    later = shared.join(firsts.hint("merge"), "fp").filter(place > F.col("first"))
     # Within one document the first place itself stays.
     floor = F.when(doc == F.col("first.doc"), F.col("first.at") + gram).otherwise(0)
     seen = F.struct(_name("first.doc.").alias("doc"), F.col("first.at").alias("first_at"), "at", floor.alias("floor"))
     per_doc = later.groupBy("id", "text_hash").agg(F.collect_set(seen).alias("places"))
 
-    @F.pandas_udf("array<struct<doc_a:string,first_a:int,a:int,doc_z:string,first_z:int,z:int,floor:int>>")
-    def joined(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("array<struct<doc_a:long,first_a:int,a:int,doc_z:long,first_z:int,z:int,floor:int>>")
+    def joined(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series([regions(places, gram) for places in batch], dtype=object)
+            yield pd.Series([regions(*places, gram) for places in zip(*batch, strict=True)], dtype=object)
 
-    found = checkpointed(per_doc.select("id", "text_hash", F.inline(joined("places"))))
+    columns = (F.col("places")[name] for name in ("at", "doc", "first_at", "floor"))
+    found = written(per_doc.select("id", "text_hash", F.inline(joined(*columns))))
     sides = F.array(
         F.struct(F.col("doc_a").alias("doc"), F.col("first_a").alias("first"), "a", "floor", F.lit(True).alias("is_start")),
         F.struct(F.col("doc_z").alias("doc"), F.col("first_z").alias("first"), F.col("z").alias("a"), "floor", F.lit(False).alias("is_start")),
     )
     region = F.struct("a", "z").alias("region")
     ends = found.select("id", "text_hash", region, F.inline(sides))
-    ends = ends.join(_around(slim, ends, min_words - gram, gram), ["doc", "first"])
+    ends = ends.join(_around(slim, ends, min_words - gram, gram).hint("merge"), ["doc", "first"])
     words = F.struct("before", "run", "after", "floor")
     both = ends.groupBy("id", "text_hash", "region").agg(
         F.max(F.when(F.col("is_start"), words)).alias("start"), F.max(F.when(~F.col("is_start"), words)).alias("end")
@@ -132,15 +158,28 @@ def repeated_passages(
     return both.groupBy("id", "text_hash").agg(F.collect_list(passage).alias("passages"))
 
 
+def portions(column: pa.Array, size: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
+    """(number of the first, texts) in groups of about so many bytes; a null text is empty."""
+    group, start, held = [], 0, 0
+    for number, text in enumerate(column.cast(pa.binary())):
+        group.append(text.as_py() or b"")
+        held += len(group[-1])
+        if held >= size:
+            yield start, group
+            group, start, held = [], number + 1, 0
+    if group:
+        yield start, group
+
+
 def _name(prefix: str = "") -> Column:
-    """One string for a document's id and hash of the text."""
+    """One number for a document's id and hash of the text; what it leads to is compared by word."""
     key = F.col(f"{prefix}id")
-    return F.concat_ws("|", F.col(f"{prefix}text_hash").cast("string"), key.isNull().cast("string"), key.cast("string"))
+    return F.xxhash64(f"{prefix}text_hash", key.isNull(), key)
 
 
 def _around(slim: DataFrame, ends: DataFrame, reach: int, gram: int) -> DataFrame:
     """(doc, first, before, run, after): words of first documents at and around the ends of regions."""
-    wanted = checkpointed(ends.groupBy("doc").agg(F.collect_set("first").alias("all")))
+    wanted = written(ends.groupBy("doc").agg(F.collect_set("first").alias("all")))
 
     @F.pandas_udf("array<struct<first:int,before:binary,run:binary,after:binary>>")
     def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -152,9 +191,9 @@ def _around(slim: DataFrame, ends: DataFrame, reach: int, gram: int) -> DataFram
                 out.append([(int(at), *map(b" ".join, part)) for at, *part in parts])
             yield pd.Series(out, dtype=object)
 
-    holders = slim.withColumn("doc", _name()).join(wanted, "doc").select("doc", F.inline(cut("text", "all")))
+    holders = slim.withColumn("doc", _name()).join(wanted.hint("merge"), "doc").select("doc", F.inline(cut("text", "all")))
     # Rows that repeat a document say the same.
-    return checkpointed(holders.dropDuplicates(["doc", "first"]))
+    return written(holders.dropDuplicates(["doc", "first"]))
 
 
 def gone_words(found: list[bytes], passages, gram: int = GRAM) -> list[bool]:
