@@ -89,7 +89,7 @@ def repeated_runs(
 
     def of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [windows(t or "", min_words) for t in batch.column("text").to_pylist()]
+            found = [windows(t.as_py() or "", min_words) for t in batch.column("text")]
             owner = pa.array(np.repeat(np.arange(len(found)), [len(w) for w in found]))
             table = np.array([row for w in found for row in w], np.int64).reshape(-1, len(names))
             columns = [batch.column("id").take(owner), batch.column("text_hash").take(owner)]

@@ -158,7 +158,7 @@ def repeated_passages(
     return both.groupBy("id", "text_hash").agg(F.collect_list(passage).alias("passages"))
 
 
-def portions(column: pa.Array, size: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
+def portions(column: pa.Array, size: int = 1 << 19) -> Iterator[tuple[int, list[bytes]]]:
     """(number of the first, texts) in groups of about so many bytes; a null text is empty."""
     group, start, held = [], 0, 0
     for number, text in enumerate(column.cast(pa.binary())):
