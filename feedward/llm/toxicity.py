@@ -115,7 +115,7 @@ class ToxicityModel:
 class Scorer:
     """Applies a model to batches of texts; remembers the scores of words it has met."""
 
-    LIMIT = 150_000
+    LIMIT = 75_000
 
     def __init__(self, model: ToxicityModel):
         self.model = model
@@ -404,7 +404,7 @@ def score_toxicity(
     )
 
 
-def _portions(batch: pd.Series, chars: int = 1 << 20) -> Iterator[list[str]]:
+def _portions(batch: pd.Series, chars: int = 1 << 19) -> Iterator[list[str]]:
     """Texts in groups of about so many characters, to bound what is held at once."""
     group, size = [], 0
     for text in batch:
