@@ -5,6 +5,7 @@ from collections.abc import Callable, Iterator
 from uuid import uuid4
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
@@ -22,6 +23,23 @@ def per_text(score: Callable[[str], tuple], schema: str) -> Callable[[Column], C
     return apply
 
 
+def text_portions(texts: pa.Array, chars: int = 1 << 19, overhead: int = 512) -> Iterator[tuple[int, list[str]]]:
+    """(number of the first, texts) in groups of about so many characters, to bound what is held at once.
+
+    Each text counts ``overhead`` characters besides its own, so that groups of short ones
+    stay small too. A null text is empty.
+    """
+    group, start, held = [], 0, 0
+    for number, text in enumerate(texts):
+        group.append(text.as_py() or "")
+        held += len(group[-1]) + overhead
+        if held >= chars:
+            yield start, group
+            group, start, held = [], number + 1, 0
+    if group:
+        yield start, group
+
+
 def _struct(schema: str) -> StructType:
     return _parse_datatype_string(f"struct<{schema}>")
 

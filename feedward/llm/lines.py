@@ -17,13 +17,12 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, written
+from .common import free_name, text_portions, written
 from .passages import GRAM, MIN_PASSAGE, gone_words, repeated_passages, split_words
 from .simhash import text_hash
 
@@ -89,12 +88,13 @@ def repeated_runs(
 
     def of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [windows(t.as_py() or "", min_words) for t in batch.column("text")]
-            owner = pa.array(np.repeat(np.arange(len(found)), [len(w) for w in found]))
-            table = np.array([row for w in found for row in w], np.int64).reshape(-1, len(names))
-            columns = [batch.column("id").take(owner), batch.column("text_hash").take(owner)]
-            columns += [pa.array(table[:, i].astype(np.int64 if name in ("fp", "high", "low") else np.int32)) for i, name in enumerate(names)]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "text_hash", *names])
+            for first, texts in text_portions(batch.column("text")):
+                found = [windows(text, min_words) for text in texts]
+                owner = pa.array(first + np.repeat(np.arange(len(found)), [len(w) for w in found]))
+                table = np.array([row for w in found for row in w], np.int64).reshape(-1, len(names))
+                columns = [batch.column("id").take(owner), batch.column("text_hash").take(owner)]
+                columns += [pa.array(table[:, i].astype(np.int64 if name in ("fp", "high", "low") else np.int32)) for i, name in enumerate(names)]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "text_hash", *names])
 
     key_type = slim.schema["id"].dataType.simpleString()
     schema = f"id {key_type}, text_hash long, fp long, at int, high long, low long, start int, end int"
@@ -148,6 +148,11 @@ def without_repeats(text: str, runs, passages, gram: int = GRAM) -> tuple[str, i
     return "\n".join(kept), sum(gone), not all(gone[number] for number in worded)
 
 
+def _cut_row(row: tuple[pa.Scalar, ...], gram: int) -> tuple[str | None, int, bool]:
+    text, runs, passages = row
+    return without_repeats(text.as_py(), runs.as_py(), passages.as_py(), gram) if text.is_valid else (None, 0, True)
+
+
 def _without_words(line: str, cut: list[bool]) -> str:
     """What lies between the cut words, with one space for each cut."""
     pieces, start = [], None
@@ -189,11 +194,12 @@ def dedup_lines(
         repeats.hint("merge"), F.col(id_col).eqNullSafe(F.col("_run_id")) & (F.col(hashed) == F.col("_run_hash")), "left"
     )
 
-    @F.pandas_udf("text string, deleted int, left boolean")
-    def cut(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    kept = pa.struct([("text", pa.string()), ("deleted", pa.int32()), ("left", pa.bool_())])
+
+    @F.arrow_udf("text string, deleted int, left boolean")
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for batch in batches:
-            rows = [(None, 0, True) if row[0] is None else without_repeats(*row, gram) for row in zip(*batch, strict=True)]
-            yield pd.DataFrame(rows, columns=["text", "deleted", "left"])
+            yield pa.array((_cut_row(row, gram) for row in zip(*batch, strict=True)), kept, size=len(batch[0]))
 
     # Only texts that change travel to Python.
     repeated = F.col("_runs").isNotNull() | F.col("_passages").isNotNull()

@@ -9,7 +9,6 @@ far as those words agree. What is cut thus has at least ``gram`` words that stan
 """
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -34,19 +33,22 @@ def split_words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split()
 
 
-@cache
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``2**bits`` powers of the base modulo 2**64, and of its inverse."""
-    bases = np.full((2, 1 << bits), _BASE, np.uint64)
-    bases[1] = pow(_BASE, -1, 1 << 64)
-    bases[:, 0] = 1
-    forth, back = np.multiply.accumulate(bases, axis=1)
-    return forth, back
+_POWERS = [np.ones((2, 1), np.uint64)]
+
+
+def _powers(count: int) -> np.ndarray:
+    """At least ``count`` powers of the base modulo 2**64, and of its inverse; the longest rows so far are kept."""
+    if _POWERS[0].shape[1] < count:
+        rows = np.full((2, 1 << (count - 1).bit_length()), _BASE, np.uint64)
+        rows[1] = pow(_BASE, -1, 1 << 64)
+        rows[:, 0] = 1
+        _POWERS[0] = np.multiply.accumulate(rows, axis=1, out=rows)
+    return _POWERS[0]
 
 
 def _hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Polynomial hashes modulo 2**64 of ranges of values, alike wherever equal ranges stand."""
-    forth, back = _powers(max(1, int(len(values)).bit_length()))
+    forth, back = _powers(len(values))
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * forth[: len(values)], out=sums[1:])
     mixed = (sums[ends] - sums[starts]) * back[starts]

@@ -15,11 +15,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name
+from .common import free_name, text_portions
 from .words import words
 
 #: Words in a text whose capitals are still there.
@@ -384,15 +384,19 @@ def score_toxicity(
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("score double, found array<struct<start:long,end:long,probability:double>>")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    span = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("probability", pa.float64())])
+
+    @F.arrow_udf("score double, found array<struct<start:long,end:long,probability:double>>")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(shared.value)
         for batch in batches:
-            rows = []
-            for texts in _portions(batch):
-                found = scorer.marginals([words(text) for text in texts])
-                rows += [(scorer.score(m), _spans(t, m, span_threshold)) for t, m in zip(texts, found, strict=True)]
-            yield pd.DataFrame(rows, columns=["score", "found"])
+            scores, found = [], []
+            for _, texts in text_portions(batch):
+                marginals = scorer.marginals([words(text) for text in texts])
+                scores += map(scorer.score, marginals)
+                found += [_spans(t, m, span_threshold) for t, m in zip(texts, marginals, strict=True)]
+            columns = [pa.array(scores, pa.float64()), pa.array(found, pa.list_(span))]
+            yield pa.StructArray.from_arrays(columns, ["score", "found"])
 
     scored = docs.select(F.col(id_col).alias("id"), score(F.col(text_col)).alias("s"))
     return scored.select(
@@ -404,19 +408,6 @@ def score_toxicity(
     )
 
 
-def _portions(batch: pd.Series, chars: int = 1 << 19) -> Iterator[list[str]]:
-    """Texts in groups of about so many characters, to bound what is held at once."""
-    group, size = [], 0
-    for text in batch:
-        group.append(text or "")
-        size += len(group[-1])
-        if size >= chars:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
-
-
 def _spans(text: str, marginals: np.ndarray, threshold: float) -> list[tuple[int, int, float]]:
     """Runs of likely words with the highest probability in each."""
     likely = marginals >= threshold
