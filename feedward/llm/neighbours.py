@@ -6,11 +6,14 @@ product does. Each table hashes with ``functions`` Gaussian projections cut into
 one width. A query visits, in each table, the buckets next to its own in the order of the
 estimated chance that a near neighbour fell into them: the product over projections of the
 normal mass of the cell. Candidates of all tables are ranked by the exact inner product.
+A query that gets fewer rows than the table has for it visits every bucket next to its own,
+and one that is still short is compared with all rows.
 """
 
 import math
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -123,21 +126,24 @@ def nearest_neighbours(
     shard_queries: int = 4096,
     calibration: int = 96,
     recall: float = 0.96,
+    exact_queries: int = 1024,
     seed: int = 0,
 ) -> DataFrame:
     """The k nearest rows found for each row whose id is divisible by ``every``, by inner product.
 
     Every row is indexed. The number of buckets to visit is the least that finds ``recall`` of
     the true neighbours of ``calibration`` query vectors, which an exact search over all rows
-    gives; that bounded sample is all that is fitted. Equal vectors are searched as one that
+    gives; that bounded sample is all that is fitted. If more of these neighbours are out of
+    reach, too far in every table, the tables are drawn again with fewer functions. Every query
+    gets k rows, or all that the table has: one with fewer visits all buckets next to its own,
+    and one still short is compared with every row, ``exact_queries`` at a time. Equal vectors are searched as one that
     stands for its k + 1 smallest ids, which can change no result. The buckets of a table are
     dealt into shards of about ``shard_rows`` rows; one that has many more, or many visitors,
     is cut into parts, all of which are visited.
 
     Vectors that are null, zero, of another length than most or hold a null or non-finite
     component take no part, nor do null ids; rows that repeat id and vector count once, and an
-    id with several vectors is searched for each. A query with fewer candidates gets all that
-    were found. An empty table gives no rows; other columns are ignored.
+    id with several vectors is searched for each. An empty table gives no rows; other columns are ignored.
     """
     rows = valid_vectors(table, id_col, vector_col)
     key = F.struct(F.xxhash64("vec").alias("x"), F.xxhash64(F.lit(seed + 1), F.col("vec")).alias("y"))
@@ -145,35 +151,101 @@ def nearest_neighbours(
     by_id = Window.partitionBy("vid").orderBy("vec_id")
     ids = rows.select("vid", "vec_id").withColumn("n", F.row_number().over(by_id)).filter(F.col("n") <= k + 1)
     distinct = checkpointed(rows.groupBy("vid").agg(F.first("vec").alias("vec"), F.min("vec_id").alias("least")))
-    queries = rows.filter(F.col("vec_id") % every == 0).select("vid", "vec", F.col("vec_id").alias("query_id"))
-    asked = checkpointed(queries.groupBy("vid").agg(F.first("vec").alias("vec")))
+    own = Window.partitionBy("vec_id")
+    queries = rows.filter(F.col("vec_id") % every == 0).withColumn("own", F.count(F.lit(1)).over(own))
+    queries = queries.select(F.col("vid").alias("query"), F.col("vec_id").alias("query_id"), "vec", "own")
+    asked = checkpointed(queries.groupBy(F.col("query").alias("vid")).agg(F.first("vec").alias("vec")))
     size = distinct.agg(
         F.count(F.lit(1)).alias("n"), F.max(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)).alias("square"),
         F.max(F.size("vec")).alias("dimension"),
     ).first()
     functions = int(np.clip(round(math.log(max(2, size.n) / bucket_rows) / math.log(2.3)), 2, 9))
-    hashes = Hashes.draw(tables, functions, size.dimension or 1, width, math.sqrt(size.square or 1.0), seed)
-    _calibrate(hashes, distinct, asked, k, calibration, recall)
-
-    found = _candidates(hashes, distinct, size.n, asked, k + 1, shard_rows, shard_queries)
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "least")
-    found = found.groupBy("query", "vid", "least").agg(F.max("score").alias("score"))
-    found = found.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1).drop("n", "least")
-    named = found.join(ids.select("vid", "vec_id"), "vid").select("query", "vec_id", "score")
-    answers = named.join(queries.select(F.col("vid").alias("query"), "query_id"), "query").filter("vec_id != query_id")
+    hashes = _calibrate(
+        lambda n: Hashes.draw(tables, n, size.dimension or 1, width, math.sqrt(size.square or 1.0), seed),
+        functions, distinct, asked, k, calibration, recall,
+    )
+    queries = queries.withColumn("due", F.least(F.lit(k), F.lit(rows.count()) - F.col("own")))
+
+    def answers(found: DataFrame) -> DataFrame:
+        """The k best rows of each query among the vectors found for it."""
+        best = Window.partitionBy("query").orderBy(F.desc("score"), "least")
+        found = found.groupBy("query", "vid", "least").agg(F.max("score").alias("score"))
+        found = found.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1).drop("n", "least")
+        named = found.join(ids.select("vid", "vec_id"), "vid").select("query", "vec_id", "score")
+        return _ranked(named.join(queries.select("query", "query_id"), "query"), k)
+
+    pair = ["query_id", "query"]
+    parts, hungry = [], None
+    for probes in sorted({hashes.probes, len(hashes.steps)}):
+        if hungry is not None:
+            asked = hungry.groupBy(F.col("query").alias("vid")).agg(F.first("vec").alias("vec"))
+        found = _candidates(replace(hashes, probes=probes), distinct, size.n, asked, k + 1, shard_rows, shard_queries)
+        part = checkpointed(answers(found))
+        if hungry is not None:  # a vector may be that of other queries too, which have their rows
+            part = part.join(hungry.select(*pair), pair, "left_semi")
+        got = part.groupBy(*pair).agg(F.count(F.lit(1)).alias("got"))
+        among = queries if hungry is None else hungry
+        short = among.join(got, pair, "left").filter(F.coalesce("got", F.lit(0)) < F.col("due")).drop("got")
+        hungry = checkpointed(short)
+        if hungry.isEmpty():
+            return reduce(DataFrame.unionByName, [*parts, part]).drop("query")
+        parts.append(part.join(hungry.select(*pair), pair, "left_anti"))
+    pool = ids.select("vid", "vec_id").join(distinct.select("vid", "vec"), "vid")
+    return reduce(DataFrame.unionByName, [*parts, _exact(pool, hungry, k, exact_queries)]).drop("query")
+
+
+def _ranked(answers: DataFrame, k: int) -> DataFrame:
+    """The k best other rows of each query, with their ranks."""
     rank = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     return (
-        answers.withColumn("rank", F.row_number().over(rank))
+        answers.filter("vec_id != query_id")
+        .withColumn("rank", F.row_number().over(rank))
         .filter(F.col("rank") <= k)
-        .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score", "query")
     )
 
 
-def _calibrate(hashes: Hashes, distinct: DataFrame, asked: DataFrame, k: int, queries: int, recall: float) -> None:
-    """Set the typical distance and the number of probes from exact answers to a few queries."""
+def _exact(pool: DataFrame, queries: DataFrame, k: int, block: int) -> DataFrame:
+    """The k best rows of the pool for each query, by comparing all; so many queries meet all rows at once."""
+    blocks = max(1, -(-queries.count() // block))
+    queries = queries.select("query", "query_id", "vec", F.pmod(F.xxhash64("query_id", "query"), F.lit(blocks)).alias("block"))
+    numbers = F.sequence(F.lit(0), F.lit(blocks - 1))
+    parts = max(1, -(-pool.count() // 32_768))
+    part = F.pmod(F.xxhash64("vec_id", "vid"), F.lit(parts)).alias("part")
+    left = pool.select("vid", "vec_id", "vec", part).withColumn("block", F.explode(numbers))
+    right = queries.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    left = left.select("block", "part", "vec_id", "vec")
+    right = right.select("block", "part", F.col("query.x").alias("qx"), F.col("query.y").alias("qy"), "query_id", "vec")
+
+    def rank(stored: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
+        out = [[]] * 3
+        if len(stored) and len(asking):
+            vectors, ids, found = _matrix(stored["vec"]), stored["vec_id"].to_numpy(), []
+            wanted, own = _matrix(asking["vec"]), asking["query_id"].to_numpy()
+            for at in range(0, len(asking), 256):
+                scores = wanted[at : at + 256] @ vectors.T
+                scores[own[at : at + 256, None] == ids] = -np.inf
+                for q, best in enumerate(_best(scores, ids, k)):
+                    best = best[scores[q, best] > -np.inf]
+                    found.append((np.full(len(best), at + q), ids[best], scores[q, best]))
+            out = [np.concatenate(x) for x in zip(*found, strict=True)]
+        q = np.asarray(out[0], np.int64)
+        asker = {name: asking[name].to_numpy()[q] for name in ("qx", "qy", "query_id")}
+        return pd.DataFrame({**asker, "vec_id": np.asarray(out[1], np.int64), "score": np.asarray(out[2], float)})
+
+    schema = "qx long, qy long, query_id long, vec_id long, score double"
+    group = ["block", "part"]
+    scored = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(rank, schema)
+    return _ranked(scored.withColumn("query", F.struct(F.col("qx").alias("x"), F.col("qy").alias("y"))), k)
+
+
+def _calibrate(
+    draw: Callable[[int], Hashes], functions: int, distinct: DataFrame, asked: DataFrame, k: int, queries: int, recall: float
+) -> Hashes:
+    """Hashes with the typical distance and the number of probes, from exact answers to a few queries."""
     chosen = asked.orderBy("vid").limit(queries).toPandas()
     if not len(chosen):
-        return
+        return draw(functions)
     asked_vectors = _matrix(chosen["vec"])
 
     def exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -190,20 +262,25 @@ def _calibrate(hashes: Hashes, distinct: DataFrame, asked: DataFrame, k: int, qu
     asked_of = near["q"].to_numpy()
     neighbours = _matrix(near["vec"])
     norms = np.linalg.norm(asked_vectors, axis=1)[asked_of]
-    cosine = near["score"].to_numpy() / norms / hashes.norm
-    hashes.distance = max(0.05, float(np.median(np.sqrt(np.maximum(0, 2 - 2 * cosine)))))
-    steps = hashes.steps
-    places = hashes.places(asked_vectors, is_query=True)
-    order = np.argsort(-hashes.chances(places, steps), axis=2, kind="stable")
-    rank = np.empty_like(order)
-    np.put_along_axis(rank, order, np.arange(len(steps))[None, None, :], axis=2)
-    apart = (np.floor(hashes.places(neighbours, is_query=False)) - np.floor(places)[asked_of]).astype(int)
-    reachable = (np.abs(apart) <= 1).all(axis=2)
-    code = ((np.clip(apart, -1, 1) + 1) * 3 ** np.arange(apart.shape[2])[::-1]).sum(axis=2)
-    at = np.take_along_axis(rank[asked_of], code[:, :, None], axis=2)[:, :, 0]
-    first = np.sort(np.where(reachable, at, len(steps)).min(axis=1))
-    need = min(len(first) - 1, math.ceil(recall * len(first)) - 1)
-    hashes.probes = int(min(len(steps), first[need] + 1))
+    for count in range(functions, 0, -1):
+        hashes = draw(count)
+        cosine = near["score"].to_numpy() / norms / hashes.norm
+        hashes.distance = max(0.05, float(np.median(np.sqrt(np.maximum(0, 2 - 2 * cosine)))))
+        steps = hashes.steps
+        places = hashes.places(asked_vectors, is_query=True)
+        order = np.argsort(-hashes.chances(places, steps), axis=2, kind="stable")
+        rank = np.empty_like(order)
+        np.put_along_axis(rank, order, np.arange(len(steps))[None, None, :], axis=2)
+        apart = (np.floor(hashes.places(neighbours, is_query=False)) - np.floor(places)[asked_of]).astype(int)
+        reachable = (np.abs(apart) <= 1).all(axis=2)
+        code = ((np.clip(apart, -1, 1) + 1) * 3 ** np.arange(apart.shape[2])[::-1]).sum(axis=2)
+        at = np.take_along_axis(rank[asked_of], code[:, :, None], axis=2)[:, :, 0]
+        first = np.sort(np.where(reachable, at, len(steps)).min(axis=1))
+        need = min(len(first) - 1, math.ceil(recall * len(first)) - 1)
+        hashes.probes = int(min(len(steps), first[need] + 1))
+        if first[need] < len(steps):
+            break
+    return hashes
 
 
 def _candidates(
@@ -221,25 +298,26 @@ def _candidates(
             cells = np.floor(shared.value.places(_matrix(batch), is_query=False))
             yield pd.Series(list(bucket_keys(cells)))
 
-    @F.pandas_udf("array<array<long>>")
-    def probes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def probes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         h, steps = shared.value, shared.value.steps
+        some = max(1, (1 << 18) // (h.projections.shape[0] * len(steps)))
         for batch in batches:
-            vectors, out = _matrix(batch), []
-            for at in range(0, len(vectors), 64):
-                places = h.places(vectors[at : at + 64], is_query=True)
+            for at in range(0, len(batch), some):
+                part = batch.iloc[at : at + some]
+                places = h.places(_matrix(part["vec"]), is_query=True)
                 order = np.argsort(-h.chances(places, steps), axis=2, kind="stable")[:, :, : h.probes]
-                cells = np.floor(places)[:, :, None, :] + steps[order]
-                out += [list(map(list, per_query)) for per_query in bucket_keys(cells)]
-            yield pd.Series(out, dtype=object)
+                wanted = bucket_keys(np.floor(places)[:, :, None, :] + steps[order])
+                q, number, _ = np.indices(wanted.shape, np.int32).reshape(3, -1)
+                x, y = part["x"].to_numpy()[q], part["y"].to_numpy()[q]
+                yield pd.DataFrame({"x": x, "y": y, "number": number, "bucket": wanted.ravel()})
 
     keys = ["number", "shard"]
     parts = max(1, -(-rows // shard_rows))
     shard_of = F.pmod(F.xxhash64("bucket"), F.lit(parts)).cast("int")
     stored = distinct.select("vid", "least", "vec", F.posexplode(buckets("vec")).alias("number", "bucket"))
     stored = stored.withColumn("shard", shard_of)
-    visits = asked.select("vid", F.posexplode(probes("vec")).alias("number", "all"))
-    visits = visits.select(F.col("vid").alias("query"), "number", F.explode("all").alias("bucket"))
+    visits = asked.select("vid.x", "vid.y", "vec").mapInPandas(probes, "x long, y long, number int, bucket long")
+    visits = visits.select(F.struct("x", "y").alias("query"), "number", "bucket")
     visits = checkpointed(
         visits.withColumn("shard", shard_of).groupBy("query", *keys).agg(F.collect_list("bucket").alias("wanted"))
     )

@@ -68,3 +68,40 @@ def test_copies_and_odd_rows(spark):
     assert nearest_neighbours(wide.limit(0)).count() == 0
     few = nearest_neighbours(table(spark, [(20, [1.0, 0.0]), (3, [0.5, 0.5]), (4, [0.0, 0.0])])).collect()
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in few] == [(20, 1, 3, 0.5)]
+
+
+def hot_cluster(n, seed, dimension=24):
+    """A third of all rows in one dense cluster, the others in clusters, and queries far from all of them."""
+    rng = np.random.default_rng(seed)
+    rows = clustered(n, seed, dimension)
+    hot = rng.normal(size=dimension)
+    rows = [(i, hot + 0.01 * rng.normal(size=dimension) if i % 3 == 0 else v) for i, v in rows]
+    rows = [(i, 30 * rng.normal(size=dimension) if i % 400 == 20 else v) for i, v in rows]
+    return [(i, np.asarray(v, np.float32)) for i, v in rows]
+
+
+@pytest.mark.parametrize("options", [{}, {"bucket_rows": 4, "exact_queries": 3}, {"bucket_rows": 4, "width": 0.3}])
+def test_every_query_has_all_its_rows(spark, options):
+    rows = hot_cluster(1500, 7)
+    found = nearest_neighbours(table(spark, rows), **options).toPandas().sort_values(["query_id", "rank"])
+    truth = exact(rows, 20)
+    assert found.groupby("query_id").size().to_dict() == {query: 20 for query in truth}
+    vectors = np.array([v for _, v in rows]).astype(float)
+    hits = 0
+    for query, group in found.groupby("query_id"):
+        assert group["rank"].tolist() == list(range(1, 21)) and group["vec_id"].is_unique
+        assert query not in group["vec_id"].tolist()
+        assert np.allclose(group["score"], vectors[group["vec_id"]] @ vectors[query], rtol=1e-12)
+        hits += len({j for j, _ in truth[query]} & set(group["vec_id"]))
+    assert hits / sum(map(len, truth.values())) >= 0.9
+
+
+def test_few_rows_are_all_found_and_own_vectors_do_not_count(spark):
+    rng = np.random.default_rng(2)
+    few = [(i, v) for i, v in enumerate(rng.normal(size=(12, 8)))]
+    found = nearest_neighbours(table(spark, few), bucket_rows=1, width=0.2).toPandas()
+    assert found["query_id"].tolist() == [0] * 11 and set(found["vec_id"]) == set(range(1, 12))
+    hot = np.ones(8)
+    several = [(0, hot + 0.001 * rng.normal(size=8)) for _ in range(40)] + [(i, v) for i, v in few if i]
+    found = nearest_neighbours(table(spark, several)).toPandas()
+    assert len(found) == 40 * 11 and 0 not in found["vec_id"].tolist()
