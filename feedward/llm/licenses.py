@@ -3,11 +3,11 @@
 One automaton holds all templates. A text streams through it word by word; for each
 word it knows the longest part of any template that ends there. Long matches that follow
 one another both in the text and in a template are chained to spans, and a span that
-covers enough of its template names the licence. Short phrases are templates themselves:
-one stands wherever the current match ends with the whole phrase.
+covers enough of its template names the licence. A whole template, and a short phrase,
+stands wherever the current match ends with it, also if the text goes on as a longer template does.
 """
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -147,19 +147,26 @@ class LicenceIndex:
         self.automaton = SuffixAutomaton([s for _, s in named] + [s for _, s in short])
         self.phrase_labels = [label for label, _ in short]
         self.vocabulary = frozenset(word for _, s in named + short for word in s)
-        # For each state the phrases that its longest string ends with, as (phrase, length).
+        self.phrases_at = self._wholes_at([sequence for _, sequence in short])
+        self.templates_at = self._wholes_at([sequence for _, sequence in named])
+
+    def _wholes_at(self, sequences: list[list[bytes]]) -> list[tuple[tuple[int, int], ...]]:
+        """For each state the sequences that its longest string ends with, as (sequence, length)."""
         own: dict[int, list[tuple[int, int]]] = {}
-        for number, (_, sequence) in enumerate(short):
-            own.setdefault(self.automaton.state_of(sequence), []).append((number, len(sequence)))
-        self.phrases_at: list[tuple[tuple[int, int], ...]] = [()] * len(self.automaton.next)
-        for state in sorted(range(1, len(self.phrases_at)), key=lambda s: self.automaton.length[s]):
-            self.phrases_at[state] = (*own.get(state, ()), *self.phrases_at[self.automaton.link[state]])
+        for number, sequence in enumerate(sequences):
+            if sequence:
+                own.setdefault(self.automaton.state_of(sequence), []).append((number, len(sequence)))
+        found: list[tuple[tuple[int, int], ...]] = [()] * len(self.automaton.next)
+        for state in sorted(range(1, len(found)), key=lambda s: self.automaton.length[s]):
+            found[state] = (*own.get(state, ()), *found[self.automaton.link[state]])
+        return found
 
     def scan(self, text: list[bytes]) -> tuple[list[tuple[int, int]], list[Span]]:
-        """Places of phrases as (start, phrase), and all chains of template matches."""
+        """Places of phrases as (start, phrase), and all whole templates and chains of template matches."""
         known = [at for at, word in enumerate(text) if word in self.vocabulary]
         places: list[tuple[int, int]] = []
         matches: list[tuple[int, int, int]] = []  # text end, length, state
+        wholes: list[Span] = []
         edges, link, length_of = self.automaton.next, self.automaton.link, self.automaton.length
         state = size = 0
         previous = -2
@@ -182,9 +189,27 @@ class LicenceIndex:
             for phrase, length in self.phrases_at[state]:
                 if size >= length:
                     places.append((at - length + 1, phrase))
+            for template, length in self.templates_at[state]:
+                if size >= length:
+                    wholes.append(Span(template, at - length + 1, at + 1, length, length))
         if size >= self.min_match:
             matches.append((previous + 1, size, state))
-        return places, self._chains(matches)
+        chains = self._chains(matches)
+        return places, chains + self._unchained(wholes, chains)
+
+    def _unchained(self, wholes: list[Span], chains: list[Span]) -> list[Span]:
+        """The whole templates that no chain covering all of the same template has within it."""
+        full: dict[int, list[tuple[int, int]]] = {}
+        for chain in sorted(chains, key=lambda c: c.start):
+            if chain.covered >= self.sizes[chain.template]:
+                full.setdefault(chain.template, []).append((chain.start, chain.end))
+        out = []
+        for whole in wholes:
+            ranges = full.get(whole.template, [])
+            before = bisect_right(ranges, whole.start, key=lambda r: r[0])
+            if not before or ranges[before - 1][1] < whole.end:
+                out.append(whole)
+        return out
 
     def _chains(self, matches: list[tuple[int, int, int]]) -> list[Span]:
         """Chain matches in text order: each goes on with the open chain of its template, or opens one."""
@@ -240,7 +265,7 @@ def scan_licenses(
     """Licence phrases and template spans of every whole text.
 
     ``score`` is the largest share of a template that a chain covers, and 1 where a phrase
-    stands; ``found`` has the spans of at least ``min_coverage`` in words. A null or
+    or a whole template stands, also within a longer template; ``found`` has the spans of at least ``min_coverage`` in words. A null or
     empty text has no words, empty labels and score 0. Repeated rows give repeated rows, an
     empty table none, null ids stay null; other columns are ignored.
     """

@@ -145,3 +145,43 @@ def test_templates_are_chained(docs):
     assert rows[4].n_words == rows[5].n_words == 0 and rows[4].labels == ""
     assert rows[None].labels == "cc-by" and rows[None].first_word == rows[None].last_word == 0
     assert rows[6].n_words == 200_000
+
+
+def whole_templates(text):
+    """(label, start, end) of every template that stands whole in the text, by comparing at every word."""
+    for label, texts in lic.TEMPLATES.items():
+        for template in map(words, texts):
+            n = len(template)
+            yield from ((label, i, i + n) for i in range(len(text) - n + 1) if text[i : i + n] == template)
+
+
+ALL_TEMPLATES = [words(text) for texts in lic.TEMPLATES.values() for text in texts]
+PHRASE_WORDS = [[b"cc", b"by"], [b"all", b"rights", b"reserved"]]
+notices = st.sampled_from(ALL_TEMPLATES).flatmap(
+    lambda t: st.tuples(st.integers(0, len(t)), st.integers(0, len(t))).map(lambda cut: t[min(cut) : max(cut)])
+)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(notices, st.sampled_from([[b"x"], *ALL_TEMPLATES, *PHRASE_WORDS])), max_size=5))
+def test_every_whole_template_is_credited(parts):
+    text = [word for part in parts for word in part]
+    _, _, _, _, _, labels, score, found = INDEX.row(b" ".join(text).decode())
+    wholes = list(whole_templates(text))
+    assert {label for label, *_ in wholes} <= set(labels.split(","))
+    for label, start, end in wholes:
+        assert score == 1.0
+        assert any(name == label and s <= start and end <= e and share == 1.0 for name, s, e, share in found)
+
+
+def test_truncated_notices_keep_the_whole_template_they_begin_with():
+    for template in ALL_TEMPLATES:
+        for size in range(1, len(template) + 1):
+            text = template[:size] + [b"x"]
+            _, _, _, _, base, labels, score, _ = INDEX.row(b" ".join(text).decode())
+            wholes = {label for label, *_ in whole_templates(text)}
+            assert wholes <= set(labels.split(","))
+            assert score == 1.0 if wholes or base else score < 1.0
+    _, _, _, _, _, labels, score, found = INDEX.row('Licensed under the Apache License, Version 2.0 (the "License").')
+    assert (labels, score) == ("apache-2.0", 1.0)
+    assert found == [("apache-2.0", 0, 8, 1.0)]
