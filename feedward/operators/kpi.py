@@ -23,9 +23,10 @@ from feedward.functions import (
 BREACH_THRESHOLD = 0.05
 INCOMPLETE_STATUSES = ("partial", "failed")
 
-# A total of amounts, and how often it counts: their product has six places and 38 digits.
-_TOTAL = DecimalType(30, 6)
-_TIMES = DecimalType(7, 0)
+# A total of amounts, and how often it counts, which is any bigint. Their product
+# has six places and 38 digits as well: Spark takes the excess from the digits before the point.
+_TOTAL = DecimalType(38, 6)
+_TIMES = DecimalType(20, 0)
 
 
 def timed_latency() -> Column:
@@ -107,7 +108,7 @@ def transaction_volumes(
     times = F.col("copies")
     if not matched:
         times = times * F.sum("copies").over(Window.partitionBy("account_id"))
-    kinds = kinds.withColumn("times", times.cast("int")).drop("copies")
+    kinds = kinds.withColumn("times", times).drop("copies")
     count = F.sum(F.col("rows") * F.col("times"))
     amount = F.sum(F.col("amount") * F.col("times").cast(_TIMES))
     return (
@@ -115,7 +116,7 @@ def transaction_volumes(
         .groupBy("account_type", "data_holder", "txn_date", "transaction_type")
         .agg(
             count.alias("txn_count"),
-            round_half_up(amount, 2).alias("total_amount_aud"),
+            F.round(amount, 2).cast("double").alias("total_amount_aud"),
             round_half_up(amount.cast("double") / count, 2).alias("avg_amount_aud"),
         )
     )

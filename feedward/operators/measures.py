@@ -123,7 +123,7 @@ def status_mix(health: DataFrame) -> DataFrame:
 
 def volume_trend(volumes: DataFrame) -> DataFrame:
     """Transactions per account type and day."""
-    amount = F.sum(F.col("total_amount_aud").cast("decimal(28,2)"))
+    amount = F.sum(F.col("total_amount_aud").cast("decimal(38,2)"))
     return volumes.groupBy("account_type", "txn_date").agg(
         F.sum("txn_count").alias("txn_count"), amount.cast("double").alias("total_amount_aud")
     )

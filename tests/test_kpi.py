@@ -276,3 +276,26 @@ def test_cards_of_empty_tables_are_zero(spark):
     )
     found = dict(values(cards))
     assert found["active_consents"] == 0.0 and found["breach_groups"] == 0.0
+
+
+@pytest.mark.parametrize("customers, copies", [(1, 4000), (4000, 1), (2, 3_000_000)])
+def test_volumes_of_an_account_that_repeats_often(spark, customers, copies):
+    from pyspark.sql import functions as F
+
+    from feedward.operators.clean import valid_transactions
+    from feedward.operators.joins import having_parent
+
+    day = stamp("2024-01-05 10:00:00")
+    rows = [
+        {"transaction_id": str(i), "account_id": "A", "amount_aud": amount, "transaction_date": day}
+        for i, amount in enumerate([0.01, 1234.56, 2.5])
+    ]
+    valid = valid_transactions(raw(spark, "transactions", *rows), ["transaction_date"])
+    one = raw(spark, "accounts", {"account_id": "A", "customer_id": "C"})
+    repeated = one.crossJoin(spark.range(copies).select()).select(*one.columns)
+    parents = having_parent(repeated, spark.range(customers).select(F.lit("C").alias("customer_id")), "customer_id")
+    times = (customers * copies) ** 2
+    volumes = kpi.transaction_volumes(valid, parents, matched=False)
+    found = values(volumes, "txn_count", "total_amount_aud", "avg_amount_aud")
+    assert found == [(3 * times, float(round(123707 * times / 100, 2)), 412.36)]
+    assert values(measures.volume_trend(volumes), "txn_count") == [(3 * times,)]
