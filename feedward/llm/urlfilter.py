@@ -21,6 +21,9 @@ from .common import ascii_lower, checkpointed
 
 RULES_SCHEMA = "host string, path string, verdict string"
 
+# Words of a filter that reach the driver at once.
+PART_WORDS = 1 << 22
+
 
 @dataclass
 class Level:
@@ -42,10 +45,17 @@ class Level:
         two = xxhash.xxh64_intdigest(data, 2 * self.seed + 1) | 1
         return [(one + i * two) % (1 << 64) % self.bits for i in range(self.hashes)]
 
-    def fill(self, positions: Iterable[int]) -> None:
-        self.bitmap = np.zeros((self.bits + 7) // 8, np.uint8)
-        where = np.fromiter(positions, np.int64)
-        np.bitwise_or.at(self.bitmap, where >> 3, np.left_shift(1, where & 7).astype(np.uint8))
+    @property
+    def planned(self) -> int:
+        """Bytes of the bitmap, which is whole words of 64 bits."""
+        return 8 * -(-self.bits // 64)
+
+    def fill(self, parts: Iterable[tuple[np.ndarray, np.ndarray]]) -> None:
+        """Take the bitmap from its words that have bits, given as parts of (numbers, words)."""
+        words = np.zeros(self.planned // 8, "<i8")
+        for number, bits in parts:
+            words[number] = bits
+        self.bitmap = words.view(np.uint8)
 
     def has(self, key: str) -> bool:
         return all(self.bitmap[p >> 3] >> (p & 7) & 1 for p in self.positions(key))
@@ -77,15 +87,26 @@ def _passing(keys: DataFrame, level: Level) -> DataFrame:
 
 
 def _filled(level: Level, keys: DataFrame) -> Level:
-    """Set the bits of all keys. At most ``level.bits`` positions reach the driver."""
+    """Set the bits of all keys, combined to words in Spark; only those reach the driver."""
 
     @F.pandas_udf("array<long>")
     def positions(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             yield pd.Series([level.positions(key) for key in batch])
 
-    found = keys.select(F.explode(positions("key")).alias("position")).distinct()
-    level.fill(row.position for row in found.toLocalIterator())
+    found = keys.select(F.explode(positions("key")).alias("position"))
+    bit = F.expr("shiftleft(1L, CAST(position % 64 AS INT))")
+    words = found.groupBy(F.expr("position div 64").alias("word")).agg(F.bit_or(bit).alias("bits"))
+    total = level.planned // 8
+    if total > PART_WORDS:
+        words = checkpointed(words)
+
+    def parts() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for at in range(0, total, PART_WORDS):
+            part = words.filter(F.col("word").between(at, at + PART_WORDS - 1)).toArrow()
+            yield part["word"].to_numpy(), part["bits"].to_numpy()
+
+    level.fill(parts())
     return level
 
 
@@ -94,21 +115,27 @@ def build_cascade(
 ) -> Cascade:
     """A cascade that tells ``listed`` keys from all other keys of ``universe`` (columns ``key``).
 
-    Raises if the filters, whose size is proportional to the listed keys, exceed ``max_bytes``.
+    Raises before it fills a filter with which all of them, whose size is proportional to the
+    listed keys, would exceed ``max_bytes``.
     """
+    cascade = Cascade()
+
+    def add(level: Level, keys: DataFrame) -> Level:
+        if cascade.size + level.planned > max_bytes:
+            raise ValueError(f"the listed keys need filters of more than {max_bytes} bytes")
+        cascade.levels.append(_filled(level, keys))
+        return level
+
     listed_size = listed.count()
     if not listed_size:
-        return Cascade()
+        return cascade
     others = max(1, universe_size - listed_size)
     rate = min(0.5, max(1e-9, listed_size * math.sqrt(0.5) / others))
-    cascade = Cascade([_filled(Level.sized(0, listed_size, rate), listed)])
-    wrong = checkpointed(_passing(universe, cascade.levels[0]).join(listed, "key", "left_anti"))
+    first = add(Level.sized(0, listed_size, rate), listed)
+    wrong = checkpointed(_passing(universe, first).join(listed, "key", "left_anti"))
     right, wrong_size = listed, wrong.count()
     while wrong_size:
-        if cascade.size > max_bytes:
-            raise ValueError(f"the listed keys need filters of more than {max_bytes} bytes")
-        level = _filled(Level.sized(len(cascade.levels), wrong_size, 0.5), wrong)
-        cascade.levels.append(level)
+        level = add(Level.sized(len(cascade.levels), wrong_size, 0.5), wrong)
         # What the newest level encodes is right by now; the other side has to pass it.
         right, wrong = wrong, checkpointed(_passing(right, level))
         wrong_size = wrong.count()
