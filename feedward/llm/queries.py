@@ -9,6 +9,7 @@ from .licenses import scan_licenses
 from .lines import dedup_lines
 from .mixing import mix_sources
 from .neighbours import nearest_neighbours
+from .periodic import periodic_runs
 from .pii import find_pii
 from .secret_scan import scan_secrets
 from .simhash import near_duplicates
@@ -74,6 +75,39 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(read_table(spark, sf_dir, "documents")).drop("found")
 
 
+def _planted_repeats(docs: DataFrame) -> DataFrame:
+    """Of a tenth of the documents, by a checksum of the id, the words from one on repeat with a period."""
+    check = F.crc32(F.col("doc_id").cast("string"))
+    docs = docs.withColumn("words", F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), 0))
+    n, g = F.size("words").cast("long"), F.floor(check / 10)
+    first = F.try_mod(g, n)
+    period = 1 + F.floor((n - first) / (3 + g % 8))
+    repeated = F.transform(
+        F.sequence(F.lit(0).cast("long"), n - 1),
+        lambda i: F.get("words", F.when(i < first, i).otherwise(first + (i - first) % period).cast("int")),
+    )
+    planted = F.when((check % 10 == 0) & (n > 0), F.array_join(repeated, " ")).otherwise(F.col("text"))
+    return docs.select("doc_id", planted.alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(_planted_repeats(read_table(spark, sf_dir, "documents")))
+    ranked = F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p")))
+    top = F.array_min(ranked)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.when(F.size("runs") == 0, "").otherwise(F.concat(F.array_join(lines, "\n"), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        top["s"].alias("start"),
+        (-top["l"]).alias("length"),
+        top["p"].alias("period"),
+        F.floor(-top["l"] * 1000 / top["p"]).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_decontamination": op2_decontamination,
@@ -85,6 +119,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_url_filter": op9_url_filter,
     "op10_pii": op10_pii,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 SQL = {
