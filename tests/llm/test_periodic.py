@@ -81,7 +81,7 @@ def test_tile_finds_every_period_of_its_octave():
     assert sorted(solve_tile(words, 3)) == [(9, 0, 48), (12, 0, 48), (15, 0, 48)]
 
 
-def test_codes_and_collapse:
+def test_codes_and_collapse():
     text = "é a\x1cb  é x " * 50
     words = text.encode().split()
     codes = word_codes(text)
