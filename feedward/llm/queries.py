@@ -1,9 +1,15 @@
 """One query for each operator over its whole test table, and SQL where it can express it."""
 
+import zlib
+from collections.abc import Iterator
+from uuid import uuid4
+
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import ensure_checkpoint_dir, read_table
 from .decontaminate import find_contamination
 from .licenses import scan_licenses
 from .lines import dedup_lines
@@ -13,8 +19,10 @@ from .periodic import periodic_runs
 from .pii import find_pii
 from .secret_scan import scan_secrets
 from .simhash import near_duplicates
+from .token_files import read_tokens, write_tokens
 from .toxicity import score_toxicity, train_toxicity
 from .urlfilter import judge_urls, rules_table
+from .vector_codes import compress_vectors
 
 # The rules are part of the contract.
 URL_RULES = (
@@ -75,23 +83,29 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(read_table(spark, sf_dir, "documents")).drop("found")
 
 
-def _planted_repeats(docs: DataFrame) -> DataFrame:
+def planted_repeats(doc_id: int | None, text: str | None) -> str | None:
     """Of a tenth of the documents, by a checksum of the id, the words from one on repeat with a period."""
-    check = F.crc32(F.col("doc_id").cast("string"))
-    docs = docs.withColumn("words", F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), 0))
-    n, g = F.size("words").cast("long"), F.floor(check / 10)
-    first = F.try_mod(g, n)
-    period = 1 + F.floor((n - first) / (3 + g % 8))
-    repeated = F.transform(
-        F.sequence(F.lit(0).cast("long"), n - 1),
-        lambda i: F.get("words", F.when(i < first, i).otherwise(first + (i - first) % period).cast("int")),
-    )
-    planted = F.when((check % 10 == 0) & (n > 0), F.array_join(repeated, " ")).otherwise(F.col("text"))
-    return docs.select("doc_id", planted.alias("text"))
+    if doc_id is None or (check := zlib.crc32(str(doc_id).encode())) % 10:
+        return text
+    words = (text or "").encode("utf-8", "surrogatepass").split()
+    if not words:
+        return text
+    first = check // 10 % len(words)
+    period = 1 + (len(words) - first) // (3 + check // 10 % 8)
+    unit = words[first : first + period]
+    repeated = words[:first] + (unit * (len(words) // period + 1))[: len(words) - first]
+    return b" ".join(repeated).decode("utf-8", "surrogatepass")
+
+
+def _planted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [planted_repeats(i, text.as_py()) for i, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True)]
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(texts, pa.string())], ["doc_id", "text"])
 
 
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = periodic_runs(_planted_repeats(read_table(spark, sf_dir, "documents")))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs(docs.mapInArrow(_planted, docs.schema))
     ranked = F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p")))
     top = F.array_min(ranked)
     lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
@@ -108,6 +122,65 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/tokens-{uuid4().hex}"
+    write_tokens(read_table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
+    return read_tokens(spark, folder).select(
+        "doc_id",
+        "start",
+        F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = compress_vectors(read_table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", "codebooks_sha256")
+
+
+def _vector_codes_sql() -> str:
+    """Two rounds of plain k-means in whole numbers; every part is measured against every entry."""
+    steps = []
+    for number in range(3):
+        squared = "list_sum(list_transform(list_zip(x, y), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+        steps.append(f"""
+near_{number} AS MATERIALIZED (
+    SELECT row_no, p, x, arg_min(entry, squared * 64 + entry) AS entry, min(squared) AS squared
+    FROM (SELECT row_no, s.p, x, entry, CAST(coalesce({squared}, 0) AS BIGINT) AS squared
+          FROM sliced s JOIN books_{number} c ON s.p = c.p)
+    GROUP BY row_no, p, x)""")
+        if number < 2:
+            steps.append(f"""
+means_{number} AS (
+    SELECT p, entry, list(CAST((total - (total % n + n) % n) // n AS BIGINT) ORDER BY place) AS mean
+    FROM (SELECT p, entry, place, sum(x[place]) AS total, count(*) AS n
+          FROM near_{number}, unnest(range(1, len(x) + 1)) AS u(place) GROUP BY p, entry, place)
+    GROUP BY p, entry),
+books_{number + 1} AS MATERIALIZED (
+    SELECT p, entry, coalesce(mean, y) AS y FROM books_{number} LEFT JOIN means_{number} USING (p, entry))""")
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY vec_id, embedding) - 1 AS row_no, vec_id, label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+sliced AS MATERIALIZED (
+    SELECT row_no, p, list_slice(v, p * (len(v) // 16) + 1, (p + 1) * (len(v) // 16)) AS x
+    FROM kept, unnest(range(16)) AS u(p)),
+books_0 AS MATERIALIZED (SELECT p, row_no AS entry, x AS y FROM sliced WHERE row_no < 64),{",".join(steps)},
+coded AS (
+    SELECT row_no, string_agg(printf('%02x', CAST(entry AS INT)), '' ORDER BY p) AS code, CAST(sum(squared) AS BIGINT) AS error
+    FROM near_2 GROUP BY row_no),
+digest AS (
+    SELECT sha256(string_agg(CAST(number AS VARCHAR), ',' ORDER BY p, entry, place)) AS codebooks_sha256
+    FROM (SELECT p, entry, place, y[place] AS number FROM books_2, unnest(range(1, len(y) + 1)) AS u(place)))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (row_no), digest
+"""
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_decontamination": op2_decontamination,
@@ -120,6 +193,8 @@ QUERIES = {
     "op9_url_filter": op9_url_filter,
     "op10_pii": op10_pii,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_token_files": op12_token_files,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 SQL = {
@@ -181,4 +256,5 @@ fits AS (
       ON (u.host = r.rhost OR suffix(u.host, '.' || r.rhost)) AND starts_with(u.path, r.rpath))
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fits WHERE place = 1
 """,
+    "op13_vector_codes": _vector_codes_sql(),
 }

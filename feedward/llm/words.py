@@ -1,4 +1,7 @@
-"""Words as bytes: digits, a-z and everything beyond ASCII; A-Z is lower-cased."""
+"""Words as bytes: digits, a-z and everything beyond ASCII, A-Z lower-cased; or all between blanks."""
+
+import re
+from collections.abc import Iterator
 
 _TABLE = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
@@ -11,3 +14,16 @@ def words(text: str) -> list[bytes]:
     Bytes of characters beyond ASCII are all above 127, so cutting the bytes cuts the characters alike.
     """
     return text.encode("utf-8", "surrogatepass").translate(_TABLE).split()
+
+
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def blank_words(text: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """Words ``[^\\x20\\x09-\\x0D]+``, those of so many bytes of the text at a time; no word is cut."""
+    start = 0
+    while start < len(text):
+        blank = _BLANK.search(text, start + size)
+        end = blank.start() if blank else len(text)
+        yield text[start:end].split()
+        start = end
