@@ -47,6 +47,7 @@ _FOOTER = np.dtype([("frames", "<u4"), ("check", "<u4"), ("magic", "<u4")])
 #: Input bytes for one file.
 FILE_BYTES = 1 << 25
 FRAME_TOKENS = 1 << 20
+_UNKNOWN = 1 << 55
 _BATCH = 1 << 22
 #: Bytes of words and their ids that a task remembers; beyond, it starts anew.
 _REMEMBERED = 1 << 27
@@ -246,7 +247,11 @@ def write_tokens(
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
-    files = max(spark.sparkContext.defaultParallelism, math.ceil(planned_bytes(docs) / file_bytes))
+    size = planned_bytes(docs)
+    if size > _UNKNOWN:  # a plan that does not say how much it reads
+        files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    else:
+        files = max(spark.sparkContext.defaultParallelism, math.ceil(size / file_bytes))
     ordered = rows.repartitionByRange(files, F.asc_nulls_first("id"), "tie")
     ordered = ordered.sortWithinPartitions(F.asc_nulls_first("id"), "tie", "text")
 

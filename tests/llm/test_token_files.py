@@ -1,0 +1,173 @@
+"""Token files: ids against the library's for whole texts, exact round trips, damage, odd rows."""
+
+import io
+import random
+import zlib
+from collections import Counter
+from pathlib import Path
+from uuid import uuid4
+
+import numpy as np
+import public_tokenizers
+import pytest
+import zstandard
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from feedward.llm import queries, token_files
+from feedward.llm.token_files import SEPARATOR, DamagedFile, Encoder, file_parts, manifest, read_documents, read_tokens, seek_table, write_tokens
+
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
+LETTERS = [*"aAbΣσßİé19'.,!-\n\t\x0b\x1c\x1f\x85\xa0 ́한가😀<|>", "<|endoftext|>", "<|startoftext|>", "'s", "don't ", "  ", "word "]
+
+
+def plain_ids(tokenizer, text):
+    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+
+
+def as_file(documents, **options):
+    return b"".join(part + SEPARATOR for part in file_parts(documents, **options))
+
+
+def as_bytes(ids):
+    return np.array(ids, "<u4").tobytes()
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(WORDS)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(LETTERS), max_size=30).map("".join), max_size=4))
+def test_ids_by_words_are_those_of_the_whole_text(texts):
+    model, encoder = Tokenizer.from_file(WORDS), Encoder(WORDS, 1, True)
+    assert list(encoder(texts)) == [as_bytes(plain_ids(model, text)) for text in texts]
+
+
+def test_encoder_forgets_and_cuts_long_texts(tokenizer, monkeypatch):
+    rng = random.Random(2)
+    texts = ["".join(rng.choice(LETTERS) for _ in range(400)) for _ in range(20)] + ["", "x" * 5000]
+    monkeypatch.setattr(token_files, "_TOGETHER", 64)
+    monkeypatch.setattr(token_files, "_REMEMBERED", 1000)
+    monkeypatch.setattr(token_files, "_GROUP", 3)
+    assert list(Encoder(WORDS, 1, True)(texts)) == [as_bytes(plain_ids(tokenizer, text)) for text in texts]
+    whole = Tokenizer.from_file(BYTES)
+    assert list(Encoder(BYTES, 1, False)(texts)) == [as_bytes(plain_ids(whole, text)) for text in texts]
+
+
+DOCS = [(None, as_bytes([1])), (None, as_bytes([5, 1])), (-7, as_bytes(range(100))), (3, as_bytes([1])), (3, as_bytes([9] * 64)), (8, b""), (9, as_bytes([2**32 - 1]))]
+
+
+@pytest.mark.parametrize("frame_tokens", [1, 10, 64, 1 << 20])
+def test_round_trip(frame_tokens):
+    data = as_file(DOCS, frame_tokens=frame_tokens)
+    found = list(read_documents(io.BytesIO(data)))
+    assert [(i, ids) for i, _, ids in found] == DOCS
+    assert [before for _, before, _ in found] == np.cumsum([0] + [len(ids) // 4 for _, ids in DOCS])[:-1].tolist()
+    assert [i for i, _, _ in read_documents(io.BytesIO(data), [3, 0, 77])] == [3, 3]
+    # Any zstandard reader takes the file for one stream of ids.
+    with zstandard.ZstdDecompressor().stream_reader(io.BytesIO(data), read_across_frames=True) as stream:
+        assert stream.read() == b"".join(ids for _, ids in DOCS)
+
+
+def test_only_wanted_frames_are_decompressed():
+    data = bytearray(as_file(DOCS, frame_tokens=30))
+    table = seek_table(io.BytesIO(bytes(data)))
+    offset = int(table["size"][:2].sum()) + 2 * len(SEPARATOR)  # the first frame of document -7
+    assert table["doc_id"][2] == -7
+    data[offset + 12] ^= 0xFF
+    damaged = io.BytesIO(bytes(data))
+    assert [ids for _, _, ids in read_documents(damaged, [3, 9])] == [DOCS[3][1], DOCS[4][1], DOCS[6][1]]
+    with pytest.raises(DamagedFile):
+        list(read_documents(damaged, [-7]))
+    with pytest.raises(DamagedFile):
+        list(read_documents(damaged))
+
+
+@pytest.mark.parametrize("place", [-9, -15, -18, -30])
+def test_damaged_tables_are_refused(place):
+    data = bytearray(as_file(DOCS))
+    data[place] ^= 0xFF
+    with pytest.raises(DamagedFile):
+        seek_table(io.BytesIO(bytes(data)))
+    with pytest.raises(DamagedFile):
+        seek_table(io.BytesIO(b"short"))
+
+
+def test_wrong_checksum_in_the_table_is_refused():
+    first, *rest = file_parts([(1, as_bytes([1, 2, 3]))])
+    other = zstandard.ZstdCompressor(write_checksum=True).compress(as_bytes([1, 2, 4]))
+    assert len(other) == len(first)
+    with pytest.raises(DamagedFile):
+        list(read_documents(io.BytesIO(b"".join(part + SEPARATOR for part in (other, *rest)))))
+
+
+def test_empty_files():
+    assert list(read_documents(io.BytesIO(b""))) == [] and list(read_documents(io.BytesIO(as_file([])))) == []
+
+
+@pytest.fixture
+def folder(tmp_path):
+    return f"{tmp_path}/{uuid4().hex}"
+
+
+ODD = [(5, None), (4, ""), (None, "two words"), (None, None), (7, "same"), (7, "same"), (7, "other"), (-3, "first"), (6, " \n"), (9, "long words " * 100_000)]
+
+
+def test_odd_rows(spark, docs, folder, tokenizer):
+    table = docs(*ODD)
+    for name in ("id", "tie", "part", "start", "file", "ids", "value", "before"):
+        table = table.withColumn(name, F.lit("mine"))
+    files = write_tokens(table, folder, WORDS, frame_tokens=1000)
+    rows = read_tokens(spark, folder).collect()
+    assert Counter((row.doc_id, bytes(row.ids)) for row in rows) == Counter((i, as_bytes(plain_ids(tokenizer, t))) for i, t in ODD)
+    ordered = sorted(rows, key=lambda row: row.start)
+    assert [row.start for row in ordered] == np.cumsum([0] + [len(row.ids) // 4 for row in ordered])[:-1].tolist()
+    assert [row.doc_id for row in ordered] == [None, None, -3, 4, 5, 6, 7, 7, 7, 9]
+    assert files.agg(F.sum("n_docs"), F.sum("n_tokens")).first() == (10, sum(len(row.ids) // 4 for row in rows))
+    wanted = read_tokens(spark, folder, [7, 100, -3]).collect()
+    assert Counter((row.doc_id, row.start) for row in wanted) == Counter((row.doc_id, row.start) for row in rows if row.doc_id in (7, -3))
+    assert read_tokens(spark, folder, []).collect() == [] and read_tokens(spark, folder, [10**12]).collect() == []
+
+
+def test_empty_table(spark, docs, folder):
+    assert write_tokens(docs(), folder, WORDS).collect() == []
+    assert read_tokens(spark, folder).collect() == []
+
+
+def test_files_follow_each_other_and_wanted_files_alone_are_read(spark, docs, folder):
+    write_tokens(docs(*((i, f"text {i}") for i in range(400))), folder, WORDS)
+    files = manifest(spark, folder).orderBy("file").collect()
+    assert len(files) > 4 and sum(row.n_docs for row in files) == 400
+    assert all(a.last_id < b.first_id and a.start + a.n_tokens == b.start for a, b in zip(files, files[1:]))
+    asked = files[2].first_id
+    for row in files:
+        if row.file != files[2].file:
+            Path(row.path.removeprefix("file:")).write_bytes(b"damaged")
+            Path(row.path.removeprefix("file:")).with_name("." + Path(row.path).name + ".crc").unlink(missing_ok=True)
+    assert [row.doc_id for row in read_tokens(spark, folder, [asked]).collect()] == [asked]
+    with pytest.raises(Exception, match="DamagedFile"):
+        read_tokens(spark, folder).collect()
+
+
+def test_an_id_that_repeats_fills_several_files(spark, docs, folder):
+    write_tokens(docs(*((1, f"text {i}") for i in range(300)), (0, "a"), (2, "b")), folder, WORDS)
+    assert manifest(spark, folder).filter("first_id = 1 or last_id = 1").count() > 3
+    rows = sorted(read_tokens(spark, folder).collect(), key=lambda row: row.start)
+    assert [row.doc_id for row in rows] == [0] + [1] * 300 + [2]
+
+
+def test_query_against_plain_code(spark, docs, tmp_path, tokenizer):
+    rng = random.Random(4)
+    pairs = [(i * 7 % 101, "".join(rng.choice(LETTERS) for _ in range(rng.randint(0, 80)))) for i in range(101)]
+    docs(*pairs, (500, None)).write.parquet(f"{tmp_path}/documents.parquet")
+    expected, start = [], 0
+    for doc_id, text in sorted([*pairs, (500, "")]):
+        ids = plain_ids(tokenizer, text)
+        expected.append((doc_id, start, len(ids), zlib.crc32(as_bytes(ids))))
+        start += len(ids)
+    assert sorted(tuple(row) for row in queries.op12_token_files(spark, str(tmp_path)).collect()) == expected
