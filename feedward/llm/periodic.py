@@ -11,8 +11,7 @@ is a fragment. Fragments are shuffled by document and period and stitched where
 or more; a stretch that has several periods keeps its smallest.
 """
 
-import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -22,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from .common import written
+from .words import blank_words
 
 MIN_WORDS = 12
 #: Least distance between the starts of two tiles; in high octaves it is eight times the least period.
@@ -29,29 +29,20 @@ STRIDE = 4096
 #: Tiles of longer texts (in characters) are dealt over all tasks.
 SPREAD_CHARS = 1 << 22
 
-_BLANK = re.compile(rb"[\x20\x09-\x0D]")
-_FRAGMENT = "key string, period long, start long, end long"
-_TILE = "key string, octave int, start long, words binary"
-_TILE_BATCH = 1 << 22
-
-
-def _pieces(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
-    """The words of a text, so many bytes of it at a time; no word is cut."""
-    start = 0
-    while start < len(data):
-        blank = _BLANK.search(data, start + size)
-        end = blank.start() if blank else len(data)
-        yield data[start:end].split()
-        start = end
+_FRAGMENT = pa.schema([("key", pa.string()), ("period", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
+_TILE = pa.schema([("key", pa.string()), ("octave", pa.int32()), ("start", pa.int64()), ("words", pa.binary())])
+_FRAGMENT_ROWS = 10_000
 
 
 def word_codes(text: str) -> np.ndarray:
     """A number for each word; equal words, and only those, have equal numbers."""
     numbers: dict[bytes, int] = {}
-    codes = [
-        np.fromiter((numbers.setdefault(word, len(numbers)) for word in words), np.int32, len(words))
-        for words in _pieces(text.encode("utf-8", "surrogatepass"))
-    ]
+    codes = []
+    for words in blank_words(text.encode("utf-8", "surrogatepass")):
+        for word in dict.fromkeys(words):
+            if word not in numbers:
+                numbers[word] = len(numbers)
+        codes.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
     return np.concatenate(codes) if codes else np.zeros(0, np.int32)
 
 
@@ -117,16 +108,21 @@ def _suspects(words: np.ndarray, lo: int, min_words: int) -> tuple[np.ndarray, n
     grid = padded[before : before + blocks * lo].reshape(blocks, lo)
     at = np.flatnonzero(grid[1:] == grid[:-1, :1])
     boundary, other = at // lo * lo + before, at + lo + before
-    onwards = np.arange(len(at))
-    for step in range(1, after):
-        onwards = onwards[padded[boundary[onwards] + step] == padded[other[onwards] + step]]
-    back = np.arange(len(at))
-    for step in range(1, before + 1):
-        back = back[padded[boundary[back] - step] == padded[other[back] - step]]
-    kept = np.union1d(onwards, back)
+    onwards, back = _agreeing(padded, boundary, other, range(1, after)), _agreeing(padded, boundary, other, range(-1, -before - 1, -1))
+    kept = np.union1d(onwards, back) if len(onwards) and len(back) else onwards if len(onwards) else back
     return boundary[kept] - before, other[kept] - boundary[kept]
 
 
+def _agreeing(words: np.ndarray, one: np.ndarray, other: np.ndarray, steps: range) -> np.ndarray:
+    """Numbers of the pairs of places that agree at every step from them."""
+    kept = np.arange(len(one))
+    for step in steps:
+        if not len(kept):
+            break
+        kept = kept[words[one[kept] + step] == words[other[kept] + step]]
+    return kept
+
+
 def solve_tile(words: np.ndarray, octave: int, min_words: int = MIN_WORDS) -> list[tuple[int, int, int]]:
     """(period, start, end) of the longest stretches in the tile, for all periods of the octave.
 
@@ -137,9 +133,10 @@ def solve_tile(words: np.ndarray, octave: int, min_words: int = MIN_WORDS) -> li
     boundaries, periods = _suspects(words, lo, min_words)
     if not len(boundaries):
         return found
+    starts = [0, *(np.flatnonzero(boundaries[1:] != boundaries[:-1]) + 1).tolist()]
     done = np.zeros(lo, np.int64)  # per period: up to where its stretches are known
-    cuts = np.flatnonzero(np.diff(boundaries)) + 1
-    for boundary, group in zip(boundaries[np.r_[0, cuts]].tolist(), np.split(periods, cuts), strict=True):
+    for first, last in zip(starts, [*starts[1:], len(boundaries)], strict=True):
+        boundary, group = int(boundaries[first]), periods[first:last]
         group = group[done[group - lo] <= boundary]
         if not len(group):
             continue
@@ -160,39 +157,58 @@ def solve_tile(words: np.ndarray, octave: int, min_words: int = MIN_WORDS) -> li
     return found
 
 
-def _cut(min_words: int, stride: int):
-    schema = pa.schema([("key", pa.string()), ("octave", pa.int32()), ("start", pa.int64()), ("words", pa.binary())])
+def _document_tiles(batch: pa.RecordBatch, min_words: int, stride: int) -> Iterator[tuple[str, int, int, np.ndarray]]:
+    """(key, octave, start, words) of every tile of the batch's texts, one text at a time."""
+    for key, text in zip(batch["key"], batch["text"], strict=True):
+        codes = word_codes(text.as_py() or "")
+        for octave, start, end in tiles(len(codes), min_words, stride):
+            yield key.as_py(), octave, start, codes[start:end]
+
+
+def _fragments(found: Iterable[tuple[str, int, int, np.ndarray]], min_words: int) -> Iterator[pa.RecordBatch]:
+    """Solve tiles, each alone, and give out their fragments by document and period."""
+    rows: list[tuple[str, int, int, int]] = []
+    for key, octave, offset, words in found:
+        rows += [(key, period, offset + start, offset + end) for period, start, end in solve_tile(words, octave, min_words)]
+        if len(rows) > _FRAGMENT_ROWS:
+            yield _batch(rows, _FRAGMENT)
+            rows = []
+    if rows:
+        yield _batch(rows, _FRAGMENT)
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def _solve_texts(min_words: int, stride: int):
+    """Tiles of whole texts, cut and solved in the task that reads them."""
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from _fragments(_document_tiles(batch, min_words, stride), min_words)
+
+    return solve
+
+
+def _cut_texts(min_words: int, stride: int):
+    """Tiles as rows, to be dealt."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, held = [], 0
-            for key, text in zip(batch["key"].to_pylist(), batch["text"], strict=True):
-                codes = word_codes(text.as_py())
-                for octave, start, end in tiles(len(codes), min_words, stride):
-                    rows.append((key, octave, start, codes[start:end].tobytes()))
-                    held += 64 + 4 * (end - start)
-                    if held > _TILE_BATCH:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-                        rows, held = [], 0
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+            for key, octave, start, words in _document_tiles(batch, min_words, stride):
+                yield _batch([(key, octave, start, words.tobytes())], _TILE)
 
     return cut
 
 
-def _solve(min_words: int):
+def _solve_tiles(min_words: int):
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys: list[str] = []
-            found: list[tuple[int, int, int]] = []
-            columns = (batch["key"], batch["octave"].to_pylist(), batch["start"].to_pylist(), batch["words"])
-            for key, octave, offset, words in zip(*columns, strict=True):
-                fragments = solve_tile(np.frombuffer(words.as_buffer(), np.int32), octave, min_words)
-                keys += [key.as_py()] * len(fragments)
-                found += [(period, offset + start, offset + end) for period, start, end in fragments]
-            if found:
-                periods, starts, ends = (pa.array(column, pa.int64()) for column in zip(*found, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(keys), periods, starts, ends], ["key", "period", "start", "end"])
+            words = (np.frombuffer(value.as_buffer(), np.int32) for value in batch["words"])
+            columns = (batch["key"].to_pylist(), batch["octave"].to_pylist(), batch["start"].to_pylist(), words)
+            yield from _fragments(zip(*columns, strict=True), min_words)
 
     return solve
 
@@ -221,7 +237,7 @@ def _collapsed(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Ite
 def collapse(text: str, starts: np.ndarray, ends: np.ndarray) -> str:
     """The words outside of the intervals, which are sorted by start, joined by a space."""
     kept, number, interval, until = [], 0, 0, 0
-    for words in _pieces(text.encode("utf-8", "surrogatepass")):
+    for words in blank_words(text.encode("utf-8", "surrogatepass")):
         at = 0
         while at < len(words):
             while interval < len(starts) and starts[interval] <= number + at:
@@ -251,7 +267,7 @@ def periodic_runs(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """(id, n_words, runs, collapsed) of every document.
+    """(id, runs, collapsed) of every document.
 
     ``runs`` has a struct (start, length, period) for each run, by start and then period, with
     words numbered from 0. ``collapsed`` is the text without the words that come after the first
@@ -266,20 +282,23 @@ def periodic_runs(
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.withColumn("key", _document_key(F.col("id"), F.col("text")))
-    enough = F.length("text") >= 2 * min_words - 1
-    is_long = F.length("text") >= spread_chars
-    cut = _cut(min_words, stride)
-    near = rows.filter(enough & ~is_long).select("key", "text").mapInArrow(cut, _TILE)
-    far = rows.filter(enough & is_long).select("key", "text").mapInArrow(cut, _TILE).repartition("key", "octave", "start")
-    fragments = near.unionByName(far).mapInArrow(_solve(min_words), _FRAGMENT)
+    wide = rows.select("key", "text")
+    fragment_ddl = "key string, period long, start long, end long"
+    solve = _solve_texts(min_words, stride)
+    if (rows.agg(F.max(F.length("text"))).first()[0] or 0) < spread_chars:
+        fragments = wide.mapInArrow(solve, fragment_ddl)
+    else:
+        is_long = F.coalesce(F.length("text") >= spread_chars, F.lit(False))
+        far = wide.filter(is_long).mapInArrow(_cut_texts(min_words, stride), "key string, octave int, start long, words binary")
+        far = far.repartition("key", "octave", "start").mapInArrow(_solve_tiles(min_words), fragment_ddl)
+        fragments = wide.filter(~is_long).mapInArrow(solve, fragment_ddl).unionByName(far)
     run = F.struct("start", (F.col("end") - F.col("start")).alias("length"), "period")
-    found = written(stitched(fragments).groupBy("key").agg(F.sort_array(F.collect_list(run)).alias("runs")))
+    runs = written(stitched(fragments).groupBy("key").agg(F.sort_array(F.collect_list(run)).alias("runs")))
     none = F.expr("cast(array() as array<struct<start:bigint,length:bigint,period:bigint>>)")
-    joined = rows.join(found, "key", "left").withColumn("runs", F.coalesce("runs", none))
+    joined = rows.join(runs, "key", "left").withColumn("runs", F.coalesce("runs", none))
     joined = joined.withColumn("by_start", F.sort_array(F.transform("runs", lambda r: F.struct((r["start"] + r["period"]).alias("a"), (r["start"] + r["length"]).alias("b")))))
     return joined.select(
         F.col("id").alias(id_col),
-        F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("n_words"),
         "runs",
         _collapsed("text", "by_start.a", "by_start.b").alias("collapsed"),
     )

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ensure_checkpoint_dir, read_table
+from .common import ensure_checkpoint_dir, read_table, text_portions
 from .decontaminate import find_contamination
 from .licenses import scan_licenses
 from .lines import dedup_lines
@@ -83,29 +83,33 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(read_table(spark, sf_dir, "documents")).drop("found")
 
 
-def planted_repeats(doc_id: int | None, text: str | None) -> str | None:
-    """Of a tenth of the documents, by a checksum of the id, the words from one on repeat with a period."""
-    if doc_id is None or (check := zlib.crc32(str(doc_id).encode())) % 10:
-        return text
-    words = (text or "").encode("utf-8", "surrogatepass").split()
-    if not words:
-        return text
-    first = check // 10 % len(words)
-    period = 1 + (len(words) - first) // (3 + check // 10 % 8)
-    unit = words[first : first + period]
-    repeated = words[:first] + (unit * (len(words) // period + 1))[: len(words) - first]
-    return b" ".join(repeated).decode("utf-8", "surrogatepass")
-
-
-def _planted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From one word on, by a checksum of the id, the words repeat with a period."""
     for batch in batches:
-        texts = [planted_repeats(i, text.as_py()) for i, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True)]
-        yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(texts, pa.string())], ["doc_id", "text"])
+        ids = batch["doc_id"].to_pylist()
+        for start, texts in text_portions(batch["text"]):
+            for i, text in enumerate(texts):
+                words = text.encode("utf-8", "surrogatepass").split()
+                if not words:
+                    continue
+                chosen = zlib.crc32(str(ids[start + i]).encode()) // 10
+                first = chosen % len(words)
+                period = 1 + (len(words) - first) // (3 + chosen % 8)
+                unit = words[first : first + period]
+                words[first:] = (unit * (len(words) // period + 1))[: len(words) - first]
+                texts[i] = b" ".join(words).decode("utf-8", "surrogatepass")
+            yield pa.RecordBatch.from_arrays([pa.array(ids[start : start + len(texts)], pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
+
+
+def _with_repeats(docs: DataFrame) -> DataFrame:
+    """Repeats planted in a tenth of the documents, by their ids; the others are as they were."""
+    docs = docs.select("doc_id", "text")
+    chosen = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(False))
+    return docs.filter(~chosen).unionByName(docs.filter(chosen).mapInArrow(_repeats, "doc_id long, text string"))
 
 
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = periodic_runs(docs.mapInArrow(_planted, docs.schema))
+    found = periodic_runs(_with_repeats(read_table(spark, sf_dir, "documents")))
     ranked = F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p")))
     top = F.array_min(ranked)
     lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))

@@ -102,7 +102,6 @@ def test_runs_are_those_of_a_plain_search(spark, docs, stride, spread):
         words = by_id[row.doc_id].encode().split()
         runs = plain_runs(words)
         assert [tuple(run) for run in row.runs] == runs, by_id[row.doc_id]
-        assert row.n_words == len(words)
         assert row.collapsed == plain_collapse(words, runs)
     assert sum(len(row.runs) for row in rows) > 40
 
@@ -117,7 +116,7 @@ ODD = [(1, None), (2, ""), (3, " \n\t "), (None, "a " * 20), (4, "b " * 20), (4,
 
 def test_odd_rows(docs):
     table = docs(*ODD)
-    for name in ("key", "runs", "collapsed", "n_words", "octave", "start", "words", "id", "period", "end"):
+    for name in ("key", "runs", "collapsed", "octave", "start", "words", "id", "period", "end"):
         table = table.withColumn(name, F.lit("mine"))
     rows = periodic_runs(table, spread_chars=1 << 18).collect()
     found = Counter((row.doc_id, tuple(map(tuple, row.runs)), row.collapsed) for row in rows)
