@@ -19,7 +19,7 @@ for each file the range of ids and the number of tokens before it.
 import io
 import math
 import zlib
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Collection, Iterable, Iterator, Sequence
 from functools import lru_cache
 from typing import BinaryIO
 
@@ -50,10 +50,11 @@ FRAME_TOKENS = 1 << 20
 _UNKNOWN = 1 << 55
 _BATCH = 1 << 22
 #: Bytes of words and their ids that a task remembers; beyond, it starts anew.
-_REMEMBERED = 1 << 27
-_GROUP = 256
+_REMEMBERED = 3 << 26
+_GROUP = 64
+_CLOSING = frozenset([b".", b",", b";", b":", b"!", b"?"])
 #: Texts of so many bytes, or such a part of one, are encoded together.
-_TOGETHER = 1 << 21
+_TOGETHER = 1 << 22
 
 
 class DamagedFile(ValueError):
@@ -65,6 +66,14 @@ def _tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
+def _plain(text: bytes) -> bytes:
+    """ASCII letters in lower case.
+
+    Texts with special tokens or with combining marks, which some small letters alone join, stay as they are.
+    """
+    return text if b"\xcc" in text or b"<|" in text else text.lower()
+
+
 @lru_cache(maxsize=4)
 def _encoder(path: str, end_id: int, by_words: bool) -> "Encoder":
     """One for each worker, so that the words it knows serve its later tasks as well."""
@@ -74,8 +83,9 @@ def _encoder(path: str, end_id: int, by_words: bool) -> "Encoder":
 class Encoder:
     """Ids of whole texts as bytes, each followed by the end id.
 
-    With ``by_words`` every word between blanks is encoded once and remembered; this gives the ids
-    of the whole text with tokenizers that split at blanks and drop them.
+    With ``by_words`` every word between blanks is encoded once and remembered; ASCII
+    letters are lower-cased first, and a mark that closes a word is taken by itself. This gives the ids of the whole text with
+    tokenizers that lower-case, drop blanks and split between words and marks.
     """
 
     def __init__(self, path: str, end_id: int, by_words: bool) -> None:
@@ -84,6 +94,11 @@ class Encoder:
         self._by_words = by_words
         special = self._model.get_added_tokens_decoder().items()
         self._mark = next(((token.content, i) for i, token in special if token.special and token.content.split() == [token.content]), None)
+        suffix = getattr(self._model.model, "end_of_word_suffix", None)
+        vocabulary = self._model.get_vocab() if suffix else {}
+        self._tells_ends = bool(suffix)
+        self._closes = np.zeros(1 + max(vocabulary.values(), default=0), bool)
+        self._closes[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self._known: dict[bytes, bytes] = {}
         self._size = 0
 
@@ -94,14 +109,14 @@ class Encoder:
             return
         data = [text.encode("utf-8", "surrogatepass") for text in texts]
         if sum(map(len, data)) <= _TOGETHER:
-            lists = [text.split() for text in data]
+            lists = [_plain(text).split() for text in data]
             self._learn(set().union(*lists))
             for words in lists:
                 yield b"".join([*map(self._known.__getitem__, words), self._end])
             return
         for text in data:
             parts = []
-            for words in blank_words(text, _TOGETHER):
+            for words in blank_words(_plain(text), _TOGETHER):
                 self._learn(set(words))
                 parts.append(b"".join(map(self._known.__getitem__, words)))
             yield b"".join([*parts, self._end])
@@ -109,10 +124,35 @@ class Encoder:
     def _learn(self, words: set[bytes]) -> None:
         if self._size > _REMEMBERED:
             self._known, self._size = {}, 0
-        new = [word for word in words if word not in self._known]
-        for word, ids in zip(new, self._encoded_words([word.decode("utf-8", "surrogatepass") for word in new]), strict=True):
-            self._known[word] = ids
-            self._size += len(word) + len(ids) + 150
+        new = words.difference(self._known)
+        marked = [word for word in new if word[-1:] in _CLOSING and word[-2:-1].isalnum()]
+        new.difference_update(marked)
+        new.update([word[:-1] for word in marked], {word[-1:] for word in marked})
+        new.difference_update(self._known)
+        whole, other = {}, {}
+        for word in new:
+            text = word.decode("utf-8", "surrogatepass")
+            (whole if text.isalpha() and self._tells_ends else other)[word] = text
+        for some, encode in ((whole, self._encoded_whole), (other, self._encoded_words)):
+            self._remember(some, list(encode(list(some.values()))))
+        self._remember(marked, [self._known[word[:-1]] + self._known[word[-1:]] for word in marked])
+
+    def _remember(self, words: Collection[bytes], ids: list[bytes]) -> None:
+        self._known.update(zip(words, ids, strict=True))
+        self._size += sum(map(len, words)) + sum(map(len, ids)) + 150 * len(ids)
+
+    def _encoded_whole(self, words: list[str]) -> Iterator[bytes]:
+        """Words of letters, many in one text: the ids of each end with a token that closes a word."""
+        groups = [words[i : i + _GROUP] for i in range(0, len(words), _GROUP)]
+        for group, encoding in zip(groups, self._model.encode_batch([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(encoding.ids, "<u4")
+            ends = (np.flatnonzero(self._closes[ids]) + 1).tolist()
+            if len(ends) != len(group):
+                yield from self._encoded(group)
+                continue
+            data = ids.tobytes()
+            for start, end in zip([0, *ends], ends, strict=False):
+                yield data[4 * start : 4 * end]
 
     def _encoded_words(self, words: list[str]) -> Iterator[bytes]:
         """Many words in one text, with a special token between them by which their ids are told apart."""
@@ -232,8 +272,8 @@ def write_tokens(
     """Encode every whole text, write the files to the new folder ``path`` and return their manifest.
 
     ``tokenizer`` names a file for the ``tokenizers`` library that all executors have. Special tokens are not
-    added; ``end_id`` ends each document. ``by_words`` encodes every distinct word once; it is for tokenizers
-    that split at blanks and drop them, and gives the ids of the whole text; pass False for others.
+    added; ``end_id`` ends each document. ``by_words`` encodes every distinct word once, see
+    :class:`Encoder` for which tokenizers that gives the ids of the whole text; pass False for others.
     Ids of documents are integers.
 
     A null or empty text has the end id alone. Null ids come first; rows that repeat an id
@@ -261,7 +301,7 @@ def write_tokens(
         def documents() -> Iterator[tuple[int | None, bytes]]:
             for batch in batches:
                 ids = batch["id"].to_pylist()
-                for start, texts in text_portions(batch["text"]):
+                for start, texts in text_portions(batch["text"], 1 << 21):
                     yield from zip(ids[start : start + len(texts)], encoder(texts), strict=True)
 
         parts = ((part,) for part in file_parts(documents(), frame_tokens))

@@ -21,7 +21,7 @@ from feedward.llm.token_files import SEPARATOR, DamagedFile, Encoder, file_parts
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
-LETTERS = [*"aAbΣσßİé19'.,!-\n\t\x0b\x1c\x1f\x85\xa0 ́한가😀<|>", "<|endoftext|>", "<|startoftext|>", "'s", "don't ", "  ", "word "]
+LETTERS = [*"aAbΣσßİé19'.,!-\n\t\x0b\x1c\x1f\x85\xa0 ́한가😀<|>", "<|endoftext|>", "<|startoftext|>", "'s", "don't ", "word. ", "Word, ", "5. ", "..", "J\u030c", "T\u0308 ", "h\u0331", "\u0344", "É. ", "<|EndOfText|>", "  ", "word "]
 
 
 def plain_ids(tokenizer, text):
