@@ -6,6 +6,7 @@ import sys
 from collections.abc import Callable
 from datetime import datetime
 from functools import partial, reduce
+from importlib.util import find_spec
 from pathlib import Path
 from uuid import uuid4
 
@@ -18,6 +19,7 @@ from feedward.operators import measures
 from feedward.operators.clean import clean_feed_logs
 from feedward.operators.kpi import feed_health
 from feedward.plans.audit import CHECK_NAMES, audit_log, audit_summary, run_checks
+from feedward.plans.layers import run_job
 from feedward.plans.tables import Layers
 from feedward.session import shared_dir
 from feedward.sources.catalog import (
@@ -27,10 +29,10 @@ from feedward.sources.catalog import (
     table_rows,
     total_rows,
 )
-from feedward.sources.readers import load_raw_dir
+from feedward.sources.readers import load_raw_dir, read_raw
 from feedward.sources.schemas import RAW_SCHEMAS, RAW_TABLES
 from feedward.sources.star_mapping import MAPPINGS, TRANSACTION_ORDER, mapped_raw
-from feedward.sources.writers import export_csv, rebuild, write_audit
+from feedward.sources.writers import export_csv, rebuild, write_audit, write_table
 from oracle_sql import ORACLES
 
 # The clock is a parameter. These times cut the test data somewhere in the middle.
@@ -87,6 +89,25 @@ def _audit_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _audit(Layers(raw, AS_OF.date(), dedup="keep_all"))
 
 
+def _job_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export all raw tables as CSV, run the whole job over that directory, return its audit log."""
+    folder = _new_folder(spark)
+    for name, table in _raw_only(_layers(spark, sf_dir)).items():
+        export_csv(table, f"{folder}/raw/{name.removeprefix('raw_')}.csv")
+    tables = run_job(
+        spark, f"{folder}/raw", f"{folder}/out", AS_OF, RUN_AT, "keep_all",
+        multi_line=["transactions"], feeds_as_of=FEEDS_AS_OF,
+    )
+    return tables["audit_log"]
+
+
+def _exported_feed_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export a KPI table as CSV and read it back."""
+    table, path = _layers(spark, sf_dir)["agg_feed_health"], f"{_new_folder(spark)}/health.csv"
+    export_csv(table, path)
+    return read_raw(spark, path, table.schema)
+
+
 def _rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write a layer table twice, the second time over the first, and read it back."""
     table, path = _layers(spark, sf_dir)["agg_reconciliation"], f"{_new_folder(spark)}/table"
@@ -94,11 +115,22 @@ def _rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rebuild(spark, table, path)
 
 
+def _replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Put a table into the catalog, replace it by what is made of itself, and read it."""
+    table, name = _layers(spark, sf_dir)["agg_consent_summary"], f"feedward_{uuid4().hex}"
+    write_table(table.withColumn("spare", F.lit(1)), name)
+    write_table(spark.table(name).drop("spare"), name)
+    replaced = spark.table(name)
+    spark.sql(f"DROP VIEW {name}")
+    return replaced
+
+
 def _audit_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export the audit log as CSV and to a history by run; read both back and compare them."""
     folder = _new_folder(spark)
+    log = rebuild(spark, _audit(_layers(spark, sf_dir)), f"{folder}/audit")
     for _ in range(2):  # a repeated run replaces its own rows
-        write_audit(_audit(_layers(spark, sf_dir)), f"{folder}/log.csv", f"{folder}/history")
+        write_audit(log, f"{folder}/log.csv", f"{folder}/history")
     exported = spark.read.csv(f"{folder}/log.csv", header=True, escape='"')
     history = spark.read.parquet(f"{folder}/history")
     kept = history.select("check_no", "check_name", "status", F.col("rows_affected").alias("rows_kept"))
@@ -121,11 +153,6 @@ def _layer_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
-def _transactions(tables: Layers) -> DataFrame:
-    """Amounts stay fixed-point inside the layers and are given out as doubles."""
-    return tables["clean_transactions"].withColumn("amount_aud", F.col("amount_aud").cast("double"))
-
-
 def _rows_removed(tables: Layers) -> DataFrame:
     return measures.rows_removed(
         tables.row_count("raw_transactions"), tables.row_count("clean_transactions")
@@ -133,16 +160,10 @@ def _rows_removed(tables: Layers) -> DataFrame:
 
 
 def _best_worst(tables: Layers) -> DataFrame:
-    health = tables["agg_feed_health"]
-    reliability = measures.extremes(
-        measures.holder_reliability(health), "data_holder", "success_rate_unweighted"
+    holders = measures.of_grain(measures.feed_grains(tables["clean_feed_logs"]), "holder")
+    return measures.extremes(
+        holders, "data_holder", "success_rate_unweighted", "latency_ms_unweighted"
     )
-    latency = measures.extremes(
-        measures.holder_latency(health, tables["clean_feed_logs"]),
-        "data_holder",
-        "latency_ms_unweighted",
-    )
-    return reliability.unionByName(latency)
 
 
 def feed_queries() -> dict[str, Query]:
@@ -153,8 +174,8 @@ def feed_queries() -> dict[str, Query]:
         "load_row_totals": _on(lambda t: total_rows(_raw_only(t))),
         "load_table_rows": _on(lambda t: table_rows(_raw_only(t))),
         **{name: _on(lambda t, name=name: t[name]) for name in CLEAN_TABLES},
-        "clean_transactions": _on(_transactions),
-        "clean_transactions_keep_all": _on(_transactions, dedup="keep_all"),
+        "clean_transactions": _on(lambda t: t["clean_transactions"]),
+        "clean_transactions_keep_all": _on(lambda t: t["clean_transactions"], dedup="keep_all"),
         "transaction_volumes_keep_all": _on(
             lambda t: t["agg_transaction_volumes"], dedup="keep_all"
         ),
@@ -176,6 +197,9 @@ def feed_queries() -> dict[str, Query]:
         "audit_export": _audit_export,
         "layer_tables": _layer_tables,
         "rebuilt_reconciliation": _rebuilt,
+        "replaced_consent_summary": _replaced_table,
+        "exported_feed_health": _exported_feed_health,
+        "job_audit_log": _job_audit,
         "audit_summary": _on(lambda t: audit_summary(_audit(t))),
         "kpi_holder_reliability": _on(
             lambda t: measures.holder_reliability(t["agg_feed_health"])
@@ -194,12 +218,10 @@ def feed_queries() -> dict[str, Query]:
         "kpi_consent_trend": _on(lambda t: measures.consent_trend(t["agg_consent_summary"])),
         "kpi_status_mix": _on(lambda t: measures.status_mix(t["agg_feed_health"])),
         "kpi_volume_trend": _on(lambda t: measures.volume_trend(t["agg_transaction_volumes"])),
+        "kpi_grains": _on(lambda t: measures.feed_grains(t["clean_feed_logs"])),
         "kpi_cards": _on(
             lambda t: measures.kpi_cards(
-                t["agg_feed_health"],
-                t["agg_consent_summary"],
-                t["agg_reconciliation"],
-                t["clean_feed_logs"],
+                measures.feed_grains(t["clean_feed_logs"]), t["agg_consent_summary"]
             )
         ),
         "kpi_best_worst": _on(_best_worst),
@@ -223,13 +245,13 @@ def oracle_sql() -> dict[str, str]:
 
 def _corpus() -> tuple[dict[str, Query], dict[str, str]]:
     """Queries and SQL of the optional subpackage ``llm`` and of the pipeline built on it."""
-    try:
-        from feedward.llm.queries import QUERIES, SQL
-    except ImportError:
+    if find_spec("feedward.llm") is None:
         return {}, {}
-    try:
-        import corpus_pipeline
-    except ImportError:
+    from feedward.llm.queries import QUERIES, SQL
+
+    if find_spec("corpus_pipeline") is None:
         return QUERIES, SQL
+    import corpus_pipeline
+
     sql = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
     return QUERIES | {"pipeline": corpus_pipeline.run}, SQL | sql

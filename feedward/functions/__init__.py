@@ -1,7 +1,7 @@
 """Column-level building blocks. Everything here stays inside code generation."""
 
 from feedward.functions.numbers import (
-    as_money,
+    is_positive,
     number_prefix,
     percent,
     round_half_up,
@@ -12,10 +12,10 @@ from feedward.functions.times import day_of, second_of, stamp_literal
 
 __all__ = [
     "any_present",
-    "as_money",
     "breach_label",
     "count_where",
     "day_of",
+    "is_positive",
     "number_prefix",
     "older_than",
     "percent",

@@ -9,15 +9,20 @@ from pyspark.sql.types import DecimalType, DoubleType
 # Wide enough for any bigint ratio times 100; ten places absorb binary noise
 # such as 0.285 * 100 = 28.499999999999996 before the tie is decided.
 _EXACT = DecimalType(38, 10)
-_MONEY = DecimalType(28, 10)
+# From here on a double is a whole number.
+_WHOLE = 1e17
 
 # The longest leading part of a text that reads as a number.
 _NUMBER_PREFIX = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?"
 
 
 def round_half_up(value: Column, places: int) -> Column:
-    """Round half away from zero and return a double, NULL for NULL."""
-    return F.round(value.cast(_EXACT), places).cast(DoubleType())
+    """Round half away from zero and return a double, NULL for NULL.
+
+    Values too large to have such places, infinity and NaN stay as they are.
+    """
+    rounded = F.round(value.try_cast(_EXACT), places).cast(DoubleType())
+    return F.when(F.abs(value) < F.lit(_WHOLE), rounded).otherwise(value.cast(DoubleType()))
 
 
 def percent(part: Column, whole: Column, places: int) -> Column:
@@ -36,12 +41,9 @@ def shortfall_ratio(expected: Column, received: Column) -> Column:
     )
 
 
-def as_money(value: Column) -> Column:
-    """Fixed-point money at full precision, so that sums do not depend on task order.
-
-    NULL for a value of 10**18 or more, which no amount has; it counts as invalid.
-    """
-    return value.try_cast(_MONEY)
+def is_positive(value: Column) -> Column:
+    """Greater than zero; NULL for NULL, and false for NaN, which Spark orders above all numbers."""
+    return (value > 0) & ~F.isnan(value.cast(DoubleType()))
 
 
 def number_prefix(text: Column) -> Column:

@@ -56,44 +56,68 @@ def unique_check(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return repeated.agg(F.count("*").alias(COUNT))
 
 
+def per_key(sides: Sequence[tuple[DataFrame, str, Mapping[str, Column]]]) -> DataFrame:
+    """One row for each key ``ref`` of several tables, with the sums of every table's own counters.
+
+    A side is a table, its key column and named counters (bigint). All sides are added up in one
+    aggregation over their union, which combines before the shuffle: no join, and
+    no task that sees more than one row per map task for a hot key.
+    """
+    names = [name for _, _, counters in sides for name in counters]
+    none = F.lit(0).cast("bigint")
+    rows = [
+        df.select(
+            F.col(key).alias("ref"),
+            *[counters.get(name, none).cast("bigint").alias(name) for name in names],
+        )
+        for df, key, counters in sides
+    ]
+    grouped = reduce(DataFrame.unionByName, rows).groupBy("ref")
+    return grouped.agg(*[F.sum(name).alias(name) for name in names])
+
+
+def orphan_count(children: str, parents: str) -> Column:
+    """Over :func:`per_key`: child rows whose key no parent has, with the rules of SQL ``NOT IN``.
+
+    A NULL child key is not counted, a single NULL among the parent keys makes
+    the count 0, and against an empty parent every child row counts.
+    """
+    none, has_key = F.lit(0).cast("bigint"), F.col("ref").isNotNull()
+    found, alone = F.sum(parents), F.sum(F.when(has_key & (F.col(parents) == 0), F.col(children)))
+    return (
+        F.when(found == 0, F.sum(children))
+        .when(F.sum(F.when(~has_key, F.col(parents))) > 0, none)
+        .otherwise(F.coalesce(alone, none))
+    )
+
+
+def matched_count(children: str, parents: str) -> Column:
+    """Over :func:`per_key`: rows of the inner join of children and parents on the key."""
+    both = F.when(F.col("ref").isNotNull(), F.col(children) * F.col(parents))
+    return F.coalesce(F.sum(both), F.lit(0).cast("bigint"))
+
+
+def total_of(name: str) -> Column:
+    """Over :func:`per_key`: the counter's sum over all keys, 0 without any row."""
+    return F.coalesce(F.sum(name), F.lit(0).cast("bigint"))
+
+
+def flag(condition: Column) -> Column:
+    """1 where the condition is true, otherwise 0 (also for NULL): a counter for :func:`per_key`."""
+    return F.when(condition, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+
+
 def referential_check(
     child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None
 ) -> DataFrame:
     """Child rows whose key is not in the parent, with the rules of SQL ``NOT IN``.
 
-    A NULL child key is not counted, a single NULL among the parent keys makes
-    the count 0, and against an empty parent every child row counts.
-
     Spark plans ``NOT IN`` as a broadcast of all parent keys. Here both sides
-    are counted per key in one aggregation over their union instead: one
-    shuffle of narrow, already combined rows, no join, and no task that sees
-    more than one row per map task for a hot key.
+    are counted per key instead, see :func:`per_key`.
     """
-    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    sides = child.select(
-        F.col(key).alias("ref"), one.alias("children"), none.alias("parents")
-    ).unionByName(
-        parent.select(
-            F.col(parent_key or key).alias("ref"), none.alias("children"), one.alias("parents")
-        )
-    )
-    per_key = sides.groupBy("ref").agg(
-        F.sum("children").alias("children"), F.sum("parents").alias("parents")
-    )
-    has_key, orphan = F.col("ref").isNotNull(), F.col("parents") == 0
-    totals = per_key.agg(
-        F.sum("children").alias("children"),
-        F.sum("parents").alias("parents"),
-        F.sum(F.when(~has_key, F.col("parents"))).alias("null_parents"),
-        F.sum(F.when(has_key & orphan, F.col("children"))).alias("orphans"),
-    )
-    # Without any row on either side the sums are NULL, hence the last default.
-    count = (
-        F.when(F.col("parents") == 0, F.col("children"))
-        .when(F.col("null_parents") > 0, none)
-        .otherwise(F.coalesce("orphans", none))
-    )
-    return totals.select(count.alias(COUNT))
+    one = F.lit(1).cast("bigint")
+    sides = [(child, key, {"children": one}), (parent, parent_key or key, {"parents": one})]
+    return per_key(sides).agg(orphan_count("children", "parents").alias(COUNT))
 
 
 def short_of(expected: str, received: str, threshold: float) -> Column:
@@ -113,7 +137,12 @@ def freshness_check(
 ) -> DataFrame:
     """Keys whose latest stamp is older than ``max_age`` at ``as_of``."""
     latest = df.groupBy(key).agg(F.max(stamp).alias("latest"))
-    return predicate_check(latest, older_than(F.col("latest"), stamp_literal(as_of), max_age))
+    return predicate_check(latest, outdated("latest", as_of, max_age))
+
+
+def outdated(stamp: str, as_of: datetime, max_age: timedelta) -> Column:
+    """Whether a stamp is older than ``max_age`` at ``as_of``."""
+    return older_than(F.col(stamp), stamp_literal(as_of), max_age)
 
 
 def count_rows(df: DataFrame) -> DataFrame:
@@ -121,6 +150,17 @@ def count_rows(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("row_count"))
 
 
+def lost_rows(raw_rows: Column, clean_rows: Column, max_pct: float = 10) -> list[Column]:
+    """Rows lost between two layers, their rounded share, and whether that stays under ``max_pct``."""
+    dropped = raw_rows - clean_rows
+    pct = F.coalesce(percent(dropped, raw_rows, 1), F.lit(0.0))
+    return [
+        dropped.alias(COUNT),
+        pct.alias("dropped_pct"),
+        F.when(pct < max_pct, F.lit("PASS")).otherwise(F.lit("WARN")).alias("status"),
+    ]
+
+
 def compare_counts(
     pairs: Mapping[str, tuple[DataFrame, DataFrame]], max_pct: float = 10
 ) -> DataFrame:
@@ -130,22 +170,14 @@ def compare_counts(
     compares the rounded percentage with ``max_pct``.
     """
     none, rows = F.lit(0).cast("bigint"), F.col("row_count")
-    raw_rows, clean_rows = F.col("raw_rows"), F.col("clean_rows")
     sides = []
     for name, (raw, clean) in pairs.items():
         label = F.lit(name).alias("check_name")
         sides.append(raw.select(label, rows.alias("raw_rows"), none.alias("clean_rows")))
         sides.append(clean.select(label, none.alias("raw_rows"), rows.alias("clean_rows")))
     counts = reduce(DataFrame.unionByName, sides).groupBy("check_name")
-    lost = counts.agg(F.sum(raw_rows).alias("raw_rows"), F.sum(clean_rows).alias("clean_rows"))
-    dropped = raw_rows - clean_rows
-    pct = F.coalesce(percent(dropped, raw_rows, 1), F.lit(0.0))
-    return lost.select(
-        "*",
-        dropped.alias(COUNT),
-        pct.alias("dropped_pct"),
-        F.when(pct < max_pct, F.lit("PASS")).otherwise(F.lit("WARN")).alias("status"),
-    )
+    lost = counts.agg(F.sum("raw_rows").alias("raw_rows"), F.sum("clean_rows").alias("clean_rows"))
+    return lost.select("*", *lost_rows(F.col("raw_rows"), F.col("clean_rows"), max_pct))
 
 
 def row_count_check(raw: DataFrame, clean: DataFrame, max_pct: float = 10) -> DataFrame:

@@ -10,10 +10,10 @@ from collections.abc import Sequence
 from datetime import date
 from typing import Literal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedward.functions import any_present, as_money, day_of, percent, second_of
+from feedward.functions import any_present, day_of, is_positive, percent, second_of
 from feedward.operators.joins import having_parent, keep_first
 
 # The statuses each feed may carry and the marker for "no latency".
@@ -30,12 +30,16 @@ def clean_customers(raw: DataFrame) -> DataFrame:
     return kept.select(*CUSTOMER_COLUMNS[:-1], day_of(F.col("created_at")).alias("created_at"))
 
 
+def is_valid_account(as_of: date) -> Column:
+    """Has an id and was opened no later than ``as_of``."""
+    return F.col("account_id").isNotNull() & (day_of(F.col("open_date")) <= F.lit(as_of))
+
+
 def valid_accounts(raw: DataFrame, as_of: date) -> DataFrame:
-    """Accounts opened no later than ``as_of``, missing balances set to 0 and flagged."""
+    """Valid accounts, missing balances set to 0 and flagged."""
     opened = day_of(F.col("open_date"))
     balance = F.col("balance_aud")
-    valid = raw.filter(F.col("account_id").isNotNull() & (opened <= F.lit(as_of)))
-    return valid.select(
+    return raw.filter(is_valid_account(as_of)).select(
         "account_id",
         "customer_id",
         "data_holder",
@@ -57,15 +61,17 @@ def clean_accounts(
     return having_parent(valid, customers, "customer_id", unique_parent=unique_parent)
 
 
+def is_valid_consent() -> Column:
+    """Has an id and a known status."""
+    return F.col("consent_id").isNotNull() & F.col("status").isin(*CONSENT_STATUSES)
+
+
 def valid_consents(raw: DataFrame) -> DataFrame:
     """Consents with a known status."""
-    valid = raw.filter(
-        F.col("consent_id").isNotNull() & F.col("status").isin(*CONSENT_STATUSES)
-    )
     stamps = [
         second_of(F.col(name)).alias(name) for name in ("created_at", "expires_at", "revoked_at")
     ]
-    return valid.select(
+    return raw.filter(is_valid_consent()).select(
         "consent_id",
         "customer_id",
         "data_holder",
@@ -103,8 +109,8 @@ def valid_transactions(
         rows = raw.filter(F.col("transaction_id").isNotNull())
     else:
         raise ValueError(f"unknown dedup mode: {dedup!r}")
-    amount = as_money(F.col("amount_aud"))
-    return rows.filter(amount > 0).select(
+    amount = F.col("amount_aud").cast("double")
+    return rows.filter(is_positive(amount)).select(
         "transaction_id",
         "account_id",
         "transaction_type",

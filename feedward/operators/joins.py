@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedward.operators.checks import matched_count, per_key
+
 
 def having_parent(
     child: DataFrame, parent: DataFrame, key: str, *, unique_parent: bool = False
@@ -34,34 +36,25 @@ def matched_rows(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     compresses so well that adaptive execution, which goes by bytes, does not
     see it. Counting per key on both sides first leaves one row per key and task.
     """
-    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    sides = child.select(key, one.alias("children"), none.alias("parents")).unionByName(
-        parent.select(key, none.alias("children"), one.alias("parents"))
-    )
-    per_key = (
-        sides.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.sum("children").alias("children"), F.sum("parents").alias("parents"))
-    )
-    matched = F.sum(F.col("children") * F.col("parents"))
-    return per_key.agg(F.coalesce(matched, none).alias("row_count"))
+    one = F.lit(1).cast("bigint")
+    sides = per_key([(child, key, {"children": one}), (parent, key, {"parents": one})])
+    return sides.agg(matched_count("children", "parents").alias("row_count"))
 
 
-def keep_first(df: DataFrame, key: str, order_by: Sequence[str] | None = None) -> DataFrame:
-    """The first row of each key; rows without a key are dropped.
+def ranked(df: DataFrame, key: str, order_by: Sequence[str] | None = None) -> DataFrame:
+    """The rows with their place ``_rank`` among those of the same key, NULL being a key too.
 
     ``order_by`` must order the rows of a key totally, or a retried task could
     pick another one. Without it all other columns are used, in table order.
-
-    Spark turns ``rank == 1`` into a group limit ahead of the shuffle, so a hot
-    key sends one row per task, not its whole group.
+    Spark turns an upper limit on the rank into a group limit ahead of the
+    shuffle, so a hot key sends a few rows per task, not its whole group.
     """
     if order_by is None:
         order_by = [name for name in df.columns if name != key]
-    first = Window.partitionBy(key).orderBy(*order_by)
-    return (
-        df.filter(F.col(key).isNotNull())
-        .withColumn("_rank", F.row_number().over(first))
-        .filter(F.col("_rank") == 1)
-        .drop("_rank")
-    )
+    return df.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*order_by)))
+
+
+def keep_first(df: DataFrame, key: str, order_by: Sequence[str] | None = None) -> DataFrame:
+    """The first row of each key, see :func:`ranked`; rows without a key are dropped."""
+    first = ranked(df.filter(F.col(key).isNotNull()), key, order_by)
+    return first.filter(F.col("_rank") == 1).drop("_rank")

@@ -18,15 +18,17 @@ from feedward.functions import (
     round_half_up,
     shortfall_ratio,
 )
+from feedward.operators import sums
 
 # Reconciliation tolerance and the run statuses it looks at.
 BREACH_THRESHOLD = 0.05
 INCOMPLETE_STATUSES = ("partial", "failed")
 
-# A total of amounts, and how often it counts, which is any bigint. Their product
-# has six places and 38 digits as well: Spark takes the excess from the digits before the point.
-_TOTAL = DecimalType(38, 6)
-_TIMES = DecimalType(20, 0)
+# A total of amounts, and how often it counts; their product has all its ten places in 38 digits.
+_TOTAL = DecimalType(27, 10)
+_TIMES = DecimalType(10, 0)
+# Below it, a million million products add up to a decimal.
+_SAFE_PRODUCT = 1e16
 
 
 def timed_latency() -> Column:
@@ -35,8 +37,23 @@ def timed_latency() -> Column:
     return F.when(latency > 0, latency)
 
 
-def feed_health(logs: DataFrame) -> DataFrame:
-    """Per holder, feed type and day: runs by status, latency, record totals."""
+def timed_totals() -> list[Column]:
+    """What a mean latency over further groups needs."""
+    return [F.sum(timed_latency()).alias("latency_sum"), F.count(timed_latency()).alias("timed_runs")]
+
+
+def reconciled_totals() -> list[Column]:
+    """Incomplete runs, and the records that they expected and received."""
+    incomplete = F.col("status").isin(*INCOMPLETE_STATUSES)
+    return [
+        count_where(incomplete).alias("incomplete_runs"),
+        F.sum(F.when(incomplete, F.col("records_expected"))).alias("incomplete_expected"),
+        F.sum(F.when(incomplete, F.col("records_received"))).alias("incomplete_received"),
+    ]
+
+
+def feed_health(logs: DataFrame, *others: Column) -> DataFrame:
+    """Per holder, feed type and day: runs by status, latency, record totals, and other aggregates."""
     succeeded = count_where(F.col("status") == "success")
     return logs.groupBy("data_holder", "feed_type", day_of(F.col("run_at")).alias("feed_date")).agg(
         F.count("*").alias("total_runs"),
@@ -48,6 +65,7 @@ def feed_health(logs: DataFrame) -> DataFrame:
         F.max(timed_latency()).cast("double").alias("max_latency_ms"),
         F.sum("records_expected").alias("total_records_expected"),
         F.sum("records_received").alias("total_records_received"),
+        *others,
     )
 
 
@@ -97,11 +115,15 @@ def transaction_volumes(
     accounts, so a hot account is a few rows. ``matched=False`` takes valid
     transactions that have not been through the referential join yet and does
     that as well: an account id that occurs k times repeats its transactions
-    once more k times.
+    once more k times. Amounts of any size are added up exactly, see
+    :mod:`feedward.operators.sums`; nothing is rounded before the totals.
     """
-    totals = transactions.groupBy(
-        "account_id", "transaction_type", day_of(F.col("transaction_date")).alias("txn_date")
-    ).agg(F.count("*").alias("rows"), F.sum("amount_aud").cast(_TOTAL).alias("amount"))
+    dated = transactions.withColumn("txn_date", day_of(F.col("transaction_date")))
+    totals = sums.by_bin(
+        sums.split(dated, F.col("amount_aud")),
+        ["account_id", "transaction_type", "txn_date"],
+        F.count("*").alias("rows"),
+    )
     kinds = accounts.groupBy("account_id", "account_type", "data_holder").agg(
         F.count("*").alias("copies")
     )
@@ -109,14 +131,27 @@ def transaction_volumes(
     if not matched:
         times = times * F.sum("copies").over(Window.partitionBy("account_id"))
     kinds = kinds.withColumn("times", times).drop("copies")
-    count = F.sum(F.col("rows") * F.col("times"))
-    amount = F.sum(F.col("amount") * F.col("times").cast(_TIMES))
-    return (
-        totals.join(kinds, "account_id")
-        .groupBy("account_type", "data_holder", "txn_date", "transaction_type")
-        .agg(
-            count.alias("txn_count"),
-            F.round(amount, 2).cast("double").alias("total_amount_aud"),
-            round_half_up(amount.cast("double") / count, 2).alias("avg_amount_aud"),
-        )
+    keys = ["account_type", "data_holder", "txn_date", "transaction_type"]
+    repeated = sums.by_bin(
+        _repeated(totals.join(kinds, "account_id")),
+        keys,
+        F.sum(F.col("rows") * F.col("times")).alias("rows"),
+    )
+    count = F.sum("rows")
+    return repeated.groupBy(*keys).agg(
+        count.alias("txn_count"),
+        sums.rounded_total(2).alias("total_amount_aud"),
+        round_half_up(sums.total() / count, 2).alias("avg_amount_aud"),
+    )
+
+
+def _repeated(totals: DataFrame) -> DataFrame:
+    """Totals by account as often as they count: as decimals where those hold the product, else binned."""
+    fixed, times = F.col(sums.FIXED), F.col("times")
+    small = (F.abs(fixed.cast("double")) * times < F.lit(_SAFE_PRODUCT)) & (times < F.lit(10**10))
+    product = fixed.try_cast(_TOTAL) * times.try_cast(_TIMES)
+    loose = F.coalesce(F.when(~small, fixed.cast("double")), sums.bin_value(), F.col(sums.SPECIAL))
+    kept = totals.withColumn("_product", F.when(small, product))
+    return sums.split(kept, loose * times).withColumn(
+        sums.FIXED, F.coalesce(F.col("_product"), F.col(sums.FIXED)).cast("decimal(38,10)")
     )

@@ -6,14 +6,19 @@ different numbers; both are given, each under its own name.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedward.functions import count_where, percent, round_half_up
+from feedward.functions import count_where, percent, round_half_up, shortfall_ratio
+from feedward.operators import sums
 from feedward.operators.checks import compare_counts
-from feedward.operators.kpi import timed_latency
+from feedward.operators.kpi import (
+    BREACH_THRESHOLD,
+    feed_health,
+    reconciled_totals,
+    timed_latency,
+    timed_totals,
+)
 
 
 def _is_breach() -> Column:
@@ -123,51 +128,87 @@ def status_mix(health: DataFrame) -> DataFrame:
 
 def volume_trend(volumes: DataFrame) -> DataFrame:
     """Transactions per account type and day."""
-    amount = F.sum(F.col("total_amount_aud").cast("decimal(38,2)"))
-    return volumes.groupBy("account_type", "txn_date").agg(
-        F.sum("txn_count").alias("txn_count"), amount.cast("double").alias("total_amount_aud")
+    keys = ["account_type", "txn_date"]
+    parts = sums.split(volumes, F.col("total_amount_aud"))
+    return (
+        sums.by_bin(parts, keys, F.sum("txn_count").alias("txn_count"))
+        .groupBy(*keys)
+        .agg(F.sum("txn_count").alias("txn_count"), sums.total().alias("total_amount_aud"))
     )
 
 
-def kpi_cards(
-    health: DataFrame, consents: DataFrame, recon: DataFrame, logs: DataFrame
-) -> DataFrame:
-    """Four headline numbers, one row each."""
-    cards = {
-        "success_rate_pct": health.agg(
-            percent(F.sum("success_count"), F.sum("total_runs"), 1).alias("value")
-        ),
-        "active_consents": consents.agg(
-            F.coalesce(F.sum("active_count"), F.lit(0)).cast("double").alias("value")
+def feed_grains(logs: DataFrame) -> DataFrame:
+    """The measures of feed runs per holder, per day and over all, from one scan of the logs.
+
+    Without any run there are no rows.
+
+    Runs are added up per holder, feed type and day, which is where daily rates, daily mean
+    latencies and breaches are defined; GROUPING SETS then roll those groups up to every grain at once. ``grain``
+    tells them apart, and the columns that a grain does not have are NULL.
+    """
+    daily = feed_health(logs, *reconciled_totals(), *timed_totals())
+    expected, received = F.col("incomplete_expected"), F.col("incomplete_received")
+    breached = shortfall_ratio(expected, received) > BREACH_THRESHOLD
+    daily = daily.select("*", (F.col("incomplete_runs") > 0).alias("reconciled"), breached.alias("breached"))
+    runs, holder, day = F.sum("total_runs"), F.col("data_holder"), F.col("feed_date")
+    grains = daily.groupingSets([[holder], [day], []], holder, day)
+    return grains.agg(
+        # One bit for each key that is left out, the first key's the higher.
+        F.element_at(F.lit(["holder", "day", "all"]), F.grouping_id().cast("int")).alias("grain"),
+        F.coalesce(runs, F.lit(0)).alias("total_runs"),
+        round_half_up(F.avg("success_rate_pct"), 1).alias("success_rate_unweighted"),
+        percent(F.sum("success_count"), runs, 1).alias("success_rate_weighted"),
+        percent(F.sum("partial_count"), runs, 1).alias("partial_share_pct"),
+        round_half_up(F.avg("avg_latency_ms"), 0).alias("latency_ms_unweighted"),
+        round_half_up(F.sum("latency_sum") / F.nullif(F.sum("timed_runs"), F.lit(0)), 0).alias(
+            "latency_ms_weighted"
         ),
-        "breach_groups": recon.agg(count_where(_is_breach()).cast("double").alias("value")),
-        "avg_latency_ms": logs.agg(round_half_up(F.avg(timed_latency()), 0).alias("value")),
+        count_where(F.col("reconciled")).alias("recon_groups"),
+        count_where(F.col("reconciled") & F.col("breached")).alias("breach_groups"),
+    )
+
+
+def of_grain(grains: DataFrame, grain: str) -> DataFrame:
+    """The rows of :func:`feed_grains` at one grain: ``holder``, ``day`` or ``all``."""
+    return grains.filter(F.col("grain") == grain)
+
+
+def kpi_cards(grains: DataFrame, consents: DataFrame) -> DataFrame:
+    """Four headline numbers, one row each, from :func:`feed_grains` and the consent summary."""
+    active = consents.agg(F.coalesce(F.sum("active_count"), F.lit(0)).cast("double").alias("value"))
+    named = {
+        "success_rate_pct": F.col("success_rate_weighted"),
+        "breach_groups": F.coalesce("breach_groups", F.lit(0)).cast("double"),
+        "avg_latency_ms": F.col("latency_ms_weighted"),
     }
-    rows = [df.select(F.lit(card).alias("card"), "value") for card, df in cards.items()]
-    return reduce(DataFrame.unionByName, rows)
+    rows = [F.struct(F.lit(card).alias("card"), value.alias("value")) for card, value in named.items()]
+    # Without any run there is no such grain, and one row of NULLs in its place.
+    measures = ("success_rate_weighted", "breach_groups", "latency_ms_weighted")
+    overall = of_grain(grains, "all").agg(*[F.max(name).alias(name) for name in measures])
+    feeds = overall.select(F.inline(F.array(*rows)))
+    return feeds.unionByName(active.select(F.lit("active_consents").alias("card"), "value"))
 
 
-def extremes(df: DataFrame, entity: str, measure: str) -> DataFrame:
-    """Entity with the lowest and with the highest value, ties broken by name.
+def extremes(df: DataFrame, entity: str, *measures: str) -> DataFrame:
+    """Per measure the entity with the lowest and with the highest value, ties broken by name.
 
-    Both ends come from one aggregation. Without any value there are no rows.
+    All ends come from one aggregation. A measure without any value has no rows.
     """
-    value, name = F.col(measure), F.col(entity)
-    ends = df.filter(value.isNotNull()).agg(
-        F.min(F.struct(value.alias("rank"), name.alias("entity"), value.alias("value"))).alias(
-            "lowest"
-        ),
-        F.min(F.struct((-value).alias("rank"), name.alias("entity"), value.alias("value"))).alias(
-            "highest"
-        ),
-    )
-    rows = [
-        F.struct(
-            F.lit(measure).alias("measure"),
-            F.lit(end).alias("position"),
-            F.col(end)["entity"].alias(entity),
-            F.col(end)["value"].cast("double").alias("value"),
-        )
-        for end in ("lowest", "highest")
-    ]
-    return ends.filter(F.col("lowest").isNotNull()).select(F.inline(F.array(*rows)))
+    ends, rows = [], []
+    name = F.col(entity)
+    for number, measure in enumerate(measures):
+        value = F.col(measure)
+        for position, rank in (("lowest", value), ("highest", -value)):
+            end = f"{position}_{number}"
+            candidate = F.struct(rank.alias("rank"), name.alias("entity"), value.alias("value"))
+            ends.append(F.min(F.when(value.isNotNull(), candidate)).alias(end))
+            rows.append(
+                F.struct(
+                    F.lit(measure).alias("measure"),
+                    F.lit(position).alias("position"),
+                    F.col(end)["entity"].alias(entity),
+                    F.col(end)["value"].cast("double").alias("value"),
+                )
+            )
+    found = df.agg(*ends).select(F.inline(F.array(*rows)))
+    return found.filter(F.col("value").isNotNull())

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timedelta
-from functools import partial, reduce
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedward.functions import as_money, count_where, day_of
-from feedward.operators import checks
+from feedward.functions import any_present, count_where, day_of, is_positive
+from feedward.operators import checks, clean
 from feedward.operators.clean import CONSENT_STATUSES
+from feedward.operators.joins import ranked
 from feedward.operators.kpi import BREACH_THRESHOLD
 from feedward.plans.tables import Layers
 
@@ -104,7 +106,7 @@ CHECK_NAMES = tuple(check.name for check in CHECKS)
 
 
 def row_conditions(as_of: datetime) -> dict[str, dict[str, Column]]:
-    """Checks on a row's own values, by table: one scan of each table counts them all."""
+    """Checks on a row's own values, by table."""
     return {
         "raw_accounts": {
             "null_balance": F.col("balance_aud").isNull(),
@@ -114,10 +116,7 @@ def row_conditions(as_of: datetime) -> dict[str, dict[str, Column]]:
             "null_customer_id": F.col("customer_id").isNull(),
             "invalid_consent_status": checks.outside_domain("status", CONSENT_STATUSES),
         },
-        "raw_transactions": {
-            "invalid_amount": F.col("amount_aud").isNotNull()
-            & ~F.coalesce(as_money(F.col("amount_aud")) > 0, F.lit(False)),
-        },
+        "raw_transactions": {"invalid_amount": F.col("amount_aud") <= 0},
         "clean_feed_logs": {
             "reconciliation_breach": checks.short_of(
                 "records_expected", "records_received", BREACH_THRESHOLD
@@ -129,24 +128,6 @@ def row_conditions(as_of: datetime) -> dict[str, dict[str, Column]]:
     }
 
 
-def key_checks(as_of: datetime) -> dict[str, Callable[[Layers], DataFrame]]:
-    """Checks that compare rows with each other or with another table."""
-    return {
-        "orphaned_accounts": lambda t: checks.referential_check(
-            t["raw_accounts"], t["raw_customers"], "customer_id"
-        ),
-        "duplicate_transaction_ids": lambda t: checks.unique_check(
-            t["raw_transactions"], ["transaction_id"]
-        ),
-        "orphaned_transactions": lambda t: checks.referential_check(
-            t["raw_transactions"], t["clean_accounts"], "account_id"
-        ),
-        "stale_feed": lambda t: checks.freshness_check(
-            t["clean_feed_logs"], "data_holder", "run_at", as_of, MAX_FEED_AGE
-        ),
-    }
-
-
 def run_checks(
     tables: Layers,
     as_of: datetime,
@@ -156,16 +137,197 @@ def run_checks(
     """One verdict row per named check.
 
     ``feeds_as_of`` gives feed freshness a reference time of its own.
+
+    The checks share scans: customers, accounts and consents are added up per customer in one
+    aggregation, transactions and accounts per account in another, feed logs per holder.
     """
     wanted = set(names)
     if unknown := wanted - set(CHECK_NAMES):
         raise ValueError(f"unknown checks: {sorted(unknown)}")
     measured = [
-        *_row_results(tables, row_conditions(as_of), wanted),
-        *_key_results(tables, key_checks(feeds_as_of or as_of), wanted),
-        *_layer_results(tables, wanted),
+        *_by_customer(tables, as_of, wanted),
+        *_by_account(tables, as_of, wanted),
+        *_by_holder(tables, as_of, feeds_as_of or as_of, wanted),
     ]
-    return _verdicts(reduce(partial(DataFrame.unionByName, allowMissingColumns=True), measured))
+    rows = reduce(DataFrame.unionByName, measured)
+    return _verdicts(_paired(rows))
+
+
+def _measured(df: DataFrame, values: Mapping[tuple[str, str], Column]) -> DataFrame:
+    """(check_name, side, value) rows from one aggregation; side is empty, raw or clean."""
+    named = {f"m{i}": label for i, label in enumerate(values)}
+    one = df.agg(*[value.alias(name) for name, value in zip(named, values.values(), strict=True)])
+    rows = [
+        F.struct(
+            F.lit(check).alias("check_name"), F.lit(side).alias("side"), F.col(name).alias("value")
+        )
+        for name, (check, side) in named.items()
+    ]
+    return one.select(F.inline(F.array(*rows)))
+
+
+def _written_count(tables: Layers, name: str) -> DataFrame:
+    """The rows of a stored clean table, for its layer check."""
+    return _measured(tables[name], {(f"row_count_{name}", "clean"): F.count("*")})
+
+
+def _by_customer(tables: Layers, as_of: datetime, wanted: set[str]) -> list[DataFrame]:
+    """Checks on accounts and consents: one scan each of them and of customers.
+
+    Without a check that needs customers the rows are only counted.
+    """
+    one = F.lit(1).cast("bigint")
+    valid = {
+        "accounts": clean.is_valid_account(tables.as_of),
+        "consents": clean.is_valid_consent(),
+    }
+    sides, values, results, parents = [], [], [], {}
+    for stem, is_valid in valid.items():
+        raw, layer = f"raw_{stem}", f"row_count_clean_{stem}"
+        counters = {
+            name: checks.flag(condition)
+            for name, condition in row_conditions(as_of)[raw].items()
+            if name in wanted
+        }
+        own = {(name, ""): checks.total_of(name) for name in counters}
+        if stem == "accounts" and "orphaned_accounts" in wanted:
+            counters[stem] = parents["known"] = one
+            own["orphaned_accounts", ""] = checks.orphan_count(stem, "known")
+        if layer in wanted:
+            counters[stem] = one
+            own[layer, "raw"] = checks.total_of(stem)
+            if tables.is_written(f"clean_{stem}"):
+                results.append(_written_count(tables, f"clean_{stem}"))
+            else:
+                counters[f"valid_{stem}"] = checks.flag(is_valid)
+                parents["clean"] = checks.flag(any_present(clean.CUSTOMER_COLUMNS))
+                own[layer, "clean"] = checks.matched_count(f"valid_{stem}", "clean")
+        if counters:
+            sides.append((tables[raw], "customer_id", counters))
+            values.append(own)
+    if parents:
+        sides.append((tables["raw_customers"], "customer_id", parents))
+        results.append(_measured(checks.per_key(sides), reduce(or_, values)))
+        return results
+    for (df, _, counters), own in zip(sides, values, strict=True):
+        rows = df.select(*[counter.alias(name) for name, counter in counters.items()])
+        results.append(_measured(rows, own))
+    return results
+
+
+def _by_account(tables: Layers, as_of: datetime, wanted: set[str]) -> list[DataFrame]:
+    """Checks on transactions: at most two scans of them and one clean accounts table.
+
+    One scan adds up all rows by account. The other finds the first two rows
+    of each id, which tell both the row that stays and that the id repeats.
+    """
+    one, positive = F.lit(1).cast("bigint"), is_positive(F.col("amount_aud"))
+    raw, layer = tables["raw_transactions"], "row_count_clean_transactions"
+    has_id = F.col("transaction_id").isNotNull()
+    invalid = row_conditions(as_of)["raw_transactions"]["invalid_amount"]
+    counted = layer in wanted and not tables.is_written("clean_transactions")
+    first = counted and tables.dedup == "first"
+    counters, values, results, sides = {}, {}, [], []
+    if "invalid_amount" in wanted:
+        counters["invalid"] = checks.flag(invalid)
+        values["invalid_amount", ""] = checks.total_of("invalid")
+    if layer in wanted:
+        counters["transactions"] = one
+        values[layer, "raw"] = checks.total_of("transactions")
+        if not counted:
+            results.append(_written_count(tables, "clean_transactions"))
+    if "orphaned_transactions" in wanted:
+        counters["transactions"] = one
+        values["orphaned_transactions", ""] = checks.orphan_count("transactions", "parents")
+    if counted:
+        if not first:
+            counters["kept"] = checks.flag(has_id & positive)
+        values[layer, "clean"] = checks.matched_count("kept", "parents")
+    if first:
+        firsts = ranked(raw, "transaction_id", tables.order_by).filter(F.col("_rank") <= 2)
+        ids = {"kept": checks.flag((F.col("_rank") == 1) & has_id & positive)}
+        if "duplicate_transaction_ids" in wanted:
+            ids["repeated"] = checks.flag(F.col("_rank") == 2)
+            values["duplicate_transaction_ids", ""] = checks.total_of("repeated")
+        sides.append((firsts, "account_id", ids))
+    elif "duplicate_transaction_ids" in wanted:
+        repeated = checks.unique_check(raw, ["transaction_id"])
+        results.append(
+            _measured(repeated, {("duplicate_transaction_ids", ""): F.sum(checks.COUNT)})
+        )
+    if counted or "orphaned_transactions" in wanted:
+        sides.append((tables["clean_accounts"], "account_id", {"parents": one}))
+    if counters:
+        sides.append((raw, "account_id", counters))
+    if len(sides) > 1:
+        results.append(_measured(checks.per_key(sides), values))
+    elif sides:
+        rows = raw.select(*[counter.alias(name) for name, counter in counters.items()])
+        results.append(_measured(rows, values))
+    return results
+
+
+def _by_holder(
+    tables: Layers, as_of: datetime, feeds_as_of: datetime, wanted: set[str]
+) -> list[DataFrame]:
+    """Checks on feed logs: one scan of the raw and one of the clean table."""
+    layer, results = "row_count_clean_feed_logs", []
+    conditions = row_conditions(as_of)
+    raw = {
+        (name, ""): count_where(condition)
+        for name, condition in conditions["raw_feed_logs"].items()
+        if name in wanted
+    }
+    own = {
+        name: condition
+        for name, condition in conditions["clean_feed_logs"].items()
+        if name in wanted
+    }
+    if layer in wanted:
+        raw[layer, "raw"] = F.count("*")
+    if raw:
+        results.append(_measured(tables["raw_feed_logs"], raw))
+    logs = tables["clean_feed_logs"]
+    if "stale_feed" in wanted:
+        holders = logs.groupBy("data_holder").agg(
+            F.max("run_at").alias("latest"),
+            F.count("*").alias("runs"),
+            *[count_where(condition).alias(name) for name, condition in own.items()],
+        )
+        stale = checks.outdated("latest", feeds_as_of, MAX_FEED_AGE)
+        values = {("stale_feed", ""): count_where(stale)}
+        values |= {(name, ""): checks.total_of(name) for name in own}
+        if layer in wanted:
+            values[layer, "clean"] = checks.total_of("runs")
+        results.append(_measured(holders, values))
+    else:
+        values = {(name, ""): count_where(condition) for name, condition in own.items()}
+        if layer in wanted:
+            values[layer, "clean"] = F.count("*")
+        if values:
+            results.append(_measured(logs, values))
+    return results
+
+
+def _paired(measured: DataFrame) -> DataFrame:
+    """One row per check: its count, or the two counts of its layers and what was lost."""
+    value, side = F.col("value"), F.col("side")
+    sides = measured.groupBy("check_name").agg(
+        *[
+            F.max(F.when(side == name, value)).alias(column)
+            for name, column in (("", "counted"), ("raw", "raw_rows"), ("clean", "clean_rows"))
+        ]
+    )
+    dropped, pct, status = checks.lost_rows(F.col("raw_rows"), F.col("clean_rows"), MAX_DROPPED_PCT)
+    is_layer = F.col("raw_rows").isNotNull()
+    return sides.select(
+        "check_name",
+        "raw_rows",
+        "clean_rows",
+        F.coalesce("counted", dropped).alias(checks.COUNT),
+        pct,
+        F.when(is_layer, status).alias("status"),
+    )
 
 
 def audit_log(
@@ -188,37 +350,6 @@ def audit_summary(audit: DataFrame) -> DataFrame:
     )
 
 
-def _row_results(
-    tables: Layers, conditions: Mapping[str, Mapping[str, Column]], wanted: set[str]
-) -> list[DataFrame]:
-    results = []
-    for table, by_name in conditions.items():
-        chosen = {name: condition for name, condition in by_name.items() if name in wanted}
-        if chosen:
-            counted = checks.count_each(tables[table], chosen)
-            results.append(counted.unpivot([], list(chosen), "check_name", checks.COUNT))
-    return results
-
-
-def _key_results(
-    tables: Layers, builders: Mapping[str, Callable[[Layers], DataFrame]], wanted: set[str]
-) -> list[DataFrame]:
-    return [
-        build(tables).select(F.lit(name).alias("check_name"), checks.COUNT)
-        for name, build in builders.items()
-        if name in wanted
-    ]
-
-
-def _layer_results(tables: Layers, wanted: set[str]) -> list[DataFrame]:
-    pairs = {
-        check.name: tuple(tables.row_count(table) for table in check.table.split("→"))
-        for check in CHECKS
-        if check.name.startswith("row_count_") and check.name in wanted
-    }
-    return [checks.compare_counts(pairs, MAX_DROPPED_PCT)] if pairs else []
-
-
 def _verdicts(measured: DataFrame) -> DataFrame:
     """Put number, table, status and note to the measured counts."""
     number = F.array_position(F.lit(list(CHECK_NAMES)), F.col("check_name")).cast("int")
@@ -226,10 +357,6 @@ def _verdicts(measured: DataFrame) -> DataFrame:
     def attribute(field: str) -> Column:
         return F.element_at(F.lit([getattr(check, field) for check in CHECKS]), number)
 
-    judged = measured
-    for name in ("raw_rows", "clean_rows", "dropped_pct", "status"):
-        if name not in measured.columns:
-            judged = judged.withColumn(name, F.lit(None))
     count, raw_rows = F.col(checks.COUNT), F.col("raw_rows")
     # An empty raw table has no percentage to format; the log then says plain 0.
     pct = F.when(raw_rows == 0, F.lit("0")).otherwise(
@@ -239,7 +366,7 @@ def _verdicts(measured: DataFrame) -> DataFrame:
     layer_note = F.format_string(
         ROW_COUNT_NOTE, raw_rows.cast("bigint"), F.col("clean_rows").cast("bigint"), count, pct
     )
-    return judged.select(
+    return measured.select(
         number.alias("check_no"),
         "check_name",
         attribute("table").alias("table"),

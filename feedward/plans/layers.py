@@ -27,6 +27,7 @@ def run_job(
     *,
     expected_rows: int | None = None,
     multi_line: Collection[str] = (),
+    feeds_as_of: datetime | None = None,
 ) -> dict[str, DataFrame]:
     """Load the raw CSV directory and rebuild every layer under ``out_dir``.
 
@@ -34,14 +35,15 @@ def run_job(
     twice and no plan grows long. ``out_dir`` must be storage that all
     executors see. "First" transaction means first in the raw file. The job
     stops if the raw tables don't have ``expected_rows`` in total; tables named
-    in ``multi_line`` may have line breaks inside quotes.
+    in ``multi_line`` may have line breaks inside quotes. ``feeds_as_of`` gives
+    feed freshness a reference time of its own.
     """
     loaded = load_raw_dir(spark, raw_dir, RAW_SCHEMAS, positions=True, multi_line=multi_line)
     assert_tables(loaded, RAW_TABLES)
     if expected_rows is not None:
         assert_total_rows(loaded, expected_rows)
     with sized_shuffles(spark, sum(planned_bytes(table) for table in loaded.values())):
-        return _build(spark, loaded, out_dir, as_of, run_at, dedup)
+        return _build(spark, loaded, out_dir, as_of, run_at, dedup, feeds_as_of)
 
 
 def _build(
@@ -51,6 +53,7 @@ def _build(
     as_of: datetime,
     run_at: datetime,
     dedup: str,
+    feeds_as_of: datetime | None,
 ) -> dict[str, DataFrame]:
     for name in loaded.keys() - {"raw_transactions"}:
         loaded[name] = loaded[name].drop(*POSITION_COLUMNS)
@@ -61,6 +64,7 @@ def _build(
         tables.replace(name, rebuild(spark, tables[name], f"{out_dir}/{layer}/{name}"))
         if layer == "agg":
             export_csv(tables[name], f"{out_dir}/export/{name}.csv")
-    audit = rebuild(spark, audit_log(tables, as_of, run_at), f"{out_dir}/audit/audit_log")
+    log = audit_log(tables, as_of, run_at, feeds_as_of)
+    audit = rebuild(spark, log, f"{out_dir}/audit/audit_log")
     write_audit(audit, f"{out_dir}/export/audit_log.csv", f"{out_dir}/audit/history")
     return dict(tables) | {"audit_log": audit}

@@ -31,6 +31,7 @@ class Layers(Mapping[str, DataFrame]):
         self._valid: dict[str, DataFrame] = {}
         self._replaced: set[str] = set()
         self._unique_parents = unique_parents
+        self.as_of, self.order_by, self.dedup = as_of, order_by, dedup
         # What a table is before its referential join, the parent, and the key.
         self._unmatched: dict[str, tuple[Callable[[], DataFrame], str, str]] = {
             "clean_accounts": (
@@ -94,6 +95,10 @@ class Layers(Mapping[str, DataFrame]):
         self._tables[name] = table
         self._replaced.add(name)
 
+    def is_written(self, name: str) -> bool:
+        """Whether the table is a stored copy, so that counting it again is cheap."""
+        return name in self._replaced
+
     def row_count(self, name: str) -> DataFrame:
         """Number of rows of a table, as one row.
 

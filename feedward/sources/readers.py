@@ -17,6 +17,7 @@ from pyspark.sql.types import (
 )
 
 from feedward.functions import number_prefix
+from feedward.sources.files import list_paths
 
 # The field texts that pandas' CSV reader takes for a missing value.
 NULL_TOKENS = (
@@ -41,13 +42,18 @@ def read_raw(
 
     Fields are read as text first. That lets one scan honour every null token
     and parse numbers leniently, where a typed scan would silently turn a bad
-    field into NULL. Column pruning still reaches the scan.
+    field into NULL.
+
+    A record with too few or too many fields stops every job over the table,
+    also one that only counts: a scan that parsed the columns it needs alone
+    would take such a record for a row, and one cut by a line break for two.
 
     ``positions`` adds :data:`POSITION_COLUMNS`. ``multi_line`` allows line
     breaks inside quotes, at the price of one task per file.
     """
-    lines = spark.read.csv(
-        path, header=True, enforceSchema=False, quote='"', escape='"', multiLine=multi_line, mode="FAILFAST"
+    reader = spark.read.option("columnPruning", False).option("mode", "FAILFAST")
+    lines = reader.csv(
+        path, header=True, enforceSchema=False, quote='"', escape='"', multiLine=multi_line
     )
     if schema is None:
         schema = StructType.fromDDL(", ".join(f"`{name}` STRING" for name in lines.columns))
@@ -75,17 +81,10 @@ def load_raw_dir(
     such files are read by one task each. In all others a record with too few or
     too many fields, as a line break makes it, stops the load.
 
-    Only the distinct table paths reach the driver, however many parts there are.
+    Only the directory itself is listed, however many parts a table has.
     """
-    found = (
-        spark.read.format("binaryFile")
-        .load(f"{directory.rstrip('/')}/*.csv")
-        .select(F.regexp_extract("path", r"^(.*?/[^/]+\.csv)(/|$)", 1).alias("path"))
-        .distinct()
-        .collect()
-    )
     tables = {}
-    for path in sorted(row.path for row in found):
+    for path in list_paths(spark, f"{directory.rstrip('/')}/*.csv"):
         stem = path.rsplit("/", 1)[1].removesuffix(".csv")
         tables[f"raw_{stem}"] = read_raw(
             spark, path, schemas.get(stem), positions=positions, multi_line=stem in multi_line

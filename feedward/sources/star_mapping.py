@@ -6,7 +6,7 @@ engines read alike, so a test can run the same mapping elsewhere.
 
 Faults are seeded by key so that each check has something to find: customers
 filed under another id, missing balances and customer ids, unknown statuses,
-non-positive and sub-cent amounts, repeated transaction ids, missing latencies, empty and
+non-positive, sub-cent, huge and tiny amounts, repeated transaction ids, missing latencies, empty and
 over-delivered feeds.
 """
 
@@ -93,6 +93,7 @@ MAPPINGS: dict[str, tuple[str, list[list[str]]]] = {
                 "CASE WHEN l_linestatus = 'F' THEN 'debit' ELSE 'credit' END AS transaction_type",
                 "CAST(CASE WHEN (l_partkey + l_suppkey) % 40 = 0 THEN -l_extendedprice"
                 " WHEN l_partkey % 41 = 0 THEN 0.004 WHEN l_partkey % 43 = 0 THEN 1.005"
+                " WHEN l_partkey % 997 = 13 THEN 1e19 WHEN l_partkey % 499 = 17 THEN 1e-11"
                 " ELSE l_extendedprice END AS DOUBLE) AS amount_aud",
                 "'AUD' AS currency",
                 "l_returnflag AS merchant_name",

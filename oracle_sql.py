@@ -23,7 +23,12 @@ def _big(value: str) -> str:
     return f"CAST({value} AS BIGINT)"
 
 
-_MONEY = "CAST(t.amount_aud AS DECIMAL(28,10))"
+# By way of text, which gives every double its shortest decimal and takes a decimal back to the nearest double.
+_MONEY = "CAST(CAST(t.amount_aud AS VARCHAR) AS DECIMAL(38,12))"
+
+
+def _nearest(decimal: str) -> str:
+    return f"CAST(CAST({decimal} AS VARCHAR) AS DOUBLE)"
 
 VIEWS: dict[str, str] = {name: mapping_sql(name) for name in MAPPINGS}
 
@@ -128,8 +133,10 @@ VIEWS["reconciliation"] = f"""
 VIEWS["transaction_volumes"] = f"""
     SELECT a.account_type, a.data_holder, CAST(t.transaction_date AS DATE) AS txn_date,
            t.transaction_type, count(*) AS txn_count,
-           {_rounded(f"sum({_MONEY})", 2)} AS total_amount_aud,
-           {_rounded(f"CAST(sum({_MONEY}) AS DOUBLE) / count(*)", 2)} AS avg_amount_aud
+           {_nearest(f"round(sum({_MONEY}), 2)")} AS total_amount_aud,
+           if({_nearest(f"sum({_MONEY})")} / count(*) < 1e17,
+              {_rounded(f"least({_nearest(f'sum({_MONEY})')} / count(*), 1e17)", 2)},
+              {_nearest(f"sum({_MONEY})")} / count(*)) AS avg_amount_aud
     FROM clean_accounts a, clean_transactions t WHERE a.account_id = t.account_id
     GROUP BY ALL"""
 
@@ -317,7 +324,9 @@ VIEWS["kpi_status_mix"] = f"""
     FROM clean_feed_logs GROUP BY data_holder"""
 VIEWS["kpi_volume_trend"] = f"""
     SELECT account_type, txn_date, {_big("sum(txn_count)")} AS txn_count,
-           CAST(sum(CAST(total_amount_aud AS DECIMAL(38,2))) AS DOUBLE) AS total_amount_aud
+           {_nearest("""sum(CASE WHEN total_amount_aud < 1e15
+                    THEN CAST(CAST(total_amount_aud AS VARCHAR) AS DECIMAL(38,2))
+                    ELSE CAST(CAST(total_amount_aud AS HUGEINT) AS DECIMAL(38,2)) END)""")} AS total_amount_aud
     FROM transaction_volumes GROUP BY ALL"""
 VIEWS["kpi_cards"] = f"""
     SELECT 'success_rate_pct' AS card,
@@ -343,6 +352,46 @@ VIEWS["kpi_best_worst"] = " UNION ALL ".join(
     for position, direction in (("lowest", "ASC"), ("highest", "DESC"))
 )
 
+def _grain(grain: str, key: str | None) -> str:
+    """All measures of one grain, each from the tables that define it."""
+
+    def of(column: str) -> str:
+        if key is None:
+            return ""
+        expression = "CAST(run_at AS DATE)" if column == "run_at" else column
+        return f"WHERE {expression} IS NOT DISTINCT FROM g.{key}"
+
+    by_run = of("run_at" if key == "feed_date" else key)
+    by_day = of(key)
+    keys = "(SELECT 1)" if key is None else (
+        "(SELECT DISTINCT CAST(run_at AS DATE) AS feed_date FROM clean_feed_logs)"
+        if key == "feed_date"
+        else "(SELECT DISTINCT data_holder FROM clean_feed_logs)"
+    )
+    mean = _rounded("avg(latency_ms) FILTER (latency_ms > 0)", 0)
+    return f"""
+        SELECT {"g.data_holder" if key == "data_holder" else "NULL"} AS data_holder,
+               {"g.feed_date" if key == "feed_date" else "CAST(NULL AS DATE)"} AS feed_date,
+               '{grain}' AS grain, (SELECT count(*) FROM clean_feed_logs {by_run}) AS total_runs,
+               (SELECT {_rounded("avg(success_rate_pct)", 1)} FROM feed_health {by_day})
+               AS success_rate_unweighted,
+               (SELECT {_pct("count(*) FILTER (status = 'success')", "count(*)", 1)}
+                FROM clean_feed_logs {by_run}) AS success_rate_weighted,
+               (SELECT {_pct("count(*) FILTER (status = 'partial')", "count(*)", 1)}
+                FROM clean_feed_logs {by_run}) AS partial_share_pct,
+               (SELECT {_rounded("avg(avg_latency_ms)", 0)} FROM feed_health {by_day})
+               AS latency_ms_unweighted,
+               (SELECT {mean} FROM clean_feed_logs {by_run}) AS latency_ms_weighted,
+               (SELECT count(*) FROM reconciliation {by_day}) AS recon_groups,
+               (SELECT count(*) FILTER (reconciliation_status = 'BREACH')
+                FROM reconciliation {by_day}) AS breach_groups
+        FROM {keys} g"""
+
+
+VIEWS["kpi_grains"] = " UNION ALL ".join(
+    [_grain("holder", "data_holder"), _grain("day", "feed_date"), _grain("all", None)]
+)
+
 # Views that only help others; every other view past the mappings answers a query.
 _HELPERS = {
     "customer_copies",
@@ -382,6 +431,6 @@ ORACLES["audit_export"] = f"""
     FROM ({ORACLES["audit_log"]})"""
 ORACLES["layer_tables"] = ORACLES["load_table_rows"]
 ORACLES["rebuilt_reconciliation"] = ORACLES["reconciliation"]
-for _name in ("clean_transactions", "clean_transactions_keep_all"):
-    ORACLES[_name] = f"""
-        SELECT * REPLACE (CAST(amount_aud AS DOUBLE) AS amount_aud) FROM ({ORACLES[_name]})"""
+ORACLES["replaced_consent_summary"] = ORACLES["consent_summary"]
+ORACLES["exported_feed_health"] = ORACLES["feed_health"]
+ORACLES["job_audit_log"] = ORACLES["audit_log_keep_all"]

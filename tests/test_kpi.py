@@ -1,6 +1,8 @@
+import math
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from feedward.operators import clean, kpi, measures
 from helpers import raw, stamp, values
@@ -226,16 +228,14 @@ def test_extremes_break_ties_by_name_and_skip_missing(spark):
     assert measures.extremes(df.filter("score > 10"), "who", "score").count() == 0
 
 
-def test_kpi_cards(spark, health):
+def test_kpi_cards(spark):
     runs = logs(spark, {"latency_ms": 100}, {"latency_ms": 201}, {}, status="success")
-    cards = measures.kpi_cards(
-        health, kpi.consent_summary(consents(spark)), kpi.reconciliation(runs), runs
-    )
+    cards = measures.kpi_cards(measures.feed_grains(runs), kpi.consent_summary(consents(spark)))
     assert values(cards) == [
         ("active_consents", 2.0),
         ("avg_latency_ms", 151.0),
         ("breach_groups", 0.0),
-        ("success_rate_pct", 60.0),
+        ("success_rate_pct", 100.0),
     ]
 
 
@@ -249,14 +249,14 @@ def test_amounts_are_judged_and_summed_unrounded(spark):
     day = stamp("2024-01-05 10:00:00")
     rows = [
         {"transaction_id": str(i), "account_id": "A", "amount_aud": amount, "transaction_date": day}
-        for i, amount in enumerate([0.004, 1.005, 1.005, 1e17, 1e19, -1, 0, None])
+        for i, amount in enumerate([0.004, 1.005, 1.005, 1e17, 1e19, -1, 0, None, 1e-11, math.nan])
     ]
     table = raw(spark, "transactions", *rows)
     valid = valid_transactions(table, ["transaction_date"])
-    kept = values(valid.selectExpr("transaction_id", "CAST(amount_aud AS DOUBLE)"))
-    assert kept == [("0", 0.004), ("1", 1.005), ("2", 1.005), ("3", 1e17)]
+    kept = values(valid, "transaction_id", "amount_aud")
+    assert kept == [("0", 0.004), ("1", 1.005), ("2", 1.005), ("3", 1e17), ("4", 1e19), ("8", 1e-11)]
     condition = row_conditions(day)["raw_transactions"]
-    assert only(count_each(table, condition)) == 3
+    assert only(count_each(table, condition)) == 2
     accounts = raw(spark, "accounts", {"account_id": "A"}, {"account_id": "A"})
     small = valid.filter("transaction_id IN ('1', '2')")
     volumes = ("txn_count", "total_amount_aud")
@@ -267,15 +267,14 @@ def test_amounts_are_judged_and_summed_unrounded(spark):
 def test_cards_of_empty_tables_are_zero(spark):
     from feedward.operators import measures
     from feedward.operators.clean import clean_feed_logs, valid_consents
-    from feedward.operators.kpi import consent_summary, feed_health, reconciliation
+    from feedward.operators.kpi import consent_summary
     from helpers import raw, values
 
     logs = clean_feed_logs(raw(spark, "feed_logs"))
-    cards = measures.kpi_cards(
-        feed_health(logs), consent_summary(valid_consents(raw(spark, "consents"))), reconciliation(logs), logs
-    )
-    found = dict(values(cards))
+    grains = measures.feed_grains(logs)
+    found = dict(values(measures.kpi_cards(grains, consent_summary(valid_consents(raw(spark, "consents"))))))
     assert found["active_consents"] == 0.0 and found["breach_groups"] == 0.0
+    assert grains.count() == 0
 
 
 @pytest.mark.parametrize("customers, copies", [(1, 4000), (4000, 1), (2, 3_000_000)])
@@ -299,3 +298,57 @@ def test_volumes_of_an_account_that_repeats_often(spark, customers, copies):
     found = values(volumes, "txn_count", "total_amount_aud", "avg_amount_aud")
     assert found == [(3 * times, float(round(123707 * times / 100, 2)), 412.36)]
     assert values(measures.volume_trend(volumes), "txn_count") == [(3 * times,)]
+
+
+def test_sums_of_any_size_do_not_depend_on_partitions(spark):
+    import random
+    from fractions import Fraction
+
+    from feedward.operators import sums
+
+    rng = random.Random(3)
+    kinds = [
+        lambda: rng.choice([0.1, 1234.56, -0.004, 99999999999.99]),
+        lambda: rng.uniform(-1, 1) * 10 ** rng.randint(-300, 300),
+        lambda: rng.choice([1e19, -1e19, 1e-11, 5e-324, 1.7e308, -1.7e308, 2.0**60, 2.0**-1070, 1 / 3]),
+    ]
+    rows = [(k, kinds[k]() if rng.random() > 0.05 else None) for k in (0, 1, 2) for _ in range(300)]
+    rows += [(3, None), (4, 1e19), (4, 1e-11), (4, -1e19), (5, math.inf), (5, 1.0), (6, 1e15), (6, 0.25), (7, -0.0)]
+    df = spark.createDataFrame(rows, "k int, v double")
+    found = set()
+    for parts in (1, 3, 16):
+        split = sums.split(df.repartition(parts, "v"), F.col("v"))
+        total = sums.by_bin(split, ["k"]).groupBy("k").agg(sums.total().alias("t"))
+        found.add(tuple(values(total)))
+    (totals,) = found
+    totals = dict(totals)
+    assert totals[3] is None and totals[4] == 1e-11 and totals[5] == math.inf and totals[6] == 1e15 + 0.25 and totals[7] == 0
+    assert totals[0] == float(sum(Fraction(str(v)) for k, v in rows if k == 0 and v is not None))
+    exact = float(sum(Fraction(v) for k, v in rows if k == 1 and v is not None))
+    assert totals[1] == pytest.approx(exact, rel=1e-15)
+
+
+def test_huge_and_tiny_amounts_are_counted_and_kept_in_volumes(spark):
+    day = stamp("2024-01-05 10:00:00")
+    amounts = [1e19, 1e-11, 0.005, 7.25]
+    rows = [
+        {"transaction_id": str(i), "account_id": "A", "amount_aud": v, "transaction_date": day}
+        for i, v in enumerate(amounts)
+    ]
+    found = clean.valid_transactions(raw(spark, "transactions", *rows), ["transaction_date"])
+    one = raw(spark, "accounts", {"account_id": "A"})
+    columns = ("txn_count", "total_amount_aud", "avg_amount_aud")
+    assert values(kpi.transaction_volumes(found, one), *columns) == [(4, 1e19, 2.5e18)]
+    small = found.filter("amount_aud < 1")  # a tie that the tiny amount decides
+    assert values(kpi.transaction_volumes(small, one), *columns) == [(2, 0.01, 0.0)]
+
+
+def test_no_total_is_rounded_before_the_last(spark):
+    day = stamp("2024-01-05 10:00:00")
+    rows = [
+        {"transaction_id": str(i), "account_id": f"A{i}", "amount_aud": 0.0000004, "transaction_date": day}
+        for i in range(25_000)
+    ]
+    found = clean.valid_transactions(raw(spark, "transactions", *rows), dedup="keep_all")
+    many = raw(spark, "accounts", *({"account_id": f"A{i}", "account_type": "s"} for i in range(25_000)))
+    assert values(kpi.transaction_volumes(found, many), "total_amount_aud") == [(0.01,)]

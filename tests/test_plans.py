@@ -140,3 +140,40 @@ def test_as_of_is_the_only_clock(spark):
         )
     )
     assert "current" not in text
+
+
+SCANS = {"lineitem": 2, "orders": 3, "customer": 3, "events": 2}
+
+
+@needs_data
+@pytest.mark.parametrize(
+    "name", ["audit_log", "audit_log_keep_all", "audit_summary", "check_row_counts"]
+)
+def test_audit_shares_scans(spark, name):
+    with settings(spark, LARGE):
+        text = plan(driver.feed_queries()[name](spark, str(DATA)))
+    for table, most in SCANS.items():
+        assert len(re.findall(rf"FileScan parquet .*/{table}\.parquet", text)) <= most
+
+
+@needs_data
+@pytest.mark.parametrize(
+    "name, tables",
+    [
+        ("check_null_balance", {"orders": 1}),
+        ("check_invalid_consent_status", {"orders": 1}),
+        ("check_orphaned_accounts", {"orders": 1, "customer": 1}),
+        ("check_duplicate_transaction_ids", {"lineitem": 1}),
+        ("check_invalid_amount", {"lineitem": 1}),
+        ("check_orphaned_transactions", {"lineitem": 1, "orders": 1, "customer": 1}),
+        ("check_stale_feed", {"events": 1}),
+        ("kpi_cards", {"events": 1, "orders": 1, "customer": 1}),
+        ("kpi_best_worst", {"events": 1}),
+        ("kpi_grains", {"events": 1}),
+    ],
+)
+def test_a_query_scans_what_it_needs_once(spark, name, tables):
+    with settings(spark, LARGE):
+        text = plan(driver.feed_queries()[name](spark, str(DATA)))
+    found = re.findall(r"FileScan parquet .*/(\w+)\.parquet", text)
+    assert {table: found.count(table) for table in found} == tables

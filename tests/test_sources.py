@@ -55,12 +55,32 @@ def test_read_raw_null_tokens_and_money(spark, tmp_path):
     assert df.count() == len(amounts)
 
 
-def test_csv_scan_reads_only_the_columns_it_needs(spark, tmp_path):
-    path = tmp_path / "accounts.csv"
-    path.write_text(ACCOUNTS)
-    df = read_raw(spark, str(path), RAW_SCHEMAS["accounts"]).select("balance_aud")
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<balance_aud:string>" in plan
+BROKEN = {
+    "short": 'T1,A1\n',
+    "long": f"T1{',x' * 10}\n",
+    "quoted break": 'T1,A1,debit,1,AUD,m,,,"one\ntwo",s\n',
+}
+
+
+@pytest.mark.parametrize("record", BROKEN.values(), ids=BROKEN)
+def test_a_broken_record_stops_every_job(spark, tmp_path, record):
+    names = RAW_SCHEMAS["transactions"].names
+    good = "T0,A1,debit,1,AUD,m,,,d,s\n"
+    (tmp_path / "transactions.csv").write_text(",".join(names) + "\n" + good + record + good)
+    tables = load_raw_dir(spark, str(tmp_path), RAW_SCHEMAS)
+    df = tables["raw_transactions"]
+    jobs = [
+        df.collect,
+        df.count,
+        df.select("transaction_id").collect,
+        df.filter("transaction_id = 'T0'").select("status").collect,
+        df.filter("amount_aud > 5").count,
+        lambda: catalog.assert_total_rows(tables, 3),
+        lambda: catalog.table_rows(tables).collect(),
+    ]
+    for job in jobs:
+        with pytest.raises(Exception, match="(?i)malformed"):
+            job()
 
 
 def test_positions_follow_the_file(spark, tmp_path):
@@ -100,6 +120,7 @@ def test_row_totals(spark):
 
 def test_writes_replace_and_the_catalog_lists(spark, tmp_path):
     spark.sql("CREATE DATABASE IF NOT EXISTS layer_test")
+    spark.range(9).write.saveAsTable("layer_test.numbers")
     for rows in (5, 3):
         writers.write_table(spark.range(rows), "layer_test.numbers")
         again = writers.rebuild(spark, spark.range(rows), str(tmp_path / "numbers"))
@@ -107,18 +128,71 @@ def test_writes_replace_and_the_catalog_lists(spark, tmp_path):
     assert again.count() == 3
     assert catalog.list_tables(spark, "layer_test") == ["numbers"]
     catalog.assert_tables(catalog.list_tables(spark, "layer_test"), ["numbers"])
+    before = spark.table("layer_test.numbers")
+    writers.write_table(before.union(before), "layer_test.numbers")
+    assert (before.count(), spark.table("layer_test.numbers").count()) == (3, 6)
     spark.sql("DROP DATABASE layer_test CASCADE")
 
 
+def failing(spark):
+    return spark.range(100).selectExpr("raise_error('no') AS id", "id AS day")
+
+
+def test_a_failing_write_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "numbers")
+    with pytest.raises(FileNotFoundError):
+        writers.read_layer(spark, path)
+    writers.rebuild(spark, spark.range(5), path)
+    writers.write_table(spark.range(4), "kept_numbers")
+    for _ in range(3):
+        with pytest.raises(Exception, match="no"):
+            writers.rebuild(spark, failing(spark), path)
+        with pytest.raises(Exception, match="no"):
+            writers.write_table(failing(spark), "kept_numbers")
+    assert writers.read_layer(spark, path).count() == 5
+    assert spark.table("kept_numbers").count() == 4
+    spark.sql("DROP VIEW kept_numbers")
+
+
+def test_a_table_can_be_rebuilt_from_itself_under_its_readers(spark, tmp_path):
+    path = str(tmp_path / "numbers")
+    table = writers.rebuild(spark, spark.range(2), path)
+    for rows in (4, 8, 16):
+        reader = table
+        table = writers.rebuild(spark, table.union(table), path)
+        assert (reader.count(), table.count()) == (rows // 2, rows)
+    assert writers.read_layer(spark, path).count() == 16
+    assert len(list((tmp_path / "numbers").glob("v*"))) == 2
+
+
 def test_partitioned_layer_prunes(spark, tmp_path):
-    df = spark.range(10).selectExpr("id", "date_add(DATE '2026-01-01', CAST(id AS INT)) AS day")
-    writers.write_layer(df, str(tmp_path / "days"), ["day"])
-    read = spark.read.parquet(str(tmp_path / "days")).filter("day = DATE '2026-01-03'")
+    df = spark.range(10).selectExpr("date_add(DATE '2026-01-01', CAST(id AS INT)) AS day", "id")
+    read = writers.rebuild(spark, df, str(tmp_path / "days"), ["day"])
+    assert read.dtypes == df.dtypes
+    read = read.filter("day = DATE '2026-01-03'")
     assert read.count() == 1
     plan = read._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan
 
 
+def test_the_log_is_computed_once(spark, tmp_path):
+    runs = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            runs.add(batch.num_rows)
+            yield batch
+
+    log = spark.createDataFrame([(2, "r", "b"), (1, "r", "a")], "check_no int, run_at string, check_name string")
+    log = log.coalesce(1).mapInArrow(counted, log.schema)
+    for _ in range(2):
+        written = writers.rebuild(spark, log, str(tmp_path / "log"))
+        writers.write_audit(written, str(tmp_path / "log.csv"), str(tmp_path / "history"))
+    assert runs.value == 4
+    assert [r.check_name for r in spark.read.csv(str(tmp_path / "log.csv"), header=True).collect()] == ["a", "b"]
+    assert spark.read.parquet(str(tmp_path / "history")).count() == 2
+
+
 def test_csv_export_round_trip(spark, tmp_path):
     path = tmp_path / "accounts.csv"
     path.write_text(ACCOUNTS)
