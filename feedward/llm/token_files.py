@@ -50,11 +50,11 @@ FRAME_TOKENS = 1 << 20
 _UNKNOWN = 1 << 55
 _BATCH = 1 << 22
 #: Bytes of words and their ids that a task remembers; beyond, it starts anew.
-_REMEMBERED = 3 << 26
+_REMEMBERED = 5 << 24
 _GROUP = 64
 _CLOSING = frozenset([b".", b",", b";", b":", b"!", b"?"])
 #: Texts of so many bytes, or such a part of one, are encoded together.
-_TOGETHER = 1 << 22
+_TOGETHER = 1 << 21
 
 
 class DamagedFile(ValueError):
@@ -301,7 +301,7 @@ def write_tokens(
         def documents() -> Iterator[tuple[int | None, bytes]]:
             for batch in batches:
                 ids = batch["id"].to_pylist()
-                for start, texts in text_portions(batch["text"], 1 << 21):
+                for start, texts in text_portions(batch["text"], 1 << 20):
                     yield from zip(ids[start : start + len(texts)], encoder(texts), strict=True)
 
         parts = ((part,) for part in file_parts(documents(), frame_tokens))
