@@ -47,7 +47,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _layers(spark: SparkSession, sf_dir: str, **options) -> Layers:
     raw = {name: partial(mapped_raw, spark, sf_dir, name) for name in MAPPINGS}
-    return Layers(raw, AS_OF.date(), TRANSACTION_ORDER, **options)
+    return Layers(raw, AS_OF.date(), TRANSACTION_ORDER, stored=True, **options)
 
 
 def _on(build: Callable[[Layers], DataFrame], **options) -> Query:

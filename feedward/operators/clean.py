@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedward.functions import any_present, day_of, is_positive, percent, second_of
-from feedward.operators.joins import having_parent, keep_first
+from feedward.operators.joins import LOCATOR, fetched, having_parent, keep_first, located
 
 # The statuses each feed may carry and the marker for "no latency".
 CONSENT_STATUSES = ("active", "revoked", "expired")
@@ -103,18 +103,25 @@ def valid_transactions(
     so an id whose first row is invalid disappears. ``"keep_all"`` keeps every
     row that has an id.
     """
+    return _typed_transactions(_kept_transactions(raw, order_by, dedup))
+
+
+def _kept_transactions(raw: DataFrame, order_by: Sequence[str] | None, dedup: str) -> DataFrame:
     if dedup == "first":
         rows = keep_first(raw, "transaction_id", order_by)
     elif dedup == "keep_all":
         rows = raw.filter(F.col("transaction_id").isNotNull())
     else:
         raise ValueError(f"unknown dedup mode: {dedup!r}")
-    amount = F.col("amount_aud").cast("double")
-    return rows.filter(is_positive(amount)).select(
+    return rows.filter(is_positive(F.col("amount_aud")))
+
+
+def _typed_transactions(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "transaction_id",
         "account_id",
         "transaction_type",
-        amount.alias("amount_aud"),
+        F.col("amount_aud").cast("double").alias("amount_aud"),
         "currency",
         "merchant_name",
         second_of(F.col("transaction_date")).alias("transaction_date"),
@@ -131,10 +138,24 @@ def clean_transactions(
     *,
     dedup: Literal["first", "keep_all"] = "first",
     unique_parent: bool = False,
+    stored: bool = False,
 ) -> DataFrame:
-    """Valid transactions on clean accounts."""
-    valid = valid_transactions(raw, order_by, dedup=dedup)
-    return having_parent(valid, accounts, "account_id", unique_parent=unique_parent)
+    """Valid transactions on clean accounts.
+
+    ``stored`` says that raw is a plan over Parquet files which only projects and
+    filters. Which rows stay is then decided on ids, order, account and amount
+    alone, and the whole rows are fetched by their place in the files.
+    """
+    if not stored:
+        valid = valid_transactions(raw, order_by, dedup=dedup)
+        return having_parent(valid, accounts, "account_id", unique_parent=unique_parent)
+    rows = located(raw)
+    if order_by is None:
+        order_by = [name for name in raw.columns if name != "transaction_id"]
+    needed = dict.fromkeys(["transaction_id", "account_id", "amount_aud", *order_by, *LOCATOR])
+    kept = _kept_transactions(rows.select(*needed), order_by, dedup).select("account_id", *LOCATOR)
+    matched = having_parent(kept, accounts, "account_id", unique_parent=unique_parent)
+    return _typed_transactions(fetched(rows, matched.select(*LOCATOR)))
 
 
 def clean_feed_logs(raw: DataFrame) -> DataFrame:

@@ -58,3 +58,23 @@ def keep_first(df: DataFrame, key: str, order_by: Sequence[str] | None = None) -
     """The first row of each key, see :func:`ranked`; rows without a key are dropped."""
     first = ranked(df.filter(F.col(key).isNotNull()), key, order_by)
     return first.filter(F.col("_rank") == 1).drop("_rank")
+
+
+#: A row's place among the stored files, see :func:`located`.
+LOCATOR = ("_located_file", "_located_row")
+
+
+def located(df: DataFrame) -> DataFrame:
+    """The rows of a plan that only projects and filters stored Parquet files, with their places there."""
+    file, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    return df.select("*", file.alias(LOCATOR[0]), row.alias(LOCATOR[1]))
+
+
+def fetched(df: DataFrame, places: DataFrame) -> DataFrame:
+    """The :func:`located` rows at the given places, as often as each place is given.
+
+    Whatever has been decided on a few columns is applied to the whole rows here: they are
+    shuffled once and never sorted. The hash table of a task holds nothing but places.
+    """
+    rows = df.join(places.hint("shuffle_hash"), list(LOCATOR))
+    return rows.drop(*LOCATOR)

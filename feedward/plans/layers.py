@@ -31,7 +31,7 @@ def run_job(
 ) -> dict[str, DataFrame]:
     """Load the raw CSV directory and rebuild every layer under ``out_dir``.
 
-    Each table is written before the next one reads it, so nothing is computed
+    Each table is written as Parquet before the next one reads it, so nothing is computed
     twice and no plan grows long. ``out_dir`` must be storage that all
     executors see. "First" transaction means first in the raw file. The job
     stops if the raw tables don't have ``expected_rows`` in total; tables named
@@ -58,7 +58,7 @@ def _build(
     for name in loaded.keys() - {"raw_transactions"}:
         loaded[name] = loaded[name].drop(*POSITION_COLUMNS)
     raw = {name: partial(loaded.get, name) for name in loaded}
-    tables = Layers(raw, as_of.date(), POSITION_COLUMNS, dedup)
+    tables = Layers(raw, as_of.date(), POSITION_COLUMNS, dedup, stored=True)
     for name in tables:
         layer = name.split("_", 1)[0]
         tables.replace(name, rebuild(spark, tables[name], f"{out_dir}/{layer}/{name}"))

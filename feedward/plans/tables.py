@@ -17,6 +17,8 @@ class Layers(Mapping[str, DataFrame]):
 
     ``unique_parents`` promises that no parent key repeats, which a
     ``unique_check`` can show; referential filters are then semi joins.
+    ``stored`` says that raw tables are plans over Parquet files that only project
+    and filter, so that rows can be fetched by their place there.
     """
 
     def __init__(
@@ -26,11 +28,12 @@ class Layers(Mapping[str, DataFrame]):
         order_by: Sequence[str] | None = None,
         dedup: str = "first",
         unique_parents: bool = False,
+        stored: bool = False,
     ) -> None:
         self._tables: dict[str, DataFrame] = {}
         self._valid: dict[str, DataFrame] = {}
         self._replaced: set[str] = set()
-        self._unique_parents = unique_parents
+        self._unique_parents, self._stored = unique_parents, stored
         self.as_of, self.order_by, self.dedup = as_of, order_by, dedup
         # What a table is before its referential join, the parent, and the key.
         self._unmatched: dict[str, tuple[Callable[[], DataFrame], str, str]] = {
@@ -54,7 +57,9 @@ class Layers(Mapping[str, DataFrame]):
         }
         self._builders: dict[str, Callable[[], DataFrame]] = dict(raw) | {
             "clean_customers": lambda: clean.clean_customers(self["raw_customers"]),
-            **{name: partial(self._matched, name) for name in self._unmatched},
+            "clean_accounts": partial(self._matched, "clean_accounts"),
+            "clean_consents": partial(self._matched, "clean_consents"),
+            "clean_transactions": self._transactions,
             "clean_feed_logs": lambda: clean.clean_feed_logs(self["raw_feed_logs"]),
             "agg_feed_health": lambda: kpi.feed_health(self["clean_feed_logs"]),
             "agg_consent_summary": lambda: kpi.consent_summary(self["clean_consents"]),
@@ -76,6 +81,16 @@ class Layers(Mapping[str, DataFrame]):
     def _matched(self, name: str) -> DataFrame:
         return having_parent(*self._sides(name), unique_parent=self._unique_parents)
 
+    def _transactions(self) -> DataFrame:
+        return clean.clean_transactions(
+            self["raw_transactions"],
+            self["clean_accounts"],
+            self.order_by,
+            dedup=self.dedup,
+            unique_parent=self._unique_parents,
+            stored=self._stored,
+        )
+
     def _volumes(self) -> DataFrame:
         """From the written transactions if there are any, else with a single join."""
         name = "clean_transactions"
