@@ -183,16 +183,17 @@ def dedup_lines(
     as they are, lines that only differ in outer blanks are equal, blank lines go where the lines
     on both sides go, words of a passage leave one space between what stays of their line. An empty table gives an empty table.
     """
-    hashed, out = free_name(docs, "_hash"), free_name(docs, "deduped")
+    out = free_name(docs, "deduped")
     runs = repeated_runs(docs, min_words, id_col, text_col).withColumn("passages", F.lit(None))
     passages = repeated_passages(docs, passage_words, gram, id_col, text_col).withColumn("runs", F.lit(None))
     # Together in one table, so that texts are joined once.
-    repeats = runs.unionByName(passages).groupBy(F.col("id").alias("_run_id"), F.col("text_hash").alias("_run_hash"))
-    repeats = repeats.agg(F.first("runs", True).alias("_runs"), F.first("passages", True).alias("_passages"))
-    marked = docs.withColumn(hashed, text_hash(F.col(text_col)))
-    joined = marked.join(
-        repeats.hint("merge"), F.col(id_col).eqNullSafe(F.col("_run_id")) & (F.col(hashed) == F.col("_run_hash")), "left"
-    )
+    repeats = runs.unionByName(passages).groupBy(F.col("id").alias("run_id"), F.col("text_hash").alias("run_hash"))
+    repeats = repeats.agg(F.first("runs", True).alias("runs"), F.first("passages", True).alias("passages"))
+    # Whole rows in one column, so that no name of theirs can clash with those used here.
+    marked = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    text = F.col("row").getField(text_col)
+    marked = marked.withColumn("id", F.col("row").getField(id_col)).withColumn("hash", text_hash(text))
+    joined = marked.join(repeats.hint("merge"), F.col("id").eqNullSafe(F.col("run_id")) & (F.col("hash") == F.col("run_hash")), "left")
 
     kept = pa.struct([("text", pa.string()), ("deleted", pa.int32()), ("left", pa.bool_())])
 
@@ -202,19 +203,18 @@ def dedup_lines(
             yield pa.array((_cut_row(row, gram) for row in zip(*batch, strict=True)), kept, size=len(batch[0]))
 
     # Only texts that change travel to Python.
-    repeated = F.col("_runs").isNotNull() | F.col("_passages").isNotNull()
-    changed = cut(F.when(repeated, F.col(text_col)), F.col("_runs"), F.col("_passages"))
-    cut_out = joined.withColumn("_cut", changed)
-    result = F.struct(
-        F.coalesce("_cut.text", F.col(text_col)).alias("text"), F.col("_cut.deleted").alias("deleted"), F.col("_cut.left").alias("left")
-    )
-    return cut_out.select(*(F.col(f"`{c}`") for c in docs.columns), result.alias(out))
+    repeated = F.col("runs").isNotNull() | F.col("passages").isNotNull()
+    cut_out = joined.withColumn("cut", cut(F.when(repeated, text), F.col("runs"), F.col("passages")))
+    result = F.struct(F.coalesce("cut.text", text).alias("text"), F.col("cut.deleted").alias("deleted"), F.col("cut.left").alias("left"))
+    return cut_out.select(*(F.col("row").getField(c).alias(c) for c in docs.columns), result.alias(out))
 
 
 def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The documents with later repeats cut out of their texts; ``n_chars`` follows the text.
 
     A document of which nothing but blanks is left, so that all of it stands earlier, is dropped.
+    Null and empty texts stay as they are, null ids and repeated rows are kept, an empty table
+    gives an empty table, and further columns stay whatever their names.
     """
     found = dedup_lines(docs, min_words)
     result = found.columns[-1]

@@ -104,13 +104,43 @@ def _best(scores: np.ndarray, keys: np.ndarray, k: int) -> list[np.ndarray]:
     return out
 
 
+def inner_products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Of each row with the row beside it, added from the first component to the last."""
+    return np.add.accumulate(queries * vectors, axis=1)[:, -1] if queries.shape[1] else np.zeros(len(queries))
+
+
+def _best_exact(
+    queries: np.ndarray, vectors: np.ndarray, keys: np.ndarray, k: int, apart: np.ndarray | None = None
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each query (numbers, scores) of its k best vectors, ties to the smaller key.
+
+    A product of matrices, whose last bits depend on its shape, only chooses among whom to look; all
+    within its error of the k-th best get their score by ``inner_products``, and that decides.
+    ``apart`` marks pairs that don't count.
+    """
+    rough = queries @ vectors.T
+    if apart is not None:
+        rough[apart] = -np.inf
+    norms = np.linalg.norm(queries, axis=1) * np.linalg.norm(vectors, axis=1).max(initial=0.0)
+    slack = 4 * (queries.shape[1] + 1) * np.finfo(float).eps * norms
+    if rough.shape[1] > k:
+        least = -np.partition(-rough, k - 1, axis=1)[:, k - 1]
+    else:
+        least = np.full(len(rough), -np.inf)
+    out = []
+    for query, row, bound in zip(queries, rough, least - slack, strict=True):
+        among = np.flatnonzero((row >= bound) & (row > -np.inf))
+        scores = inner_products(np.broadcast_to(query, (len(among), len(query))), vectors[among])
+        order = np.lexsort((keys[among], -scores))[:k]
+        out.append((among[order], scores[order]))
+    return out
+
+
 def valid_vectors(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(vec_id, vec) of the rows that take part: doubles of the most common length."""
+    """(vec_id, vec) of the rows that take part."""
     vectors = table.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vec"))
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(math.inf)))
-    vectors = vectors.filter(F.col("vec_id").isNotNull() & finite & F.exists("vec", lambda x: x != 0))
-    lengths = vectors.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).head(1)
-    return vectors.filter(F.size("vec") == (lengths[0].n if lengths else 0))
+    return vectors.filter(F.col("vec_id").isNotNull() & finite & F.exists("vec", lambda x: x != 0))
 
 
 def nearest_neighbours(
@@ -141,11 +171,24 @@ def nearest_neighbours(
     dealt into shards of about ``shard_rows`` rows; one that has many more, or many visitors,
     is cut into parts, all of which are visited.
 
-    Vectors that are null, zero, of another length than most or hold a null or non-finite
-    component take no part, nor do null ids; rows that repeat id and vector count once, and an
+    Scores are inner products in double precision, added from the first component to the last, however
+    the rows are dealt; ties go to the smaller id. Vectors that are null, zero or hold a null or non-finite
+    component take no part, nor do null ids. Vectors of each length are searched by themselves, as there is no
+    inner product between two lengths. Rows that repeat id and vector count once, and an
     id with several vectors is searched for each. An empty table gives no rows; other columns are ignored.
     """
     rows = valid_vectors(table, id_col, vector_col)
+    lengths = sorted(row.n for row in rows.select(F.size("vec").alias("n")).distinct().collect())
+    options = (k, every, tables, width, bucket_rows, shard_rows, shard_queries, calibration, recall, exact_queries, seed)
+    searched = [_search(rows.filter(F.size("vec") == n), *options) for n in lengths or [0]]
+    return reduce(DataFrame.unionByName, searched)
+
+
+def _search(
+    rows: DataFrame, k: int, every: int, tables: int, width: float, bucket_rows: int, shard_rows: int,
+    shard_queries: int, calibration: int, recall: float, exact_queries: int, seed: int,
+) -> DataFrame:
+    """The answers among vectors of one length."""
     key = F.struct(F.xxhash64("vec").alias("x"), F.xxhash64(F.lit(seed + 1), F.col("vec")).alias("y"))
     rows = checkpointed(rows.withColumn("vid", key).dropDuplicates(["vec_id", "vid"]))
     by_id = Window.partitionBy("vid").orderBy("vec_id")
@@ -206,37 +249,45 @@ def _ranked(answers: DataFrame, k: int) -> DataFrame:
 
 
 def _exact(pool: DataFrame, queries: DataFrame, k: int, block: int) -> DataFrame:
-    """The k best rows of the pool for each query, by comparing all; so many queries meet all rows at once."""
+    """The k best rows of the pool for each query, by comparing all.
+
+    So many queries at a time go to all tasks, which keep the best rows of theirs; no row of the
+    pool is shuffled.
+    """
     blocks = max(1, -(-queries.count() // block))
-    queries = queries.select("query", "query_id", "vec", F.pmod(F.xxhash64("query_id", "query"), F.lit(blocks)).alias("block"))
-    numbers = F.sequence(F.lit(0), F.lit(blocks - 1))
-    parts = max(1, -(-pool.count() // 32_768))
-    part = F.pmod(F.xxhash64("vec_id", "vid"), F.lit(parts)).alias("part")
-    left = pool.select("vid", "vec_id", "vec", part).withColumn("block", F.explode(numbers))
-    right = queries.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    left = left.select("block", "part", "vec_id", "vec")
-    right = right.select("block", "part", F.col("query.x").alias("qx"), F.col("query.y").alias("qy"), "query_id", "vec")
-
-    def rank(stored: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
-        out = [[]] * 3
-        if len(stored) and len(asking):
-            vectors, ids, found = _matrix(stored["vec"]), stored["vec_id"].to_numpy(), []
-            wanted, own = _matrix(asking["vec"]), asking["query_id"].to_numpy()
-            for at in range(0, len(asking), 256):
-                scores = wanted[at : at + 256] @ vectors.T
-                scores[own[at : at + 256, None] == ids] = -np.inf
-                for q, best in enumerate(_best(scores, ids, k)):
-                    best = best[scores[q, best] > -np.inf]
-                    found.append((np.full(len(best), at + q), ids[best], scores[q, best]))
-            out = [np.concatenate(x) for x in zip(*found, strict=True)]
-        q = np.asarray(out[0], np.int64)
-        asker = {name: asking[name].to_numpy()[q] for name in ("qx", "qy", "query_id")}
-        return pd.DataFrame({**asker, "vec_id": np.asarray(out[1], np.int64), "score": np.asarray(out[2], float)})
-
-    schema = "qx long, qy long, query_id long, vec_id long, score double"
-    group = ["block", "part"]
-    scored = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(rank, schema)
-    return _ranked(scored.withColumn("query", F.struct(F.col("qx").alias("x"), F.col("qy").alias("y"))), k)
+    dealt = queries.select("query", "query_id", "vec", F.pmod(F.xxhash64("query_id", "query"), F.lit(blocks)).alias("block"))
+    found = []
+    for number in range(blocks):
+        asking = dealt.filter(F.col("block") == number).drop("block").toPandas()
+        if not len(asking):
+            continue
+        wanted, own = _matrix(asking["vec"]), asking["query_id"].to_numpy(np.int64)
+        x, y = (np.array([q[name] for q in asking["query"]], np.int64) for name in ("x", "y"))
+        best = pool.select("vec_id", "vec").mapInPandas(_keep_best(wanted, own, x, y, k), "qx long, qy long, query_id long, vec_id long, score double")
+        best = best.withColumn("query", F.struct(F.col("qx").alias("x"), F.col("qy").alias("y")))
+        found.append(checkpointed(_ranked(best, k)))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _keep_best(wanted: np.ndarray, own: np.ndarray, x: np.ndarray, y: np.ndarray, k: int) -> Callable:
+    """For a task's rows: the k best of each query, which is all that a task holds."""
+
+    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = [(np.zeros(0, np.int64), np.zeros(0))] * len(wanted)
+        for batch in batches:
+            vectors, ids = _matrix(batch["vec"]), batch["vec_id"].to_numpy(np.int64)
+            for at in range(0, len(wanted) if len(ids) else 0, 256):
+                some = slice(at, at + 256)
+                near = _best_exact(wanted[some], vectors, ids, k, own[some, None] == ids)
+                for q, (rows, scores) in enumerate(near, at):
+                    among, values = np.concatenate([best[q][0], ids[rows]]), np.concatenate([best[q][1], scores])
+                    order = np.lexsort((among, -values))[:k]
+                    best[q] = among[order], values[order]
+        for q, (among, values) in enumerate(best):
+            if len(among):
+                yield pd.DataFrame({"qx": x[q], "qy": y[q], "query_id": own[q], "vec_id": among, "score": values})
+
+    return keep
 
 
 def _calibrate(
@@ -384,9 +435,8 @@ def best_of_buckets(stored: pd.DataFrame, visiting: pd.DataFrame, k: int) -> lis
         asking = wanted_by.get(int(bucket[rows[0]]), [])
         for at in range(0, len(asking), 256):
             some = asking[at : at + 256]
-            scores = queries[some] @ vectors[rows].T
-            for q, score, best in zip(some, scores, _best(scores, least[rows], k), strict=True):
-                near[q].append((rows[best], score[best]))
+            for q, (best, scores) in zip(some, _best_exact(queries[some], vectors[rows], least[rows], k), strict=True):
+                near[q].append((rows[best], scores))
     out = []
     for q, parts in enumerate(near):
         if parts:

@@ -15,10 +15,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, free_name
+from .common import checkpointed
 from .components import connected_components
 
 SEED = 42
@@ -162,15 +162,33 @@ def close_groups(points: np.ndarray, reach: int, block: int = 64) -> Iterator[np
             yield members
 
 
+def sample_for(total: int, shard_size: int, sample_size: int) -> int:
+    """How many of so many fingerprints define a tree whose leaves hold about ``shard_size`` each.
+
+    A leaf keeps 32 of the sample, so the sample grows with the number of leaves up to its bound.
+    """
+    return min(sample_size, max(20_000, -(-total * 32 // shard_size)))
+
+
 def link_fingerprints(
-    fingerprints: DataFrame, reach: int, sample_size: int = 20_000, shard_size: int = 4_096
+    fingerprints: DataFrame, reach: int, sample_size: int = 1 << 21, shard_size: int = 4_096, most: int = 65_536
 ) -> DataFrame:
-    """(fp, root) of all distinct ``fp`` (signed longs) that have a link within ``reach`` bits."""
+    """(fp, root) of all distinct ``fp`` (signed longs) that have a link within ``reach`` bits.
+
+    The tree is built from a sample that grows with the table, of at most ``sample_size``. A leaf
+    that nothing splits further, as the near copies around one text make it, may hold any number of
+    fingerprints: where the sample tells of more than ``most``, they are linked by the neighbours
+    that they share, see :func:`dense_stars`, and no task gathers them.
+    """
     distinct = fingerprints.select("fp")
     total = distinct.count()
-    sample = distinct.orderBy(F.xxhash64("fp"), "fp").limit(sample_size).toPandas()["fp"].to_numpy(np.int64)
+    wanted = sample_for(total, shard_size, sample_size)
+    sample = distinct.orderBy(F.xxhash64("fp"), "fp").limit(wanted).toPandas()["fp"].to_numpy(np.int64)
     leaf = max(32, int(len(sample) * shard_size / max(1, total)))
-    tree, _ = build_tree(sample.view(np.uint64), leaf, reach)
+    points = sample.view(np.uint64)
+    tree, _ = build_tree(points, leaf, reach)
+    ratio = total / max(1, len(sample))
+    dense = sorted(shard for shard, index in shards_of(tree, points, reach) if len(index) * ratio > most and reach == 2)
     shared = fingerprints.sparkSession.sparkContext.broadcast(tree)
 
     @F.pandas_udf("array<int>")
@@ -189,11 +207,31 @@ def link_fingerprints(
         linked = roots != np.arange(len(points))
         return pd.DataFrame({"a": fps[linked], "b": fps[roots[linked]]})
 
-    dealt = distinct.select("fp", F.explode(shards("fp")).alias("shard"))
-    edges = dealt.groupBy("shard").applyInPandas(stars, "a long, b long")
+    dealt = distinct.select("fp", shards("fp").alias("shards"))
+    if not dense:
+        edges = dealt.select("fp", F.explode("shards").alias("shard"))
+        edges = edges.groupBy("shard").applyInPandas(stars, "a long, b long")
+    else:
+        dealt = checkpointed(dealt)
+        crowded = F.array(*map(F.lit, dense))
+        sparse = dealt.select("fp", F.explode(F.array_except("shards", crowded)).alias("shard"))
+        edges = sparse.groupBy("shard").applyInPandas(stars, "a long, b long")
+        edges = edges.unionByName(dense_stars(dealt.filter(F.arrays_overlap("shards", crowded))))
     return connected_components(edges).withColumnRenamed("node", "fp")
 
 
+def dense_stars(fingerprints: DataFrame) -> DataFrame:
+    """(a, b) links that join all distinct ``fp`` within two bits of each other.
+
+    Two fingerprints are within two bits exactly if some number is within one bit of both. Of the
+    at most 65 fingerprints around each number, all are linked to the least.
+    """
+    around = F.expr("transform(sequence(0, 64), i -> if(i = 64, fp, fp ^ shiftleft(1L, i)))")
+    near = fingerprints.select("fp", F.explode(around).alias("number"))
+    least = F.min("fp").over(Window.partitionBy("number"))
+    return near.select(F.col("fp").alias("a"), least.alias("b")).filter("a != b").distinct()
+
+
 def text_hash(column: Column) -> Column:
     return F.xxhash64(F.coalesce(column, F.lit("")))
 
@@ -243,16 +281,19 @@ def near_duplicates(
 def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """One document of each component with all its columns: that with the smallest id.
 
-    Rows that repeat an id and a text count as one document. Texts are shuffled once, by id
+    Rows that repeat an id and a text count as one document. Null and empty texts are near
+    duplicates of each other; a null id stays only where its component has no other, an empty
+    table gives an empty table, and further columns stay whatever their names. Texts are shuffled once, by id
     and text hash, after such repeated rows have been combined; decisions are slim rows.
     """
     found = near_duplicates(docs, shingle, max_bits)
     firsts = found.groupBy("first").agg(F.count(F.lit(1)).alias("n")).select(
-        F.col("first.id").alias("_first_id"), F.col("first.text_hash").alias("_first_hash")
+        F.col("first.id").alias("first_id"), F.col("first.text_hash").alias("first_hash")
     )
-    key = free_name(docs, "_hash")
-    single = docs.withColumn(key, text_hash(F.col("text"))).dropDuplicates(["doc_id", key])
-    kept = single.join(
-        firsts, F.col("doc_id").eqNullSafe(F.col("_first_id")) & (F.col(key) == F.col("_first_hash")), "left_semi"
+    # Whole rows in one column, so that no name of theirs can clash with those used here.
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    rows = rows.withColumn("id", F.col("row.doc_id")).withColumn("hash", text_hash(F.col("row.text")))
+    kept = rows.dropDuplicates(["id", "hash"]).join(
+        firsts, F.col("id").eqNullSafe(F.col("first_id")) & (F.col("hash") == F.col("first_hash")), "left_semi"
     )
-    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
+    return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))

@@ -9,6 +9,7 @@ over every word of every text; the marginals of a document become its score thro
 logistic calibration, and runs of likely words are its offending spans.
 """
 
+import hashlib
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -25,13 +26,19 @@ from .words import words
 #: Words in a text whose capitals are still there.
 WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 CHAIN = 64  # words of a chain; longer texts are scored in several chains, none is cut off
+LEAD = 8  # words that a chain reads on either side of those it scores, where the text goes on
+
+
+def word_key(word: bytes) -> bytes:
+    """The word itself, or a digest where it is long."""
+    return word if len(word) <= 64 else b"#" + hashlib.blake2b(word, digest_size=32).digest()
 
 
 def token_features(word: bytes) -> list[bytes]:
     """The word, its beginnings and its endings, each under a name of its own."""
     size = len(word)
     return (
-        [b"w" + word[:64]]
+        [b"w" + word_key(word)]
         + [b"p" + word[:n] for n in (3, 4, 5, 6, 7) if n < size]
         + [b"s" + word[-n:] for n in (3, 4, 5) if n < size]
     )
@@ -73,19 +80,25 @@ def forward_backward(
     return np.where(inside, one, 0.0), pairs
 
 
-def chains(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Cells of a matrix of chains as indices into the row of all words, and which are real.
+def chains(sizes: np.ndarray, length: int, lead: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cells of a matrix of chains as indices into the row of all words, which are real, and which count.
 
-    Each document starts a chain of its own; longer ones go on in further chains.
+    Each document starts a chain of its own; longer ones go on in further chains. Neighbouring
+    chains share ``2 * lead`` words, of which each counts those nearer to its middle, so
+    that every word counts once and stands among its neighbours.
     """
     sizes = np.asarray(sizes, np.int64)
-    count = -(-sizes // length)
+    step = length - 2 * lead
+    count = np.where(sizes > 0, 1 + -(-np.maximum(0, sizes - length) // step), 0)
     base = np.repeat(np.cumsum(sizes) - sizes, count)
     nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    begin = base + nth * length
-    real = np.minimum(length, np.repeat(sizes, count) - nth * length)
+    begin = base + nth * step
+    real = np.minimum(length, np.repeat(sizes, count) - nth * step)
     inside = np.arange(length) < real[:, None]
-    return np.where(inside, begin[:, None] + np.arange(length), 0), inside
+    last = nth == np.repeat(count, count) - 1
+    first_counted, end_counted = np.where(nth == 0, 0, lead), np.where(last, real, length - lead)
+    counted = inside & (np.arange(length) >= first_counted[:, None]) & (np.arange(length) < end_counted[:, None])
+    return np.where(inside, begin[:, None] + np.arange(length), 0), inside, counted
 
 
 @dataclass
@@ -104,7 +117,7 @@ class ToxicityModel:
     def scores_of(self, word: bytes) -> tuple[float, float, float]:
         """What the word adds to its own cell, to the next one and to the one before."""
         get = self.own.get
-        key = word[:64]
+        key = word_key(word)
         return (
             self.bias + sum(get(f, 0.0) for f in token_features(word)),
             self.before.get(key, 0.0),
@@ -142,14 +155,14 @@ class Scorer:
         number = self._number
         ids = np.fromiter((number(w) for t in texts for w in t), np.int64, sizes.sum())
         own, before, after = np.array(self.rows).T
-        cells, inside = chains(sizes, CHAIN)
+        cells, inside, counted = chains(sizes, CHAIN, LEAD)
         grid = ids[cells]
         emission = own[grid]
         emission[:, 1:] += before[grid[:, :-1]]
         emission[:, :-1] += np.where(inside[:, 1:], after[grid[:, 1:]], 0.0)
         one, _ = forward_backward(emission, inside, self.model.moves, self.model.start)
         flat = np.empty(len(ids))
-        flat[cells[inside]] = one[inside]
+        flat[cells[counted]] = one[counted]
         return np.split(flat, np.cumsum(sizes)[:-1])
 
     def score(self, marginals: np.ndarray) -> float:
@@ -231,7 +244,7 @@ def _fit_field(texts: list[list[bytes]], labels: list[np.ndarray], rounds: int,
     del shared
     owner, feature = np.array(owner), np.array(feature)
     sizes = np.array([len(t) for t in texts])
-    cells, inside = chains(sizes, CHAIN)
+    cells, inside, _ = chains(sizes, CHAIN)
     ids = np.array([vocabulary[w] for t in texts for w in t])
     grid = ids[cells]
     truth = np.where(inside, np.concatenate(labels)[cells], 0.0)
@@ -275,8 +288,8 @@ def _fit_field(texts: list[list[bytes]], labels: list[np.ndarray], rounds: int,
     by_id = list(vocabulary)
     return ToxicityModel(
         own={f: float(theta[i]) for f, i in names.items() if abs(theta[i]) > keep},
-        before={by_id[i][:64]: float(theta[n + i]) for i in range(v) if abs(theta[n + i]) > keep},
-        after={by_id[i][:64]: float(theta[n + v + i]) for i in range(v) if abs(theta[n + v + i]) > keep},
+        before={word_key(by_id[i]): float(theta[n + i]) for i in range(v) if abs(theta[n + i]) > keep},
+        after={word_key(by_id[i]): float(theta[n + v + i]) for i in range(v) if abs(theta[n + v + i]) > keep},
         bias=float(theta[n + 2 * v]),
         moves=theta[n + 2 * v + 1 : -2].reshape(2, 2).copy(),
         start=theta[-2:].copy(),
@@ -345,9 +358,13 @@ def train_toxicity(
     max_docs: int = 1_500,
     max_clean_docs: int = 4_000,
     max_chars: int = 20_000,
+    max_chains: int = 4_000,
 ) -> ToxicityModel:
     """Fit on at most ``max_docs`` toxic and ``max_clean_docs`` clean ones, chosen by a hash of their id.
 
+    The field itself is trained on at most ``max_chains`` chains of ``CHAIN`` words of theirs, up to half of them with a
+    marker, the calibration on all of them.
+
     Documents of more than ``max_chars`` and held-out rows are not learned from. The bound is
     on the training sample alone; scoring covers everything. A document labelled both ways
     counts as toxic; null ids and labels are ignored. Without documents of both classes the
@@ -365,7 +382,7 @@ def train_toxicity(
         found = slim.join(chosen, "id").groupBy("id").agg(F.min("text").alias("text")).collect()
         distinct = sorted({row.text for row in found})
         texts[toxic] = [[same.setdefault(w, w) for w in found] for found in map(words, distinct) if found]
-    return fit(texts[True], texts[False], prior)
+    return fit(texts[True], texts[False], prior, max_chains)
 
 
 def score_toxicity(

@@ -262,3 +262,74 @@ def test_long_text_in_linear_time(docs):
     found = {r.doc_id: r.deduped for r in lines.dedup_lines(docs(*enumerate(texts))).collect()}
     assert found[0].deleted == 49_999 and found[2].deleted == 0
     assert found[1].deleted == 200_000 - 8
+
+
+def ball(rng, centre, count, most):
+    """Distinct fingerprints, each a few bits from the centre."""
+    found = {centre}
+    while len(found) < count:
+        point = centre
+        for bit in rng.sample(range(64), rng.randint(1, most)):
+            point ^= 1 << bit
+        found.add(point)
+    return found
+
+
+def test_a_dense_ball_is_linked_without_one_group(spark, monkeypatch):
+    rng = random.Random(12)
+    points = ball(rng, rng.getrandbits(64), 1500, 4) | {rng.getrandbits(64) for _ in range(800)}
+    fps = np.array(sorted(points), np.uint64)
+    largest = []
+    plain = simhash.dense_stars
+    monkeypatch.setattr(simhash, "dense_stars", lambda found: largest.append(found.count()) or plain(found))
+    table = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
+    found = {r.fp: r.root for r in simhash.link_fingerprints(table, 2, shard_size=100, most=300).collect()}
+    assert largest and largest[0] >= 1000
+    apart = np.bitwise_count(fps[:, None] ^ fps[None, :])
+    linked = [(int(fps.view(np.int64)[a]), int(fps.view(np.int64)[b])) for a, b in zip(*np.nonzero((apart > 0) & (apart <= 2)), strict=True)]
+    parent = {int(x): int(x) for x in fps.view(np.int64)}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in linked:
+        parent[max(find(a), find(b))] = min(find(a), find(b))
+    groups, expected = {}, {}
+    for x in {a for a, _ in linked}:
+        expected.setdefault(find(x), set()).add(x)
+        groups.setdefault(found[x], set()).add(x)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
+    assert set(found) == {a for a, _ in linked}
+
+
+def test_shards_do_not_grow_with_the_table():
+    sizes = []
+    for total in (10_000, 160_000):
+        points = np.random.default_rng(total).integers(0, 1 << 64, total, np.uint64)
+        sample = points[: simhash.sample_for(total, 64, 1 << 21)]
+        tree, _ = simhash.build_tree(sample, max(32, int(len(sample) * 64 / total)), 2)
+        sizes.append(max(len(index) for _, index in simhash.shards_of(tree, points, 2)))
+    # Leaves are counted on half of the larger table, hence the spread; rows grow sixteenfold.
+    assert sizes[1] <= 3 * sizes[0] < 16 * 64
+
+
+CLASHES = [
+    "id", "row", "hash", "text_hash", "run_id", "run_hash", "runs", "passages", "cut", "first", "first_id", "first_hash",
+    "_hash", "_runs", "_passages", "_run_id", "_run_hash", "_cut", "_first_id", "_first_hash", "fp", "root", "component_id", "shard", "found",
+]
+
+
+@pytest.mark.parametrize("stage", [lines.drop_repeated_lines, simhash.drop_near_duplicates], ids=["line_dedup", "near_dedup"])
+def test_stages_keep_columns_of_any_name(docs, stage):
+    long_line = " ".join(f"word{i}" for i in range(70))
+    table = docs((1, f"one\n{long_line}"), (2, f"{long_line}\ntwo"), (3, "three"), (None, None))
+    plain = sorted((row.doc_id or 0, row.text or "") for row in stage(table).collect())
+    for name in CLASHES:
+        table = table.withColumn(name, F.concat(F.lit(f"{name} "), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    found = stage(table)
+    assert found.columns == table.columns
+    rows = found.collect()
+    assert sorted((row.doc_id or 0, row.text or "") for row in rows) == plain
+    assert all(row[name] == f"{name} {'' if row.doc_id is None else row.doc_id}" for row in rows for name in CLASHES)

@@ -34,10 +34,38 @@ def test_forward_backward_equals_enumeration():
     assert np.allclose(pairs, expected_pairs)
 
 
-def test_chains_cover_every_word_once():
-    cells, inside = tox.chains(np.array([0, 3, 64, 130, 0, 1]), 64)
-    assert sorted(cells[inside]) == list(range(198))
-    assert list(inside.sum(axis=1)) == [3, 64, 64, 64, 2, 1]
+@pytest.mark.parametrize("lead", [0, 8])
+def test_chains_count_every_word_once(lead):
+    sizes = np.array([0, 3, 64, 130, 0, 1, 65, 1000])
+    cells, inside, counted = tox.chains(sizes, 64, lead)
+    assert sorted(cells[counted]) == list(range(sizes.sum()))
+    assert (counted <= inside).all() and (np.diff(inside.astype(int), axis=1) <= 0).all()
+    if not lead:
+        assert list(inside.sum(axis=1))[:6] == [3, 64, 64, 64, 2, 1]
+
+
+def test_a_span_over_a_cut_is_scored_with_its_neighbours(monkeypatch):
+    rng = np.random.default_rng(1)
+    words = [b"w%d" % i for i in range(30)]
+    own = {b"w" + word: float(x) for word, x in zip(words, rng.normal(size=30), strict=True)}
+    sides = [dict(zip(words, rng.normal(size=30), strict=True)) for _ in range(2)]
+    model = tox.ToxicityModel(own, *sides, bias=-1.0, moves=np.array([[0.5, -0.5], [-0.5, 1.5]]))
+    texts = [[words[i] for i in rng.integers(0, 30, n)] for n in (300, 64, 65, 0, 112, 113)]
+    cut = tox.Scorer(model).marginals(texts)
+    monkeypatch.setattr(tox, "CHAIN", 4096)
+    whole = tox.Scorer(model).marginals(texts)
+    for a, b in zip(cut, whole, strict=True):
+        assert np.abs(a - b).max(initial=0) < 0.02
+    monkeypatch.setattr(tox, "CHAIN", 64)
+    monkeypatch.setattr(tox, "LEAD", 0)
+    assert max(np.abs(a - b).max(initial=0) for a, b in zip(tox.Scorer(model).marginals(texts), whole, strict=True)) > 0.1
+
+
+def test_words_that_differ_late_are_two_words():
+    one, other = b"x" * 70 + b"a", b"x" * 70 + b"b"
+    assert tox.word_key(one) != tox.word_key(other) and tox.word_key(b"short") == b"short"
+    model = tox.ToxicityModel({b"w" + tox.word_key(one): 5.0}, {tox.word_key(one): 2.0})
+    assert model.scores_of(one)[:2] == (5.0, 2.0) and model.scores_of(other)[:2] == (0.0, 0.0)
 
 
 def corpus(n, seed):
