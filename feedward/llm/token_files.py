@@ -18,6 +18,7 @@ for each file the range of ids and the number of tokens before it.
 
 import io
 import math
+import os
 import zlib
 from collections.abc import Collection, Iterable, Iterator, Sequence
 from functools import lru_cache
@@ -50,7 +51,7 @@ FRAME_TOKENS = 1 << 20
 _UNKNOWN = 1 << 55
 _BATCH = 1 << 22
 #: Bytes of words and their ids that a task remembers; beyond, it starts anew.
-_REMEMBERED = 5 << 24
+_REMEMBERED = 1 << 27
 _GROUP = 64
 _CLOSING = frozenset([b".", b",", b";", b":", b"!", b"?"])
 #: Texts of so many bytes, or such a part of one, are encoded together.
@@ -63,6 +64,8 @@ class DamagedFile(ValueError):
 
 @lru_cache(maxsize=4)
 def _tokenizer(path: str) -> Tokenizer:
+    # Tasks run side by side already; threads of the library would only add to them.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return Tokenizer.from_file(path)
 
 
