@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 from functools import partial, reduce
 from importlib.util import find_spec
 from pathlib import Path
@@ -16,9 +16,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedward.operators import measures
-from feedward.operators.clean import clean_feed_logs
-from feedward.operators.kpi import feed_health
+from feedward.operators.clean import (
+    RUN_DAY,
+    clean_feed_logs,
+    clean_transactions,
+    of_days,
+    valid_transactions,
+    with_run_day,
+)
+from feedward.operators.kpi import feed_health, transaction_volumes
 from feedward.plans.audit import CHECK_NAMES, audit_log, audit_summary, run_checks
+from feedward.plans.incremental import KEPT, update
 from feedward.plans.layers import run_job
 from feedward.plans.tables import Layers
 from feedward.session import shared_dir
@@ -32,13 +40,20 @@ from feedward.sources.catalog import (
 from feedward.sources.readers import load_raw_dir, read_raw
 from feedward.sources.schemas import RAW_SCHEMAS, RAW_TABLES
 from feedward.sources.star_mapping import MAPPINGS, TRANSACTION_ORDER, mapped_raw
-from feedward.sources.writers import export_csv, rebuild, write_audit, write_table
+from feedward.sources.writers import (
+    export_csv,
+    rebuild,
+    write_audit,
+    write_bucketed,
+    write_table,
+)
 from oracle_sql import ORACLES
 
 # The clock is a parameter. These times cut the test data somewhere in the middle.
 AS_OF = datetime(2001, 1, 1)
 FEEDS_AS_OF = datetime(2024, 1, 31, 23, 30)
 RUN_AT = datetime(2024, 1, 31, 23, 30)
+FEED_DAYS = (date(2024, 1, 10), date(2024, 1, 29))
 
 CLEAN_TABLES = ("clean_customers", "clean_accounts", "clean_consents", "clean_feed_logs")
 
@@ -166,6 +181,57 @@ def _best_worst(tables: Layers) -> DataFrame:
     )
 
 
+def _kept(name: str) -> Query:
+    """A KPI table kept by day: half of the rows, of all days, then the other half."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables, path = _layers(spark, sf_dir), f"{_new_folder(spark)}/kept"
+        rows = tables["clean_feed_logs"]
+        if name == "agg_consent_summary":
+            rows = tables["clean_consents"]
+        elif name == "agg_transaction_volumes":
+            kinds = tables["clean_accounts"].select("account_id", "account_type", "data_holder")
+            rows = tables["clean_transactions"].join(kinds, "account_id")
+        late = F.pmod(F.xxhash64(*rows.columns), F.lit(2)) == 1
+        update(name, rows.filter(~late), path)
+        return update(name, rows.filter(late), path)
+
+    return query
+
+
+def _logs_by_day(spark: SparkSession, sf_dir: str) -> Layers:
+    """The layers with clean feed logs stored by day."""
+    tables = _layers(spark, sf_dir)
+    logs = with_run_day(tables["clean_feed_logs"])
+    tables.replace("clean_feed_logs", rebuild(spark, logs, f"{_new_folder(spark)}/logs", [RUN_DAY]))
+    return tables
+
+
+def _health_of_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feed_health(of_days(_logs_by_day(spark, sf_dir)["clean_feed_logs"], *FEED_DAYS))
+
+
+def _checks_of_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ("reconciliation_breach", "stale_feed")
+    return run_checks(_logs_by_day(spark, sf_dir), AS_OF, names, FEEDS_AS_OF, FEED_DAYS)
+
+
+def _bucketed(build: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    """A query on transactions and clean accounts that are both stored in buckets of the account id."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables, folder = _layers(spark, sf_dir), _new_folder(spark)
+        stored = []
+        for name in ("raw_transactions", "clean_accounts"):
+            table = f"feedward_{uuid4().hex}"
+            buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            stored.append(write_bucketed(tables[name], table, f"{folder}/{name}", "account_id", buckets))
+            spark.sql(f"DROP TABLE {table}")
+        return build(*stored)
+
+    return query
+
+
 def feed_queries() -> dict[str, Query]:
     """Every operator of the feed monitoring as a query over the whole tables in a directory."""
     row_counts = [name for name in CHECK_NAMES if name.startswith("row_count_")]
@@ -200,6 +266,17 @@ def feed_queries() -> dict[str, Query]:
         "replaced_consent_summary": _replaced_table,
         "exported_feed_health": _exported_feed_health,
         "job_audit_log": _job_audit,
+        **{f"kept_{name.removeprefix('agg_')}": _kept(name) for name in KEPT},
+        "feed_health_of_days": _health_of_days,
+        "checks_of_days": _checks_of_days,
+        "bucketed_clean_transactions": _bucketed(
+            lambda raw, accounts: clean_transactions(raw, accounts, dedup="keep_all")
+        ),
+        "bucketed_transaction_volumes": _bucketed(
+            lambda raw, accounts: transaction_volumes(
+                valid_transactions(raw, dedup="keep_all"), accounts, matched=False
+            )
+        ),
         "audit_summary": _on(lambda t: audit_summary(_audit(t))),
         "kpi_holder_reliability": _on(
             lambda t: measures.holder_reliability(t["agg_feed_health"])

@@ -177,3 +177,20 @@ def clean_feed_logs(raw: DataFrame) -> DataFrame:
         "ingestion_version",
         percent(expected - received, expected, 2).alias("variance_pct"),
     )
+
+
+# The partition column of stored feed logs.
+RUN_DAY = "run_day"
+
+
+def with_run_day(logs: DataFrame) -> DataFrame:
+    """Feed logs with the day to partition them by."""
+    return logs.withColumn(RUN_DAY, day_of(F.col("run_at")))
+
+
+def of_days(logs: DataFrame, since: date | None = None, until: date | None = None) -> DataFrame:
+    """Runs of the days from ``since`` to ``until``; logs stored by day are read for those days alone."""
+    day = F.col(RUN_DAY) if RUN_DAY in logs.columns else day_of(F.col("run_at"))
+    if since is not None:
+        logs = logs.filter(day >= F.lit(since))
+    return logs if until is None else logs.filter(day <= F.lit(until))

@@ -24,6 +24,8 @@ from feedward.operators import sums
 BREACH_THRESHOLD = 0.05
 INCOMPLETE_STATUSES = ("partial", "failed")
 
+VOLUME_KEYS = ("account_type", "data_holder", "txn_date", "transaction_type")
+
 # A total of amounts, and how often it counts; their product has all its ten places in 38 digits.
 _TOTAL = DecimalType(27, 10)
 _TIMES = DecimalType(10, 0)
@@ -131,14 +133,25 @@ def transaction_volumes(
     if not matched:
         times = times * F.sum("copies").over(Window.partitionBy("account_id"))
     kinds = kinds.withColumn("times", times).drop("copies")
-    keys = ["account_type", "data_holder", "txn_date", "transaction_type"]
     repeated = sums.by_bin(
         _repeated(totals.join(kinds, "account_id")),
-        keys,
+        VOLUME_KEYS,
         F.sum(F.col("rows") * F.col("times")).alias("rows"),
     )
+    return volume_totals(repeated)
+
+
+def volume_states(transactions: DataFrame) -> DataFrame:
+    """Partial volumes of transactions that have their account's type and holder beside them."""
+    dated = transactions.withColumn("txn_date", day_of(F.col("transaction_date")))
+    parts = sums.split(dated, F.col("amount_aud"))
+    return sums.by_bin(parts, VOLUME_KEYS, F.count("*").alias("rows"))
+
+
+def volume_totals(states: DataFrame) -> DataFrame:
+    """The volumes of partial sums by group and bin."""
     count = F.sum("rows")
-    return repeated.groupBy(*keys).agg(
+    return states.groupBy(*VOLUME_KEYS).agg(
         count.alias("txn_count"),
         sums.rounded_total(2).alias("total_amount_aud"),
         round_half_up(sums.total() / count, 2).alias("avg_amount_aud"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 from functools import reduce
 from operator import or_
 
@@ -133,10 +133,12 @@ def run_checks(
     as_of: datetime,
     names: Iterable[str] = CHECK_NAMES,
     feeds_as_of: datetime | None = None,
+    feed_days: tuple[date | None, date | None] = (None, None),
 ) -> DataFrame:
     """One verdict row per named check.
 
-    ``feeds_as_of`` gives feed freshness a reference time of its own.
+    ``feeds_as_of`` gives feed freshness a reference time of its own. ``feed_days``, the first and the last,
+    bound the feed runs that are looked at; clean logs stored by day are read for those days alone.
 
     The checks share scans: customers, accounts and consents are added up per customer in one
     aggregation, transactions and accounts per account in another, feed logs per holder.
@@ -147,7 +149,7 @@ def run_checks(
     measured = [
         *_by_customer(tables, as_of, wanted),
         *_by_account(tables, as_of, wanted),
-        *_by_holder(tables, as_of, feeds_as_of or as_of, wanted),
+        *_by_holder(tables, as_of, feeds_as_of or as_of, wanted, feed_days),
     ]
     rows = reduce(DataFrame.unionByName, measured)
     return _verdicts(_paired(rows))
@@ -268,7 +270,11 @@ def _by_account(tables: Layers, as_of: datetime, wanted: set[str]) -> list[DataF
 
 
 def _by_holder(
-    tables: Layers, as_of: datetime, feeds_as_of: datetime, wanted: set[str]
+    tables: Layers,
+    as_of: datetime,
+    feeds_as_of: datetime,
+    wanted: set[str],
+    feed_days: tuple[date | None, date | None],
 ) -> list[DataFrame]:
     """Checks on feed logs: one scan of the raw and one of the clean table."""
     layer, results = "row_count_clean_feed_logs", []
@@ -286,8 +292,8 @@ def _by_holder(
     if layer in wanted:
         raw[layer, "raw"] = F.count("*")
     if raw:
-        results.append(_measured(tables["raw_feed_logs"], raw))
-    logs = tables["clean_feed_logs"]
+        results.append(_measured(clean.of_days(tables["raw_feed_logs"], *feed_days), raw))
+    logs = clean.of_days(tables["clean_feed_logs"], *feed_days)
     if "stale_feed" in wanted:
         holders = logs.groupBy("data_holder").agg(
             F.max("run_at").alias("latest"),

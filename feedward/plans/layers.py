@@ -8,6 +8,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from feedward.operators.clean import RUN_DAY, with_run_day
 from feedward.plans.audit import audit_log
 from feedward.plans.tables import Layers
 from feedward.session import planned_bytes, sized_shuffles
@@ -61,7 +62,10 @@ def _build(
     tables = Layers(raw, as_of.date(), POSITION_COLUMNS, dedup, stored=True)
     for name in tables:
         layer = name.split("_", 1)[0]
-        tables.replace(name, rebuild(spark, tables[name], f"{out_dir}/{layer}/{name}"))
+        table, by = tables[name], []
+        if name == "clean_feed_logs":  # so that checks and KPI tables of some days read those alone
+            table, by = with_run_day(table), [RUN_DAY]
+        tables.replace(name, rebuild(spark, table, f"{out_dir}/{layer}/{name}", by))
         if layer == "agg":
             export_csv(tables[name], f"{out_dir}/export/{name}.csv")
     log = audit_log(tables, as_of, run_at, feeds_as_of)

@@ -434,3 +434,14 @@ ORACLES["rebuilt_reconciliation"] = ORACLES["reconciliation"]
 ORACLES["replaced_consent_summary"] = ORACLES["consent_summary"]
 ORACLES["exported_feed_health"] = ORACLES["feed_health"]
 ORACLES["job_audit_log"] = ORACLES["audit_log_keep_all"]
+for _name in ("feed_health", "reconciliation", "consent_summary", "transaction_volumes"):
+    ORACLES[f"kept_{_name}"] = ORACLES[_name]
+ORACLES["feed_health_of_days"] = f"""
+    FROM ({ORACLES["feed_health"]}) WHERE feed_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-29'"""
+_days = "SELECT * FROM raw_feed_logs WHERE CAST(run_at AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-29'"
+ORACLES["checks_of_days"] = " UNION ALL ".join(
+    f"(FROM ({ORACLES[f'check_{_name}'].replace('FROM raw_feed_logs', f'FROM ({_days})')}))"
+    for _name in ("reconciliation_breach", "stale_feed")
+)
+ORACLES["bucketed_clean_transactions"] = ORACLES["clean_transactions_keep_all"]
+ORACLES["bucketed_transaction_volumes"] = ORACLES["transaction_volumes_keep_all"]

@@ -203,3 +203,20 @@ def test_located_rows_are_those_of_the_plain_way(spark, tmp_path):
         fetched = clean.clean_transactions(raw, twice, stored=True, **options)
         assert fetched.columns == plain.columns and fetched.count() == plain.count()
         assert fetched.exceptAll(plain).isEmpty() and plain.exceptAll(fetched).isEmpty()
+
+
+@needs_data
+def test_stored_logs_are_read_for_the_days_asked(spark):
+    for name in ("feed_health_of_days", "checks_of_days"):
+        text = plan(driver.feed_queries()[name](spark, str(DATA)))
+        scans = re.findall(r"PartitionFilters: \[([^\]]*)\]", text)
+        assert scans and all("run_day" in scan and "2024-01-10" in scan and "2024-01-29" in scan for scan in scans)
+
+
+@needs_data
+@pytest.mark.parametrize("name", ["bucketed_clean_transactions", "bucketed_transaction_volumes"])
+def test_buckets_join_without_a_shuffle(spark, name):
+    with settings(spark, LARGE):
+        text = plan(driver.feed_queries()[name](spark, str(DATA)))
+    below = text[text.index("SortMergeJoin") :]
+    assert "Exchange" not in below and below.count("Bucketed: true") == 2
