@@ -29,7 +29,7 @@ from feedward.plans.audit import CHECK_NAMES, audit_log, audit_summary, run_chec
 from feedward.plans.incremental import KEPT, update
 from feedward.plans.layers import run_job
 from feedward.plans.tables import Layers
-from feedward.session import shared_dir
+from feedward.session import ship_package, shared_dir
 from feedward.sources.catalog import (
     assert_tables,
     list_tables,
@@ -326,9 +326,21 @@ def _corpus() -> tuple[dict[str, Query], dict[str, str]]:
         return {}, {}
     from feedward.llm.queries import QUERIES, SQL
 
-    if find_spec("corpus_pipeline") is None:
-        return QUERIES, SQL
-    import corpus_pipeline
+    found, sql = dict(QUERIES), dict(SQL)
+    if find_spec("corpus_pipeline") is not None:
+        import corpus_pipeline
 
-    sql = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
-    return QUERIES | {"pipeline": corpus_pipeline.run}, SQL | sql
+        found["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL is not None:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {name: _with_workers(query) for name, query in found.items()}, sql
+
+
+def _with_workers(query: Query) -> Query:
+    """A query whose Python workers need this package."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run

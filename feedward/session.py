@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import math
 import tempfile
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +19,10 @@ ADAPTIVE = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Before the shuffle of a large child, a Bloom filter of its parents' keys drops
+    # rows without a parent, where the parents were filtered themselves.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1GB",
 }
 
 BYTES_PER_SHUFFLE_PARTITION = 256 * 1024**2
@@ -58,6 +64,24 @@ def sized_shuffles(spark: SparkSession, total_bytes: int) -> Iterator[int]:
         spark.conf.set(key, before)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each application.
+
+    Workers that find it on their own path use that; others, as on a cluster where only the driver
+    has it, get it from the driver.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_feedward_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="feedward-package-")) / "feedward.zip"
+    with zipfile.ZipFile(archive, "w") as package:
+        for path in sorted(root.rglob("*.py")):
+            package.write(path, path.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._feedward_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, as the cluster names it.
 

@@ -220,3 +220,27 @@ def test_buckets_join_without_a_shuffle(spark, name):
         text = plan(driver.feed_queries()[name](spark, str(DATA)))
     below = text[text.index("SortMergeJoin") :]
     assert "Exchange" not in below and below.count("Bucketed: true") == 2
+
+
+BLOOM = {"spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1b"}
+
+
+@needs_data
+@pytest.mark.parametrize("name", ["clean_accounts", "clean_transactions", "transaction_volumes"])
+def test_children_of_a_large_scan_are_filtered_before_the_shuffle(spark, name):
+    with settings(spark, LARGE | BLOOM):
+        text = plan(driver.feed_queries()[name](spark, str(DATA)))
+    assert "might_contain" in text
+
+
+def test_hot_account_is_split_behind_a_bloom_filter(spark, tmp_path):
+    hot_transactions(spark).write.parquet(f"{tmp_path}/t")
+    all_accounts(spark).write.parquet(f"{tmp_path}/a")
+    raw, accounts = spark.read.parquet(f"{tmp_path}/t"), spark.read.parquet(f"{tmp_path}/a")
+    with settings(spark, SKEWED | BLOOM):
+        known = accounts.filter("account_id < 4000")
+        df = clean.clean_transactions(raw, known, dedup="keep_all")
+        assert df.count() == raw.filter("account_id < 4000").count()
+        df.collect()
+        text = plan(df)
+    assert "might_contain" in text and "skew=true" in text
