@@ -17,12 +17,18 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, checkpointed
+from .common import ascii_lower, checkpointed, written
 
 RULES_SCHEMA = "host string, path string, verdict string"
+#: A key listed with both verdicts gets the first.
+VERDICTS = ("block", "allow")
 
 # Words of a filter that reach the driver at once.
 PART_WORDS = 1 << 22
+#: Filters that are sent to the executors together; longer lists are judged in parts.
+MAX_BYTES = 1 << 28
+#: What a listed key takes in all levels of its cascade, at most.
+KEY_BYTES = 16
 
 
 @dataclass
@@ -110,32 +116,43 @@ def _filled(level: Level, keys: DataFrame) -> Level:
     return level
 
 
+def first_level(listed: DataFrame, listed_size: int, universe_size: int) -> Level | None:
+    """The filter of the listed keys among about so many keys; None without any."""
+    if not listed_size:
+        return None
+    others = max(1, universe_size - listed_size)
+    rate = min(0.5, max(1e-9, listed_size * math.sqrt(0.5) / others))
+    return _filled(Level.sized(0, listed_size, rate), listed)
+
+
 def build_cascade(
-    listed: DataFrame, universe: DataFrame, universe_size: int, max_bytes: int = 1 << 28
+    listed: DataFrame, universe: DataFrame, universe_size: int, max_bytes: int = MAX_BYTES, first: Level | None = None
 ) -> Cascade:
     """A cascade that tells ``listed`` keys from all other keys of ``universe`` (columns ``key``).
 
-    Raises before it fills a filter with which all of them, whose size is proportional to the
-    listed keys, would exceed ``max_bytes``.
+    With its first level given, the universe may leave out keys that do not pass it. Raises before it fills a
+    filter with which all of them, whose size is proportional to the listed keys, would exceed ``max_bytes``.
     """
     cascade = Cascade()
 
-    def add(level: Level, keys: DataFrame) -> Level:
-        if cascade.size + level.planned > max_bytes:
+    def check(planned: int) -> None:
+        if cascade.size + planned > max_bytes:
             raise ValueError(f"the listed keys need filters of more than {max_bytes} bytes")
-        cascade.levels.append(_filled(level, keys))
-        return level
 
     listed_size = listed.count()
     if not listed_size:
         return cascade
-    others = max(1, universe_size - listed_size)
-    rate = min(0.5, max(1e-9, listed_size * math.sqrt(0.5) / others))
-    first = add(Level.sized(0, listed_size, rate), listed)
+    if first is None:
+        check(listed_size // 8)
+        first = first_level(listed, listed_size, universe_size)
+    check(first.planned)
+    cascade.levels.append(first)
     wrong = checkpointed(_passing(universe, first).join(listed, "key", "left_anti"))
     right, wrong_size = listed, wrong.count()
     while wrong_size:
-        level = add(Level.sized(len(cascade.levels), wrong_size, 0.5), wrong)
+        level = Level.sized(len(cascade.levels), wrong_size, 0.5)
+        check(level.planned)
+        cascade.levels.append(_filled(level, wrong))
         # What the newest level encodes is right by now; the other side has to pass it.
         right, wrong = wrong, checkpointed(_passing(right, level))
         wrong_size = wrong.count()
@@ -176,6 +193,7 @@ def judge_urls(
     id_col: str = "page_id",
     url_col: str = "url",
     default: str = "allow",
+    max_bytes: int = MAX_BYTES,
 ) -> DataFrame:
     """The longest fitting rule of each page's url and its verdict, by cascades of listed keys.
 
@@ -184,63 +202,84 @@ def judge_urls(
     with the longer host wins; a key listed with both verdicts blocks; a rule with a null
     takes no part. A url without a rule gets ``default``, as no list names it. A null url or
     one without ``://`` has an empty host and path. Repeated rows give repeated rows; an
-    empty table gives none; other columns of the pages are ignored.
+    empty table gives none; other columns of the pages and rules are ignored, whatever their names.
 
     The candidate keys of a page are the host endings and path beginnings of those lengths
-    that rules have, so a very long url has no more of them than a short one.
+    that rules have, so a very long url has no more of them than a short one. They are made in the tasks
+    that read the pages; only those that pass the first filter of a list, its own keys and few others,
+    leave them. Lists whose filters would take more than ``max_bytes`` are cut into parts by a
+    hash of the key; pages are judged by one part after the other and keep the longest rule.
     """
     spark = pages.sparkSession
-    rules = rules.dropna().withColumn("key", F.concat("host", F.lit("\x00"), "path"))
+    rules = rules.select("host", "path", F.lower("verdict").alias("verdict")).dropna()
+    rules = checkpointed(rules.filter(F.col("verdict").isin(*VERDICTS)).withColumn("key", F.concat("host", F.lit("\x00"), "path")).select("key", "verdict").distinct())
+    parts = max(1, math.ceil(rules.count() * KEY_BYTES / max_bytes))
+    judged = split_urls(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"))).drop("url")
+    judged = judged.withColumn("key", F.lit(None).cast("string")).withColumn("verdict", F.lit(default))
+    for part in range(parts):
+        if part:
+            judged = written(judged)
+        some = rules if parts == 1 else checkpointed(rules.filter(F.pmod(F.xxhash64("key"), F.lit(parts)) == part))
+        judged = _judged(spark, judged, some, max_bytes)
+    rule = F.replace("key", F.lit("\x00"), F.lit(""))
+    return judged.select(F.col("page_id").alias(id_col), "host", "path", rule.alias("rule"), "verdict")
+
+
+def _judged(spark: SparkSession, pages: DataFrame, rules: DataFrame, max_bytes: int) -> DataFrame:
+    """Pages with the better of their rule so far and the best of these rules."""
+    host = F.substring_index("key", "\x00", 1)
     shape = rules.select(
-        F.lower("verdict").alias("verdict"),
-        F.size(F.split("host", r"\.")).alias("labels"),
-        F.length("path").alias("length"),
-    ).distinct().collect()  # at most 2 x distinct label counts x distinct path lengths
-    labels = sorted({row.labels for row in shape})
-    lengths = sorted({row.length for row in shape})
-
-    split = split_urls(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")))
+        F.size(F.split(host, r"\.")).alias("labels"), (F.length("key") - F.length(host) - 1).alias("length")
+    ).distinct().collect()  # at most distinct label counts x distinct path lengths
+    labels, lengths = sorted({row.labels for row in shape}), sorted({row.length for row in shape})
+    longest = max(lengths, default=0)
+    if not shape:
+        return pages
+    starts = pages.select("host", F.substring("path", 1, longest).alias("path")).distinct()
+    fitting_labels = F.size(F.filter(F.lit(labels), lambda n: n <= F.size(F.split("host", r"\."))))
+    fitting_lengths = F.size(F.filter(F.lit(lengths), lambda n: n <= F.length("path")))
+    universe_size = starts.agg(F.sum((fitting_labels * fitting_lengths).cast("long"))).first()[0] or 0
+    listed = {v: checkpointed(rules.filter(F.col("verdict") == v).select("key")) for v in VERDICTS}
+    firsts = {v: first_level(keys, keys.count(), universe_size) for v, keys in listed.items()}
+    known = spark.sparkContext.broadcast([level for level in firsts.values() if level is not None])
 
     @F.pandas_udf("array<string>")
-    def candidates(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def passing(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        levels = known.value
         for hosts, paths in batches:
-            yield pd.Series([_candidates(h, p, labels, lengths) for h, p in zip(hosts, paths, strict=True)], dtype=object)
+            found = (_candidates(h, p, labels, lengths) for h, p in zip(hosts, paths, strict=True))
+            yield pd.Series([[k for k in keys if any(level.has(k) for level in levels)] for keys in found], dtype=object)
 
-    longest = max(lengths, default=0)
-    hosts = split.select("host", F.substring("path", 1, longest).alias("path")).distinct()
-    universe = checkpointed(hosts.select(F.explode(candidates("host", "path")).alias("key")).distinct())
-    universe_size = universe.count()
-    verdicts = {
-        verdict: build_cascade(
-            checkpointed(rules.filter(F.lower("verdict") == verdict).select("key").distinct()),
-            universe,
-            universe_size,
-        )
-        for verdict in ("block", "allow")
-    }
-    shared = spark.sparkContext.broadcast(verdicts)
-
-    @F.pandas_udf("rule string, verdict string")
-    def judge(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        cascades = shared.value
+    universe = checkpointed(starts.select(F.explode(passing("host", "path")).alias("key")).distinct())
+    cascades = {v: build_cascade(listed[v], universe, universe_size, max_bytes, firsts[v]) for v in VERDICTS}
+    shared = spark.sparkContext.broadcast(cascades)
+
+    @F.pandas_udf("key string, verdict string")
+    def judge(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        verdicts = shared.value
 
         @lru_cache(maxsize=100_000)
-        def judged(host: str, start: str) -> tuple[str | None, str]:
+        def best(host: str, start: str) -> tuple[str, str] | None:
             for key in _candidates(host, start, labels, lengths):
-                for verdict, cascade in cascades.items():
+                for verdict, cascade in verdicts.items():
                     if cascade.has(key):
-                        return key.replace("\x00", ""), verdict
-            return None, default
+                        return key, verdict
+            return None
 
-        for hosts, paths in batches:
-            yield pd.DataFrame(
-                [judged(h, p[:longest]) for h, p in zip(hosts, paths, strict=True)],
-                columns=["rule", "verdict"],
-            )
+        for columns in batches:
+            rows = []
+            for h, p, key, verdict in zip(*columns, strict=True):
+                found = best(h, p[:longest])
+                rows.append(found if found and (key is None or _rank(found[0]) > _rank(key)) else (key, verdict))
+            yield pd.DataFrame(rows, columns=["key", "verdict"], dtype=object)
 
-    return split.withColumn("_judged", judge("host", "path")).select(
-        F.col("page_id").alias(id_col), "host", "path", "_judged.rule", "_judged.verdict"
-    )
+    judged = pages.select("page_id", "host", "path", judge("host", "path", "key", "verdict").alias("j"))
+    return judged.select("page_id", "host", "path", "j.key", "j.verdict")
+
+
+def _rank(key: str) -> tuple[int, int]:
+    """Longer rules come first, among equals those of longer hosts."""
+    return len(key), key.index("\x00")
 
 
 def rules_table(spark: SparkSession, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
