@@ -27,7 +27,11 @@ GITHUB = re.compile(r"gh[opsur]_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])
 NPM = re.compile(r"npm_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
 JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 JWT_RUN = re.compile(r"[A-Za-z0-9_-]+")
-PEM = re.compile(r"-----BEGIN ((?:[A-Z]+ )?PRIVATE KEY)-----[A-Za-z0-9+/=\s\\]*-----END \1-----")
+# Header lines may stand before the body.
+PEM = re.compile(
+    r"-----BEGIN ((?:[A-Z]+ )?PRIVATE KEY(?: BLOCK)?)-----(?:\s*[A-Za-z][A-Za-z0-9-]*: [^\r\n]*)*"
+    r"[A-Za-z0-9+/=\s\\]*-----END \1-----"
+)
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
 ANCHORED = {

@@ -86,6 +86,11 @@ def test_checksums_decide():
     assert secrets.find_secrets("eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxIn.abc") == []
     pem = "-----BEGIN RSA PRIVATE KEY-----\nQUJD\n-----END RSA PRIVATE KEY-----"
     assert secrets.find_secrets(f"\n{pem}") == [(1, 1 + len(pem), "pem")]
+    headers = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n"
+    for kind, head in (("RSA PRIVATE KEY", headers), ("PGP PRIVATE KEY BLOCK", "\r\nVersion: GnuPG v2\r\n\r\n"), ("PRIVATE KEY", "")):
+        key = f"-----BEGIN {kind}-----\n{head}QUJD\n=ab12\n-----END {kind}-----"
+        assert secrets.find_secrets(f"x {key} y") == [(2, 2 + len(key), "pem")]
+        assert secrets.find_secrets(key.replace("END ", "END DSA ")) == []
 
 
 ODD = [(1, None), (2, ""), (None, "token = abcdef12"), (3, "token=abcdef12"), (3, "token=abcdef12"), (4, " a" * 300_000)]
@@ -106,7 +111,8 @@ def test_odd_rows(docs, run, column):
 
 
 def test_long_hostile_texts_take_linear_time():
-    for text in ("eyJ" * 100_000, "token" * 100_000, "0" * 500_000, "f" * 500_000, "-----BEGIN " * 50_000):
+    for text in ("eyJ" * 100_000, "token" * 100_000, "0" * 500_000, "f" * 500_000, "-----BEGIN " * 50_000,
+                 "-----BEGIN PRIVATE KEY-----" + " " * 200_000, "-----BEGIN PRIVATE KEY-----\n" + "a: b\n" * 50_000):
         secrets.find_secrets(text)
     for text in ("a" * 500_000, "a@" * 200_000, "1." * 200_000, "1" * 500_000, "+1" * 200_000, "1 " * 200_000):
         pii.candidates(text)
