@@ -19,7 +19,9 @@ for each file the range of ids and the number of tokens before it.
 import io
 import math
 import os
+import sys
 import zlib
+from array import array
 from collections.abc import Collection, Iterable, Iterator, Sequence
 from functools import lru_cache
 from typing import BinaryIO
@@ -51,7 +53,7 @@ FRAME_TOKENS = 1 << 20
 _UNKNOWN = 1 << 55
 _BATCH = 1 << 22
 #: Bytes of words and their ids that a task remembers; beyond, it starts anew.
-_REMEMBERED = 1 << 27
+_REMEMBERED = 1 << 26
 _GROUP = 64
 _CLOSING = frozenset([b".", b",", b";", b":", b"!", b"?"])
 #: Texts of so many bytes, or such a part of one, are encoded together.
@@ -100,6 +102,9 @@ class Encoder:
         suffix = getattr(self._model.model, "end_of_word_suffix", None)
         vocabulary = self._model.get_vocab() if suffix else {}
         self._tells_ends = bool(suffix)
+        letters, normal, pre = "abcdefghijklmnopqrstuvwxyz", self._model.normalizer, self._model.pre_tokenizer
+        plain = normal is None or normal.normalize_str(letters) == letters
+        self._takes_letters = plain and pre is not None and [t for t, _ in pre.pre_tokenize_str(letters)] == [letters] and array("I").itemsize == 4 and sys.byteorder == "little"
         self._closes = np.zeros(1 + max(vocabulary.values(), default=0), bool)
         self._closes[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self._known: dict[bytes, bytes] = {}
@@ -130,8 +135,8 @@ class Encoder:
         new = words.difference(self._known)
         marked = [word for word in new if word[-1:] in _CLOSING and word[-2:-1].isalnum()]
         new.difference_update(marked)
-        new.update([word[:-1] for word in marked], {word[-1:] for word in marked})
-        new.difference_update(self._known)
+        parts = {word[:-1] for word in marked} | {word[-1:] for word in marked}
+        new |= parts.difference(self._known)
         whole, other = {}, {}
         for word in new:
             text = word.decode("utf-8", "surrogatepass")
@@ -145,7 +150,22 @@ class Encoder:
         self._size += sum(map(len, words)) + sum(map(len, ids)) + 150 * len(ids)
 
     def _encoded_whole(self, words: list[str]) -> Iterator[bytes]:
-        """Words of letters, many in one text: the ids of each end with a token that closes a word."""
+        """Words of letters, many in one text: the ids of each end with a token that closes a word.
+
+        Small ASCII letters that neither the normalizer nor the pre-tokenizer changes go to the model itself.
+        """
+        if self._takes_letters:
+            tokenize, ids = self._model.model.tokenize, {}
+            for word in words:
+                if word.isascii() and word.islower():
+                    ids[word] = array("I", [token.id for token in tokenize(word)]).tobytes()
+            others = [word for word in words if word not in ids]
+            ids.update(zip(others, self._grouped(others), strict=True))
+            yield from map(ids.__getitem__, words)
+        else:
+            yield from self._grouped(words)
+
+    def _grouped(self, words: list[str]) -> Iterator[bytes]:
         groups = [words[i : i + _GROUP] for i in range(0, len(words), _GROUP)]
         for group, encoding in zip(groups, self._model.encode_batch([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
             ids = np.array(encoding.ids, "<u4")
