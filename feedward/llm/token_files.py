@@ -53,7 +53,7 @@ FRAME_TOKENS = 1 << 20
 _UNKNOWN = 1 << 55
 _BATCH = 1 << 22
 #: Bytes of words and their ids that a task remembers; beyond, it starts anew.
-_REMEMBERED = 1 << 26
+_REMEMBERED = 3 << 25
 _GROUP = 64
 _CLOSING = frozenset([b".", b",", b";", b":", b"!", b"?"])
 #: Texts of so many bytes, or such a part of one, are encoded together.
