@@ -28,6 +28,7 @@ from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,7 +37,7 @@ from tokenizers import Tokenizer
 from feedward.session import planned_bytes
 
 from .common import text_portions
-from .words import blank_words
+from .words import blank_parts
 
 #: A skippable frame without content, by the zstandard format.
 SEPARATOR = b"\x50\x2a\x4d\x18\x00\x00\x00\x00"
@@ -53,11 +54,11 @@ FRAME_TOKENS = 1 << 20
 _UNKNOWN = 1 << 55
 _BATCH = 1 << 22
 #: Bytes of words and their ids that a task remembers; beyond, it starts anew.
-_REMEMBERED = 3 << 25
+_REMEMBERED = 5 << 24
 _GROUP = 64
-_CLOSING = frozenset([b".", b",", b";", b":", b"!", b"?"])
-#: Texts of so many bytes, or such a part of one, are encoded together.
-_TOGETHER = 1 << 21
+_CLOSING = b".,;:!?$*&%#"
+#: About so many characters of texts, or such a part of a longer one, are encoded together.
+_TOGETHER = 1 << 22
 
 
 class DamagedFile(ValueError):
@@ -89,7 +90,7 @@ class Encoder:
     """Ids of whole texts as bytes, each followed by the end id.
 
     With ``by_words`` every word between blanks is encoded once and remembered; ASCII
-    letters are lower-cased first, and a mark that closes a word is taken by itself. This gives the ids of the whole text with
+    letters are lower-cased first, and marks that close a word are taken by themselves. This gives the ids of the whole text with
     tokenizers that lower-case, drop blanks and split between words and marks.
     """
 
@@ -105,6 +106,8 @@ class Encoder:
         letters, normal, pre = "abcdefghijklmnopqrstuvwxyz", self._model.normalizer, self._model.pre_tokenizer
         plain = normal is None or normal.normalize_str(letters) == letters
         self._takes_letters = plain and pre is not None and [t for t, _ in pre.pre_tokenize_str(letters)] == [letters] and array("I").itemsize == 4 and sys.byteorder == "little"
+        self._seen: set[str] = set()
+        self._letters: dict[int, str] = {}
         self._closes = np.zeros(1 + max(vocabulary.values(), default=0), bool)
         self._closes[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self._known: dict[bytes, bytes] = {}
@@ -116,34 +119,46 @@ class Encoder:
                 yield ids + self._end
             return
         data = [text.encode("utf-8", "surrogatepass") for text in texts]
-        if sum(map(len, data)) <= _TOGETHER:
-            lists = [_plain(text).split() for text in data]
-            self._learn(set().union(*lists))
-            for words in lists:
-                yield b"".join([*map(self._known.__getitem__, words), self._end])
+        if max(map(len, data), default=0) <= _TOGETHER:
+            for ids in self._ids_of([_plain(text) for text in data]):
+                yield ids + self._end
             return
         for text in data:
-            parts = []
-            for words in blank_words(_plain(text), _TOGETHER):
-                self._learn(set(words))
-                parts.append(b"".join(map(self._known.__getitem__, words)))
-            yield b"".join([*parts, self._end])
-
-    def _learn(self, words: set[bytes]) -> None:
+            yield b"".join([ids for part in blank_parts(_plain(text), _TOGETHER) for ids in self._ids_of([part])] + [self._end])
+
+    def _ids_of(self, texts: list[bytes]) -> Iterator[bytes]:
+        """The ids of each text: its words are numbered, and every distinct one is looked up once."""
+        lists = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).view(pa.string()))
+        numbered = lists.flatten().dictionary_encode()
+        words = numbered.dictionary.view(pa.binary()).to_pylist()
+        known = self._learn(set(words))
+        found = pa.array(map(known.__getitem__, words), pa.binary()).take(numbered.indices)
+        # Ids of all words lie behind each other, so those of a text are one slice.
+        _, bounds, ids = found.buffers()
+        ends = np.frombuffer(bounds, "<i4", len(found) + 1)[lists.offsets.to_numpy()].tolist() if bounds else [0] * (len(texts) + 1)
+        for start, end in zip(ends, ends[1:]):
+            yield ids[start:end].to_pybytes() if end > start else b""
+
+    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """What is known, these words included."""
         if self._size > _REMEMBERED:
             self._known, self._size = {}, 0
         new = words.difference(self._known)
-        marked = [word for word in new if word[-1:] in _CLOSING and word[-2:-1].isalnum()]
-        new.difference_update(marked)
-        parts = {word[:-1] for word in marked} | {word[-1:] for word in marked}
-        new |= parts.difference(self._known)
+        marked = {}
+        for word in new:
+            stem = word.rstrip(_CLOSING)
+            if len(stem) < len(word) and (stem[-1:].isalnum() or stem.decode("utf-8", "surrogatepass")[-1:].isalpha()):
+                marked[word] = stem, word[len(stem) :]
+        new = new.difference(marked)
+        new.update(set().union(*marked.values()).difference(self._known))
         whole, other = {}, {}
         for word in new:
             text = word.decode("utf-8", "surrogatepass")
             (whole if text.isalpha() and self._tells_ends else other)[word] = text
         for some, encode in ((whole, self._encoded_whole), (other, self._encoded_words)):
             self._remember(some, list(encode(list(some.values()))))
-        self._remember(marked, [self._known[word[:-1]] + self._known[word[-1:]] for word in marked])
+        self._remember(marked, [self._known[stem] + self._known[marks] for stem, marks in marked.values()])
+        return self._known
 
     def _remember(self, words: Collection[bytes], ids: list[bytes]) -> None:
         self._known.update(zip(words, ids, strict=True))
@@ -152,18 +167,41 @@ class Encoder:
     def _encoded_whole(self, words: list[str]) -> Iterator[bytes]:
         """Words of letters, many in one text: the ids of each end with a token that closes a word.
 
-        Small ASCII letters that neither the normalizer nor the pre-tokenizer changes go to the model itself.
+        Small ASCII letters that neither the normalizer nor the pre-tokenizer changes go to the model itself. So do
+        other words, normalized together, of which the pre-tokenizer takes every character for a letter.
         """
-        if self._takes_letters:
-            tokenize, ids = self._model.model.tokenize, {}
-            for word in words:
-                if word.isascii() and word.islower():
-                    ids[word] = array("I", [token.id for token in tokenize(word)]).tobytes()
-            others = [word for word in words if word not in ids]
-            ids.update(zip(others, self._grouped(others), strict=True))
-            yield from map(ids.__getitem__, words)
-        else:
+        if not self._takes_letters:
             yield from self._grouped(words)
+            return
+        ids, others = {}, []
+        for word in words:
+            if word.isascii() and word.islower():
+                ids[word] = self._tokenized(word)
+            else:
+                others.append(word)
+        joined, normal = " ".join(others), self._model.normalizer
+        parts = (joined if normal is None else normal.normalize_str(joined)).split(" ")
+        if len(parts) == len(others):
+            for letter in set().union(*parts).difference(self._seen):
+                self._see(letter)
+            for word, part in zip(others, parts, strict=True):
+                if part and self._letters.keys() >= set(map(ord, part)):
+                    ids[word] = self._tokenized(part.translate(self._letters))
+            others = [word for word in others if word not in ids]
+        ids.update(zip(others, self._grouped(others), strict=True))
+        yield from map(ids.__getitem__, words)
+
+    def _see(self, letter: str) -> None:
+        """Remember what the pre-tokenizer makes of a character, if it leaves two of it together."""
+        self._seen.add(letter)
+        pieces = self._model.pre_tokenizer.pre_tokenize_str(letter * 2)
+        if len(pieces) == 1 and letter.isalpha():
+            made = pieces[0][0]
+            if made == made[: len(made) // 2] * 2:
+                self._letters[ord(letter)] = made[: len(made) // 2]
+
+    def _tokenized(self, word: str) -> bytes:
+        return array("I", [token.id for token in self._model.model.tokenize(word)]).tobytes()
 
     def _grouped(self, words: list[str]) -> Iterator[bytes]:
         groups = [words[i : i + _GROUP] for i in range(0, len(words), _GROUP)]
@@ -305,7 +343,7 @@ def write_tokens(
 
     Documents are dealt by ranges of (id, hash), a file for each ``file_bytes`` of the input, so one id that
     repeats very often fills several files. Texts are shuffled once, and each task
-    holds a few megabytes of texts and one document's ids at a time.
+    holds some megabytes of texts and one document's ids at a time.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -324,7 +362,7 @@ def write_tokens(
         def documents() -> Iterator[tuple[int | None, bytes]]:
             for batch in batches:
                 ids = batch["id"].to_pylist()
-                for start, texts in text_portions(batch["text"], 1 << 20):
+                for start, texts in text_portions(batch["text"], _TOGETHER):
                     yield from zip(ids[start : start + len(texts)], encoder(texts), strict=True)
 
         parts = ((part,) for part in file_parts(documents(), frame_tokens))

@@ -19,11 +19,17 @@ def words(text: str) -> list[bytes]:
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 
-def blank_words(text: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
-    """Words ``[^\\x20\\x09-\\x0D]+``, those of so many bytes of the text at a time; no word is cut."""
+def blank_parts(text: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """The text in parts of about so many bytes, which no word ``[^\\x20\\x09-\\x0D]+`` crosses."""
     start = 0
     while start < len(text):
         blank = _BLANK.search(text, start + size)
         end = blank.start() if blank else len(text)
-        yield text[start:end].split()
+        yield text[start:end]
         start = end
+
+
+def blank_words(text: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """Words ``[^\\x20\\x09-\\x0D]+``, those of so many bytes of the text at a time; no word is cut."""
+    for part in blank_parts(text, size):
+        yield part.split()

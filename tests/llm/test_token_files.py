@@ -59,6 +59,16 @@ def test_encoder_forgets_and_cuts_long_texts(tokenizer, monkeypatch):
     assert list(Encoder(BYTES, 1, False)(texts)) == [as_bytes(plain_ids(whole, text)) for text in texts]
 
 
+def test_words_of_other_letters_go_to_the_model_and_marks_are_taken_off(tokenizer, monkeypatch):
+    encoder, asked = Encoder(WORDS, 1, True), []
+    kept, texts = Encoder._encoded, ["año Straße naïve ÉTÉ한 Σας İI ǅa E\u0301a", "plain año", "año... straße!!! naïve, word$$$ x'. ….", " \u0e33. "]
+    monkeypatch.setattr(Encoder, "_grouped", lambda self, words: asked.extend(words) or kept(self, words))
+    monkeypatch.setattr(token_files, "_REMEMBERED", 1)
+    for _ in range(2):
+        assert list(encoder(texts)) == [as_bytes(plain_ids(tokenizer, text)) for text in texts]
+    assert not {"año", "straße", "naïve", "Été한"} & set(asked)
+
+
 DOCS = [(None, as_bytes([1])), (None, as_bytes([5, 1])), (-7, as_bytes(range(100))), (3, as_bytes([1])), (3, as_bytes([9] * 64)), (8, b""), (9, as_bytes([2**32 - 1]))]
 
 
