@@ -29,7 +29,7 @@ from feedward.plans.audit import CHECK_NAMES, audit_log, audit_summary, run_chec
 from feedward.plans.incremental import KEPT, update
 from feedward.plans.layers import run_job
 from feedward.plans.tables import Layers
-from feedward.session import ship_package, shared_dir
+from feedward.session import ship_package, shared_dir, together
 from feedward.sources.catalog import (
     assert_tables,
     list_tables,
@@ -107,8 +107,8 @@ def _audit_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _job_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export all raw tables as CSV, run the whole job over that directory, return its audit log."""
     folder = _new_folder(spark)
-    for name, table in _raw_only(_layers(spark, sf_dir)).items():
-        export_csv(table, f"{folder}/raw/{name.removeprefix('raw_')}.csv")
+    raw = _raw_only(_layers(spark, sf_dir)).items()
+    together(export_csv, {n: (table, f"{folder}/raw/{n.removeprefix('raw_')}.csv") for n, table in raw})
     tables = run_job(
         spark, f"{folder}/raw", f"{folder}/out", AS_OF, RUN_AT, "keep_all",
         multi_line=["transactions"], feeds_as_of=FEEDS_AS_OF,

@@ -144,8 +144,12 @@ def clean_transactions(
 
     ``stored`` says that raw is a plan over Parquet files which only projects and
     filters. Which rows stay is then decided on ids, order, account and amount
-    alone, and the whole rows are fetched by their place in the files.
+    alone, and the whole rows are fetched by their place in the files. Where all rows
+    with an id stay there is nothing to decide: they meet their accounts in a hash join.
     """
+    if stored and dedup == "keep_all":
+        valid = valid_transactions(raw, dedup=dedup)
+        return having_parent(valid, accounts, "account_id", unique_parent=unique_parent, hashed=True)
     if not stored:
         valid = valid_transactions(raw, order_by, dedup=dedup)
         return having_parent(valid, accounts, "account_id", unique_parent=unique_parent)

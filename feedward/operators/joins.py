@@ -11,7 +11,12 @@ from feedward.operators.checks import matched_count, per_key
 
 
 def having_parent(
-    child: DataFrame, parent: DataFrame, key: str, *, unique_parent: bool = False
+    child: DataFrame,
+    parent: DataFrame,
+    key: str,
+    *,
+    unique_parent: bool = False,
+    hashed: bool = False,
 ) -> DataFrame:
     """Child rows whose key exists in the parent, with the child's columns only.
 
@@ -22,9 +27,12 @@ def having_parent(
     Only the key of the parent is shuffled. Spark broadcasts it if it measures
     below the session's threshold. Otherwise nothing but the exchange and sort
     sits under either side of the sort-merge join, which is what adaptive
-    execution needs to split a hot key over several tasks.
+    execution needs to split a hot key over several tasks. ``hashed`` does without
+    the sort, which pays for wide children: a task holds its share of the parent's keys.
     """
     keys = parent.select(key)
+    if hashed:
+        keys = keys.hint("shuffle_hash")
     matched = child.join(keys, key, "left_semi" if unique_parent else "inner")
     return matched.select(child.columns)
 

@@ -162,7 +162,7 @@ def _repeated(totals: DataFrame) -> DataFrame:
     """Totals by account as often as they count: as decimals where those hold the product, else binned."""
     fixed, times = F.col(sums.FIXED), F.col("times")
     small = (F.abs(fixed.cast("double")) * times < F.lit(_SAFE_PRODUCT)) & (times < F.lit(10**10))
-    product = fixed.try_cast(_TOTAL) * times.try_cast(_TIMES)
+    product = F.when(times == 1, fixed).otherwise(fixed.try_cast(_TOTAL) * times.try_cast(_TIMES))
     loose = F.coalesce(F.when(~small, fixed.cast("double")), sums.bin_value(), F.col(sums.SPECIAL))
     kept = totals.withColumn("_product", F.when(small, product))
     return sums.split(kept, loose * times).withColumn(

@@ -11,13 +11,23 @@ from pyspark.sql import DataFrame, SparkSession
 from feedward.operators.clean import RUN_DAY, with_run_day
 from feedward.plans.audit import audit_log
 from feedward.plans.tables import Layers
-from feedward.session import planned_bytes, sized_shuffles
+from feedward.session import planned_bytes, sized_shuffles, together
 from feedward.sources.catalog import assert_tables, assert_total_rows
 from feedward.sources.readers import POSITION_COLUMNS, load_raw_dir
 from feedward.sources.schemas import RAW_SCHEMAS, RAW_TABLES
 from feedward.sources.writers import export_csv, rebuild, write_audit
 
 
+# The tables in the order of the job. Those of a step need none of each other, so they are written at the same time.
+STEPS = (
+    RAW_TABLES,
+    ("clean_customers", "clean_feed_logs"),
+    ("clean_accounts", "clean_consents", "agg_feed_health", "agg_reconciliation"),
+    ("clean_transactions", "agg_consent_summary"),
+    ("agg_transaction_volumes",),
+)
+
+
 def run_job(
     spark: SparkSession,
     raw_dir: str,
@@ -60,14 +70,19 @@ def _build(
         loaded[name] = loaded[name].drop(*POSITION_COLUMNS)
     raw = {name: partial(loaded.get, name) for name in loaded}
     tables = Layers(raw, as_of.date(), POSITION_COLUMNS, dedup, stored=True)
-    for name in tables:
-        layer = name.split("_", 1)[0]
-        table, by = tables[name], []
+
+    def write(name: str, table: DataFrame) -> DataFrame:
+        layer, by = name.split("_", 1)[0], []
         if name == "clean_feed_logs":  # so that checks and KPI tables of some days read those alone
             table, by = with_run_day(table), [RUN_DAY]
-        tables.replace(name, rebuild(spark, table, f"{out_dir}/{layer}/{name}", by))
+        written = rebuild(spark, table, f"{out_dir}/{layer}/{name}", by)
         if layer == "agg":
-            export_csv(tables[name], f"{out_dir}/export/{name}.csv")
+            export_csv(written, f"{out_dir}/export/{name}.csv")
+        return written
+
+    for names in STEPS:
+        for name, written in together(write, {name: (name, tables[name]) for name in names}).items():
+            tables.replace(name, written)
     log = audit_log(tables, as_of, run_at, feeds_as_of)
     audit = rebuild(spark, log, f"{out_dir}/audit/audit_log")
     write_audit(audit, f"{out_dir}/export/audit_log.csv", f"{out_dir}/audit/history")

@@ -5,10 +5,13 @@ from __future__ import annotations
 import math
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from pathlib import Path
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution sizes shuffle partitions, turns joins with a side that
@@ -64,6 +67,18 @@ def sized_shuffles(spark: SparkSession, total_bytes: int) -> Iterator[int]:
         spark.conf.set(key, before)
 
 
+def together(act: Callable[..., Any], calls: Mapping[str, tuple]) -> dict[str, Any]:
+    """What ``act`` returns for each call's arguments, their jobs running side by side.
+
+    One job's last tasks leave executors idle that the next one's can use. All calls are waited for; the first that
+    failed raises.
+    """
+    inheriting = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(max(1, len(calls))) as pool:
+        futures = {name: pool.submit(inheriting(act), *args) for name, args in calls.items()}
+    return {name: future.result() for name, future in futures.items()}
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once for each application.
 

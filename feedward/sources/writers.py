@@ -96,9 +96,14 @@ def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int)
     return spark.table(name)
 
 
+#: Records of one CSV part. One with line breaks inside quotes is read by a single task.
+CSV_RECORDS = 500_000
+
+
 def export_csv(df: DataFrame, path: str) -> None:
-    """Replace the CSV export at ``path``, one part per task."""
+    """Replace the CSV export at ``path``; a task writes a part for every CSV_RECORDS rows."""
     formats = {"dateFormat": "yyyy-MM-dd", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
+    formats["maxRecordsPerFile"] = CSV_RECORDS
     df.write.mode("overwrite").options(**formats).csv(path, header=True, escape='"')
 
 

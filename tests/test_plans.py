@@ -179,6 +179,15 @@ def test_a_query_scans_what_it_needs_once(spark, name, tables):
     assert {table: found.count(table) for table in found} == tables
 
 
+def test_rows_that_all_stay_are_not_fetched_by_their_place(spark, tmp_path):
+    hot_transactions(spark).write.parquet(f"{tmp_path}/t")
+    with settings(spark, SKEWED):
+        df = clean.clean_transactions(spark.read.parquet(f"{tmp_path}/t"), all_accounts(spark), dedup="keep_all", stored=True)
+        assert len(df.collect()) == 60_000
+        text = plan(df)
+    assert "_metadata" not in text and "ShuffledHashJoin(skew=true)" in text and text.count("Scan parquet") <= 2
+
+
 @needs_data
 @pytest.mark.parametrize("name", ["clean_transactions", "clean_transactions_keep_all"])
 def test_whole_transactions_are_never_sorted(spark, name):

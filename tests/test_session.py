@@ -2,6 +2,8 @@ import subprocess
 import sys
 from pathlib import Path
 
+import pytest
+
 from feedward import session
 from feedward.sources import catalog
 from helpers import raw, values
@@ -46,3 +48,26 @@ def test_views_answer_plain_sql(spark):
     found = spark.sql("SELECT count(*) AS n FROM raw_accounts WHERE balance_aud IS NULL")
     assert values(found) == [(1,)]
     spark.catalog.dropTempView("raw_accounts")
+
+
+def test_steps_of_the_job_hold_every_table_after_what_it_needs():
+    from datetime import date
+
+    from feedward.plans.layers import STEPS
+    from feedward.plans.tables import Layers
+    from feedward.sources.schemas import RAW_TABLES
+
+    tables = Layers({name: lambda: None for name in RAW_TABLES}, date(2020, 1, 1))
+    assert sorted(name for names in STEPS for name in names) == sorted(tables)
+
+
+def test_calls_run_side_by_side_and_the_first_error_is_raised(spark):
+    from threading import Barrier
+
+    from feedward.session import together
+
+    met = Barrier(3, timeout=30)
+    assert together(lambda n: met.wait() is not None and n * 2, {"a": (1,), "b": (2,), "c": (3,)}) == {"a": 2, "b": 4, "c": 6}
+    with pytest.raises(ZeroDivisionError):
+        together(lambda n: 1 // n, {"a": (1,), "b": (0,)})
+    assert together(print, {}) == {}

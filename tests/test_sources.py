@@ -262,3 +262,11 @@ def test_line_breaks_and_broken_rows(spark, tmp_path):
     assert found == [("T1", 'one\n"two", three', "s"), ("T1", "x", "s")]
     with pytest.raises(Exception, match="(?i)malformed"):
         load_raw_dir(spark, str(tmp_path), RAW_SCHEMAS)["raw_transactions"].collect()
+
+
+def test_exports_have_parts_of_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(writers, "CSV_RECORDS", 10)
+    writers.export_csv(spark.range(25, numPartitions=1).selectExpr("cast(id as string) || '\nx' as text"), f"{tmp_path}/parts.csv")
+    assert len(list((tmp_path / "parts.csv").glob("part-*"))) == 3
+    found = read_raw(spark, f"{tmp_path}/parts.csv", multi_line=True)
+    assert sorted(row.text for row in found.collect()) == sorted(f"{i}\nx" for i in range(25))
