@@ -107,6 +107,7 @@ class Encoder:
         plain = normal is None or normal.normalize_str(letters) == letters
         self._takes_letters = plain and pre is not None and [t for t, _ in pre.pre_tokenize_str(letters)] == [letters] and array("I").itemsize == 4 and sys.byteorder == "little"
         self._seen: set[str] = set()
+        self._stays: dict[str, bool] = {}
         self._letters: dict[int, str] = {}
         self._closes = np.zeros(1 + max(vocabulary.values(), default=0), bool)
         self._closes[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
@@ -147,7 +148,7 @@ class Encoder:
         marked = {}
         for word in new:
             stem = word.rstrip(_CLOSING)
-            if len(stem) < len(word) and (stem[-1:].isalnum() or stem.decode("utf-8", "surrogatepass")[-1:].isalpha()):
+            if stem and len(stem) < len(word) and (stem[-1:].isalnum() or self._ends_in_letter(stem.decode("utf-8", "surrogatepass")[-1])):
                 marked[word] = stem, word[len(stem) :]
         new = new.difference(marked)
         new.update(set().union(*marked.values()).difference(self._known))
@@ -160,6 +161,13 @@ class Encoder:
         self._remember(marked, [self._known[stem] + self._known[marks] for stem, marks in marked.values()])
         return self._known
 
+    def _ends_in_letter(self, char: str) -> bool:
+        """Whether a letter stays one: some become a letter and a combining mark, which later marks would join."""
+        if char not in self._stays:
+            normal = self._model.normalizer
+            self._stays[char] = char.isalpha() and (normal is None or normal.normalize_str(char)[-1:].isalpha())
+        return self._stays[char]
+
     def _remember(self, words: Collection[bytes], ids: list[bytes]) -> None:
         self._known.update(zip(words, ids, strict=True))
         self._size += sum(map(len, words)) + sum(map(len, ids)) + 150 * len(ids)

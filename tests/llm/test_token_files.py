@@ -61,7 +61,7 @@ def test_encoder_forgets_and_cuts_long_texts(tokenizer, monkeypatch):
 
 def test_words_of_other_letters_go_to_the_model_and_marks_are_taken_off(tokenizer, monkeypatch):
     encoder, asked = Encoder(WORDS, 1, True), []
-    kept, texts = Encoder._encoded, ["año Straße naïve ÉTÉ한 Σας İI ǅa E\u0301a", "plain año", "año... straße!!! naïve, word$$$ x'. ….", " \u0e33. "]
+    kept, texts = Encoder._encoded, ["año Straße naïve ÉTÉ한 Σας İI ǅa E\u0301a", "plain año", "año... straße!!! naïve, word$$$ x'. ….", " \u0e33. ", "İ... \u0958! İ, क\u093c? aİ$"]
     monkeypatch.setattr(Encoder, "_grouped", lambda self, words: asked.extend(words) or kept(self, words))
     monkeypatch.setattr(token_files, "_REMEMBERED", 1)
     for _ in range(2):
