@@ -105,10 +105,11 @@ def _audit_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _job_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Export all raw tables as CSV, run the whole job over that directory, return its audit log."""
+    """Export all raw tables as packed CSV, run the whole job over that directory, return its audit log."""
     folder = _new_folder(spark)
     raw = _raw_only(_layers(spark, sf_dir)).items()
-    together(export_csv, {n: (table, f"{folder}/raw/{n.removeprefix('raw_')}.csv") for n, table in raw})
+    export = partial(export_csv, packed=True)
+    together(export, {n: (table, f"{folder}/raw/{n.removeprefix('raw_')}.csv") for n, table in raw})
     tables = run_job(
         spark, f"{folder}/raw", f"{folder}/out", AS_OF, RUN_AT, "keep_all",
         multi_line=["transactions"], feeds_as_of=FEEDS_AS_OF,

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from feedward.operators.clean import RUN_DAY, with_run_day
 from feedward.plans.audit import audit_log
 from feedward.plans.tables import Layers
-from feedward.session import planned_bytes, sized_shuffles, together
+from feedward.session import dropped_shuffles, sized_shuffles, text_bytes, together
 from feedward.sources.catalog import assert_tables, assert_total_rows
 from feedward.sources.readers import POSITION_COLUMNS, load_raw_dir
 from feedward.sources.schemas import RAW_SCHEMAS, RAW_TABLES
@@ -53,7 +53,8 @@ def run_job(
     assert_tables(loaded, RAW_TABLES)
     if expected_rows is not None:
         assert_total_rows(loaded, expected_rows)
-    with sized_shuffles(spark, sum(planned_bytes(table) for table in loaded.values())):
+    held = sum(text_bytes(table) for table in loaded.values())
+    with sized_shuffles(spark, held), dropped_shuffles(spark):
         return _build(spark, loaded, out_dir, as_of, run_at, dedup, feeds_as_of)
 
 

@@ -30,6 +30,10 @@ ADAPTIVE = {
 
 BYTES_PER_SHUFFLE_PARTITION = 256 * 1024**2
 
+# Text takes up to so many times the space of its packed files.
+PACKED_TEXT = 8
+PACKED_NAMES = (".gz", ".gzip", ".bz2", ".lz4", ".snappy", ".deflate", ".zst")
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the settings to a session that is already running."""
@@ -44,6 +48,12 @@ def planned_bytes(df: DataFrame) -> int:
     return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
+def text_bytes(df: DataFrame) -> int:
+    """What text files hold: planned_bytes, more of it where they are packed. Starts no job."""
+    packed = any(name.endswith(PACKED_NAMES) for name in df.inputFiles())
+    return planned_bytes(df) * (PACKED_TEXT if packed else 1)
+
+
 def partitions_for(total_bytes: int) -> int:
     """Shuffle partitions of about BYTES_PER_SHUFFLE_PARTITION, however many that takes."""
     return max(1, math.ceil(total_bytes / BYTES_PER_SHUFFLE_PARTITION))
@@ -67,6 +77,23 @@ def sized_shuffles(spark: SparkSession, total_bytes: int) -> Iterator[int]:
         spark.conf.set(key, before)
 
 
+@contextmanager
+def dropped_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within the block, each job's shuffle files go when it ends.
+
+    Otherwise they stay until the driver happens to collect the garbage of their plans, and a chain of jobs
+    fills the executors' disks with all that it ever shuffled. For jobs that write tables: a plan that is
+    run a second time has to shuffle again.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def together(act: Callable[..., Any], calls: Mapping[str, tuple]) -> dict[str, Any]:
     """What ``act`` returns for each call's arguments, their jobs running side by side.
 

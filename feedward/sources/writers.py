@@ -18,6 +18,9 @@ from feedward.sources.files import delete, list_paths, touch
 _READY = "_READY"
 _KEPT = 2
 
+#: How layer tables are packed: smaller than Spark's default at much the same speed.
+LAYER_CODEC = "zstd"
+
 
 def _versions(spark: SparkSession, path: str) -> list[str]:
     return list_paths(spark, f"{path}/v[0-9]*")
@@ -33,7 +36,7 @@ def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> s
     before = _versions(spark, path)
     number = 1 + max((int(name.rsplit("/v", 1)[1]) for name in before), default=0)
     folder = f"{path}/v{number:08d}"
-    df.write.partitionBy(*partition_by).parquet(folder)
+    df.write.option("compression", LAYER_CODEC).partitionBy(*partition_by).parquet(folder)
     touch(spark, f"{folder}/{_READY}")
     kept = _ready(spark, path)[-_KEPT:]
     for old in before:
@@ -100,10 +103,19 @@ def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int)
 CSV_RECORDS = 500_000
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    """Replace the CSV export at ``path``; a task writes a part for every CSV_RECORDS rows."""
+#: Exports that only another job reads: the fastest level of gzip that takes them to about a quarter.
+PACKED = {"compression": "gzip", "zlib.compress.level": "FOUR"}
+
+
+def export_csv(df: DataFrame, path: str, *, packed: bool = False) -> None:
+    """Replace the CSV export at ``path``; a task writes a part for every CSV_RECORDS rows.
+
+    ``packed`` writes ``.csv.gz`` parts, which the readers unpack by their name.
+    """
     formats = {"dateFormat": "yyyy-MM-dd", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
     formats["maxRecordsPerFile"] = CSV_RECORDS
+    if packed:
+        formats |= PACKED
     df.write.mode("overwrite").options(**formats).csv(path, header=True, escape='"')
 
 

@@ -71,3 +71,22 @@ def test_calls_run_side_by_side_and_the_first_error_is_raised(spark):
     with pytest.raises(ZeroDivisionError):
         together(lambda n: 1 // n, {"a": (1,), "b": (0,)})
     assert together(print, {}) == {}
+
+
+def test_packed_text_counts_for_what_it_holds(spark, tmp_path):
+    text = spark.range(20_000).selectExpr("'some words, then ' || md5(cast(id as string)) AS text").coalesce(1)
+    text.write.text(f"{tmp_path}/plain")
+    text.write.text(f"{tmp_path}/packed", compression="gzip")
+    plain, packed = (spark.read.text(f"{tmp_path}/{name}") for name in ("plain", "packed"))
+    assert session.text_bytes(plain) == session.planned_bytes(plain)
+    assert session.planned_bytes(packed) < session.text_bytes(plain)
+    assert session.text_bytes(packed) >= session.text_bytes(plain)
+
+
+def test_shuffle_files_are_dropped_for_the_block_only(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    with pytest.raises(ValueError), session.dropped_shuffles(spark):
+        assert spark.conf.get(key) == "true"
+        raise ValueError
+    assert spark.conf.get(key) == before

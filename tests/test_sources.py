@@ -1,3 +1,5 @@
+import gzip
+import time
 from datetime import date, datetime
 
 import pytest
@@ -270,3 +272,52 @@ def test_exports_have_parts_of_bounded_size(spark, tmp_path, monkeypatch):
     assert len(list((tmp_path / "parts.csv").glob("part-*"))) == 3
     found = read_raw(spark, f"{tmp_path}/parts.csv", multi_line=True)
     assert sorted(row.text for row in found.collect()) == sorted(f"{i}\nx" for i in range(25))
+
+
+def test_packed_exports_are_smaller_and_read_alike(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(writers, "CSV_RECORDS", 400)
+    rows = spark.range(1000, numPartitions=1).selectExpr("cast(id as string) as id", "'some \"text\"\nof ' || id as text")
+    for packed in (False, True):
+        writers.export_csv(rows, f"{tmp_path}/raw_{packed}/t.csv", packed=packed)
+    plain, packed = (list((tmp_path / f"raw_{kind}" / "t.csv").glob("part-*")) for kind in (False, True))
+    assert len(plain) == len(packed) == 3 and all(part.name.endswith(".csv.gz") for part in packed)
+    assert sum(part.stat().st_size for part in packed) * 3 < sum(part.stat().st_size for part in plain)
+    found = [load_raw_dir(spark, f"{tmp_path}/raw_{kind}", {}, multi_line=["t"])["raw_t"] for kind in (False, True)]
+    assert values(found[0]) == values(found[1]) == values(rows)
+
+
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = [found.apply(i).getName() for i in range(found.size())]
+    return {name for name in names if name.startswith("shuffle_") and name.endswith(".data")}
+
+
+def test_job_leaves_no_shuffle_files_and_packs_its_tables(spark, tmp_path):
+    raw_dir = tmp_path / "raw"
+    raw_dir.mkdir()
+    for name, text in RAW.items():
+        (raw_dir / f"{name}.csv").write_text(text)
+    now = datetime(2026, 4, 20, 16, 48, 29)
+    before = shuffle_files(spark)
+    tables = run_job(spark, str(raw_dir), str(tmp_path / "out"), now, now)  # kept: its plans are not garbage
+    deadline = time.monotonic() + 30
+    while (left := shuffle_files(spark) - before) and time.monotonic() < deadline:
+        time.sleep(0.2)
+    assert not left
+    assert tables["audit_log"].count() == 15
+    layers = [*(tmp_path / "out").glob("*/*/v*/**/*.parquet")]
+    assert layers and all(path.name.endswith(".zstd.parquet") for path in layers)
+
+
+def test_job_over_packed_files_gives_the_same_log(spark, tmp_path):
+    logs = []
+    for packed in (False, True):
+        raw_dir = tmp_path / f"raw_{packed}"
+        for name, text in RAW.items():
+            (raw_dir / f"{name}.csv").mkdir(parents=True)
+            data = gzip.compress(text.encode()) if packed else text.encode()
+            (raw_dir / f"{name}.csv" / ("part-0.csv" + ".gz" * packed)).write_bytes(data)
+        now = datetime(2026, 4, 20, 16, 48, 29)
+        out = str(tmp_path / f"out_{packed}")
+        logs.append(values(run_job(spark, str(raw_dir), out, now, now, multi_line=["transactions"])["audit_log"]))
+    assert len(logs[0]) == 15 and logs[0] == logs[1]
