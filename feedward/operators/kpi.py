@@ -113,18 +113,16 @@ def transaction_volumes(
 ) -> DataFrame:
     """Per account type, holder, day and transaction type: count and amounts.
 
-    Transactions are totalled by account, day and type before they meet their
-    accounts, so a hot account is a few rows. ``matched=False`` takes valid
+    Transactions meet their accounts first, which shuffles four narrow columns once, and are totalled in the
+    tasks that joined them; adaptive execution splits a hot account over several. Totals by account would
+    be shuffled twice and are hardly fewer than the transactions. ``matched=False`` takes valid
     transactions that have not been through the referential join yet and does
     that as well: an account id that occurs k times repeats its transactions
     once more k times. Amounts of any size are added up exactly, see
     :mod:`feedward.operators.sums`; nothing is rounded before the totals.
     """
-    dated = transactions.withColumn("txn_date", day_of(F.col("transaction_date")))
-    totals = sums.by_bin(
-        sums.split(dated, F.col("amount_aud")),
-        ["account_id", "transaction_type", "txn_date"],
-        F.count("*").alias("rows"),
+    dated = transactions.select(
+        "account_id", "transaction_type", day_of(F.col("transaction_date")).alias("txn_date"), "amount_aud"
     )
     kinds = accounts.groupBy("account_id", "account_type", "data_holder").agg(
         F.count("*").alias("copies")
@@ -133,11 +131,8 @@ def transaction_volumes(
     if not matched:
         times = times * F.sum("copies").over(Window.partitionBy("account_id"))
     kinds = kinds.withColumn("times", times).drop("copies")
-    repeated = sums.by_bin(
-        _repeated(totals.join(kinds, "account_id")),
-        VOLUME_KEYS,
-        F.sum(F.col("rows") * F.col("times")).alias("rows"),
-    )
+    parts = sums.split(dated.join(kinds, "account_id"), F.col("amount_aud"))
+    repeated = sums.by_bin(_repeated(parts), VOLUME_KEYS, F.sum("times").alias("rows"))
     return volume_totals(repeated)
 
 
@@ -158,13 +153,13 @@ def volume_totals(states: DataFrame) -> DataFrame:
     )
 
 
-def _repeated(totals: DataFrame) -> DataFrame:
-    """Totals by account as often as they count: as decimals where those hold the product, else binned."""
+def _repeated(parts: DataFrame) -> DataFrame:
+    """Split amounts as often as they count: as decimals where those hold the product, else binned."""
     fixed, times = F.col(sums.FIXED), F.col("times")
     small = (F.abs(fixed.cast("double")) * times < F.lit(_SAFE_PRODUCT)) & (times < F.lit(10**10))
     product = F.when(times == 1, fixed).otherwise(fixed.try_cast(_TOTAL) * times.try_cast(_TIMES))
     loose = F.coalesce(F.when(~small, fixed.cast("double")), sums.bin_value(), F.col(sums.SPECIAL))
-    kept = totals.withColumn("_product", F.when(small, product))
+    kept = parts.withColumn("_product", F.when(small, product))
     return sums.split(kept, loose * times).withColumn(
         sums.FIXED, F.coalesce(F.col("_product"), F.col(sums.FIXED)).cast("decimal(38,10)")
     )

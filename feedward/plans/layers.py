@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from feedward.operators.clean import RUN_DAY, with_run_day
 from feedward.plans.audit import audit_log
 from feedward.plans.tables import Layers
-from feedward.session import dropped_shuffles, sized_shuffles, text_bytes, together
+from feedward.session import chained_jobs, sized_shuffles, slices_for, text_bytes, together
 from feedward.sources.catalog import assert_tables, assert_total_rows
 from feedward.sources.readers import POSITION_COLUMNS, load_raw_dir
 from feedward.sources.schemas import RAW_SCHEMAS, RAW_TABLES
@@ -54,7 +54,7 @@ def run_job(
     if expected_rows is not None:
         assert_total_rows(loaded, expected_rows)
     held = sum(text_bytes(table) for table in loaded.values())
-    with sized_shuffles(spark, held), dropped_shuffles(spark):
+    with sized_shuffles(spark, held), chained_jobs(spark):
         return _build(spark, loaded, out_dir, as_of, run_at, dedup, feeds_as_of)
 
 
@@ -73,10 +73,12 @@ def _build(
     tables = Layers(raw, as_of.date(), POSITION_COLUMNS, dedup, stored=True)
 
     def write(name: str, table: DataFrame) -> DataFrame:
-        layer, by = name.split("_", 1)[0], []
+        layer, by, others = name.split("_", 1)[0], [], []
         if name == "clean_feed_logs":  # so that checks and KPI tables of some days read those alone
             table, by = with_run_day(table), [RUN_DAY]
-        written = rebuild(spark, table, f"{out_dir}/{layer}/{name}", by)
+        elif name == "clean_transactions":  # whole rows are shuffled
+            table, *others = tables.in_slices(name, slices_for(spark, tables["raw_transactions"].count()))
+        written = rebuild(spark, table, f"{out_dir}/{layer}/{name}", by, others)
         if layer == "agg":
             export_csv(written, f"{out_dir}/export/{name}.csv")
         return written

@@ -7,6 +7,7 @@ from datetime import date
 from functools import partial
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from feedward.operators import checks, clean, kpi
 from feedward.operators.joins import having_parent, matched_rows
@@ -59,7 +60,7 @@ class Layers(Mapping[str, DataFrame]):
             "clean_customers": lambda: clean.clean_customers(self["raw_customers"]),
             "clean_accounts": partial(self._matched, "clean_accounts"),
             "clean_consents": partial(self._matched, "clean_consents"),
-            "clean_transactions": self._transactions,
+            "clean_transactions": lambda: self._transactions(self["raw_transactions"]),
             "clean_feed_logs": lambda: clean.clean_feed_logs(self["raw_feed_logs"]),
             "agg_feed_health": lambda: kpi.feed_health(self["clean_feed_logs"]),
             "agg_consent_summary": lambda: kpi.consent_summary(self["clean_consents"]),
@@ -81,9 +82,9 @@ class Layers(Mapping[str, DataFrame]):
     def _matched(self, name: str) -> DataFrame:
         return having_parent(*self._sides(name), unique_parent=self._unique_parents)
 
-    def _transactions(self) -> DataFrame:
+    def _transactions(self, raw: DataFrame) -> DataFrame:
         return clean.clean_transactions(
-            self["raw_transactions"],
+            raw,
             self["clean_accounts"],
             self.order_by,
             dedup=self.dedup,
@@ -91,6 +92,15 @@ class Layers(Mapping[str, DataFrame]):
             stored=self._stored,
         )
 
+    def in_slices(self, name: str, count: int) -> list[DataFrame]:
+        """Clean transactions as tables that hold their rows together; all rows of an id are in one of them."""
+        if name != "clean_transactions":
+            raise ValueError(f"{name} can't be sliced")
+        if count == 1:
+            return [self[name]]
+        raw, place = self["raw_transactions"], F.pmod(F.xxhash64("transaction_id"), F.lit(count))
+        return [self._transactions(raw.filter(place == number)) for number in range(count)]
+
     def _volumes(self) -> DataFrame:
         """From the written transactions if there are any, else with a single join."""
         name = "clean_transactions"

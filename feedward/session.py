@@ -77,21 +77,36 @@ def sized_shuffles(spark: SparkSession, total_bytes: int) -> Iterator[int]:
         spark.conf.set(key, before)
 
 
-@contextmanager
-def dropped_shuffles(spark: SparkSession) -> Iterator[None]:
-    """Within the block, each job's shuffle files go when it ends.
+# For a chain of jobs that write tables and read them again.
+CHAINED = {
+    # A job's shuffle files go when it ends, not when the driver happens to collect the garbage of its plan; a
+    # plan that is run a second time has to shuffle again.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    # Tables packed with zstd hold more than their files, which matters to what is small enough to broadcast.
+    "spark.sql.sources.fileCompressionFactor": "8.0",
+}
 
-    Otherwise they stay until the driver happens to collect the garbage of their plans, and a chain of jobs
-    fills the executors' disks with all that it ever shuffled. For jobs that write tables: a plan that is
-    run a second time has to shuffle again.
-    """
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "true")
+
+@contextmanager
+def chained_jobs(spark: SparkSession) -> Iterator[None]:
+    """CHAINED within the block; the session has its own settings again afterwards."""
+    before = {key: spark.conf.get(key) for key in CHAINED}
+    for key, value in CHAINED.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+# Whole rows that a step shuffles at one time for each core, so that its files don't grow with the table.
+ROWS_PER_CORE = 4_000_000
+
+
+def slices_for(spark: SparkSession, rows: int) -> int:
+    """In how many slices to shuffle whole rows."""
+    return max(1, math.ceil(rows / (ROWS_PER_CORE * spark.sparkContext.defaultParallelism)))
 
 
 def together(act: Callable[..., Any], calls: Mapping[str, tuple]) -> dict[str, Any]:

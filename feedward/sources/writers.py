@@ -30,13 +30,20 @@ def _ready(spark: SparkSession, path: str) -> list[str]:
     return [marker.rsplit("/", 1)[0] for marker in list_paths(spark, f"{path}/v[0-9]*/{_READY}")]
 
 
-def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
-    """Write the next version of the Parquet table at ``path`` and return the version's folder."""
+def write_layer(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), others: Sequence[DataFrame] = ()
+) -> str:
+    """Write the next version of the Parquet table at ``path`` and return the version's folder.
+
+    ``others`` are further slices of its rows, which are written one after the other.
+    """
     spark = df.sparkSession
     before = _versions(spark, path)
     number = 1 + max((int(name.rsplit("/v", 1)[1]) for name in before), default=0)
     folder = f"{path}/v{number:08d}"
-    df.write.option("compression", LAYER_CODEC).partitionBy(*partition_by).parquet(folder)
+    for part in (df, *others):
+        writer = part.write.mode("error" if part is df else "append").option("compression", LAYER_CODEC)
+        writer.partitionBy(*partition_by).parquet(folder)
     touch(spark, f"{folder}/{_READY}")
     kept = _ready(spark, path)[-_KEPT:]
     for old in before:
@@ -73,14 +80,18 @@ def write_table(df: DataFrame, name: str) -> None:
 
 
 def rebuild(
-    spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str] = ()
+    spark: SparkSession,
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    others: Sequence[DataFrame] = (),
 ) -> DataFrame:
-    """Write a layer table and continue from the written copy.
+    """Write a layer table, see :func:`write_layer`, and continue from the written copy.
 
     This is also where lineage is cut: losing executors later costs at most a
     re-read of the written files.
     """
-    folder = write_layer(df, path, partition_by)
+    folder = write_layer(df, path, partition_by, others)
     return spark.read.schema(df.schema).parquet(folder).select(*df.columns)
 
 

@@ -214,6 +214,21 @@ def test_located_rows_are_those_of_the_plain_way(spark, tmp_path):
         assert fetched.exceptAll(plain).isEmpty() and plain.exceptAll(fetched).isEmpty()
 
 
+@pytest.mark.parametrize("matched", [True, False])
+def test_volumes_shuffle_transactions_once(spark, matched):
+    with settings(spark, LARGE):
+        text = plan(kpi.transaction_volumes(hot_transactions(spark), all_accounts(spark), matched=matched))
+    dealt = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", text)
+    assert dealt and not any("account_id" in keys and "txn_date" in keys for keys in dealt)
+
+
+def test_hot_account_is_split_in_the_volumes(spark):
+    with settings(spark, SKEWED):
+        volumes = kpi.transaction_volumes(hot_transactions(spark), all_accounts(spark))
+        assert [row.txn_count for row in volumes.collect()] == [60_000]
+        assert "skew=true" in plan(volumes)
+
+
 @needs_data
 def test_stored_logs_are_read_for_the_days_asked(spark):
     for name in ("feed_health_of_days", "checks_of_days"):

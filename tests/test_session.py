@@ -83,10 +83,14 @@ def test_packed_text_counts_for_what_it_holds(spark, tmp_path):
     assert session.text_bytes(packed) >= session.text_bytes(plain)
 
 
-def test_shuffle_files_are_dropped_for_the_block_only(spark):
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key)
-    with pytest.raises(ValueError), session.dropped_shuffles(spark):
-        assert spark.conf.get(key) == "true"
+def test_settings_of_chained_jobs_hold_for_the_block_only(spark):
+    before = {key: spark.conf.get(key) for key in session.CHAINED}
+    with pytest.raises(ValueError), session.chained_jobs(spark):
+        assert {key: spark.conf.get(key) for key in before} == session.CHAINED
         raise ValueError
-    assert spark.conf.get(key) == before
+    assert {key: spark.conf.get(key) for key in before} == before
+
+
+def test_slices_grow_with_the_rows_and_shrink_with_the_cores(spark):
+    most = session.ROWS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert [session.slices_for(spark, rows) for rows in (0, most, most + 1, 7 * most)] == [1, 1, 2, 7]

@@ -3,7 +3,9 @@ import time
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
+from feedward import session
 from feedward.plans.layers import run_job
 from feedward.sources import catalog, writers
 from feedward.sources.readers import NULL_TOKENS, POSITION_COLUMNS, load_raw_dir, read_raw
@@ -321,3 +323,32 @@ def test_job_over_packed_files_gives_the_same_log(spark, tmp_path):
         out = str(tmp_path / f"out_{packed}")
         logs.append(values(run_job(spark, str(raw_dir), out, now, now, multi_line=["transactions"])["audit_log"]))
     assert len(logs[0]) == 15 and logs[0] == logs[1]
+
+
+def test_tables_written_in_slices_hold_all_rows_or_stay_as_they_were(spark, tmp_path):
+    rows, path = spark.range(30).toDF("id"), str(tmp_path / "t")
+    slices = [rows.filter(F.col("id") % 3 == part) for part in range(3)]
+    assert values(writers.rebuild(spark, slices[0], path, others=slices[1:])) == values(rows)
+    broken = rows.select(F.raise_error(F.lit("no")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        writers.rebuild(spark, slices[0], path, others=[broken])
+    assert values(writers.read_layer(spark, path)) == values(rows)
+
+
+@pytest.mark.parametrize("dedup", ["first", "keep_all"])
+def test_job_in_slices_gives_the_same_tables(spark, tmp_path, monkeypatch, dedup):
+    raw_dir = tmp_path / "raw"
+    raw_dir.mkdir()
+    for name, text in RAW.items():
+        if name == "transactions":
+            more = (f"T{i % 30},A{1 + i % 3},debit,{i - 2}.5,AUD,Shop,2026-03-0{1 + i % 5}T00:00:00,,row {i},settled\n" for i in range(100))
+            text += "".join(more) + ",A1,debit,3,AUD,Shop,2026-03-03T00:00:00,,no id,settled\n" * 2
+        (raw_dir / f"{name}.csv").write_text(text)
+    now, found = datetime(2026, 4, 20, 16, 48, 29), []
+    for rows in (session.ROWS_PER_CORE, 1):
+        monkeypatch.setattr(session, "ROWS_PER_CORE", rows)
+        out = str(tmp_path / f"out_{rows}")
+        tables = run_job(spark, str(raw_dir), out, now, now, dedup)
+        found.append([values(tables[name]) for name in ("clean_transactions", "agg_transaction_volumes", "audit_log")])
+    assert session.slices_for(spark, 105) > 5
+    assert found[0] == found[1] and len(found[0][0]) >= 10
