@@ -77,7 +77,8 @@ def _build(
         if name == "clean_feed_logs":  # so that checks and KPI tables of some days read those alone
             table, by = with_run_day(table), [RUN_DAY]
         elif name == "clean_transactions":  # whole rows are shuffled
-            table, *others = tables.in_slices(name, slices_for(spark, tables["raw_transactions"].count()))
+            rows, parents = (tables[part].count() for part in ("raw_transactions", "clean_accounts"))
+            table, *others = tables.in_slices(name, slices_for(spark, rows, parents))
         written = rebuild(spark, table, f"{out_dir}/{layer}/{name}", by, others)
         if layer == "agg":
             export_csv(written, f"{out_dir}/export/{name}.csv")

@@ -104,9 +104,14 @@ def chained_jobs(spark: SparkSession) -> Iterator[None]:
 ROWS_PER_CORE = 4_000_000
 
 
-def slices_for(spark: SparkSession, rows: int) -> int:
-    """In how many slices to shuffle whole rows."""
-    return max(1, math.ceil(rows / (ROWS_PER_CORE * spark.sparkContext.defaultParallelism)))
+def slices_for(spark: SparkSession, rows: int, parents: int) -> int:
+    """In how many slices to shuffle whole rows that meet their parents.
+
+    Every slice meets all parents, whose keys are shuffled again and held by its tasks; so it has
+    at least as many rows as there are parents.
+    """
+    wanted = math.ceil(rows / (ROWS_PER_CORE * spark.sparkContext.defaultParallelism))
+    return max(1, min(wanted, rows // max(1, parents)))
 
 
 def together(act: Callable[..., Any], calls: Mapping[str, tuple]) -> dict[str, Any]:

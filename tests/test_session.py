@@ -93,4 +93,5 @@ def test_settings_of_chained_jobs_hold_for_the_block_only(spark):
 
 def test_slices_grow_with_the_rows_and_shrink_with_the_cores(spark):
     most = session.ROWS_PER_CORE * spark.sparkContext.defaultParallelism
-    assert [session.slices_for(spark, rows) for rows in (0, most, most + 1, 7 * most)] == [1, 1, 2, 7]
+    assert [session.slices_for(spark, rows, 0) for rows in (0, most, most + 1, 7 * most)] == [1, 1, 2, 7]
+    assert [session.slices_for(spark, 7 * most, parents * most) for parents in (1, 2, 3, 8)] == [7, 3, 2, 1]

@@ -350,5 +350,5 @@ def test_job_in_slices_gives_the_same_tables(spark, tmp_path, monkeypatch, dedup
         out = str(tmp_path / f"out_{rows}")
         tables = run_job(spark, str(raw_dir), out, now, now, dedup)
         found.append([values(tables[name]) for name in ("clean_transactions", "agg_transaction_volumes", "audit_log")])
-    assert session.slices_for(spark, 105) > 5
+    assert session.slices_for(spark, 105, tables["clean_accounts"].count()) > 5
     assert found[0] == found[1] and len(found[0][0]) >= 10
